@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,6 +46,23 @@ def stored(df: DataFrame, partition_hint: int | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in Python workers that have no installed copy; once for each application."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    _shipped.add(context.applicationId)
+    package = Path(__file__).resolve().parent.parent
+    archive = Path(tempfile.mkdtemp(prefix="package-")) / f"{package.name}.zip"  # Spark sends it from here
+    with zipfile.ZipFile(archive, "w") as z:
+        for source in sorted(package.rglob("*.py")):
+            z.write(source, source.relative_to(package.parent))
+    context.addPyFile(str(archive))
+
+
 def free_name(df: DataFrame, base: str) -> str:
     """A column name that ``df`` doesn't have (compared as Spark does, without case)."""
     taken = {c.lower() for c in df.columns}

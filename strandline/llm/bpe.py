@@ -23,6 +23,8 @@ import regex
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 
+from strandline.llm._tables import ship_package
+
 #: Pieces, and words, that a worker remembers in one generation of two.
 PIECE_MEMORY = 250_000
 #: Compatible and incompatible pairs that a worker remembers.
@@ -246,6 +248,7 @@ def worker_coder(vocabulary: Broadcast, pattern: str, space_led: bool = False) -
 
 def read_vocabulary(df: DataFrame, path: str) -> Broadcast:
     """The rank file (under 1 MB) as a broadcast; read on the driver, where the path is a parameter of the call."""
+    ship_package(df.sparkSession)
     with open(path, "rb") as f:
         return df.sparkSession.sparkContext.broadcast(f.read())
 

@@ -26,8 +26,8 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 OP1_SQL = r"""
 WITH d AS (
   SELECT doc_id, coalesce(text, '') AS t,
-         list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), x -> x <> '') AS w,
-         list_filter(string_split(coalesce(text, ''), chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+         list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w,
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
   FROM documents
 ), windows AS (
   SELECT doc_id, i, w[i:i+7] AS x FROM d, unnest(range(1, len(w) - 6)) AS r(i)
