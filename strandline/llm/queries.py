@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from strandline.llm import bpe, quality
+from strandline.llm import bpe, langid, quality, simhash
 from strandline.llm._tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +17,15 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_report(table(spark, sf_dir, "documents"))
 
 
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    return langid.predict(documents, langid.fit(documents))
+
+
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -51,5 +60,5 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM judged
 """
 
-QUERIES: dict[str, Query] = {"op1_quality_rules": op1_quality_rules, "op10_byte_bpe": op10_byte_bpe}
+QUERIES: dict[str, Query] = {"op1_quality_rules": op1_quality_rules, "op4_simhash": op4_simhash, "op6_language_id": op6_language_id, "op10_byte_bpe": op10_byte_bpe}
 ORACLES: dict[str, str] = {"op1_quality_rules": OP1_SQL}
