@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from strandline.llm import bpe, langid, quality, simhash
+from strandline.llm import bpe, langid, mixing, quality, simhash
 from strandline.llm._tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,6 +26,10 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(documents, langid.fit(documents))
 
 
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixing_plan(table(spark, sf_dir, "documents"))
+
+
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -60,5 +64,59 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM judged
 """
 
-QUERIES: dict[str, Query] = {"op1_quality_rules": op1_quality_rules, "op4_simhash": op4_simhash, "op6_language_id": op6_language_id, "op10_byte_bpe": op10_byte_bpe}
-ORACLES: dict[str, str] = {"op1_quality_rules": OP1_SQL}
+OP7_SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS n FROM documents
+), s AS (
+  SELECT source, sum(n)::BIGINT AS tokens, count(*) AS cnt FROM d GROUP BY source
+), one AS (
+  SELECT list(source ORDER BY source NULLS FIRST) AS names, list(tokens ORDER BY source NULLS FIRST) AS tok,
+         list(cnt ORDER BY source NULLS FIRST) AS cnts, sum(tokens)::BIGINT AS total FROM s
+), shares AS (
+  SELECT *, list_transform(tok, lambda t: t::DOUBLE / total) AS sh FROM one
+), target AS (
+  SELECT *, own + 0.5 * greatest(ln(len(list_filter(sh, lambda x: x > 0))::DOUBLE) - own, 0) AS goal
+  FROM (SELECT *, -list_sum(list_transform(list_filter(sh, lambda x: x > 0), lambda x: x * ln(x))) AS own FROM shares)
+), bis AS (
+  SELECT 0 AS i, 0.0::DOUBLE AS lo, 1.0::DOUBLE AS hi, 0.0::DOUBLE AS lo2, 1.0::DOUBLE AS hi2, sh, goal FROM target
+  UNION ALL
+  SELECT i + 1, CASE WHEN h >= goal - 1e-9 THEN mid ELSE lo END, CASE WHEN h >= goal - 1e-9 THEN hi ELSE mid END,
+         CASE WHEN r <= 4 THEN mid2 ELSE lo2 END, CASE WHEN r <= 4 THEN hi2 ELSE mid2 END, sh, goal
+  FROM (
+    SELECT *, -list_sum(list_transform(w, lambda x: x / z * ln(x / z))) AS h,
+           list_max(list_transform(list_filter(sh, lambda x: x > 0), lambda x: pow(x, 1.0 - mid2) / z2 / x)) AS r
+    FROM (
+      SELECT *, list_sum(w) AS z, list_sum(list_transform(list_filter(sh, lambda x: x > 0), lambda x: pow(x, 1.0 - mid2))) AS z2
+      FROM (
+        SELECT *, list_transform(list_filter(sh, lambda x: x > 0), lambda x: pow(x, mid)) AS w
+        FROM (SELECT *, (lo + hi) / 2 AS mid, (lo2 + hi2) / 2 AS mid2 FROM bis WHERE i < 40)
+      )
+    )
+  )
+), found AS (
+  SELECT round(greatest(CASE WHEN own >= t.goal - 1e-9 THEN 1.0 ELSE lo END,
+                        1.0 - CASE WHEN list_max(list_transform(list_filter(t.sh, lambda x: x > 0), lambda x: 1.0 / len(list_filter(t.sh, lambda y: y > 0)) / x)) <= 4
+                                   THEN 1.0 ELSE lo2 END), 6) AS exponent, t.*
+  FROM bis, target t WHERE i = 40
+), weighted AS (
+  SELECT unnest(names) AS source, unnest(tok) AS tokens, unnest(cnts) AS cnt, exponent, total,
+         unnest(list_transform(sh, lambda x: round(CASE WHEN x > 0 THEN pow(x, exponent) ELSE 0 END
+           / list_sum(list_transform(list_filter(sh, lambda y: y > 0), lambda y: pow(y, exponent))), 6))) AS weight
+  FROM found
+), quotas AS (
+  SELECT *, CASE WHEN tokens > 0 THEN floor(weight * total)::BIGINT // tokens ELSE 1 END AS passes, floor(weight * total)::BIGINT AS quota FROM weighted
+), placed AS (
+  SELECT d.*, exponent, weight, passes, greatest(quota - passes * tokens, 0) AS room, e AS epoch, md5(e || ':' || doc_id) AS m,
+         greatest((cnt + 4095) // 4096, 1) AS blocks
+  FROM d JOIN quotas q ON d.source IS NOT DISTINCT FROM q.source, unnest(range(0, passes + 1)) AS r(e)
+), ordered AS (
+  SELECT *, (('0x' || substr(m, 1, 8))::BIGINT * blocks) >> 32 AS block, ('0x' || substr(m, 9, 15))::BIGINT AS ord FROM placed
+), summed AS (
+  SELECT *, sum(n) OVER (PARTITION BY source, epoch ORDER BY block, ord, doc_id) AS so_far FROM ordered
+)
+SELECT doc_id, source, n AS n_tokens, exponent, weight, epoch::BIGINT AS epoch, block::BIGINT AS block
+FROM summed WHERE epoch < passes OR so_far <= room
+"""
+
+QUERIES: dict[str, Query] = {"op1_quality_rules": op1_quality_rules, "op4_simhash": op4_simhash, "op6_language_id": op6_language_id, "op7_mixing": op7_mixing, "op10_byte_bpe": op10_byte_bpe}
+ORACLES: dict[str, str] = {"op1_quality_rules": OP1_SQL, "op7_mixing": OP7_SQL}
