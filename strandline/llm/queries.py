@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from strandline.llm import bpe, langid, mixing, quality, simhash
+from strandline.llm import bpe, langid, licenses, mixing, quality, simhash, vectors
 from strandline.llm._tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +21,10 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_report(table(spark, sf_dir, "documents"))
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     return langid.predict(documents, langid.fit(documents))
@@ -30,6 +34,11 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixing_plan(table(spark, sf_dir, "documents"))
 
 
+def op9_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    embeddings = table(spark, sf_dir, "embeddings")
+    return vectors.top_k(embeddings, embeddings["vec_id"] % 50 == 0)
+
+
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -118,5 +127,24 @@ SELECT doc_id, source, n AS n_tokens, exponent, weight, epoch::BIGINT AS epoch,
 FROM summed WHERE epoch < passes OR so_far <= room
 """
 
-QUERIES: dict[str, Query] = {"op1_quality_rules": op1_quality_rules, "op4_simhash": op4_simhash, "op6_language_id": op6_language_id, "op7_mixing": op7_mixing, "op10_byte_bpe": op10_byte_bpe}
-ORACLES: dict[str, str] = {"op1_quality_rules": OP1_SQL, "op7_mixing": OP7_SQL}
+OP9_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS x FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+)
+SELECT q.vec_id AS query_id, (row_number() OVER w)::INTEGER AS rank, c.vec_id, list_inner_product(q.x, c.x)::BIGINT AS score
+FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id AND len(q.x) = len(c.x)
+WINDOW w AS (PARTITION BY q.vec_id ORDER BY list_inner_product(q.x, c.x) DESC, c.vec_id)
+QUALIFY row_number() OVER w <= 5
+"""
+
+QUERIES: dict[str, Query] = {
+    "op1_quality_rules": op1_quality_rules,
+    "op4_simhash": op4_simhash,
+    "op5_license_scan": op5_license_scan,
+    "op6_language_id": op6_language_id,
+    "op7_mixing": op7_mixing,
+    "op9_exact_top_k": op9_exact_top_k,
+    "op10_byte_bpe": op10_byte_bpe,
+}
+ORACLES: dict[str, str] = {"op1_quality_rules": OP1_SQL, "op7_mixing": OP7_SQL, "op9_exact_top_k": OP9_SQL}
