@@ -1,8 +1,8 @@
 """Licence scans by a positional index of rare licence words.
 
 The templates below are indexed by word: which template has it, at which position.  Document frequencies of the
-templates' words are counted over the whole corpus.  Of each file the licence words with the highest IDF are looked up;
-each posting proposes where its template would begin in the file, and a beginning that several rare words agree on is
+templates' words are counted over the whole corpus.  Of each file that has all words of a template's mandatory phrases,
+the template's words with the highest IDF are looked up; each posting proposes where its template would begin in the file, and a beginning that several rare words agree on is
 checked word by word.  A template is found when enough of its words stand at their relative positions and all of its
 mandatory phrases stand inside that stretch.
 
@@ -46,8 +46,8 @@ TEMPLATES = [
     ("unlicense", "This is free and unencumbered software released into the public domain", ["unencumbered software", "public domain"]),
 ]
 
-#: Distinct rare words of a file that are looked up.  A template that shares fewer than AGREEING of them can't be found.
-RARE_WORDS = 24
+#: Rare words of a file that are looked up for a template.
+RARE_WORDS = 6
 #: Rare words of a template that must agree on where it begins.
 AGREEING = 2
 #: Share of a template's words that must stand at their positions.
@@ -67,56 +67,67 @@ class Template:
     words: list[bytes]
     phrases: list[list[bytes]]
 
+    @property
+    def needed(self) -> frozenset[bytes]:
+        return frozenset(w for phrase in self.phrases for w in phrase)
+
 
 def _templates() -> list[Template]:
     return [Template(label, words_of(notice), [words_of(p) for p in phrases]) for label, notice, phrases in TEMPLATES]
 
 
-def _places(words: list[bytes], at: dict[bytes, list[int]], phrase: list[bytes]) -> list[int]:
-    """Where ``phrase`` stands, from the places of its rarest word in this text."""
-    k = min(range(len(phrase)), key=lambda k: len(at.get(phrase[k], ())))
-    return [p - k for p in at.get(phrase[k], ()) if p >= k and words[p - k : p - k + len(phrase)] == phrase]
+def _positions(words: list[bytes], word: bytes) -> list[int]:
+    found, at = [], -1
+    try:
+        while True:
+            at = words.index(word, at + 1)
+            found.append(at)
+    except ValueError:
+        return found
 
 
 class Scanner:
     def __init__(self, idf: dict[bytes, float]):
         self.idf, self.templates = idf, _templates()
-        self.base = [(label, words_of(phrase)) for phrase, label in BASE.items()]
+        self.needed = [t.needed for t in self.templates]
+        self.base = [(label, words_of(phrase), frozenset(words_of(phrase))) for phrase, label in BASE.items()]
         self.postings: dict[bytes, list[tuple[int, int]]] = defaultdict(list)
         for t, template in enumerate(self.templates):
             for position, word in enumerate(template.words):
                 self.postings[word].append((t, position))
-        self.vocabulary = frozenset(self.postings) | {w for _, phrase in self.base for w in phrase}
+        self.vocabulary = frozenset(self.postings) | {w for _, phrase, _ in self.base for w in phrase}
+
+    def places(self, words: list[bytes], phrase: list[bytes]) -> list[int]:
+        """Where ``phrase`` stands, looked up at its rarest word."""
+        k = max(range(len(phrase)), key=lambda k: (self.idf.get(phrase[k], 0.0), k))
+        return [p - k for p in _positions(words, phrase[k]) if p >= k and words[p - k : p - k + len(phrase)] == phrase]
 
     def scan(self, text: str | None) -> tuple:
         """n_words, n_base, first_word, last_word, base labels, labels, score."""
         words = words_of(text)
-        if self.vocabulary.isdisjoint(words):
-            return len(words), 0, None, None, "", "", 0.0
-        at: dict[bytes, list[int]] = defaultdict(list)
-        vocabulary = self.vocabulary
-        for p, word in enumerate(words):
-            if word in vocabulary:
-                at[word].append(p)
+        present = self.vocabulary.intersection(words)
         starts, base = [], set()
-        for label, phrase in self.base:
-            if found := _places(words, at, phrase):
+        for label, phrase, needed in self.base:
+            if needed <= present and (found := self.places(words, phrase)):
                 starts += found
                 base.add(label)
         labels, score = set(base), 1.0 if base else 0.0
-        for label, matched in self.found(words, at):
-            labels.add(label)
-            score = max(score, matched)
+        possible = {t for t, needed in enumerate(self.needed) if needed <= present}
+        if possible:
+            for label, matched in self.found(words, present, possible):
+                labels.add(label)
+                score = max(score, matched)
         return len(words), len(starts), min(starts, default=None), max(starts, default=None), ",".join(sorted(base)), ",".join(sorted(labels)), score
 
-    def found(self, words: list[bytes], at: dict[bytes, list[int]]) -> list[tuple[str, float]]:
-        """Labels and shares of matching words of the templates found."""
-        rare = sorted((w for w in at if w in self.postings), key=lambda w: (-self.idf.get(w, 0.0), w))[:RARE_WORDS]
+    def found(self, words: list[bytes], present: frozenset[bytes], possible: set[int]) -> list[tuple[str, float]]:
+        """Labels, and shares of words that match, of those ``possible`` templates (all words of their phrases are there)."""
         votes: Counter[tuple[int, int]] = Counter()
-        for word in rare:
-            for t, position in self.postings[word]:
-                for p in at[word]:
-                    votes[t, p - position] += 1
+        for t in possible:
+            rare = sorted(present.intersection(self.templates[t].words), key=lambda w: (-self.idf.get(w, 0.0), w))[:RARE_WORDS]
+            for word in rare:
+                places = _positions(words, word)
+                for position in [position for of, position in self.postings[word] if of == t]:
+                    votes.update((t, p - position) for p in places)
         best: dict[int, float] = {}
         for (t, start), n in votes.items():
             if n < AGREEING:
@@ -124,14 +135,10 @@ class Scanner:
             template = self.templates[t]
             size = len(template.words)
             matched = sum(words[start + k] == w for k, w in enumerate(template.words) if 0 <= start + k < len(words)) / size
-            if matched < LEAST_MATCH or matched <= best.get(t, 0.0):
-                continue
-            stretch = words[max(0, start) : start + size]
-            inside: dict[bytes, list[int]] = defaultdict(list)
-            for p, word in enumerate(stretch):
-                inside[word].append(p)
-            if all(_places(stretch, inside, phrase) for phrase in template.phrases):
-                best[t] = matched
+            if matched >= LEAST_MATCH and matched > best.get(t, 0.0):
+                stretch = words[max(0, start) : max(0, start + size)]
+                if all(self.places(stretch, phrase) for phrase in template.phrases):
+                    best[t] = matched
         return [(self.templates[t].label, share) for t, share in best.items()]
 
 
