@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from strandline.llm import bpe, langid, licenses, mixing, quality, simhash, vectors
+from strandline.llm import bpe, langid, licenses, mixing, pseudo_likelihood, quality, quotations, simhash, token_files, vectors
 from strandline.llm._tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +17,14 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_report(table(spark, sf_dir, "documents"))
 
 
+def op2_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pseudo_likelihood.score_documents(table(spark, sf_dir, "documents"))
+
+
+def op3_quotations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quotations.link_quotations(table(spark, sf_dir, "conversations"))
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -34,6 +42,14 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixing_plan(table(spark, sf_dir, "documents"))
 
 
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole documents as flat token files (id 50256 ends a document), and the counts that a scan of them finds."""
+    documents = table(spark, sf_dir, "documents")
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    packed = token_files.pack_documents(documents, path, public_tokenizers.PATTERN, end=50256, space_led=True)
+    return token_files.count_documents(packed, end=50256)
+
+
 def op9_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     embeddings = table(spark, sf_dir, "embeddings")
     return vectors.top_k(embeddings, embeddings["vec_id"] % 50 == 0)
@@ -73,6 +89,39 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM judged
 """
 
+OP3_SQL = r"""
+WITH RECURSIVE messages AS (
+  SELECT row_number() OVER () AS m, conv_id, turn, role, string_split(regexp_replace(coalesce(text, ''), '\r\n?', chr(10), 'g'), chr(10)) AS raw
+  FROM conversations
+), split AS (
+  SELECT m, conv_id, turn, i, raw[i] AS l, regexp_extract(raw[i], '^[ \t]*(?:>[ \t]*)+') AS marks FROM messages, unnest(range(1, len(raw) + 1)) AS r(i)
+), lines AS (
+  SELECT m, conv_id, turn, i, length(regexp_replace(marks, '[^>]', '', 'g')) AS level, substr(l, length(marks) + 1) AS said,
+         lower(trim(regexp_replace(substr(l, length(marks) + 1), '\s+', ' ', 'g'))) AS norm
+  FROM split
+), bodies AS (
+  SELECT m, coalesce(string_agg(said, chr(10) ORDER BY i) FILTER (level = 0 AND NOT (coalesce(next, 0) > 0 AND regexp_matches(said, '^.*\bwrote:[ \t]*$'))), '') AS body,
+         count(*) FILTER (level > 0) AS n_quoted, max(level) AS quote_levels
+  FROM (SELECT *, lead(level) OVER (PARTITION BY m ORDER BY i) AS next FROM lines) GROUP BY m
+), origins AS (
+  SELECT conv_id, norm, min(turn) AS origin FROM lines WHERE level = 0 AND norm <> '' GROUP BY ALL
+), parents AS (
+  SELECT q.conv_id, q.turn, arg_max(origin, (-level, origin)) AS parent
+  FROM lines q JOIN origins o ON q.conv_id = o.conv_id AND q.norm = o.norm AND q.level > 0 AND origin < q.turn GROUP BY ALL
+), up AS (
+  SELECT conv_id, turn, parent AS root, 1 AS depth FROM parents
+  UNION ALL
+  SELECT up.conv_id, up.turn, p.parent, depth + 1 FROM up JOIN parents p ON p.conv_id = up.conv_id AND p.turn = up.root
+), roots AS (
+  SELECT conv_id, turn, min(root) AS root, max(depth) AS depth FROM up GROUP BY ALL
+)
+SELECT messages.conv_id, messages.turn, role, trim(body, ' ' || chr(9) || chr(10)) AS body,
+       '<|' || coalesce(role, 'unknown') || '|>' || chr(10) || trim(body, ' ' || chr(9) || chr(10)) || chr(10) || '<|end|>' || chr(10) AS chat,
+       n_quoted, quote_levels, parent AS parent_turn, coalesce(root, messages.turn) AS thread_root, coalesce(depth, 0)::BIGINT AS depth
+FROM messages JOIN bodies USING (m) LEFT JOIN parents p ON p.conv_id = messages.conv_id AND p.turn = messages.turn
+LEFT JOIN roots r ON r.conv_id = messages.conv_id AND r.turn = messages.turn
+"""
+
 OP7_SQL = r"""
 WITH RECURSIVE d AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS n FROM documents
@@ -140,11 +189,14 @@ QUALIFY row_number() OVER w <= 5
 
 QUERIES: dict[str, Query] = {
     "op1_quality_rules": op1_quality_rules,
+    "op2_pseudo_likelihood": op2_pseudo_likelihood,
+    "op3_quotations": op3_quotations,
     "op4_simhash": op4_simhash,
     "op5_license_scan": op5_license_scan,
     "op6_language_id": op6_language_id,
     "op7_mixing": op7_mixing,
+    "op8_token_counts": op8_token_counts,
     "op9_exact_top_k": op9_exact_top_k,
     "op10_byte_bpe": op10_byte_bpe,
 }
-ORACLES: dict[str, str] = {"op1_quality_rules": OP1_SQL, "op7_mixing": OP7_SQL, "op9_exact_top_k": OP9_SQL}
+ORACLES: dict[str, str] = {"op1_quality_rules": OP1_SQL, "op3_quotations": OP3_SQL, "op7_mixing": OP7_SQL, "op9_exact_top_k": OP9_SQL}
