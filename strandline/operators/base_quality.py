@@ -11,8 +11,10 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
+from pyspark.sql.types import DoubleType
 
 from strandline.functions.fields import folded_flanks, mutation_class, vaf
+from strandline.storage import ship_package
 
 KEY = ["pid", "chrom", "pos"]
 TRIPLET = ["mutation", "before", "after"]
@@ -139,13 +141,14 @@ def triplet_bq_shift(df: DataFrame, *, min_bq: int = 0) -> DataFrame:
     return out.withColumns({k: F.round(k, 6) for k in ("mean_ref", "mean_alt")}).drop("var_ref", "var_alt")
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def t_p_value(t: pd.Series, freedom: pd.Series) -> pd.Series:
     return pd.Series([t_two_sided(a, b) for a, b in zip(t, freedom)], dtype="float64")
 
 
 def shift_p_values(shift: DataFrame) -> DataFrame:
     """Adds p and its Benjamini-Hochberg adjustment within a patient (at most 96 rows each)."""
+    ship_package(shift.sparkSession)
     tested = shift.withColumn("p", t_p_value(F.col("t"), F.col("freedom")))
     patient = Window.partitionBy("pid")
     ranked = tested.withColumns({"_rank": F.row_number().over(patient.orderBy("p", *TRIPLET)), "_n": F.count(F.lit(1)).over(patient)})

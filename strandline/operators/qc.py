@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strandline.functions.fields import BASES, CLASSES, folded_flanks, mutation_class, vaf, vaf2
+from strandline.storage import ship_package
 
 CHROMS = [*map(str, range(1, 23)), "X", "Y"]
 
@@ -173,6 +174,7 @@ def _esd(rows: pd.DataFrame) -> pd.DataFrame:
 
 def purity_esd(by_chromosome: DataFrame) -> DataFrame:
     """A patient's purity: the mean over chromosomes after dropping outliers one by one.  24 rows in a group."""
+    ship_package(by_chromosome.sparkSession)
     return by_chromosome.groupBy("pid").applyInPandas(_esd, "pid string, purity double, n_outliers bigint, outliers string")
 
 
