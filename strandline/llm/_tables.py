@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-import zipfile
-from pathlib import Path
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strandline.storage import shared_dir, ship_package, stored
+
+__all__ = ["WORD_BREAKS", "free_name", "let", "shared_dir", "ship_package", "stored", "table"]
+
 #: Bytes at \x20 and \x09-\x0D separate words; everything else belongs to a word.
 WORD_BREAKS = " \t\n\x0b\x0c\r"
 
@@ -18,51 +17,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share.
-
-    ``spark.checkpoint.dir`` as the session has it.  Only where it is unset: a temporary folder in local mode
-    (one machine), and a folder under the warehouse elsewhere.
-    """
-    context = spark.sparkContext
-    path = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if not path:
-        if context.master.startswith("local[") or context.master == "local":
-            path = tempfile.mkdtemp(prefix="spark-checkpoints-")
-        else:
-            path = f"{spark.conf.get('spark.sql.warehouse.dir')}/_checkpoints"
-        context.setCheckpointDir(path)
-    return path.rstrip("/")
-
-
-def stored(df: DataFrame, partition_hint: int | None = None) -> DataFrame:
-    """``df`` written once to the shared folder as Parquet and read back.
-
-    Cuts the lineage so that a lost executor costs a re-read, not a re-computation.
-    """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/stored-{uuid.uuid4().hex}"
-    (df.coalesce(partition_hint) if partition_hint else df).write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-_shipped: set[str] = set()
-
-
-def ship_package(spark: SparkSession) -> None:
-    """Make this package importable in Python workers that have no installed copy; once for each application."""
-    context = spark.sparkContext
-    if context.applicationId in _shipped:
-        return
-    _shipped.add(context.applicationId)
-    package = Path(__file__).resolve().parent.parent
-    archive = Path(tempfile.mkdtemp(prefix="package-")) / f"{package.name}.zip"  # Spark sends it from here
-    with zipfile.ZipFile(archive, "w") as z:
-        for source in sorted(package.rglob("*.py")):
-            z.write(source, source.relative_to(package.parent))
-    context.addPyFile(str(archive))
-
-
 def free_name(df: DataFrame, base: str) -> str:
     """A column name that ``df`` doesn't have (compared as Spark does, without case)."""
     taken = {c.lower() for c in df.columns}
