@@ -23,7 +23,11 @@ HIGHEST = 55
 
 def long_form(df: DataFrame, *keep: str) -> DataFrame:
     """A row for each base: key columns, ``keep``, allele (REF, ALT), bq."""
-    each = F.concat(*[F.transform(F.coalesce(c, F.array().cast("array<bigint>")), lambda q, a=a: F.struct(F.lit(a).alias("allele"), q.cast("bigint").alias("bq"))) for c, a in (("bq_ref", "REF"), ("bq_alt", "ALT"))])
+
+    def bases(column: str, allele: str) -> Column:
+        return F.transform(F.coalesce(column, F.array().cast("array<bigint>")), lambda q: F.struct(F.lit(allele).alias("allele"), q.cast("bigint").alias("bq")))
+
+    each = F.concat(bases("bq_ref", "REF"), bases("bq_alt", "ALT"))
     columns = [c for c in (*KEY, *keep) if c in df.columns]
     return df.select(*columns, F.explode(each).alias("x")).select(*columns, "x.*")
 

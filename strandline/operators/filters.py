@@ -54,27 +54,29 @@ def filter_by_criteria(df: DataFrame, triples: list[tuple[str, str, str]], *, fa
     never at a bare cell (key ``.``); otherwise at its own key, or the bare cell.
     """
 
+    def named(cell: Column, key: str) -> Column:
+        return F.exists(F.split(cell, ";"), lambda x: F.substring_index(x, "=", 1) == key)
+
+    def beyond(criterion: str):
+        limit = _number(criterion[:-1])
+        if criterion[-1] == "+":
+            return lambda v: F.coalesce(v.try_cast("double") > limit, F.lit(False))
+        return lambda v: F.coalesce(v.try_cast("double") < limit, F.lit(False))
+
+    def values(cell: Column, keys: list[str]) -> Column:
+        pairs = F.filter(F.split(cell, ";"), lambda x: F.substring_index(x, "=", 1).isin(keys) & x.contains("="))
+        return F.flatten(F.transform(pairs, lambda x: F.split(F.substring_index(x, "=", -1), ",")))
+
     def holds(column: str, keys: str, criteria: str) -> Column:
-        cell, names = F.col(column), keys.split(",")
-        parts = []
+        cell, names, parts = F.col(column), keys.split(","), []
         for key, criterion in zip(names, criteria.split(",")):
             if criterion in ("exist", "nonexist"):
-                there = cell != "." if key == "." else F.exists(F.split(cell, ";"), lambda x, key=key: F.substring_index(x, "=", 1) == key)
+                there = cell != "." if key == "." else named(cell, key)
                 parts.append(there if criterion == "exist" else ~there)
-                continue
-            limit, above = _number(criterion[:-1]), criterion[-1] == "+"
-            beyond = lambda v, limit=limit, above=above: F.coalesce((v.try_cast("double") > limit) if above else (v.try_cast("double") < limit), F.lit(False))
-            if key == "." and not faithful:
-                parts.append(beyond(cell))
-                continue
-            looked_at = names if faithful else [key]
-            values = F.flatten(
-                F.transform(
-                    F.filter(F.split(cell, ";"), lambda x, looked_at=looked_at: F.substring_index(x, "=", 1).isin(looked_at) & x.contains("=")),
-                    lambda x: F.split(F.substring_index(x, "=", -1), ","),
-                )
-            )
-            parts.append(F.exists(values, beyond))
+            elif key == "." and not faithful:
+                parts.append(beyond(criterion)(cell))
+            else:
+                parts.append(F.exists(values(cell, names if faithful else [key]), beyond(criterion)))
         return (cell != ".") & reduce(and_, parts)
 
     return df.where(~F.coalesce(reduce(or_, [holds(*t) for t in triples]), F.lit(False)))

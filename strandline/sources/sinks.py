@@ -48,7 +48,11 @@ def used_metadata_keys(df: DataFrame) -> DataFrame:
     keys = lambda c, s="": F.transform(_pairs(F.col(c), s), lambda x: x["key"])
     split = lambda c, by: F.filter(F.split(F.coalesce(F.col(c), F.lit("")), by), lambda x: (x != "") & (x != "."))
     kinds = {"INFO": F.concat(keys("info"), keys("info_control", "_ctrl")), "FORMAT": split("format", ":"), "FILTER": split("filter", ";")}
-    each = F.concat(*[F.transform(F.array_distinct(v), lambda x, k=k: F.struct(F.lit(k).alias("kind"), x.alias("key"))) for k, v in kinds.items()])
+
+    def of(kind: str, found: Column) -> Column:
+        return F.transform(F.array_distinct(found), lambda x: F.struct(F.lit(kind).alias("kind"), x.alias("key")))
+
+    each = F.concat(*[of(kind, found) for kind, found in kinds.items()])
     return df.select(F.explode(each).alias("x")).select("x.*").distinct()
 
 

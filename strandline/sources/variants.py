@@ -31,7 +31,7 @@ def read_variants(spark: SparkSession, paths: str | list[str], *, aliases: dict[
 
     Lines of ``##`` and headers are skipped.  Columns are found by name (``aliases``: more patterns, or others for the
     same names); columns without a pattern keep their header's name in lower case; those that no header has are absent.
-    All files have the header of the first (or ``names``).  ``pid``: by default the file's name up to the first dot.
+    All files have the header of the first (or ``names``); a column of their own named PID becomes pid_1.  ``pid``: by default the file's name up to the first dot.
     """
     patterns = ALIASES | (aliases or {})
     names = names or header_names(spark, paths)
@@ -39,7 +39,7 @@ def read_variants(spark: SparkSession, paths: str | list[str], *, aliases: dict[
     for k, name in enumerate(names):
         hits = [column for column, pattern in patterns.items() if re.search(pattern, name)]
         for column in hits or [re.sub(r"\W+", "_", name.lstrip("#")).lower()]:
-            place[column] = k
+            place["pid_1" if column == "pid" else column] = k
     lines = spark.read.text(paths).select("value", "_metadata.file_name").where(~F.col("value").startswith("#") & (F.col("value") != ""))
     cells = F.split("value", "\t")
     pid = F.substring_index("file_name", ".", 1) if pid is None else pid
