@@ -200,7 +200,7 @@ def split_snv_indel(spark, sf_dir):
 @query(
     f"""{ANN} SELECT pid, chrom, pos, ref, alt FROM ann
     WHERE NOT (exac <> '.' AND (exac LIKE '%=0.5,1.5'))
-      AND NOT (gnomad_exomes <> '.' AND split_part(gnomad_exomes, '=', 2)::DOUBLE > 0.001)
+      AND NOT (gnomad_exomes <> '.' AND TRY_CAST(split_part(gnomad_exomes, '=', 2) AS DOUBLE) > 0.001)
       AND NOT (dbsnp <> '.' AND dbsnp LIKE '%COMMON=1%' AND NOT (dbsnp LIKE '%;CLN;%'))"""
 )
 def filter_by_criteria(spark, sf_dir):
@@ -728,9 +728,9 @@ TRIPLETS = f"""{LONG}, tri AS (SELECT pid, chrom, pos, {CLASS} AS mutation, {BEF
 
 
 @query(
-    f"""{READS}, {LONG}, both AS (SELECT * FROM long UNION ALL SELECT * REPLACE ('BOTH' AS allele) FROM long)
+    f"""{READS}, {LONG}, twice AS (SELECT * FROM long UNION ALL SELECT * REPLACE ('BOTH' AS allele) FROM long)
     SELECT pid, chrom, pos, allele, count(*) AS n, round(avg(bq), 6) AS mean, median(bq)::DOUBLE AS median, CASE WHEN avg(bq) <> 0 THEN round(100.0::DOUBLE * stddev_samp(bq) / avg(bq), 6) END AS cov,
-           round(avg((bq <= 30)::INT), 6) AS below_30, round(avg((bq <= 25)::INT), 6) AS below_25, round(avg((bq <= 20)::INT), 6) AS below_20 FROM both GROUP BY ALL"""
+           round(avg((bq <= 30)::INT), 6) AS below_30, round(avg((bq <= 25)::INT), 6) AS below_25, round(avg((bq <= 20)::INT), 6) AS below_20 FROM twice GROUP BY ALL"""
 )
 def bq_row_stats(spark, sf_dir):
     return base_quality.bq_row_stats(_lists(spark, sf_dir))
@@ -932,8 +932,8 @@ def write_standard_variants(spark, sf_dir):
 
 
 @query(
-    f"""{ANN} SELECT DISTINCT unnest([{{'kind': 'INFO', 'key': 'DP'}}, {{'kind': 'INFO', 'key': CASE WHEN pk % 2 = 0 THEN 'SOMATIC' ELSE 'DP' END}}, {{'kind': 'INFO', 'key': 'VAF_ctrl'}},
-        {{'kind': 'FORMAT', 'key': 'GT'}}, {{'kind': 'FORMAT', 'key': 'DP'}}, {{'kind': 'FILTER', 'key': CASE WHEN filter = '.' THEN 'RE' ELSE filter END}}], recursive := true) FROM ann"""
+    f"""{ANN} SELECT DISTINCT kind, key FROM (SELECT unnest([{{'kind': 'INFO', 'key': 'DP'}}, {{'kind': 'INFO', 'key': CASE WHEN pk % 2 = 0 THEN 'SOMATIC' ELSE 'DP' END}}, {{'kind': 'INFO', 'key': 'VAF_ctrl'}},
+        {{'kind': 'FORMAT', 'key': 'GT'}}, {{'kind': 'FORMAT', 'key': 'DP'}}, {{'kind': 'FILTER', 'key': CASE WHEN filter = '.' THEN 'RE' ELSE filter END}}], recursive := true) FROM ann)"""
 )
 def used_metadata_keys(spark, sf_dir):
     rows = fixtures.annotated(spark, sf_dir).withColumns(
@@ -997,7 +997,7 @@ def pipeline_deep_annotate(spark, sf_dir):
 
 
 @query(
-    f"""{SCORED}, s AS (SELECT * FROM scored WHERE confidence >= 5 AND {SOMATIC} AND NOT (gnomad_exomes <> '.' AND split_part(gnomad_exomes, '=', 2)::DOUBLE > 0.001))
+    f"""{SCORED}, s AS (SELECT * FROM scored WHERE confidence >= 5 AND {SOMATIC} AND NOT (gnomad_exomes <> '.' AND TRY_CAST(split_part(gnomad_exomes, '=', 2) AS DOUBLE) > 0.001))
     SELECT pid, count(*) AS snvnum, count(*) FILTER (kd) AS "snvindbSNP", round(count(*) FILTER (kd)::DOUBLE / count(*), 6) AS "snvInDbsnpRatio",
         round(count(*) FILTER (annovar_function = 'exonic' AND exonic_classification = 'synonymous SNV')::DOUBLE / nullif(count(*) FILTER (annovar_function = 'exonic'), 0), 6) AS "synonymousRatio",
         round(avg((pk % 100 < 5)::INT), 6) AS "thaScore" FROM s GROUP BY pid"""
