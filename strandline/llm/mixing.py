@@ -11,7 +11,7 @@ and inside it by a finer hash.  Running sums go over blocks first and then insid
 that no task ever holds a source.  What is left to decide a row is one cut for each source.
 
 All of it is Spark SQL expressions; the bisection is a fold over the array of source shares.  Rows: a null source is a
-source of its own; null and empty texts have zero tokens and go with every permutation taken; ties in the hash go by key,
+source of its own; null and empty texts have zero tokens, and a source without any token is taken once; ties in the hash go by key,
 and rows with equal keys are taken or left together; an empty table gives no rows; extra columns stay (`mix`).
 """
 

@@ -164,7 +164,7 @@ WITH RECURSIVE d AS (
 ), quotas AS (
   SELECT *, CASE WHEN tokens > 0 THEN floor(weight * total)::BIGINT // tokens ELSE 1 END AS passes, floor(weight * total)::BIGINT AS quota FROM weighted
 ), placed AS (
-  SELECT d.*, exponent, weight, passes, greatest(quota - passes * tokens, 0) AS room, e AS epoch, md5(e || ':' || doc_id) AS m,
+  SELECT d.*, tokens, exponent, weight, passes, greatest(quota - passes * tokens, 0) AS room, e AS epoch, md5(e || ':' || doc_id) AS m,
          greatest((cnt + 4095) // 4096, 1) AS blocks
   FROM d JOIN quotas q ON d.source IS NOT DISTINCT FROM q.source, unnest(range(0, passes + 1)) AS r(e)
 ), ordered AS (
@@ -173,7 +173,7 @@ WITH RECURSIVE d AS (
   SELECT *, sum(n) OVER (PARTITION BY source, epoch ORDER BY block, ord, doc_id) AS so_far FROM ordered
 )
 SELECT doc_id, source, n AS n_tokens, exponent, weight, epoch::BIGINT AS epoch, block::BIGINT AS block
-FROM summed WHERE epoch < passes OR so_far <= room
+FROM summed WHERE epoch < passes OR (tokens > 0 AND so_far <= room)
 """
 
 OP9_SQL = """
