@@ -15,9 +15,11 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
+from array import array
 from collections.abc import Iterator
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark import Broadcast
@@ -25,12 +27,14 @@ from pyspark.sql import DataFrame
 
 from strandline.llm._tables import ship_package
 
-#: Pieces, and words, that a worker remembers in one generation of two.
-PIECE_MEMORY = 250_000
+#: Pieces that a worker remembers in one generation of two.
+PIECE_MEMORY = 100_000
 #: Compatible and incompatible pairs that a worker remembers.
-PAIR_MEMORY = 400_000
+PAIR_MEMORY = 100_000
 #: Longer pieces are not remembered.
 LONGEST_REMEMBERED = 64
+#: Ids that a task gathers before it passes rows on.
+PASSED_ON = 200_000
 #: A space that other white space or the end follows.
 SPACE_BESIDE_SPACE = re.compile(r" (?:\s|\Z)")
 
@@ -58,7 +62,7 @@ class PrefixEncoder:
         for raw, rank in self.lasting.items():
             self.endings.add_word(raw.decode("latin-1"), (rank, len(raw)))
         self.endings.make_automaton()
-        self._pairs: dict[tuple[int, int], bool] = {}
+        self._pairs: dict[int, bool] = {}
 
     def _halves(self, raw: bytes, below: int) -> tuple[int, int] | None:
         """The two tokens whose merge makes ``raw``, by merging with earlier ranks only."""
@@ -76,11 +80,12 @@ class PrefixEncoder:
 
     def compatible(self, a: int, b: int) -> bool:
         """Whether token ``b`` can follow token ``a`` with no merge across their border."""
-        known = self._pairs.get((a, b))
+        pair = a << 24 | b
+        known = self._pairs.get(pair)
         if known is None:
             if len(self._pairs) >= PAIR_MEMORY:
                 self._pairs.clear()
-            known = self._pairs[a, b] = self._border_holds(a, b)
+            known = self._pairs[pair] = self._border_holds(a, b)
         return known
 
     def _border_holds(self, a: int, b: int) -> bool:
@@ -106,9 +111,8 @@ class PrefixEncoder:
                 continue  # this prefix has its token
             start = at + 1 - length
             if start:
-                pair = last[start], rank
-                holds = pairs.get(pair)
-                if not (compatible(*pair) if holds is None else holds):
+                holds = pairs.get(last[start] << 24 | rank)
+                if not (compatible(last[start], rank) if holds is None else holds):
                     continue
             last.append(rank)
             done = at + 1
@@ -198,31 +202,43 @@ class Memory:
 
 
 class TextCoder:
-    """Whole texts to ids and back; remembers the encodings of pieces and of words.
+    """Whole texts to ids and back; remembers the encodings of pieces.
 
     ``space_led``: the pattern always starts a piece at a single space between two other characters, as patterns with
     `` ?`` before their classes do.  Texts without other white space next to a space are then read word by word.
+
+    There is one memory for what follows a space (words, and pieces without their space) and one for all other pieces,
+    so that nothing is kept twice.
     """
 
     def __init__(self, ranks: dict[bytes, int], pattern: str, space_led: bool = False):
         self.encoder, self.pattern, self.space_led = PrefixEncoder(ranks), regex.compile(pattern), space_led
         self.decimal = {k: str(k) for k in self.encoder.token}
         self._pieces = Memory(lambda piece: self.encoder.encode_piece(piece.encode()), PIECE_MEMORY)
-        self._words = Memory(lambda word: self._by_pieces(" " + word), PIECE_MEMORY)
+        self._words = Memory(self._spaced, PIECE_MEMORY)
+
+    def _spaced(self, word: str) -> list[int]:
+        """The ids of a word behind a space."""
+        pieces = self.pattern.findall(" " + word)
+        return self.encoder.encode_piece(pieces[0].encode()) if len(pieces) == 1 else self._joined(pieces)
 
-    def _by_pieces(self, text: str) -> list[int]:
+    def _joined(self, pieces: list[str]) -> list[int]:
         ids: list[int] = []
-        for piece in self.pattern.findall(text):
-            ids += self._pieces.young.get(piece) or self._pieces.missing(piece)
+        for piece in pieces:
+            memory, key = (self._words, piece[1:]) if piece[0] == " " else (self._pieces, piece)
+            ids += memory.young.get(key) or memory.missing(key)
         return ids
 
     def encode(self, text: str) -> list[int]:
         if not self.space_led or SPACE_BESIDE_SPACE.search(text):
-            return self._by_pieces(text)
+            return self._joined(self.pattern.findall(text))
         first, *words = text.split(" ")
-        ids, known, missing = self._by_pieces(first), self._words, self._words.missing
+        ids, known, missing = self._joined(self.pattern.findall(first)), self._words.young, self._words.missing
         for word in words:
-            ids += known.young.get(word) or missing(word)
+            found = known.get(word)
+            if found is None:
+                found, known = missing(word), self._words.young
+            ids += found
         return ids
 
     def digest(self, ids: list[int]) -> str:
@@ -264,27 +280,30 @@ def encode_documents(df: DataFrame, path: str, pattern: str, *, space_led: bool
     kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in narrow.schema.fields[:-1])
     schema = ", ".join(x for x in (kinds, "n_tokens bigint", "ids array<int>" if with_ids else "", "ids_sha256 string", "decoded_sha256 string") if x)
     vocabulary = read_vocabulary(df, path)
+    names = [*inner, "n_tokens", *(["ids"] if with_ids else []), "ids_sha256", "decoded_sha256"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = worker_coder(vocabulary, pattern, space_led)
         for batch in batches:
-            n, lists, digests, decoded = [], [], [], []
-            for value in batch.column(batch.num_columns - 1):
+            texts, begin = batch.column(batch.num_columns - 1), 0
+            offsets, digests, decoded, flat = [0], [], [], array("i")
+            for at, value in enumerate(texts, 1):
                 ids = coder.encode(value.as_py() or "")
-                n.append(len(ids))
+                offsets.append(offsets[-1] + len(ids))
                 digests.append(coder.digest(ids))
                 decoded.append(coder.decoded_digest(ids))
                 if with_ids:
-                    lists.append(pa.array(ids, pa.int32()))
-            columns = [batch.column(k) for k in range(len(keep))] + [pa.array(n, pa.int64())]
-            names = [*inner, "n_tokens"]
-            if with_ids:
-                offsets = [0]
-                for k in n:
-                    offsets.append(offsets[-1] + k)
-                columns.append(pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.concat_arrays(lists) if lists else pa.array([], pa.int32())))
-                names.append("ids")
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(digests, pa.string()), pa.array(decoded, pa.string())], [*names, "ids_sha256", "decoded_sha256"])
+                    flat.extend(ids)
+                if offsets[-1] < PASSED_ON and at < len(texts):
+                    continue
+                columns = [batch.column(k).slice(begin, at - begin) for k in range(len(keep))]
+                columns.append(pa.array([b - a for a, b in zip(offsets, offsets[1:])], pa.int64()))
+                if with_ids:
+                    columns.append(pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.frombuffer(flat, np.int32), pa.int32())))
+                columns += [pa.array(digests, pa.string()), pa.array(decoded, pa.string())]
+                yield pa.RecordBatch.from_arrays(columns, names)
+                begin, offsets, digests, decoded, flat = at, [0], [], [], array("i")
+        pa.default_memory_pool().release_unused()  # the worker lives on
 
     out = narrow.mapInArrow(run, schema)
     return out.withColumnsRenamed(dict(zip(inner, keep)))

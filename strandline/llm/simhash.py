@@ -71,6 +71,7 @@ def fingerprints(df: DataFrame, *, key: str = "doc_id", text: str = "text") -> D
         for batch in batches:
             found = np.array([fingerprint(x.as_py()) for x in batch.column(1)], dtype=np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found)], ["key", "fingerprint"])
+        pa.default_memory_pool().release_unused()  # the worker lives on
 
     return df.select(df[key].alias("key"), df[text].alias("text")).mapInArrow(run, f"key {kind}, fingerprint bigint").withColumnRenamed("key", key)
 
