@@ -10,7 +10,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from strandline.llm import bpe, langid, mixing, quality, simhash
+from strandline.llm import bpe, langid, mixing, near_copies, quality
 from strandline.llm._tables import stored, table
 
 #: No SQL: XXH64, byte-pair merges and fitted centroids can't be expressed; tests/llm holds a brute-force version.
@@ -28,8 +28,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies."""
-    return simhash.drop_near_duplicates(docs)
+    """One document of each group of near copies: five-word shingles, a similarity of 0.8 or more."""
+    return near_copies.drop_near_copies(docs)
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -258,12 +258,13 @@ def near_duplicates(df: DataFrame, *, key: str = "doc_id", text: str = "text", m
 BROADCAST_IDS = 1_000_000
 
 
-def drop_near_duplicates(df: DataFrame, *, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``df`` with one document of each group: the one with the smallest key.
+def small(ids: DataFrame) -> DataFrame:
+    """``ids`` marked for a broadcast if they are few."""
+    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
 
-    Of rows that share a key one stays.  Rows without a key can't be named and stay.
-    """
-    found = near_duplicates(df.select(df[key].alias("id"), df[text].alias("body")), key="id", text="body")
+
+def keep_first(df: DataFrame, found: DataFrame, *, key: str) -> DataFrame:
+    """``df`` with the row of each group in ``found`` (id, component_id) whose key names the group."""
     verdicts = stored(
         found.where("id IS NOT NULL").groupBy("id").agg(F.max(F.col("id") == F.col("component_id")).alias("stays"), F.count(F.lit(1)).alias("rows"))
         .where("NOT stays OR rows > 1")
@@ -271,11 +272,19 @@ def drop_near_duplicates(df: DataFrame, *, key: str = "doc_id", text: str = "tex
     name = free_name(df, "judged_id")
 
     def without(frame: DataFrame, ids: DataFrame) -> DataFrame:
-        ids = ids.select(F.col("id").alias(name))
-        return frame.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, frame[key] == F.col(name), "left_anti")
+        return frame.join(small(ids.select(F.col("id").alias(name))), frame[key] == F.col(name), "left_anti")
 
     repeated = verdicts.where("stays AND rows > 1")
     if repeated.isEmpty():
         return without(df, verdicts)
     once = df.join(repeated.select(F.col("id").alias(name)), df[key] == F.col(name), "left_semi").dropDuplicates([key])
     return without(df, verdicts).unionByName(once)
+
+
+def drop_near_duplicates(df: DataFrame, *, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``df`` with one document of each group: the one with the smallest key.
+
+    Of rows that share a key one stays.  Rows without a key can't be named and stay.
+    """
+    found = near_duplicates(df.select(df[key].alias("id"), df[text].alias("body")), key="id", text="body")
+    return keep_first(df, found, key=key)
