@@ -9,7 +9,7 @@ frequent ones get an id each, and all other words share ``TAIL`` ids by their ha
 token, written once; training and scoring read those bytes only.
 
 Training is data-parallel in numpy: in each round every task starts from the same weights, runs over its own documents
-(each ``TRAIN_EVERY``-th position, so that it grows with the corpus) and gives back its weights as (index, value) rows; Spark
+(of every document the positions k with k mod rounds = round, so that all are targets once) and gives back its weights as (index, value) rows; Spark
 averages them, weighted by the positions seen.  Only the averages (as many numbers as the network has) come to the driver.
 
 Rows: null and empty texts have no tokens and score 0; repeated rows get equal scores; with no token in the whole table
@@ -36,7 +36,6 @@ TAIL = 64
 WINDOW = 2
 WIDTH = 24
 ROUNDS = 2
-TRAIN_EVERY = 16
 RATE = 0.5
 BATCH = 256
 #: Positions that are scored at once.
@@ -76,13 +75,6 @@ class Network:
             hidden += self.embed[k][context[:, k]]
         return np.tanh(hidden, out=hidden)
 
-    def log_probabilities(self, context: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Hidden values and log-probabilities of all tokens for rows of neighbours."""
-        hidden = self.hidden(context)
-        logits = hidden @ self.out + self.bias
-        logits -= logits.max(axis=1, keepdims=True)
-        return hidden, logits - np.log(np.exp(logits).sum(axis=1, keepdims=True))
-
     def score(self, padded: np.ndarray, at: np.ndarray) -> np.ndarray:
         """Log-probability of the token at each position ``at`` given its neighbours."""
         found = np.empty(len(at))
@@ -103,8 +95,12 @@ class Network:
         for start in range(0, len(at), BATCH):
             p = at[start : start + BATCH]
             context = neighbours(padded, p)
-            hidden, logs = self.log_probabilities(context)
-            error = np.exp(logs)
+            hidden = self.hidden(context)
+            error = hidden @ self.out
+            error += self.bias
+            error -= error.max(axis=1, keepdims=True)
+            np.exp(error, out=error)
+            error /= error.sum(axis=1, keepdims=True)
             error[np.arange(len(p)), padded[p]] -= 1
             error *= RATE / len(p)
             back = (error @ self.out.T) * (1 - hidden * hidden)
@@ -130,6 +126,12 @@ def laid_out(documents: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray
     return line, at, begins
 
 
+def targets(at: np.ndarray, begins: np.ndarray, part: int, parts: int) -> np.ndarray:
+    """Those of ``at`` whose place in their document is ``part`` modulo ``parts``."""
+    sizes = np.diff(begins, append=len(at))
+    return at[(np.arange(len(at)) - np.repeat(begins, sizes)) % parts == part]
+
+
 def words_of(text: str | None) -> list[str]:
     return (text or "").lower().split()
 
@@ -182,15 +184,15 @@ def encoded(df: DataFrame, vocabulary: dict[str, int], *, key: str = "doc_id", t
     return df.select(df[key].alias("key"), df[text].alias("text")).mapInArrow(run, f"key {kind}, tokens binary")
 
 
-def _averaged(documents: DataFrame, start: Network) -> Network:
-    """One round: every task trains from ``start`` on its documents; the weighted mean of what the tasks have."""
+def _averaged(documents: DataFrame, start: Network, part: int, parts: int) -> Network:
+    """One round: every task trains from ``start`` on ``targets`` of its documents; the weighted mean of what the tasks have."""
     weights = documents.sparkSession.sparkContext.broadcast(start.flat())  # as large as the network
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         network, seen = Network.of(weights.value), 0
         for batch in batches:
-            line, at, _ = laid_out([x.as_py() for x in batch.column(0)])
-            own = at[::TRAIN_EVERY]
+            line, at, begins = laid_out([x.as_py() for x in batch.column(0)])
+            own = targets(at, begins, part, parts)
             seen += len(own)
             network.train(line, own)
         if seen:
@@ -218,8 +220,8 @@ def fit(documents: DataFrame, *, rounds: int = ROUNDS) -> Network:
     for r in counts:
         frequencies[r["id"]] = r["n"]
     network = Network.fresh(frequencies)
-    for _ in range(rounds):
-        network = _averaged(documents, network)
+    for k in range(rounds):
+        network = _averaged(documents, network, k, rounds)
     return network
 
 

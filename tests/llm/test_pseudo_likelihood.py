@@ -71,3 +71,11 @@ def test_odd_texts_and_no_rows(spark):
     assert [(r["doc_id"], r["n_tokens"]) for r in rows] == [(1, 0), (2, 0), (3, 50_000), (3, 50_000), (4, 1)]
     assert rows[0]["pseudo_log_likelihood"] == 0 and rows[2] == rows[3]
     assert pl.score_documents(df.where("doc_id > 9")).count() == 0
+
+
+def test_every_position_is_a_target_once():
+    _, at, begins = pl.laid_out([bytes([1]), b"", bytes(range(1, 8)), bytes([3, 4])])
+    for parts in (1, 2, 6):
+        taken = np.concatenate([pl.targets(at, begins, k, parts) for k in range(parts)])
+        assert sorted(taken) == list(at)
+    assert set(at[begins[[0, 2, 3]]]) <= set(pl.targets(at, begins, 0, 2))
