@@ -4,9 +4,11 @@ The network sees ``WINDOW`` tokens on either side of a position, never the token
 the vocabulary for the masked position.  A document's score is the sum of the log-probabilities of all its tokens, each
 given its own neighbours.
 
-Tokens are lower-cased words.  The vocabulary is gathered from the corpus: words are counted over all rows, the most
-frequent ones get an id each, and all other words share ``TAIL`` ids by their hash.  Every document becomes one byte a
-token, written once; training and scoring read those bytes only.
+Tokens are lower-cased words.  The vocabulary is gathered from the corpus and is all of its words: they are counted over
+all rows, the most frequent ones get a class each, and all others are dealt to ``TAIL`` classes by their hash.  The
+probability of a word is that of its class, which the network gives from the neighbours, times the word's share of its
+class's occurrences in the corpus; these sum to one over all words.  Every document becomes one byte a token (the class)
+and eight bytes for a word without a class of its own, written once; training and scoring read those only.
 
 Training is data-parallel in numpy: in each round every task starts from the same weights, runs over its own documents
 (of every document the positions k with k mod rounds = round, so that all are targets once) and gives back its weights as (index, value) rows; Spark
@@ -25,6 +27,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -42,6 +45,10 @@ BATCH = 256
 STRETCH = 1 << 14
 #: Distinct words that a task counts before it passes the counts on.
 COUNTED = 200_000
+#: Words (with two occurrences or more, and no class of their own) up to which counts are broadcast; more are joined.
+BROADCAST_WORDS = 1_000_000
+#: Spark's seed of xxhash64.
+SEED = 42
 
 
 @dataclass
@@ -172,16 +179,52 @@ class Coder(dict):
 
 
 def encoded(df: DataFrame, vocabulary: dict[str, int], *, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``key`` and tokens (one byte each) of every row."""
+    """``key``, tokens (one byte each) and rare (hashes of the words without a class of their own) of every row."""
     kind = df.schema[key].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids = Coder(vocabulary)
+        ids, hashed = Coder(vocabulary), xxhash.xxh64_intdigest
         for batch in batches:
-            tokens = [bytes([ids[w] for w in words_of(x.as_py())]) for x in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(tokens, pa.binary())], ["key", "tokens"])
+            tokens, rare = [], []
+            for x in batch.column(1):
+                words = words_of(x.as_py())
+                tokens.append(bytes([ids[w] for w in words]))
+                rare.append(np.array([hashed(w, SEED) for w in words if w not in vocabulary], dtype=np.uint64).tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(tokens, pa.binary()), pa.array(rare, pa.binary())], ["key", "tokens", "rare"])
 
-    return df.select(df[key].alias("key"), df[text].alias("text")).mapInArrow(run, f"key {kind}, tokens binary")
+    return df.select(df[key].alias("key"), df[text].alias("text")).mapInArrow(run, f"key {kind}, tokens binary, rare binary")
+
+
+@dataclass
+class Shares:
+    """What makes words of classes: ``within``, the logarithm of each class's occurrences where it has several words, and
+    ``words``, hash and logarithm of the count of every word in these that occurs more than once."""
+
+    within: np.ndarray
+    words: DataFrame
+
+
+def shares_of(counts: DataFrame, vocabulary: dict[str, int]) -> Shares:
+    named = counts.sparkSession.createDataFrame([(w,) for w in vocabulary], "word string")
+    rare = counts.join(F.broadcast(named), "word", "left_anti").select("n", F.xxhash64("word").alias("hash"), (F.crc32(F.col("word").cast("binary")) % TAIL).alias("at"))
+    within = np.zeros(VOCABULARY)
+    for r in rare.groupBy("at").agg(F.sum("n").alias("n")).collect():
+        within[VOCABULARY - TAIL + r["at"]] = np.log(r["n"])
+    return Shares(within, stored(rare.where("n > 1").groupBy("hash").agg(F.log(F.sum("n").cast("double")).alias("log_n"))))
+
+
+def _joined_counts(documents: DataFrame, words: DataFrame) -> DataFrame:
+    """row and the sum of log counts over its rare words, by a join."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row, x in zip(batch.column(0).to_pylist(), batch.column(1)):
+                hashes, times = np.unique(np.frombuffer(x.as_py(), np.int64), return_counts=True)
+                if len(hashes):
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(hashes), row)), pa.array(hashes), pa.array(times)], ["row", "hash", "times"])
+
+    found = documents.select("row", "rare").mapInArrow(run, "row bigint, hash bigint, times bigint").join(words, "hash")
+    return found.groupBy("row").agg(F.sum(F.col("times") * F.col("log_n")).alias("more"))
 
 
 def _averaged(documents: DataFrame, start: Network, part: int, parts: int) -> Network:
@@ -225,29 +268,50 @@ def fit(documents: DataFrame, *, rounds: int = ROUNDS) -> Network:
     return network
 
 
-def scores(documents: DataFrame, network: Network, *, key: str = "doc_id") -> DataFrame:
-    """``key``, n_tokens, pseudo_log_likelihood (the sum) and per_token (mean; null without tokens) of encoded documents."""
-    ship_package(documents.sparkSession)
-    weights = documents.sparkSession.sparkContext.broadcast(network.flat())
+def scores(documents: DataFrame, network: Network, *, key: str = "doc_id", shares: Shares | None = None) -> DataFrame:
+    """``key``, n_tokens, pseudo_log_likelihood (the sum) and per_token (mean; null without tokens) of encoded documents.
+
+    With ``shares`` of words, else of classes.  ``documents`` then has a column row that tells its rows apart.
+    """
+    spark = documents.sparkSession
+    ship_package(spark)
+    weights = spark.sparkContext.broadcast(network.flat())
     kind = documents.schema["key"].dataType.simpleString()
+    within = np.zeros(VOCABULARY) if shares is None else shares.within
+    joined = shares is not None and shares.words.count() > BROADCAST_WORDS
+    table = None
+    if shares is not None and not joined:
+        sorted_words = shares.words.toArrow().sort_by("hash")
+        table = spark.sparkContext.broadcast((sorted_words["hash"].to_numpy(), sorted_words["log_n"].to_numpy().astype(np.float32)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         network = Network.of(weights.value)
         for batch in batches:
-            tokens = [x.as_py() for x in batch.column(1)]
+            tokens = [x.as_py() for x in batch.column(2)]
             line, at, begins = laid_out(tokens)
-            before = np.concatenate([[0.0], np.cumsum(network.score(line, at))])
+            before = np.concatenate([[0.0], np.cumsum(network.score(line, at) - within[line[at]])])
             sizes = np.array([len(t) for t in tokens], np.int64)
             totals = before[begins + sizes] - before[begins]
-            means = [t / n if n else None for t, n in zip(totals, sizes)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes), pa.array(totals), pa.array(means, pa.float64())], ["key", "n", "total", "mean"])
-
-    found = documents.select("key", "tokens").mapInArrow(run, f"key {kind}, n bigint, total double, mean double")
-    return found.select(F.col("key").alias(key), F.col("n").alias("n_tokens"), F.round("total", 3).alias("pseudo_log_likelihood"), F.round("mean", 4).alias("per_token"))
+            if table is not None and len(table.value[0]):
+                hashes, logs = table.value
+                for k, x in enumerate(batch.column(3)):
+                    own = np.frombuffer(x.as_py(), np.int64)
+                    place = np.minimum(np.searchsorted(hashes, own), len(hashes) - 1)
+                    totals[k] += logs[place[hashes[place] == own]].sum(dtype=np.float64)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(sizes), pa.array(totals)], ["row", "key", "n", "total"])
+
+    row = F.col("row") if shares is not None else F.lit(0).cast("bigint").alias("row")
+    rare = F.col("rare") if table is not None else F.lit(b"").alias("rare")
+    found = documents.select(row, "key", "tokens", rare).select("row", "key", "tokens", "rare").mapInArrow(run, f"row bigint, key {kind}, n bigint, total double")
+    if joined:
+        found = found.join(_joined_counts(documents, shares.words), "row", "left").withColumn("total", F.col("total") + F.coalesce("more", F.lit(0.0)))
+    mean = F.when(F.col("n") > 0, F.col("total") / F.col("n"))
+    return found.select(F.col("key").alias(key), F.col("n").alias("n_tokens"), F.round("total", 3).alias("pseudo_log_likelihood"), F.round(mean, 4).alias("per_token"))
 
 
 def score_documents(df: DataFrame, *, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Vocabulary, network and scores, all from ``df``."""
-    vocabulary = vocabulary_of(word_counts(df, text=text))
-    documents = stored(encoded(df, vocabulary, key=key, text=text))
-    return scores(documents, fit(documents), key=key)
+    counts = stored(word_counts(df, text=text))
+    vocabulary = vocabulary_of(counts)
+    documents = stored(encoded(df, vocabulary, key=key, text=text).withColumn("row", F.monotonically_increasing_id()))
+    return scores(documents, fit(documents), key=key, shares=shares_of(counts, vocabulary))

@@ -2,8 +2,11 @@
 
 import math
 import random
+from collections import Counter
 
 import numpy as np
+import pytest
+from pyspark.sql import functions as F
 
 from strandline.llm import pseudo_likelihood as pl
 
@@ -79,3 +82,30 @@ def test_every_position_is_a_target_once():
         taken = np.concatenate([pl.targets(at, begins, k, parts) for k in range(parts)])
         assert sorted(taken) == list(at)
     assert set(at[begins[[0, 2, 3]]]) <= set(pl.targets(at, begins, 0, 2))
+
+
+@pytest.mark.parametrize("broadcast", [pl.BROADCAST_WORDS, 0])
+def test_words_of_one_class_are_told_apart(spark, monkeypatch, broadcast):
+    monkeypatch.setattr(pl, "BROADCAST_WORDS", broadcast)
+    frequent = " ".join(f"f{k}" for k in range(pl.VOCABULARY - pl.TAIL - 1))
+    rnd = random.Random(6)
+    rare = [f"r{k}" for k in range(900)]
+    texts = [f"{frequent} {frequent}"] * 9 + [" ".join(rnd.choice(rare[: 90 * k + 1]) for _ in range(40)) for k in range(11)] + [None, "", "r0", "r899"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(3)
+    counts = Counter(w for t in texts for w in pl.words_of(t))
+    table = pl.word_counts(df)
+    vocabulary = pl.vocabulary_of(table)
+    ids, totals = pl.Coder(vocabulary), Counter()
+    for w, n in counts.items():
+        totals[ids[w]] += n
+    documents = pl.stored(pl.encoded(df, vocabulary).withColumn("row", F.monotonically_increasing_id()))
+    net = some_network()
+    shares = pl.shares_of(table, vocabulary)
+    by_class = {r["doc_id"]: r["pseudo_log_likelihood"] for r in pl.scores(documents, net).collect()}
+    got = pl.scores(documents, net, shares=shares).collect()
+    assert len(got) == len(texts)
+    for r in got:
+        more = sum(math.log(counts[w] / totals[ids[w]]) for w in pl.words_of(texts[r["doc_id"]]))
+        assert abs(r["pseudo_log_likelihood"] - by_class[r["doc_id"]] - more) < 0.01
+    by_word = {w: math.log(counts[w] / totals[ids[w]]) for w in counts}
+    assert abs(sum(math.exp(x) for w, x in by_word.items() if ids[w] >= pl.VOCABULARY - pl.TAIL) - len({ids[w] for w in counts if ids[w] >= pl.VOCABULARY - pl.TAIL})) < 1e-6
