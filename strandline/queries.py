@@ -98,8 +98,17 @@ def control_counts(spark, sf_dir):
     FROM snv LEFT JOIN c USING (pid, chrom, pos)"""
 )
 def compare_control(spark, sf_dir):
-    counts = control.control_counts(_control_reads(spark, sf_dir).where("pos % 3 <> 0"))
-    out = control.compare_control(fixtures.snv(spark, sf_dir), counts)
+    return _compared(spark, sf_dir, _control_reads(spark, sf_dir).where("pos % 3 <> 0"))
+
+
+@query()
+def compare_control_all(spark, sf_dir):
+    """With every control read."""
+    return _compared(spark, sf_dir, _control_reads(spark, sf_dir))
+
+
+def _compared(spark: SparkSession, sf_dir: str, control_reads: DataFrame) -> DataFrame:
+    out = control.compare_control(fixtures.snv(spark, sf_dir), control.control_counts(control_reads))
     return out.select("pid", "chrom", "pos", "dp", F.array_join(F.col("dp5").cast("array<string>"), ",").alias("dp5"), "tsr", "vaf_control", "annotation_control")
 
 
@@ -108,7 +117,17 @@ def compare_control(spark, sf_dir):
         FROM (SELECT *, unnest(generate_series(0, crf)) AS i FROM snv WHERE ok % 10 = 0)"""
 )
 def explode_pileup(spark, sf_dir):
-    rows = fixtures.snv(spark, sf_dir).where("ok % 10 = 0").selectExpr("pid", "chrom", "pos", "ref", "sequence(0L, crf) AS i")
+    return _exploded(fixtures.snv(spark, sf_dir).where("ok % 10 = 0"))
+
+
+@query()
+def explode_pileup_all(spark, sf_dir):
+    """Of every variant."""
+    return _exploded(fixtures.snv(spark, sf_dir))
+
+
+def _exploded(snv: DataFrame) -> DataFrame:
+    rows = snv.selectExpr("pid", "chrom", "pos", "ref", "sequence(0L, crf) AS i")
     # forward reads as '.', reverse ones as ',', with read starts, ends and indels around them
     bases = F.expr("array_join(transform(i, x -> concat(IF(x % 5 = 0, '^~', ''), IF(x % 2 = 0, '.', ','), IF(x % 3 = 0, '+12ACGTACGTACGT', ''), IF(x % 7 = 0, '$', ''))), '')")
     quals = F.expr("array_join(transform(i, x -> char((x * 7 + pos) % 40 + 33)), '')")
