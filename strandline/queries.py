@@ -938,6 +938,14 @@ def union_variants(spark, sf_dir):
     return joins.union_variants([snv.where("chrom = '1'"), snv.where("chrom = '2'").drop("qual"), snv.where("chrom = 'X'")])
 
 
+@query()
+def union_all_chromosomes(spark, sf_dir):
+    """A frame for each of the 24 chromosomes; those of 2 and Y have no qual."""
+    snv = stored(fixtures.snv(spark, sf_dir).select("pid", "chrom", "pos", "qual"))
+    frames = {c: snv.where(F.col("chrom") == c) for c in [*map(str, range(1, 23)), "X", "Y"]}
+    return joins.union_variants([f.drop("qual") if c in ("2", "Y") else f for c, f in frames.items()])
+
+
 STANDARD = """standard AS (SELECT pid, chrom || chr(9) || pos || chr(9) || '.' || chr(9) || ref || chr(9) || alt || chr(9) || qual || chr(9) || filter || chr(9) ||
   array_to_string(list_sort(list_filter(['DP=' || (trf + trr + tvf + tvr), 'SOMATIC', 'DP_ctrl=' || (crf + crr), CASE WHEN repeat_masker <> '.' THEN 'REPEAT=' || repeat_masker END], lambda x: x IS NOT NULL)), ';') AS line FROM ann)"""
 

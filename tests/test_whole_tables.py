@@ -20,3 +20,10 @@ def test_compare_control_reads_every_position(spark):
     got = __spark_entry__.queries()["compare_control_all"](spark, SF_DIR).collect()
     assert len(got) == fixtures.snv(spark, SF_DIR).count()
     assert all(r["dp"] == depth[r["pid"], r["chrom"], r["pos"]] for r in got)
+
+
+def test_union_of_every_chromosome(spark):
+    rows = fixtures.snv(spark, SF_DIR).select("pid", "chrom", "pos", "qual").collect()
+    want = Counter((r["pid"], r["chrom"], r["pos"], None if r["chrom"] in ("2", "Y") else r["qual"]) for r in rows)
+    got = __spark_entry__.queries()["union_all_chromosomes"](spark, SF_DIR).select("pid", "chrom", "pos", "qual").collect()
+    assert Counter(map(tuple, got)) == want and len({r["chrom"] for r in got}) == 24
