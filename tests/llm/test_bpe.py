@@ -4,6 +4,7 @@ import hashlib
 import random
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 
@@ -36,6 +37,22 @@ def test_random_texts(coder, library):
         assert coder.encode(text) == library.encode_ordinary(text)
 
 
+def test_many_texts_at_once(coder, library):
+    rnd = random.Random(4)
+    texts = ["".join(rnd.choice(["word", "Words", "x", " ", " ", " ", ".", ",\n", "'s", "12", "é", "z" * 60, "!?"]) for _ in range(rnd.randint(0, 40))) for _ in range(500)]
+    ids, edges = coder.encode_all(pa.array([*texts, None], pa.string()))
+    assert [ids[a:b].tolist() for a, b in zip(edges, edges[1:])] == [library.encode_ordinary(t) for t in [*texts, ""]]
+
+
+def test_digests_in_parts(coder, library, monkeypatch):
+    monkeypatch.setattr(bpe, "IDS_AT_ONCE", 7)
+    texts = ["", "some words, and more of them", "", "x", "another text that has more than a few ids in it", ""]
+    found = coder.encode_all(pa.array(texts))
+    ids = [library.encode_ordinary(t) for t in texts]
+    assert coder.digests(*found) == [hashlib.sha256(" ".join(map(str, x)).encode()).hexdigest() for x in ids]
+    assert coder.decoded_digests(*found) == [hashlib.sha256(t.encode()).hexdigest() for t in texts]
+
+
 def test_word_by_word_equals_by_pieces(ranks, coder):
     plain = bpe.TextCoder(ranks, public_tokenizers.PATTERN)
     for text in filter(None, TEXTS):
