@@ -46,8 +46,7 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole documents as flat token files (id 50256 ends a document), and the counts that a scan of them finds."""
     documents = table(spark, sf_dir, "documents")
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    packed = token_files.pack_documents(documents, path, public_tokenizers.PATTERN, end=50256, space_led=True)
-    return token_files.count_documents(packed, end=50256)
+    return token_files.count_documents(documents, path, public_tokenizers.PATTERN, end=50256, space_led=True)
 
 
 def op9_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,149 +1,139 @@
 """Token counts of documents in flat, unindexed token files.
 
-A file is a line of token ids of fixed width; documents follow one another, each closed by an end-of-document id.  Files
-are read in blocks that know nothing of document borders.  Each block is searched for separators at once (numpy over the
-whole block) and gives its number of tokens and the separators' places.  Running sums and maxima over a file's blocks (one
-row a block) then tell where each block begins, how many documents are closed before it, and where the last separator
-before it stands; so counts of documents that span blocks are stitched together without reading tokens again.
-
-Rows: a document without tokens counts 0; tokens behind a file's last separator are a last document that is not closed;
-an empty file or table gives no rows; extra columns of blocks are not looked at.
+A file is a line of token ids of fixed width; documents follow one another, each closed by an end-of-document id.  A
+file of any size is cut in byte ranges, which tasks read on their own and which know nothing of document borders.  Each
+block is searched for separators at once (numpy over the whole block) and gives its number of tokens and the
+separators' places.  Running sums and maxima over a file's blocks (one short row a block) then tell where each block
+begins, how many documents are closed before it, and where the last separator before it stands; so counts of documents
+that span blocks are stitched together without reading tokens again.
+
+`write_token_files` makes such files from texts, each task one of its own in the shared folder, and says which key each
+document in a file has.  A task that is run again writes a file of a new name; the manifest, which Spark commits, names
+only those of tasks that ended well, so that what a lost executor left behind is never counted.
+
+Rows: a null or empty text is a document without tokens and counts 0; a document of any length may span any number of
+blocks; repeated rows are documents each; null and repeated keys are carried along (ties: nothing is ordered by key);
+tokens behind a file's last separator are a last document that is not closed; an empty file or table gives no rows; a file
+whose size is no multiple of the width is an error; extra columns, also of the names used here, are not looked at.
 """
 
 from __future__ import annotations
 
+import re
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
+import pyarrow.fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from strandline.llm._tables import ship_package, stored
-from strandline.llm.bpe import read_vocabulary, worker_coder
+from strandline.llm._tables import shared_dir, ship_package, stored
+from strandline.llm.bpe import read_vocabulary, slices, worker_coder
 
 #: Tokens in a block.
 BLOCK_TOKENS = 1 << 18
+#: Bytes that a task reads, on average.
+TASK_BYTES = 16 << 20
 WIDTHS = {2: np.dtype("<u2"), 4: np.dtype("<u4")}
 
 
-def read_token_files(spark: SparkSession, path: str, *, width: int = 2, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
-    """Blocks (file, block, tokens) of the flat files at ``path`` (each below 2 GB), whatever store they are in."""
-    ship_package(spark)
-    size = block_tokens * width
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for name, content in zip(batch.column(0), batch.column(1)):
-                data = memoryview(content.as_buffer())
-                for k, start in enumerate(range(0, len(data), size)):
-                    block = [[name.as_py()], [k], [bytes(data[start : start + size])]]
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(block, (pa.string(), pa.int64(), pa.binary()))], ["file", "block", "tokens"])
+def opened(uri: str) -> tuple[pa.fs.FileSystem, str]:
+    """The store and the path in it of a URI as Spark writes it (local or mounted, HDFS, S3, GCS)."""
+    uri = re.sub("^s3[an]:", "s3:", re.sub("^file:/+", "/", uri))
+    return pa.fs.FileSystem.from_uri(uri)
 
-    return spark.read.format("binaryFile").load(path).select("path", "content").mapInArrow(run, "file string, block bigint, tokens binary")
 
-
-def pack_documents(
-    df: DataFrame, path: str, pattern: str, *, end: int, space_led: bool = False, key: str = "doc_id", text: str = "text", width: int = 2, block_tokens: int = BLOCK_TOKENS
+def write_token_files(
+    df: DataFrame, folder: str, path: str, pattern: str, *, end: int, space_led: bool = False, key: str = "doc_id", text: str = "text", width: int = 2
 ) -> DataFrame:
-    """Blocks (file, block, tokens, opened) of flat files, a file for each task, with the ids of the texts of ``df``.
+    """Lazily writes the ids of the texts of ``df``, each text closed by ``end``, as flat files in ``folder``.
 
-    ``opened`` has the keys of the documents that begin in a block, in order: a manifest for naming counts, of which
-    the scan knows nothing.
+    Gives the manifest, a row for each document: file (its name in the folder), number (in the file, from 0) and key.
     """
-    kind = df.schema[key].dataType
+    kind = df.schema[key].dataType.simpleString()
     vocabulary = read_vocabulary(df, path)
     dtype = WIDTHS[width]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = worker_coder(vocabulary, pattern, space_led)
-        file = f"part-{TaskContext.get().partitionId():06d}"
-        waiting: list[np.ndarray] = []
-        size, number, opened = 0, 0, [[]]  # opened: of the block being filled and those behind it
-
-        def block(tokens: np.ndarray) -> pa.RecordBatch:
-            nonlocal number
-            row = [pa.array([file]), pa.array([number], pa.int64()), pa.array([tokens.tobytes()], pa.binary()), pa.ListArray.from_arrays(pa.array([0, len(opened[0])], pa.int32()), pa.array(opened.pop(0), key_type))]
-            number += 1
-            return pa.RecordBatch.from_arrays(row, ["file", "block", "tokens", "opened"])
-
-        key_type = None
+        store, place = opened(folder)
+        store.create_dir(place, recursive=True)
+        name, number, out = f"{uuid.uuid4().hex}.bin", 0, None
         for batch in batches:
-            key_type = batch.column(0).type
-            for name, x in zip(batch.column(0), batch.column(1)):
-                while len(opened) <= size // block_tokens:
-                    opened.append([])
-                opened[size // block_tokens].append(name.as_py())
-                ids = coder.encode(x.as_py() or "")
-                ids.append(end)
-                waiting.append(np.array(ids, dtype))
-                size += len(ids)
-                if size >= block_tokens:
-                    line = np.concatenate(waiting)
-                    while len(line) >= block_tokens:
-                        yield block(line[:block_tokens])
-                        line = line[block_tokens:]
-                        if not opened:
-                            opened.append([])
-                    waiting, size = [line], len(line)
-        if size:
-            yield block(np.concatenate(waiting))
-
-    schema = f"file string, block bigint, tokens binary, opened array<{kind.simpleString()}>"
-    return df.select(df[key].alias("key"), df[text].alias("text")).mapInArrow(run, schema)
-
-
-def scanned_blocks(blocks: DataFrame, *, end: int, width: int = 2) -> DataFrame:
-    """file, block, n (tokens) and ends (places of separators inside the block)."""
-    ship_package(blocks.sparkSession)
-    dtype = WIDTHS[width]
+            for begin, stop in slices(batch.column(1)):
+                ids, edges = coder.encode_all(batch.column(1).slice(begin, stop - begin))
+                n = stop - begin
+                line = np.full(len(ids) + n, end, dtype)
+                line[np.arange(len(ids)) + np.repeat(np.arange(n), np.diff(edges))] = ids
+                out = out or store.open_output_stream(f"{place}/{name}")
+                out.write(line.tobytes())
+                numbers = pa.array(np.arange(number, number + n))
+                yield pa.RecordBatch.from_arrays([pa.array([name] * n), numbers, batch.column(0).slice(begin, n)], ["file", "number", "key"])
+                number += n
+            pa.default_memory_pool().release_unused()  # the worker lives on
+        if out:
+            out.close()
+
+    return df.select(df[key].alias("key"), df[text].alias("text")).mapInArrow(run, f"file string, number bigint, key {kind}")
+
+
+def scanned_files(spark: SparkSession, path: str, *, end: int, width: int = 2, block_tokens: int = BLOCK_TOKENS, task_bytes: int = TASK_BYTES) -> DataFrame:
+    """file, block, n (tokens) and ends (places of separators inside the block) of the flat files at ``path``.
+
+    Spark lists the files and their sizes; tasks read byte ranges.
+    """
+    ship_package(spark)
+    dtype, size = WIDTHS[width], block_tokens * width
+    files = spark.read.format("binaryFile").load(path).select("path", "length")  # does not read contents
+    total = files.agg(F.sum("length").alias("n")).first()["n"] or 0
+    starts = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("length") - 1, F.lit(size).cast("bigint")))
+    ranges = files.where("length > 0").select("path", "length", starts.alias("start"))
+    ranges = ranges.repartition(max(spark.sparkContext.defaultParallelism, -(-total // task_bytes)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, offsets, ends = [], [0], []
-            for x in batch.column(2):
-                tokens = np.frombuffer(x.as_buffer(), dtype)
-                found = np.flatnonzero(tokens == end)
-                sizes.append(len(tokens))
-                ends.append(found)
-                offsets.append(offsets[-1] + len(found))
-            flat = np.concatenate(ends) if ends else np.zeros(0, np.int64)
-            lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat, pa.int64()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), lists], ["file", "block", "n", "ends"])
-
-    return blocks.select(F.col("file").cast("string").alias("file"), F.col("block").cast("bigint").alias("block"), F.col("tokens")).mapInArrow(
-        run, "file string, block bigint, n bigint, ends array<bigint>"
-    )
-
-
-def document_lengths(blocks: DataFrame, *, end: int, width: int = 2) -> DataFrame:
-    """file, number (of the document in its file, from 0), n_tokens and closed of every document in ``blocks``."""
-    scanned = stored(scanned_blocks(blocks, end=end, width=width))
+            for file, length, start in zip(*(c.to_pylist() for c in batch.columns)):
+                if length % width:
+                    raise ValueError(f"{file} has {length} bytes, which is no multiple of {width}")
+                store, place = opened(file)
+                with store.open_input_file(place) as f:
+                    tokens = np.frombuffer(f.read_at(min(size, length - start), start), dtype)
+                ends = pa.array([np.flatnonzero(tokens == end)], pa.list_(pa.int64()))
+                yield pa.RecordBatch.from_arrays([pa.array([file]), pa.array([start // size]), pa.array([len(tokens)]), ends], ["file", "block", "n", "ends"])
+
+    return ranges.mapInArrow(run, "file string, block bigint, n bigint, ends array<bigint>")
+
+
+def document_lengths(scanned: DataFrame) -> DataFrame:
+    """file, number (of the document in its file, from 0), n_tokens and closed of every document in scanned blocks."""
+    scanned = stored(scanned)
     before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    placed = scanned.withColumn("start", F.coalesce(F.sum("n").over(before), F.lit(0)))
-    last = F.col("start") + F.element_at("ends", -1)
-    placed = placed.withColumn("last", F.when(F.size("ends") > 0, last))
-    placed = placed.withColumn("closed_before", F.coalesce(F.sum(F.size("ends")).over(before), F.lit(0))).withColumn("end_before", F.coalesce(F.max("last").over(before), F.lit(-1)))
+    short = scanned.select("file", "block", "n", F.size("ends").cast("bigint").alias("n_ends"), F.try_element_at("ends", F.lit(-1)).alias("last_end"))
+    placed = short.withColumn("start", F.coalesce(F.sum("n").over(before), F.lit(0)))
+    placed = placed.withColumn("last", F.col("start") + F.col("last_end"))
+    placed = placed.withColumns({"closed_before": F.coalesce(F.sum("n_ends").over(before), F.lit(0)), "end_before": F.coalesce(F.max("last").over(before), F.lit(-1))})
+    placed = stored(placed)
+    each = scanned.where(F.size("ends") > 0).select("file", "block", "ends").join(placed.select("file", "block", "start", "closed_before", "end_before"), ["file", "block"])
     # each separator with the one before it; in front of a block's first stands the last of the blocks before
-    borders = F.zip_with(
-        F.transform("ends", lambda e: e + F.col("start")),
-        F.concat(F.array(F.col("end_before")), F.transform("ends", lambda e: e + F.col("start"))),
-        lambda e, p: F.when(e.isNotNull(), e - p - 1),
-    )
-    counted = placed.where(F.size("ends") > 0).select("file", "closed_before", F.posexplode(borders).alias("k", "n_tokens")).where("n_tokens IS NOT NULL")
+    ends = F.transform("ends", lambda e: e + F.col("start"))
+    borders = F.zip_with(ends, F.concat(F.array("end_before"), ends), lambda e, p: F.when(e.isNotNull(), e - p - 1))
+    counted = each.select("file", "closed_before", F.posexplode(borders).alias("k", "n_tokens")).where("n_tokens IS NOT NULL")
     closed = counted.select("file", (F.col("closed_before") + F.col("k")).alias("number"), "n_tokens", F.lit(True).alias("closed"))
-    rest = placed.groupBy("file").agg(F.sum("n").alias("n"), F.max("last").alias("last"), F.sum(F.size("ends")).cast("bigint").alias("number"))
+    rest = placed.groupBy("file").agg(F.sum("n").alias("n"), F.max("last").alias("last"), F.sum("n_ends").alias("number"))
     rest = rest.withColumn("n_tokens", F.col("n") - F.coalesce("last", F.lit(-1)) - 1).where("n_tokens > 0")
     return closed.unionByName(rest.select("file", "number", "n_tokens", F.lit(False).alias("closed")))
 
 
-def count_documents(packed: DataFrame, *, end: int, key: str = "doc_id", width: int = 2) -> DataFrame:
-    """``key`` and n_tokens of every document of `pack_documents`, by scanning its blocks."""
-    packed = stored(packed)
-    lengths = document_lengths(packed, end=end, width=width)
-    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    opened = packed.select("file", "block", "opened").withColumn("first", F.coalesce(F.sum(F.size("opened")).over(before), F.lit(0)))
-    named = opened.select("file", "first", F.posexplode("opened").alias("k", key)).select("file", (F.col("first") + F.col("k")).alias("number"), key)
-    return named.join(lengths, ["file", "number"]).select(key, "n_tokens")
+def count_documents(df: DataFrame, path: str, pattern: str, *, end: int, space_led: bool = False, key: str = "doc_id", text: str = "text", width: int = 2, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
+    """``key`` and n_tokens of every row of ``df``: written to flat files, and counted by scanning these."""
+    spark = df.sparkSession
+    folder = f"{shared_dir(spark)}/tokens-{uuid.uuid4().hex}"
+    manifest = stored(write_token_files(df, folder, path, pattern, end=end, space_led=space_led, key=key, text=text, width=width))
+    if manifest.isEmpty():
+        return manifest.select(F.col("key").alias(key), F.lit(0).cast("bigint").alias("n_tokens"))
+    lengths = document_lengths(scanned_files(spark, folder, end=end, width=width, block_tokens=block_tokens))
+    lengths = lengths.select(F.element_at(F.split("file", "/"), -1).alias("file"), "number", "n_tokens")
+    return manifest.join(lengths, ["file", "number"]).select(F.col("key").alias(key), "n_tokens")

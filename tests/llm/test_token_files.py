@@ -5,6 +5,7 @@ import random
 import numpy as np
 import public_tokenizers
 import pytest
+import tiktoken
 
 from strandline.llm import bpe, token_files
 
@@ -12,6 +13,12 @@ PATH = public_tokenizers.path("byte_bpe_50k.tiktoken")
 END = 50256
 
 
+@pytest.fixture(scope="module")
+def library():
+    with open(PATH, "rb") as f:
+        return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe.parse_ranks(f.read()), special_tokens={})
+
+
 @pytest.mark.parametrize(("block", "width"), [(1, 2), (3, 4), (8, 2), (1000, 4)])
 def test_flat_files(spark, tmp_path, block, width):
     rnd = random.Random(block)
@@ -27,22 +34,29 @@ def test_flat_files(spark, tmp_path, block, width):
             tokens += [1] * 5
             want.add((f, last, 5, False))
         np.array(tokens, token_files.WIDTHS[width]).tofile(tmp_path / f"{f}.bin")
-    blocks = token_files.read_token_files(spark, str(tmp_path), width=width, block_tokens=block)
-    got = token_files.document_lengths(blocks, end=9, width=width).collect()
+    (tmp_path / "empty.bin").touch()
+    scanned = token_files.scanned_files(spark, str(tmp_path), end=9, width=width, block_tokens=block, task_bytes=40)
+    got = token_files.document_lengths(scanned).collect()
     assert {(int(r["file"][-5]), r["number"], r["n_tokens"], r["closed"]) for r in got} == want and len(got) == len(want)
 
 
-@pytest.mark.parametrize("block", [1, 7, 1 << 18])
-def test_documents(spark, block):
-    texts = [None, "", "one", "some words " * 300, "", "x", None, "漢字 🙂", "some words " * 300]
-    df = spark.createDataFrame([(k, t, 1) for k, t in enumerate(texts)], "doc_id bigint, text string, n_tokens int").repartition(3)
-    packed = token_files.pack_documents(df, PATH, public_tokenizers.PATTERN, end=END, space_led=True, block_tokens=block)
-    got = sorted(tuple(r) for r in token_files.count_documents(packed, end=END).collect())
-    want = bpe.encode_documents(df.drop("n_tokens"), PATH, public_tokenizers.PATTERN, keep=["doc_id"], with_ids=False).select("doc_id", "n_tokens")
-    assert got == sorted(tuple(r) for r in want.collect())
+def test_a_size_that_is_no_multiple_of_the_width(spark, tmp_path):
+    (tmp_path / "odd.bin").write_bytes(b"abc")
+    with pytest.raises(Exception, match="no multiple of 2"):
+        token_files.scanned_files(spark, str(tmp_path), end=9).collect()
+
+
+@pytest.mark.parametrize("block", [3, 700, 1 << 18])
+def test_documents_against_the_library(spark, library, block):
+    texts = [None, "", "one", "some words " * 300, "", "x", None, "漢字 🙂", "some words " * 300, "very long text, " * 20_000]
+    keys = [0, 1, 1, None, 4, None, 6, 7, 8, 9]  # null and repeated ones
+    df = spark.createDataFrame([(k, t, 1, "a", 2) for k, t in zip(keys, texts)], "doc_id bigint, text string, n_tokens int, file string, number int").repartition(3)
+    found = token_files.count_documents(df, PATH, public_tokenizers.PATTERN, end=END, space_led=True, block_tokens=block)
+    assert found.columns == ["doc_id", "n_tokens"]
+    got = sorted((str(r["doc_id"]), r["n_tokens"]) for r in found.collect())
+    assert got == sorted((str(k), len(library.encode_ordinary(t or ""))) for k, t in zip(keys, texts))
 
 
 def test_no_rows(spark):
     df = spark.createDataFrame([], "doc_id bigint, text string")
-    packed = token_files.pack_documents(df, PATH, public_tokenizers.PATTERN, end=END)
-    assert token_files.count_documents(packed, end=END).count() == 0
+    assert token_files.count_documents(df, PATH, public_tokenizers.PATTERN, end=END).count() == 0
