@@ -6,6 +6,8 @@ join them by ``&``, and INFO-like cells are ``key=value`` parts (or bare flags)
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -100,22 +102,51 @@ def genomic_region(function: Column) -> Column:
     )
 
 
-def binom_cdf_half(k: Column, n: Column) -> Column:
-    """P(X <= k) for n fair coins.
+#: Up to so many terms, a binomial tail is summed from its first term.
+FEW_TERMS = 64
 
-    Terms are kept as logarithms, so that large n doesn't underflow before the terms that count.
-    """
+
+def _stirling_rest(x: Column) -> Column:
+    """ln x! less Stirling's x ln x - x + ln(2 pi x) / 2, for x above ``FEW_TERMS``."""
+    square = x * x
+    return (F.lit(1 / 12) - (F.lit(1 / 360) - F.lit(1 / 1260) / square) / square) / x
+
+
+def _lower_tail(k: Column, n: Column) -> Column:
+    """P(X <= k) for k below n / 2."""
     start = -n.cast("double") * F.ln(F.lit(2.0))
-    steps = F.when(k >= 1, F.sequence(F.lit(1), F.least(k, n).cast("int"))).otherwise(F.array().cast("array<int>"))
-    summed = F.aggregate(
-        steps,
+    few = F.aggregate(
+        F.when(k >= 1, F.sequence(F.lit(1), F.least(k, F.lit(FEW_TERMS)).cast("int"))).otherwise(F.array().cast("array<int>")),
         F.struct(start.alias("log"), F.exp(start).alias("sum")),
         lambda acc, i: let(
             acc["log"] + F.ln((n - i + 1).cast("double") / i),
             lambda log: F.struct(log.alias("log"), (acc["sum"] + F.exp(log)).alias("sum")),
         ),
-    )
-    return F.when(k < 0, F.lit(0.0)).otherwise(F.least(summed["sum"], F.lit(1.0)))
+    )["sum"]
+    size, low, high = n.cast("double"), k.cast("double"), (n - k).cast("double")
+    lean = (n - 2 * k).cast("double") / size
+    spread = size / 2 * ((1 - lean) * F.log1p(-lean) + (1 + lean) * F.log1p(lean))
+    top = -spread + F.ln(size / (low * high * (2 * math.pi))) / 2 + _stirling_rest(size) - _stirling_rest(low) - _stirling_rest(high)
+    # from the term of k down: behind sqrt(20 n) further terms all are below 1e-17 of the first
+    steps = F.least(k, F.ceil(F.sqrt(20 * size)).cast("bigint") + 16)
+    many = F.aggregate(
+        F.when(k > FEW_TERMS, F.sequence(F.lit(0), (steps - 1).cast("int"))).otherwise(F.array().cast("array<int>")),
+        F.struct(F.lit(1.0).alias("term"), F.lit(1.0).alias("sum")),
+        lambda acc, j: let(acc["term"] * (low - j) / (high + j + 1), lambda term: F.struct(term.alias("term"), (acc["sum"] + term).alias("sum"))),
+    )["sum"]
+    return F.when(k < 0, F.lit(0.0)).when(k <= FEW_TERMS, few).otherwise(F.exp(top) * many)
+
+
+def binom_cdf_half(k: Column, n: Column) -> Column:
+    """P(X <= k) for n fair coins.
+
+    Few terms are summed from the first on, as logarithms; many from the last one down, which stands by Stirling's
+    series, as far as they count (some times the square root of n).  Above n / 2 it is one less the other tail.
+    """
+    upper = 2 * k >= n
+    near = F.when(upper, n - k - 1).otherwise(k)
+    tail = let(near, lambda x: _lower_tail(x, n))
+    return F.least(F.greatest(F.when(upper, 1 - tail).otherwise(tail), F.lit(0.0)), F.lit(1.0))
 
 
 def genotype_from_vaf(share: Column, heterozygous: Column | None = None) -> Column:

@@ -43,19 +43,33 @@ def strand_counts(df: DataFrame) -> DataFrame:
     )
 
 
-def strand_error_matrix(df: DataFrame, kind: str = "pcr") -> DataFrame:
-    """pid, mutation, before, after, plus, minus, n_muts, log_ratio: all 96 cells of every patient.
+def strand_error_matrices(df: DataFrame, *kinds: str) -> dict[str, DataFrame]:
+    """For each of ``kinds`` (``pcr``, ``seq``): pid, mutation, before, after, plus, minus, n_muts, log_ratio; all 96 cells of every patient.
 
-    ``df`` has strand counts; ``kind``: ``pcr`` or ``seq``.  Rows with several alternatives, without counts or outside of
-    the catalogue are left out.
+    ``df`` has strand counts, and is read once for all kinds.  Rows with several alternatives, without counts or outside
+    of the catalogue are left out; they only name their patient.
     """
-    usable = df.where(~F.col("alt").contains(",") & F.col(f"{kind}_plus").isNotNull() & F.col("mutation").isin(CLASSES) & F.col("before").isin(*BASES) & F.col("after").isin(*BASES))
-    sums = usable.groupBy("pid", *CELL).agg(F.sum(f"{kind}_plus").alias("plus"), F.sum(f"{kind}_minus").alias("minus"), F.count(F.lit(1)).alias("n_muts"))
+    placed = F.coalesce(~F.col("alt").contains(",") & F.col("mutation").isin(CLASSES) & F.col("before").isin(*BASES) & F.col("after").isin(*BASES), F.lit(False))
+    figures = []
+    for kind in kinds:
+        there = F.col(f"{kind}_plus").isNotNull()
+        figures += [F.sum(f"{kind}_plus").alias(f"{kind}_p"), F.sum(F.when(there, F.col(f"{kind}_minus"))).alias(f"{kind}_m"), F.count_if(there).alias(f"{kind}_n")]
+    narrow = df.select("pid", *[F.when(placed, F.col(c)).alias(c) for c in CELL], *[f"{k}_{side}" for k in kinds for side in ("plus", "minus")])
+    sums = narrow.groupBy("pid", *CELL).agg(*figures)
     cells = F.array(*[F.struct(F.lit(m).alias("mutation"), F.lit(b).alias("before"), F.lit(a).alias("after")) for m in CLASSES for b in BASES for a in BASES])
-    whole = df.select("pid").distinct().select("pid", F.explode(cells).alias("cell")).select("pid", "cell.*")
+    whole = sums.select("pid").distinct().select("pid", F.explode(cells).alias("cell")).select("pid", "cell.*")
+    filled = whole.join(sums.where("mutation IS NOT NULL"), ["pid", *CELL], "left")
     zero = F.lit(0).cast("bigint")
-    filled = whole.join(sums, ["pid", *CELL], "left").select("pid", *CELL, *[F.coalesce(c, zero).alias(c) for c in ("plus", "minus", "n_muts")])
-    return filled.withColumn("log_ratio", F.log2((F.col("plus") + 1) / (F.col("minus") + 1)))
+    found = {}
+    for kind in kinds:
+        matrix = filled.select("pid", *CELL, *[F.coalesce(f"{kind}_{c}", zero).alias(name) for c, name in (("p", "plus"), ("m", "minus"), ("n", "n_muts"))])
+        found[kind] = matrix.withColumn("log_ratio", F.log2((F.col("plus") + 1) / (F.col("minus") + 1)))
+    return found
+
+
+def strand_error_matrix(df: DataFrame, kind: str = "pcr") -> DataFrame:
+    """One matrix of `strand_error_matrices`."""
+    return strand_error_matrices(df, kind)[kind]
 
 
 def bias_matrix(
@@ -111,7 +125,7 @@ def two_round_bias_filter(df: DataFrame, options: Options | None = None, *, cut=
     current = cut(confidence_score(counted.withColumns({c: F.lit(".") for c in ("seq_bias", "seqing_bias", "seq_bias_1", "seqing_bias_1")}), replace(o, round=0)))
     for number in (1, 2):
         somatic = high_confidence_somatic(current, no_control=o.no_control)
-        pcr, seq = (bias_matrix(strand_error_matrix(somatic, k), **thresholds) for k in ("pcr", "seq"))
+        pcr, seq = (bias_matrix(m, **thresholds) for m in strand_error_matrices(somatic, "pcr", "seq").values())
         if number == 2:
             current = current.withColumns({"seq_bias_1": F.col("seq_bias"), "seqing_bias_1": F.col("seqing_bias")})
         flagged = flag_bias(current.drop("seq_bias", "seqing_bias"), pcr, seq)

@@ -25,7 +25,7 @@ TAG_ORDER = [
 
 @dataclass(frozen=True)
 class Options:
-    cutoff: int = 150
+    cutoff: int | str = 150  # a depth, or the column that holds it
     punish_control: bool = True
     new_pun: float = 5
     round: int = 0
@@ -137,8 +137,10 @@ def control_rules(o: Options) -> list[Rule]:
         close = F.coalesce(F.try_divide(_two(share), _two(own)) < o.new_pun, F.lit(False))
         rules.append(Rule((_two(own) > 0) & (annotation == "somatic") & close, 3, f"Alternative_allel_freq_not_{times}_times_bigger_in_tum_than_in_control(-3)", "VAF"))
     if not o.run_exome:
-        rules.append(Rule((depth > o.cutoff) & (depth <= 2 * o.cutoff), 2, f"Controlcoverage>{o.cutoff}(-2)", "DPHIGH"))
-        rules.append(Rule(depth > 2 * o.cutoff, 4, f"Controlcoverage>2*{o.cutoff}(-4)", "DPHIGH"))
+        cutoff = F.col(o.cutoff) if isinstance(o.cutoff, str) else F.lit(o.cutoff)
+        high, very_high = (F.coalesce(depth > k * cutoff, F.lit(False)) for k in (1, 2))  # no cutoff, nothing high
+        rules.append(Rule(high & ~very_high, 2, F.concat(F.lit("Controlcoverage>"), cutoff.cast("string"), F.lit("(-2)")), "DPHIGH"))
+        rules.append(Rule(very_high, 4, F.concat(F.lit("Controlcoverage>2*"), cutoff.cast("string"), F.lit("(-4)")), "DPHIGH"))
     rules.append(Rule(depth <= 5, 3, "Controlcoverage<=5(-3)", "DPLOWC"))
     rules.append(Rule(somatic & (tvf + tvr < 2), 3, "Somatic_ALT<2(-3)", "TAR"))
     if o.punish_control:

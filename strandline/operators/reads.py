@@ -34,13 +34,22 @@ def base_quality_lists(variants: DataFrame, reads: DataFrame) -> DataFrame:
     return lists.withColumn("vaf", F.coalesce(F.try_divide(n_alt.cast("double"), (n_alt + n_ref).cast("double")), F.lit(0.0)))
 
 
-def overlap_corrected_counts(variants: DataFrame, reads: DataFrame, *, min_mapq: int = 30, min_baseq: int = 13, max_mismatches: int | None = None) -> DataFrame:
+def correctable(*, no_control: bool = False) -> Column:
+    """Calls whose counts are corrected: of one alternative base, and somatic (without a control: reclassified as somatic, confidence above 7)."""
+    somatic = (F.col("confidence") > 7) & F.col("reclassification").contains("somatic") if no_control else F.col("annotation_control").contains("somatic")
+    return F.coalesce(somatic & (F.length("alt") == 1), F.lit(False))
+
+
+def overlap_corrected_counts(
+    variants: DataFrame, reads: DataFrame, *, min_mapq: int = 30, min_baseq: int = 13, max_mismatches: int | None = None, no_control: bool = False
+) -> DataFrame:
     """Variants with corrected trf, trr, tvf, tvr, the original ones, what was removed, and ten strand counts.
 
-    ``variants``: pid, chrom, pos (unique), ref, alt, trf, trr, tvf, tvr.  Columns added: *_original, dup_ref, dup_alt,
+    ``variants``: pid, chrom, pos (unique), ref, alt, trf, trr, tvf, tvr, and what `correctable` reads; all other rows pass
+    with their counts as they are, nothing removed, and null strand counts.  Columns added: *_original, dup_ref, dup_alt,
     pair_ref, pair_alt, mis_ref, mis_alt, stray (bases of neither allele taken off), plus, minus.
     """
-    sites = variants.select(*KEY, F.upper("ref").alias("_ref"), F.upper("alt").alias("_alt"))
+    sites = variants.where(correctable(no_control=no_control)).select(*KEY, F.upper("ref").alias("_ref"), F.upper("alt").alias("_alt"))
     rows = reads.where((F.col("mq") >= min_mapq) & (F.col("bq") >= min_baseq)).repartition(*KEY).join(sites, KEY)
     base = F.upper("base")
     mismatched = F.coalesce(F.col("nm") > max_mismatches, F.lit(False)) if max_mismatches is not None else F.lit(False)
@@ -78,10 +87,11 @@ def overlap_corrected_counts(variants: DataFrame, reads: DataFrame, *, min_mapq:
     out = variants.join(sums, KEY, "left")
     zero = F.lit(0).cast("bigint")
     numbers = [c for c in sums.columns if c not in (*KEY, "plus", "minus")]
-    out = out.withColumns({c: F.coalesce(c, zero) for c in numbers} | {c: F.coalesce(c, F.array(*[zero] * 10)) for c in ("plus", "minus")})
+    due = correctable(no_control=no_control)
+    out = out.withColumns({c: F.coalesce(c, zero) for c in numbers} | {c: F.when(due, F.coalesce(c, F.array(*[zero] * 10))) for c in ("plus", "minus")})
     out = out.withColumns({f"{c}_original": F.col(c) for c in ("trf", "trr", "tvf", "tvr")})
     less = lambda c, n: F.greatest(F.col(c) - F.col(n), zero)
-    short = F.col("tvf_original") + F.col("tvr_original") > F.col("alt_seen")
+    short = due & (F.col("tvf_original") + F.col("tvr_original") > F.col("alt_seen"))
     stray = lambda c, n: F.when(short & (F.col(c) >= F.col(n)), F.col(c) - F.col(n)).otherwise(F.col(c))
     out = out.withColumns({"trf": less("trf", "gone_ref_f"), "trr": less("trr", "gone_ref_r"), "tvf": less("tvf", "gone_alt_f"), "tvr": less("tvr", "gone_alt_r")})
     out = out.withColumns({"tvf": stray("tvf", "stray_f"), "tvr": stray("tvr", "stray_r"), "stray": F.when(short, F.col("stray_f") + F.col("stray_r")).otherwise(zero)})

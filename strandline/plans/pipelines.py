@@ -19,7 +19,15 @@ def pipeline_annotate(
     candidates: DataFrame, read_rows: DataFrame, *, known: dict[str, DataFrame] | None = None, tracks: dict[str, DataFrame] | None = None,
     genes: DataFrame | None = None, options: confidence.Options | None = None, cut=lambda frame: frame,
 ) -> DataFrame:
-    """Known sites, genes, tracks, corrected counts, and two rounds of scoring with bias flags."""
+    """Known sites, genes, tracks, corrected counts, and two rounds of scoring with bias flags.
+
+    Without ``options``, the control's depth is judged by `qc.control_depth_cutoff` of each patient (column depth_cutoff).
+    """
+    if options is None:
+        depths = candidates.withColumn("depth_control", F.col("crf") + F.col("crr") + F.col("cvf") + F.col("cvr"))
+        cutoffs = qc.control_depth_cutoff(depths).select("pid", F.col("cutoff").alias("depth_cutoff"))
+        candidates = candidates.join(cutoffs, "pid", "left")
+        options = confidence.Options(cutoff="depth_cutoff")
     for name, database in (known or {}).items():
         candidates = joins.annotate_known(candidates, database, name)
         candidates = candidates.withColumn(name, joins.rendered(F.col(name)))

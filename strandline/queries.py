@@ -74,15 +74,15 @@ def _control_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    f"""{READS} SELECT pid, chrom, pos, count(*) AS dp, count(*) FILTER (base = 'A' AND bq >= 13) AS hq_a, count(*) FILTER (base = 'c' AND bq >= 13) AS hq_c_reverse,
-        count(*) FILTER (base = 'N') AS nq_n, count(*) FILTER (base = 't') AS nq_t_reverse FROM ({PILEUP_READS}) GROUP BY ALL"""
+    f"""{READS} SELECT pid, chrom, pos, count(*) AS dp, {", ".join(f"count(*) FILTER (base = '{b}' AND bq >= {least}) AS {name}_{k}" for name, least in (("hq", 13), ("nq", 0)) for k, b in enumerate("ACGTNacgtn"))}
+        FROM ({PILEUP_READS}) GROUP BY ALL"""
 )
 def control_counts(spark, sf_dir):
     counts = control.control_counts(_control_reads(spark, sf_dir))
-    return counts.select("pid", "chrom", "pos", "dp", F.get("hq", 0).alias("hq_a"), F.get("hq", 6).alias("hq_c_reverse"), F.get("nq", 4).alias("nq_n"), F.get("nq", 8).alias("nq_t_reverse"))
+    return counts.select("pid", "chrom", "pos", "dp", *[F.get(name, k).alias(f"{name}_{k}") for name in ("hq", "nq") for k in range(10)])
 
 
-@query(
+COMPARED = (
     f"""{READS}, c AS (
       SELECT pid, chrom, pos, any_value(ref) AS r, any_value(alt) AS a,
              count(*) FILTER (bq >= 13 AND base = ref) AS rf, count(*) FILTER (bq >= 13 AND base = lower(ref)) AS rr,
@@ -97,11 +97,14 @@ def control_counts(spark, sf_dir):
              ELSE 'somatic' END AS annotation_control
     FROM snv LEFT JOIN c USING (pid, chrom, pos)"""
 )
+
+
+@query(COMPARED)
 def compare_control(spark, sf_dir):
     return _compared(spark, sf_dir, _control_reads(spark, sf_dir).where("pos % 3 <> 0"))
 
 
-@query()
+@query(COMPARED.replace(" WHERE pos % 3 <> 0", ""))
 def compare_control_all(spark, sf_dir):
     """With every control read."""
     return _compared(spark, sf_dir, _control_reads(spark, sf_dir))
@@ -114,15 +117,15 @@ def _compared(spark: SparkSession, sf_dir: str, control_reads: DataFrame) -> Dat
 
 @query(
     f"""{SNV} SELECT pid, chrom, pos, CASE WHEN i % 2 = 0 THEN ref ELSE lower(ref) END AS base, (i * 7 + pos) % 40 AS bq, i AS idx
-        FROM (SELECT *, unnest(generate_series(0, crf)) AS i FROM snv WHERE ok % 10 = 0)"""
+        FROM (SELECT *, unnest(generate_series(0, crf)) AS i FROM snv)"""
 )
 def explode_pileup(spark, sf_dir):
-    return _exploded(fixtures.snv(spark, sf_dir).where("ok % 10 = 0"))
+    return _exploded(fixtures.snv(spark, sf_dir))
 
 
 @query()
 def explode_pileup_all(spark, sf_dir):
-    """Of every variant."""
+    """The same, under the name that it had while the other query left rows out."""
     return _exploded(fixtures.snv(spark, sf_dir))
 
 
@@ -235,14 +238,14 @@ DNF = [
 
 
 @query(
-    f"""{ANN} SELECT DISTINCT pid, chrom, ref, alt, exonic_classification, annovar_function FROM ann
+    f"""{ANN} SELECT pid, chrom, pos, ref, alt, exonic_classification, annovar_function FROM (SELECT DISTINCT * FROM ann)
     WHERE (qual >= 100 AND annotation_control = 'somatic' AND (exonic_classification LIKE '%nonsynonymous%' OR exonic_classification LIKE '%stopgain%'))
        OR (regexp_matches(kgenomes, 'EUR_AF=0.05|EUR_AF=0.2') AND chrom IN ('1', '2', 'X'))
        OR ((right(string_split(sequence_context, ',')[1], 1) || ref = 'CG' OR ref || left(string_split(sequence_context, ',')[2], 1) = 'CG') AND string_split(annovar_function, ';')[2] = 'splicing')"""
 )
 def table_extract(spark, sf_dir):
-    kept = fixtures.annotated(spark, sf_dir).where(filters.dnf(DNF)).select("pid", "chrom", "ref", "alt", "exonic_classification", "annovar_function")
-    return kept.dropDuplicates()
+    kept = filters.table_extract(fixtures.annotated(spark, sf_dir), DNF)
+    return kept.select("pid", "chrom", "pos", "ref", "alt", "exonic_classification", "annovar_function")
 
 
 @query(
@@ -510,8 +513,10 @@ def attach_clinical(spark, sf_dir):
 
 
 @query(
-    f"""{READS}, gated AS (
-      SELECT *, nm > 3 AS mis, CASE WHEN base = ref THEN 'ref' WHEN base = alt THEN 'alt' ELSE 'other' END AS allele, is_proper_pair AND NOT nm > 3 AS paired FROM reads WHERE mq >= 30 AND bq >= 13
+    f"""{READS}, calls AS (
+      SELECT *, CASE WHEN pk % 11 = 0 THEN alt || ',' || ref ELSE alt END AS alts, CASE (ok + ln) % 8 WHEN 0 THEN 'germline' WHEN 1 THEN 'unclear' WHEN 2 THEN 'LQVSIG' WHEN 3 THEN 'multi_somatic' ELSE 'somatic' END AS class FROM snv
+    ), due AS (SELECT pid, chrom, pos FROM calls WHERE class LIKE '%somatic%' AND length(alts) = 1), gated AS (
+      SELECT *, nm > 3 AS mis, CASE WHEN base = ref THEN 'ref' WHEN base = alt THEN 'alt' ELSE 'other' END AS allele, is_proper_pair AND NOT nm > 3 AS paired FROM reads SEMI JOIN due USING (pid, chrom, pos) WHERE mq >= 30 AND bq >= 13
     ), mates AS (
       SELECT *, row_number() OVER w AS nth, first_value(base) OVER w AS base1, first_value(bq) OVER w AS bq1 FROM gated WINDOW w AS (PARTITION BY pid, chrom, pos, paired, qname ORDER BY pileup_idx)
     ), beaten AS (
@@ -529,16 +534,18 @@ def attach_clinical(spark, sf_dir):
         count(*) FILTER (paired AND is_read1 <> is_reverse AND NOT is_reverse AND base = 'A') AS plus_a
       FROM dups GROUP BY ALL
     ), less AS (
-      SELECT pid, chrom, pos, tvf + tvr > coalesce(seen, 0) AS short, coalesce(sf, 0) AS sf, coalesce(sr, 0) AS sr, greatest(trf - coalesce(rf, 0), 0) AS trf, greatest(trr - coalesce(rr, 0), 0) AS trr,
-        greatest(tvf - coalesce(af, 0), 0) AS tvf, greatest(tvr - coalesce(ar, 0), 0) AS tvr, coalesce(dup_ref, 0) AS dup_ref, coalesce(dup_alt, 0) AS dup_alt, coalesce(pair_ref, 0) AS pair_ref, coalesce(pair_alt, 0) AS pair_alt, coalesce(plus_a, 0) AS plus_a
-      FROM snv LEFT JOIN sums USING (pid, chrom, pos)
+      SELECT pid, chrom, pos, alts, class, d.pid IS NOT NULL AND tvf + tvr > coalesce(seen, 0) AS short, coalesce(sf, 0) AS sf, coalesce(sr, 0) AS sr, greatest(trf - coalesce(rf, 0), 0) AS trf, greatest(trr - coalesce(rr, 0), 0) AS trr,
+        greatest(tvf - coalesce(af, 0), 0) AS tvf, greatest(tvr - coalesce(ar, 0), 0) AS tvr, coalesce(dup_ref, 0) AS dup_ref, coalesce(dup_alt, 0) AS dup_alt, coalesce(pair_ref, 0) AS pair_ref, coalesce(pair_alt, 0) AS pair_alt, CASE WHEN d.pid IS NOT NULL THEN coalesce(plus_a, 0) END AS plus_a
+      FROM calls LEFT JOIN sums USING (pid, chrom, pos) LEFT JOIN due d USING (pid, chrom, pos)
     )
-    SELECT pid, chrom, pos, trf, trr, CASE WHEN short AND tvf >= sf THEN tvf - sf ELSE tvf END AS tvf, CASE WHEN short AND tvr >= sr THEN tvr - sr ELSE tvr END AS tvr,
+    SELECT pid, chrom, pos, alts AS alt, class AS annotation_control, trf, trr, CASE WHEN short AND tvf >= sf THEN tvf - sf ELSE tvf END AS tvf, CASE WHEN short AND tvr >= sr THEN tvr - sr ELSE tvr END AS tvr,
            dup_ref, dup_alt, pair_ref, pair_alt, CASE WHEN short THEN sf + sr ELSE 0 END AS stray, plus_a FROM less"""
 )
 def overlap_corrected_counts(spark, sf_dir):
-    out = reads.overlap_corrected_counts(fixtures.snv(spark, sf_dir), fixtures.reads(spark, sf_dir), max_mismatches=3)
-    return out.select("pid", "chrom", "pos", "trf", "trr", "tvf", "tvr", "dup_ref", "dup_alt", "pair_ref", "pair_alt", "stray", F.get("plus", 0).alias("plus_a"))
+    calls = fixtures.annotated(spark, sf_dir).withColumn("alt", F.when(F.col("pk") % 11 == 0, F.concat_ws(",", "alt", "ref")).otherwise(F.col("alt")))
+    calls = calls.select("pid", "chrom", "pos", "ref", "alt", "trf", "trr", "tvf", "tvr", "annotation_control")
+    out = reads.overlap_corrected_counts(calls, fixtures.reads(spark, sf_dir), max_mismatches=3)
+    return out.select("pid", "chrom", "pos", "alt", "annotation_control", "trf", "trr", "tvf", "tvr", "dup_ref", "dup_alt", "pair_ref", "pair_alt", "stray", F.get("plus", 0).alias("plus_a"))
 
 
 LISTS = """lists AS (
@@ -883,13 +890,19 @@ def rainfall(spark, sf_dir):
     return windows.rainfall(fixtures.snv(spark, sf_dir), _lengths(spark, sf_dir))
 
 
-@query(f"{SNV}, r AS (SELECT *, row_number() OVER (PARTITION BY pid ORDER BY {RANK}, pos, ref, alt) AS n FROM snv) SELECT pid, n AS place, chrom, pos FROM r")
+@query(f"{SNV}, r AS (SELECT *, lag(chrom) OVER w AS c, lag(pos) OVER w AS p FROM snv WINDOW w AS (ORDER BY {RANK}, pos, ref, alt, pid)) SELECT pid, chrom, pos, c AS chrom_before, p AS pos_before FROM r")
 def genome_sort(spark, sf_dir):
+    """Each row with the one that stands before it in the sorted output: by place in the partition, and of the first by the partition before."""
     from pyspark.sql import Window
 
-    ordered = filters.genome_sort(fixtures.snv(spark, sf_dir))
-    place = F.row_number().over(Window.partitionBy("pid").orderBy(fields.chrom_rank(F.col("chrom")), "pos", "ref", "alt"))
-    return ordered.select("pid", place.cast("bigint").alias("place"), "chrom", "pos")
+    part, place = F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("place")
+    ordered = stored(filters.genome_sort(fixtures.snv(spark, sf_dir)).select("pid", "chrom", "pos", part, place))
+    inside = Window.partitionBy("part").orderBy("place")
+    before = F.lag(F.struct("chrom", "pos")).over(inside)
+    ends = ordered.groupBy("part").agg(F.max_by(F.struct("chrom", "pos"), "place").alias("end"))  # a row a partition
+    ends = ends.withColumn("ended", F.lag("end").over(Window.orderBy("part"))).select("part", "ended")
+    rows = ordered.withColumn("before", before).join(ends, "part").withColumn("before", F.coalesce("before", F.when(F.row_number().over(inside) == 1, F.col("ended"))))
+    return rows.select("pid", "chrom", "pos", F.col("before.chrom").alias("chrom_before"), F.col("before.pos").alias("pos_before"))
 
 
 # --- sources and sinks ----------------------------------------------------------------------------------------------
@@ -932,13 +945,15 @@ def read_chrom_lengths(spark, sf_dir):
     return variants.read_chrom_lengths(spark, path)
 
 
-@query(f"{SNV} SELECT pid, chrom, pos, CASE WHEN chrom = '2' THEN NULL ELSE qual END AS qual FROM snv WHERE chrom IN ('1', '2', 'X')")
+UNION = f"{SNV} SELECT pid, chrom, pos, CASE WHEN chrom NOT IN ('2', 'Y') THEN qual END AS qual FROM snv"
+
+
+@query(UNION)
 def union_variants(spark, sf_dir):
-    snv = fixtures.snv(spark, sf_dir).select("pid", "chrom", "pos", "qual")
-    return joins.union_variants([snv.where("chrom = '1'"), snv.where("chrom = '2'").drop("qual"), snv.where("chrom = 'X'")])
+    return union_all_chromosomes(spark, sf_dir)
 
 
-@query()
+@query(UNION)
 def union_all_chromosomes(spark, sf_dir):
     """A frame for each of the 24 chromosomes; those of 2 and Y have no qual."""
     snv = stored(fixtures.snv(spark, sf_dir).select("pid", "chrom", "pos", "qual"))
@@ -987,7 +1002,14 @@ def write_qc_json(spark, sf_dir):
     return spark.read.schema("pid string, snvnum bigint, snvindbSNP bigint, snvInDbsnpRatio double, synonymousRatio double, thaScore double").json(path)
 
 
-@query()
+@query(
+    f"""{SCORED}, k AS (SELECT * FROM scored WHERE confidence >= 5)
+    SELECT pid, class, chrom, pos, ref, alt FROM (
+      SELECT 'somatic' AS class, * FROM k WHERE {SOMATIC}
+      UNION ALL SELECT 'somatic_functional', * FROM k WHERE {SOMATIC} AND annovar_function NOT LIKE '%ncRNA%' AND {CODING}
+      UNION ALL SELECT 'somatic_ncrna', * FROM k WHERE {SOMATIC} AND regexp_matches(annovar_function, 'ncRNA_exonic|ncRNA_splicing')
+      UNION ALL SELECT 'germline_functional', * FROM k WHERE annotation_control = 'germline' AND annovar_function NOT LIKE '%ncRNA%' AND {CODING})"""
+)
 def write_by_class(spark, sf_dir):
     """Written by patient and class and read again."""
     path = _scratch(spark, "classes")
@@ -1012,15 +1034,24 @@ def pipeline_call(spark, sf_dir):
 def pipeline_annotate(spark, sf_dir):
     rows = fixtures.annotated(spark, sf_dir).drop("gene", "segdup")
     tracks = {"segdup": fixtures.track(spark, sf_dir)}
-    out = pipelines.pipeline_annotate(rows, fixtures.reads(spark, sf_dir), known={"extra_sites": fixtures.known(spark, sf_dir)}, tracks=tracks, options=confidence.Options(cutoff=500), cut=stored)
+    out = pipelines.pipeline_annotate(rows, fixtures.reads(spark, sf_dir), known={"extra_sites": fixtures.known(spark, sf_dir)}, tracks=tracks, cut=stored)
     return out.select("pid", "chrom", "pos", "trf", "trr", "tvf", "tvr", "extra_sites", "segdup", "confidence", "reclassification", "filter")
 
 
-@query()
+DEEP = 11
+
+
+@query(
+    f"""{SNV}, track AS ({fixtures.TRACK_SQL}), deep AS (SELECT *, unnest(generate_series(0, {DEEP - 1})) AS k FROM track), hits AS (
+      SELECT s.chrom, pos, k, list_sort(list(name))[1:5] AS names FROM (SELECT DISTINCT chrom, pos FROM snv) s JOIN deep t ON s.chrom = t.chrom AND pos > start0 + 50 * k AND pos <= end0 + 90 * k GROUP BY ALL)
+    SELECT pid, snv.chrom, snv.pos, {", ".join(f"coalesce(array_to_string(h{k}.names, '&'), '.') AS deep_{k}" for k in range(DEEP))}
+    FROM snv {" ".join(f"LEFT JOIN hits h{k} ON h{k}.k = {k} AND h{k}.chrom = snv.chrom AND h{k}.pos = snv.pos" for k in range(DEEP))}"""
+)
 def pipeline_deep_annotate(spark, sf_dir):
+    """Eleven tracks, each moved and widened a little more than the one before."""
     track = fixtures.track(spark, sf_dir)
-    out = pipelines.pipeline_deep_annotate(fixtures.snv(spark, sf_dir), {f"deep_{k}": track.where(F.length("name") % 3 == k % 3) for k in range(3)})
-    return out.select("pid", "chrom", "pos", "deep_0", "deep_1", "deep_2")
+    tracks = {f"deep_{k}": track.withColumns({"start0": F.col("start0") + 50 * k, "end0": F.col("end0") + 90 * k}) for k in range(DEEP)}
+    return pipelines.pipeline_deep_annotate(fixtures.snv(spark, sf_dir), tracks).select("pid", "chrom", "pos", *tracks)
 
 
 @query(

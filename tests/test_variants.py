@@ -29,13 +29,20 @@ def test_info_cells(spark):
     assert column(spark, fields.parse_counts(F.lit("DP4=1,2,x,4"), "DP4")) == [1, 2, None, 4]
 
 
-@pytest.mark.parametrize(("k", "n"), [(0, 1), (0, 0), (3, 10), (40, 100), (5, 5), (700, 1500), (2, 256), (0, 3000)])
+@pytest.mark.parametrize(("k", "n"), [(0, 1), (0, 0), (3, 10), (40, 100), (5, 5), (700, 1500), (2, 256), (0, 3000), (64, 140), (65, 140), (66, 131), (200, 390), (1300, 2000), (65, 900)])
 def test_binomial(spark, k, n):
     want = sum(math.comb(n, i) for i in range(k + 1)) / 2**n if n < 1000 else float(sum(math.comb(n, i) for i in range(k + 1)) * 10**30 // 2**n) / 1e30
     got = column(spark, fields.binom_cdf_half(F.col("k"), F.col("n")), k=k, n=n)
     assert math.isclose(got, want, rel_tol=1e-9, abs_tol=1e-25)
 
 
+def test_binomial_of_billions(spark):
+    p = fields.binom_cdf_half(F.col("k"), F.col("n"))
+    assert math.isclose(column(spark, p, k=3_000_000_000, n=6_000_000_000), 0.5, rel_tol=1e-4)
+    sd = math.sqrt(6e9) / 2
+    assert math.isclose(column(spark, p, k=int(3e9 - 2 * sd), n=6_000_000_000), 0.5 * math.erfc(math.sqrt(2)), rel_tol=1e-3)
+
+
 def test_very_small_probability(spark):
     got = column(spark, fields.binom_cdf_half(F.col("k"), F.col("n")), k=2, n=272)
     assert math.isclose(got, 4.89276584292767e-78, rel_tol=1e-9)
@@ -179,8 +186,11 @@ def read(k, name, base, bq=30, mq=40, reverse=False, first=True, paired=True, nm
     return ("p", "1", 5, k, name, base, bq, mq, reverse, first, paired, nm, 10, 100, 1, place if place is not None else k * 10, 0, 1, 0)
 
 
-def corrected(spark, rows, counts=(5, 5, 5, 5), **limits):
-    sites = spark.createDataFrame([("p", "1", 5, "A", "G", *counts)], "pid string, chrom string, pos int, ref string, alt string, trf bigint, trr bigint, tvf bigint, tvr bigint")
+CALL = "pid string, chrom string, pos int, ref string, alt string, trf bigint, trr bigint, tvf bigint, tvr bigint, annotation_control string, confidence bigint, reclassification string"
+
+
+def corrected(spark, rows, counts=(5, 5, 5, 5), alt="G", evidence=("somatic", 1, "."), **limits):
+    sites = spark.createDataFrame([("p", "1", 5, "A", alt, *counts, *evidence)], CALL)
     return reads.overlap_corrected_counts(sites, spark.createDataFrame(rows, READ), **limits).first()
 
 
@@ -195,6 +205,21 @@ def test_mates(spark):
     assert unpaired["tvf"] == 2 and unpaired["plus"] == [0] * 10
 
 
+def test_calls_that_are_not_corrected(spark):
+    mates = [read(0, "a", "G"), read(1, "a", "G", reverse=True), read(2, "b", "T")]
+    for more in ({"evidence": ("germline", 9, "somatic")}, {"alt": "G,T"}, {"evidence": (None, 9, None)}, {"evidence": ("somatic", 7, "somatic"), "no_control": True}, {"evidence": ("somatic", 9, "germline"), "no_control": True}):
+        same = corrected(spark, mates, counts=(5, 5, 2, 2), **more)
+        assert (same["tvf"], same["tvr"], same["pair_alt"], same["stray"], same["plus"]) == (2, 2, 0, 0, None)
+    for more in ({"evidence": ("multi_somatic", 1, ".")}, {"evidence": (None, 8, "somatic"), "no_control": True}):
+        assert corrected(spark, mates, counts=(5, 5, 2, 2), **more)["pair_alt"] == 1
+
+
+def test_a_long_insertion_moves_nothing(spark):
+    rows = [("p", "1", 5, "A", f".+{n}{'ACGT' * 40}"[: 2 + len(str(n)) + n] + ",-2gt.^+.$", "IIII") for n in (1, 60, 61, 150)]
+    out = control.explode_pileup(spark.createDataFrame(rows, "pid string, chrom string, pos int, ref string, bases string, quals string"))
+    assert [(r["idx"], r["base"]) for r in out.orderBy("idx").collect()] == [(k, b) for k, b in enumerate("AaAA") for _ in rows]
+
+
 def test_duplicates_and_gates(spark):
     dups = corrected(spark, [read(0, "a", "G", bq=20, place=7), read(1, "b", "G", bq=40, place=7), read(2, "c", "A", bq=40, place=7)], counts=(5, 5, 2, 0))
     assert (dups["tvf"], dups["trf"], dups["dup_alt"]) == (0, 5, 2)  # of equal qualities the last stays
@@ -209,7 +234,7 @@ def test_duplicates_and_gates(spark):
 
 
 def test_reads_without_rows(spark):
-    sites = spark.createDataFrame([("p", "1", 5, "A", "G", 1, 1, 1, 1)], "pid string, chrom string, pos int, ref string, alt string, trf bigint, trr bigint, tvf bigint, tvr bigint")
+    sites = spark.createDataFrame([("p", "1", 5, "A", "G", 1, 1, 1, 1, "multi_somatic", 1, ".")], CALL)
     row = reads.overlap_corrected_counts(sites, spark.createDataFrame([], READ)).first()
     assert (row["trf"], row["trr"], row["tvf"], row["tvr"], row["plus"]) == (1, 1, 1, 1, [0] * 10)
 
