@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from strandline.llm import bpe, langid, licenses, mixing, pseudo_likelihood, quality, quotations, simhash, token_files, vectors
-from strandline.llm._tables import table
+from strandline.llm._tables import stored, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -22,7 +22,8 @@ def op2_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_quotations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quotations.link_quotations(table(spark, sf_dir, "conversations"))
+    """The turns of ``conversations`` quote nothing; so each is first sent as a reply that quotes the two before it."""
+    return quotations.link_quotations(stored(quotations.quoting_replies(table(spark, sf_dir, "conversations"))))
 
 
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -89,24 +90,38 @@ FROM judged
 """
 
 OP3_SQL = r"""
-WITH RECURSIVE messages AS (
+WITH RECURSIVE heads AS (
+  SELECT conv_id, turn, min(text) AS own, min(role) AS role FROM conversations GROUP BY ALL
+), sent AS (
+  SELECT c.conv_id, c.turn, c.role, CASE WHEN a.own IS NULL THEN c.text ELSE coalesce(a.role, 'someone') || ' wrote:' || chr(10)
+    || coalesce('>> ' || replace(replace(trim(regexp_replace(b.own, '[ \t\n\x0B\f\r]+', ' ', 'g')), '. ', '.' || chr(10)), chr(10), chr(10) || '>> ') || chr(10), '')
+    || '> ' || replace(replace(trim(regexp_replace(a.own, '[ \t\n\x0B\f\r]+', ' ', 'g')), '. ', '.' || chr(10)), chr(10), chr(10) || '> ') || chr(10) || chr(10) || coalesce(c.text, '') END AS text
+  FROM conversations c LEFT JOIN heads a ON a.conv_id = c.conv_id AND a.turn = c.turn - 1 LEFT JOIN heads b ON b.conv_id = c.conv_id AND b.turn = c.turn - 2
+), messages AS (
   SELECT row_number() OVER () AS m, conv_id, turn, role, string_split(regexp_replace(coalesce(text, ''), '\r\n?', chr(10), 'g'), chr(10)) AS raw
-  FROM conversations
+  FROM sent
 ), split AS (
   SELECT m, conv_id, turn, i, raw[i] AS l, regexp_extract(raw[i], '^[ \t]*(?:>[ \t]*)+') AS marks FROM messages, unnest(range(1, len(raw) + 1)) AS r(i)
 ), lines AS (
-  SELECT m, conv_id, turn, i, length(regexp_replace(marks, '[^>]', '', 'g')) AS level, substr(l, length(marks) + 1) AS said,
-         lower(trim(regexp_replace(substr(l, length(marks) + 1), '\s+', ' ', 'g'))) AS norm
-  FROM split
+  SELECT *, level = 0 AND coalesce(lead(level) OVER (PARTITION BY m ORDER BY i) > 0, false) AND regexp_matches(said, '^.*\bwrote:[ \t]*$') AS says
+  FROM (SELECT m, conv_id, turn, i, length(regexp_replace(marks, '[^>]', '', 'g')) AS level, substr(l, length(marks) + 1) AS said FROM split)
 ), bodies AS (
-  SELECT m, coalesce(string_agg(said, chr(10) ORDER BY i) FILTER (level = 0 AND NOT (coalesce(next, 0) > 0 AND regexp_matches(said, '^.*\bwrote:[ \t]*$'))), '') AS body,
-         count(*) FILTER (level > 0) AS n_quoted, max(level) AS quote_levels
-  FROM (SELECT *, lead(level) OVER (PARTITION BY m ORDER BY i) AS next FROM lines) GROUP BY m
+  SELECT m, coalesce(string_agg(said, chr(10) ORDER BY i) FILTER (level = 0 AND NOT says), '') AS body, count(*) FILTER (level > 0) AS n_quoted, max(level) AS quote_levels
+  FROM lines GROUP BY m
+), written AS (
+  SELECT *, regexp_matches(said, '[^ \t\n\x0B\f\r]') AND NOT says AS counts FROM lines
+), runs AS (
+  SELECT *, sum(begins) OVER (PARTITION BY m ORDER BY i) AS run
+  FROM (SELECT *, CASE WHEN counts AND NOT coalesce(lag(level) OVER w = level AND lag(counts) OVER w, false) THEN 1 ELSE 0 END AS begins FROM written WINDOW w AS (PARTITION BY m ORDER BY i))
+), passages AS (
+  SELECT conv_id, turn, any_value(level) AS level, true AS whole, lower(trim(regexp_replace(string_agg(said, ' ' ORDER BY i), '[ \t\n\x0B\f\r]+', ' ', 'g'))) AS norm FROM runs WHERE counts GROUP BY m, run, conv_id, turn
+  UNION
+  SELECT conv_id, turn, level, false, norm FROM (SELECT *, lower(trim(regexp_replace(said, '[ \t\n\x0B\f\r]+', ' ', 'g'))) AS norm FROM written WHERE NOT says) WHERE len(string_split(norm, ' ')) >= 5
 ), origins AS (
-  SELECT conv_id, norm, min(turn) AS origin FROM lines WHERE level = 0 AND norm <> '' GROUP BY ALL
+  SELECT conv_id, norm, min(turn) AS origin FROM passages WHERE level = 0 GROUP BY ALL
 ), parents AS (
-  SELECT q.conv_id, q.turn, arg_max(origin, (-level, origin)) AS parent
-  FROM lines q JOIN origins o ON q.conv_id = o.conv_id AND q.norm = o.norm AND q.level > 0 AND origin < q.turn GROUP BY ALL
+  SELECT q.conv_id, q.turn, arg_max(origin, (-level, whole, origin)) AS parent
+  FROM passages q JOIN origins o ON q.conv_id = o.conv_id AND q.norm = o.norm AND q.level > 0 AND origin < q.turn GROUP BY ALL
 ), up AS (
   SELECT conv_id, turn, parent AS root, 1 AS depth FROM parents
   UNION ALL
@@ -116,7 +131,8 @@ WITH RECURSIVE messages AS (
 )
 SELECT messages.conv_id, messages.turn, role, trim(body, ' ' || chr(9) || chr(10)) AS body,
        '<|' || coalesce(role, 'unknown') || '|>' || chr(10) || trim(body, ' ' || chr(9) || chr(10)) || chr(10) || '<|end|>' || chr(10) AS chat,
-       n_quoted, quote_levels, parent AS parent_turn, coalesce(root, messages.turn) AS thread_root, coalesce(depth, 0)::BIGINT AS depth
+       n_quoted, quote_levels, parent AS parent_turn, coalesce(root, messages.turn) AS thread_root, coalesce(depth, 0)::BIGINT AS depth,
+       CASE WHEN messages.conv_id IS NOT NULL AND messages.turn IS NOT NULL THEN rank() OVER (PARTITION BY messages.conv_id, coalesce(root, messages.turn) ORDER BY messages.turn) END AS position
 FROM messages JOIN bodies USING (m) LEFT JOIN parents p ON p.conv_id = messages.conv_id AND p.turn = messages.turn
 LEFT JOIN roots r ON r.conv_id = messages.conv_id AND r.turn = messages.turn
 """
