@@ -1,13 +1,17 @@
 """Near copies of documents by the Jaccard similarity of their five-word shingles, verified exactly.
 
 Two texts link when the sets of their shingles have a similarity of ``SIMILAR`` or more; components of links are the
-groups.  Candidates come from ``BANDS`` keys a text, each made of ``ROWS`` minimum hashes of its shingles: a pair of
-similarity s shares a key with a probability of 1 - (1 - s^ROWS)^BANDS, 0.999995 at 0.8.  (One 64-bit SimHash can't tell
-such pairs: they differ in about 10 bits.)  All that share keys, directly or by way of others, are searched together in
-one task with their whole sets, so that every link among them is found and none is made that is not exact.
-
-Rows: equal sets are collapsed before anything is compared; texts without words have the empty set and are copies of
-each other; rows with a null key take no part; extra columns are not looked at.
+groups.  Candidates are, first, what the anchor-point covering of `simhash` links: SimHash fingerprints of the sets that
+differ in three bits or fewer.  Pairs of a similarity of 0.8 differ in about 10 of 64 bits, too far for a covering; so
+``BANDS`` keys a text, each made of ``ROWS`` minimum hashes of its shingles, reach the rest: a pair of similarity s shares
+a key with a probability of 1 - (1 - s^ROWS)^BANDS, 0.999995 at 0.8.  All that are candidates, directly or by way of others, are
+searched together in one task with their whole sets, so that every link among them is found and none is made that is
+not exact.
+
+Rows: equal sets are collapsed before anything is compared; null and empty texts, and such without words, have the empty
+set and are copies of each other; very long texts are hashed in parts; rows with a null key take part and come last in the choice
+of what stays; repeated rows, and rows that share a key but not the text, are told apart by their texts; a similarity of just
+0.8 links (a tie, told with integers); an empty table gives no rows; extra columns stay.
 """
 
 from __future__ import annotations
@@ -48,6 +52,15 @@ def set_name(shingles: np.ndarray) -> int:
     return int(np.uint64(xxhash.xxh64_intdigest(shingles.tobytes(), SEED)).view(np.int64))
 
 
+def set_print(shingles: np.ndarray) -> int:
+    """The SimHash fingerprint of a set, as a bigint."""
+    counts = np.zeros(64, np.int64)
+    for start in range(0, len(shingles), simhash.COUNTED):
+        bits = np.unpackbits(shingles[start : start + simhash.COUNTED].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        counts += np.add.reduce(bits, axis=0, dtype=np.int64)
+    return int(np.packbits(2 * counts > len(shingles), bitorder="little").view("<i8")[0])
+
+
 def band_keys(shingles: np.ndarray) -> np.ndarray:
     """``BANDS`` keys (bigint) of a set; none of the empty one."""
     if not len(shingles):
@@ -101,19 +114,20 @@ def exact_links(names: np.ndarray, sets: list[np.ndarray]) -> tuple[np.ndarray,
 
 
 def _signed(df: DataFrame) -> DataFrame:
-    """id, name (of the set) and keys of every row with columns id and body."""
+    """id, name (of the set), print and keys of every row with columns id and body."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            names, keys = [], []
+            names, prints, keys = [], [], []
             for x in batch.column(1):
                 shingles = shingle_set(x.as_py())
                 names.append(set_name(shingles))
+                prints.append(set_print(shingles))
                 keys.append(band_keys(shingles))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(names, pa.int64()), pa.array(keys, pa.list_(pa.int64()))], ["id", "name", "keys"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(names, pa.int64()), pa.array(prints, pa.int64()), pa.array(keys, pa.list_(pa.int64()))], ["id", "name", "print", "keys"])
         pa.default_memory_pool().release_unused()  # the worker lives on
 
-    return df.select("id", "body").mapInArrow(run, f"id {df.schema['id'].dataType.simpleString()}, name bigint, keys array<bigint>")
+    return df.select("id", "body").mapInArrow(run, f"id {df.schema['id'].dataType.simpleString()}, name bigint, print bigint, keys array<bigint>")
 
 
 def _sets(df: DataFrame) -> DataFrame:
@@ -150,27 +164,38 @@ def _searched(dealt: DataFrame) -> DataFrame:
     return dealt.mapInArrow(run, "a bigint, b bigint")
 
 
-def near_copies(df: DataFrame, *, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``key`` and component_id (the smallest key of the group) of every row that has a key."""
-    ship_package(df.sparkSession)
-    docs = df.where(df[key].isNotNull()).select(df[key].alias("id"), df[text].alias("body"))
-    made = stored(_signed(docs))
-    distinct = stored(made.groupBy("name").agg(F.min("id").alias("first"), F.first("keys").alias("keys")))
+def _grouped(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """From key, mark and body: key, mark and name (of the set) of every row; name and component of names that are in groups."""
+    ship_package(docs.sparkSession)
+    made = stored(_signed(docs.select(F.struct("key", "mark").alias("id"), "body")))
+    distinct = stored(made.groupBy("name").agg(F.min("id.mark").alias("first"), F.first("print").alias("print"), F.first("keys").alias("keys")))
+    prints = stored(distinct.groupBy("print").agg(F.min("name").alias("b")))
+    linked = simhash.fingerprint_links(prints.select(F.col("print").alias("fingerprint")))
+    ends = linked.join(prints.select(F.col("print").alias("a"), F.col("b").alias("name_a")), "a").join(prints.select(F.col("print").alias("b"), F.col("b").alias("name_b")), "b")
+    covered = distinct.join(prints, "print").select(F.col("name").alias("a"), "b").union(ends.select("name_a", "name_b"))
     places = distinct.select("name", F.explode("keys").alias("place"))
     least = places.groupBy("place").agg(F.min("name").alias("b"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    near = stored(min_components(places.join(least, "place").where("name <> b").select(F.col("name").alias("a"), "b").distinct()))
-    wanted = near.join(distinct.select("name", "first"), F.col("node") == F.col("name")).select(F.col("first").alias("id")).distinct()
-    texts = docs.join(simhash.small(wanted), "id", "left_semi")
+    banded = places.join(least, "place").select(F.col("name").alias("a"), "b")
+    near = stored(min_components(covered.union(banded).where("a <> b").distinct()))
+    wanted = near.join(distinct.select("name", "first"), F.col("node") == F.col("name")).select(F.col("first").alias("mark")).distinct()
+    texts = docs.join(simhash.small(wanted), "mark", "left_semi")
     dealt = _sets(texts).join(near.select(F.col("node").alias("name"), F.col("component").alias("place")), "name").select("place", "name", "shingles")
     links = stored(_searched(dealt.repartition("place").sortWithinPartitions("place", "name")))
-    members = min_components(links).join(distinct, F.col("node") == F.col("name")).select("name", "component", "first")
-    names = members.groupBy("component").agg(F.min("first").alias("least"))
-    renamed = members.join(names, "component").select("name", "least")
-    named = distinct.join(renamed, "name", "left").select("name", F.coalesce("least", "first").alias("component_id"))
-    return made.select("id", "name").join(named, "name").select(F.col("id").alias(key), "component_id")
+    return made.select("id.*", "name"), min_components(links).withColumnRenamed("node", "name")
+
+
+def near_copies(df: DataFrame, *, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``key`` and component_id (the smallest key of the group; null where no row of it has a key) of every row."""
+    docs = df.select(df[key].alias("key"), simhash.mark_of(df, key, text).alias("mark"), df[text].alias("body"))
+    made, groups = _grouped(docs)
+    names = made.groupBy("name").agg(F.min("key").alias("first"), F.count(F.lit(1)).alias("n")).join(groups, "name", "left")
+    names = stored(names.withColumn("component", F.coalesce("component", "name")))
+    least = names.groupBy("component").agg(F.min("first").alias("component_id"))
+    named = names.join(least, "component").select("name", "first", "n", "component_id")
+    return simhash.salted_join(made, named, "name", "key").select(F.col("key").alias(key), "component_id")
 
 
 def drop_near_copies(df: DataFrame, *, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``df`` with one document of each group: the one with the smallest key.  Rows without a key stay."""
-    found = near_copies(df.select(df[key].alias("id"), df[text].alias("body")), key="id", text="body")
-    return simhash.keep_first(df, found, key=key)
+    """``df`` with one document of each group, chosen by `simhash.keep_one`."""
+    docs = df.select(df[key].alias("key"), simhash.mark_of(df, key, text).alias("mark"), df[text].alias("body"))
+    return simhash.keep_one(df, *_grouped(docs), key=key, text=text)

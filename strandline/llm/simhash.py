@@ -14,10 +14,13 @@ At an anchor a search takes one fingerprint after the other from those not yet r
 little more than one pass, and gives one link per fingerprint, never all pairs.  An anchor with more than
 ``ANCHOR_MEMORY`` fingerprints is not searched in one task: its fingerprints go on to a second round, where they are
 dealt by a quarter of the *other* half (of at most three differing bits, one quarter of four is free of them), and
-those that are still crowded to a third, dealt by five of their eight bytes.
+those that are still crowded to a third, dealt by five of their eight bytes; there no place can hold more than 2^24
+distinct fingerprints (134 MB), as only three bytes are left to differ in.
 
-Rows: a null, empty or wordless text has fingerprint zero and links like any other; equal texts, and repeated rows, share a
-fingerprint and are collapsed before anything is compared; extra columns are not looked at.
+Rows: a null, empty or wordless text has fingerprint zero and links like any other; a very long text is hashed in parts;
+equal texts, and repeated rows, share a fingerprint and are collapsed before anything is compared; ties (bits set in
+exactly half of the hashes) are 0; an empty table gives no rows; extra columns, also of the names used here, are not
+looked at, or stay (`drop_near_duplicates`).
 """
 
 from __future__ import annotations
@@ -29,7 +32,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strandline.llm._tables import free_name, ship_package, stored
@@ -245,13 +248,29 @@ def near_duplicates(df: DataFrame, *, key: str = "doc_id", text: str = "text", m
     more.  Rows with a null key take part but give their group no name; a group of such rows has a null component_id.
     """
     made = stored(fingerprints(df, key=key, text=text))
-    prints = stored(made.groupBy("fingerprint").agg(F.min(key).alias("first")))
+    prints = stored(made.groupBy("fingerprint").agg(F.min(key).alias("first"), F.count(F.lit(1)).alias("n")))
     links = fingerprint_links(prints, memory=memory)
     members = min_components(links).join(prints, F.col("node") == F.col("fingerprint")).select("fingerprint", "component", "first")
     names = members.groupBy("component").agg(F.min("first").alias("least"))
     renamed = members.join(names, "component").select("fingerprint", "least")
-    named = prints.join(renamed, "fingerprint", "left").select("fingerprint", F.coalesce("least", "first").alias("component_id"))
-    return made.join(named, "fingerprint").select(key, F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
+    named = prints.join(renamed, "fingerprint", "left").select("fingerprint", "first", "n", F.coalesce("least", "first").alias("component_id"))
+    return salted_join(made, named, "fingerprint", key).select(key, F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+#: Parts in which the rows of one name are dealt.
+SALTS = 16
+
+
+def salted_join(rows: DataFrame, named: DataFrame, name: str, key: str) -> DataFrame:
+    """``rows`` with what ``named`` (one row a name: its number of rows n, its least key first) says of their names.
+
+    A name that many rows share would send them all to one task: rows are dealt by a hash of their keys as well, and a name with
+    several rows is sent to every part.
+    """
+    salt = lambda of: F.pmod(F.xxhash64(of, F.lit("salt")), F.lit(SALTS))
+    parts = F.when(F.col("n") == 1, F.array(salt("first"))).otherwise(F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint")))
+    each = named.withColumn("_salt", F.explode(parts)).drop("first", "n")
+    return rows.withColumn("_salt", salt(key)).join(each, [name, "_salt"]).drop("_salt")
 
 
 #: Ids of dropped documents up to which they are broadcast (8 bytes each) so that texts need no shuffle.
@@ -263,28 +282,44 @@ def small(ids: DataFrame) -> DataFrame:
     return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
 
 
-def keep_first(df: DataFrame, found: DataFrame, *, key: str) -> DataFrame:
-    """``df`` with the row of each group in ``found`` (id, component_id) whose key names the group."""
-    verdicts = stored(
-        found.where("id IS NOT NULL").groupBy("id").agg(F.max(F.col("id") == F.col("component_id")).alias("stays"), F.count(F.lit(1)).alias("rows"))
-        .where("NOT stays OR rows > 1")
-    )
-    name = free_name(df, "judged_id")
+def keep_one(df: DataFrame, rows: DataFrame, groups: DataFrame, *, key: str, text: str) -> DataFrame:
+    """``df`` with one row of each group: the one with the smallest key (null comes last) and, of such, the smallest mark.
 
-    def without(frame: DataFrame, ids: DataFrame) -> DataFrame:
-        return frame.join(small(ids.select(F.col("id").alias(name))), frame[key] == F.col(name), "left_anti")
-
-    repeated = verdicts.where("stays AND rows > 1")
+    ``rows``: key, mark (`mark_of`) and name of every row of ``df``; ``groups``: name and component of names that are in
+    groups with others.  Rows are judged, not keys: rows that share a key but not the text are told apart, and of rows
+    with equal key and text one stays.  What stays does not depend on the order of rows.  Texts are shuffled only where
+    very many rows go.
+    """
+    place = F.struct(F.col("key").isNull().alias("last"), "key", "mark")
+    least = rows.groupBy("name").agg(F.min(place).alias("place"))
+    least = least.join(groups, "name", "left").groupBy(F.coalesce("component", "name").alias("component")).agg(F.min("place").alias("place"))
+    stays = least.select(F.col("place.key").alias("key"), F.col("place.mark").alias("mark"), F.lit(True).alias("stays"))
+    each = rows.groupBy("key", "mark").agg(F.count(F.lit(1)).alias("n"))  # rows of one key and text have one name
+    verdicts = each.join(stays.withColumnsRenamed({"key": "key_", "mark": "mark_"}), F.col("key").eqNullSafe(F.col("key_")) & (F.col("mark") == F.col("mark_")), "left")
+    verdicts = stored(verdicts.where("stays IS NULL OR n > 1").select("key", "mark", F.coalesce("stays", F.lit(False)).alias("stays")))
+    names = [free_name(df, "judged_key"), free_name(df, "judged_mark")]
+
+    def joined(ids: DataFrame, how: str) -> DataFrame:
+        ids = small(ids.select(F.col("key").alias(names[0]), F.col("mark").alias(names[1])))
+        return df.join(ids, df[key].eqNullSafe(F.col(names[0])) & (mark_of(df, key, text) == F.col(names[1])), how)
+
+    out, repeated = joined(verdicts, "left_anti"), verdicts.where("stays")
     if repeated.isEmpty():
-        return without(df, verdicts)
-    once = df.join(repeated.select(F.col("id").alias(name)), df[key] == F.col(name), "left_semi").dropDuplicates([key])
-    return without(df, verdicts).unionByName(once)
+        return out
+    whole = joined(repeated, "left_semi").select(F.struct(*[df[c] for c in df.columns]).alias("whole"), df[key].alias("key"), mark_of(df, key, text).alias("mark"))
+    once = whole.groupBy("key", "mark").agg(F.min_by("whole", F.xxhash64(F.to_json("whole"))).alias("whole"))
+    return out.unionByName(once.select("whole.*"))
 
 
-def drop_near_duplicates(df: DataFrame, *, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``df`` with one document of each group: the one with the smallest key.
+def mark_of(df: DataFrame, key: str, text: str) -> Column:
+    """A hash of a row's key and text; with the key itself it names the row."""
+    return F.xxhash64(df[key], df[text])
 
-    Of rows that share a key one stays.  Rows without a key can't be named and stay.
-    """
-    found = near_duplicates(df.select(df[key].alias("id"), df[text].alias("body")), key="id", text="body")
-    return keep_first(df, found, key=key)
+
+def drop_near_duplicates(df: DataFrame, *, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``df`` with one document of each group of linked fingerprints, chosen by `keep_one`."""
+    marked = df.select(df[key].alias("key"), mark_of(df, key, text).alias("mark"), df[text].alias("body"))
+    rows = stored(fingerprints(marked.select(F.struct("key", "mark").alias("id"), "body"), key="id", text="body"))
+    rows = rows.select("id.*", F.col("fingerprint").alias("name"))
+    links = fingerprint_links(rows.select(F.col("name").alias("fingerprint")).distinct())
+    return keep_one(df, rows, min_components(links).withColumnRenamed("node", "name"), key=key, text=text)

@@ -2,6 +2,8 @@
 
 import random
 
+import pytest
+
 import corpus_pipeline
 from strandline.llm import near_copies
 
@@ -53,7 +55,15 @@ def test_stage_drops_near_copies(spark):
     rows = some_rows()
     df = spark.createDataFrame([*rows, (None, rows[0][1]), rows[-1]], "doc_id bigint, text string").repartition(5)
     kept = [r["doc_id"] for r in corpus_pipeline.near_dedup(spark, df, "").collect()]
-    assert sorted(k for k in kept if k is not None) == sorted(set(grouped(rows).values())) and kept.count(None) == 1
+    assert sorted(k for k in kept if k is not None) == sorted(set(grouped(rows).values())) and kept.count(None) == 0
+
+
+@pytest.mark.parametrize("order", [1, -1])
+def test_rows_that_share_a_key(spark, order):
+    a, b = "some words that are here twice", "another text that nothing else is like"
+    df = spark.createDataFrame([(3, a), (5, a), (5, b), (None, "alone with no key at all"), (6, ""), (None, None)][::order], "doc_id bigint, text string").repartition(2)
+    kept = sorted((str(r["doc_id"]), r["text"]) for r in near_copies.drop_near_copies(df).collect())
+    assert kept == sorted([("3", a), ("5", b), ("None", "alone with no key at all"), ("6", "")])
 
 
 def test_no_rows(spark):
