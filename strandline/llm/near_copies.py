@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strandline.llm import simhash
-from strandline.llm._tables import ship_package, stored
+from strandline.llm._tables import salted_join, ship_package, stored
 from strandline.llm.components import min_components
 
 SEED = 42
@@ -192,7 +192,7 @@ def near_copies(df: DataFrame, *, key: str = "doc_id", text: str = "text") -> Da
     names = stored(names.withColumn("component", F.coalesce("component", "name")))
     least = names.groupBy("component").agg(F.min("first").alias("component_id"))
     named = names.join(least, "component").select("name", "first", "n", "component_id")
-    return simhash.salted_join(made, named, "name", "key").select(F.col("key").alias(key), "component_id")
+    return salted_join(made, named, "name", "key").select(F.col("key").alias(key), "component_id")
 
 
 def drop_near_copies(df: DataFrame, *, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strandline.llm._tables import free_name, ship_package, stored
+from strandline.llm._tables import free_name, salted_join, ship_package, stored
 from strandline.llm.components import min_components
 
 SEED = 42
@@ -257,22 +257,6 @@ def near_duplicates(df: DataFrame, *, key: str = "doc_id", text: str = "text", m
     return salted_join(made, named, "fingerprint", key).select(key, F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-#: Parts in which the rows of one name are dealt.
-SALTS = 16
-
-
-def salted_join(rows: DataFrame, named: DataFrame, name: str, key: str) -> DataFrame:
-    """``rows`` with what ``named`` (one row a name: its number of rows n, its least key first) says of their names.
-
-    A name that many rows share would send them all to one task: rows are dealt by a hash of their keys as well, and a name with
-    several rows is sent to every part.
-    """
-    salt = lambda of: F.pmod(F.xxhash64(of, F.lit("salt")), F.lit(SALTS))
-    parts = F.when(F.col("n") == 1, F.array(salt("first"))).otherwise(F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint")))
-    each = named.withColumn("_salt", F.explode(parts)).drop("first", "n")
-    return rows.withColumn("_salt", salt(key)).join(each, [name, "_salt"]).drop("_salt")
-
-
 #: Ids of dropped documents up to which they are broadcast (8 bytes each) so that texts need no shuffle.
 BROADCAST_IDS = 1_000_000
 
