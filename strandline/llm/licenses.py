@@ -1,16 +1,19 @@
 """Licence scans by a positional index of rare licence words.
 
 The templates below are indexed by word: which template has it, at which position.  Document frequencies of the
-templates' words are counted over the whole corpus.  Of each file that has all words of a template's mandatory phrases,
-the template's words with the highest IDF are looked up; each posting proposes where its template would begin in the file, and a beginning that several rare words agree on is
-checked word by word.  A template is found when enough of its words stand at their relative positions and all of its
-mandatory phrases stand inside that stretch.
+templates' words are counted over the whole corpus.  Of each file its licence words with the highest IDF are looked up,
+as many as give every template that is possible there ``RARE_WORDS`` of its words.  Each posting proposes where its
+template would begin; beginnings that several rare words give, and that differ by no more than ``DRIFT`` (words were put
+in or left out between them), are intersected to a stretch of the file.  There the template's words are aligned in
+order, and it is found when enough of them stand there and all of its mandatory phrases do, each in order and with no
+more than ``PHRASE_GAP`` other words in between.
 
 The fixed base phrases are found at every place where their words stand consecutively, and keep their labels whatever
 the templates say.
 
-Rows: a null text counts as empty and has no words, no labels and score 0; repeated rows get equal results; extra
-columns are not looked at.
+Rows: null and empty texts have no words, no labels and score 0; very long texts are scanned whole; repeated rows get
+equal results; ties of IDF go by the word, and of equal shares all labels are given; an empty table gives no rows; extra
+columns, also of the names used here, are not looked at.
 """
 
 from __future__ import annotations
@@ -43,14 +46,36 @@ TEMPLATES = [
     ("cc-by-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License", ["creative commons attribution 4 0"]),
     ("cc-by-sa-4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License", ["creative commons attribution sharealike 4 0"]),
     ("isc", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted", ["permission to use copy modify", "hereby granted"]),
+    ("mit", """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal
+      in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software,
+      and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included
+      in all copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE
+      WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR
+      OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.""",
+     ["permission is hereby granted free of charge", "the software is provided as is"]),
+    ("bsd", """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of
+      source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright
+      notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.""",
+     ["redistribution and use", "redistributions in binary form"]),
+    ("isc", """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this
+      permission notice appear in all copies. THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES
+      OF MERCHANTABILITY AND FITNESS.""", ["permission to use copy modify", "the author disclaims all warranties"]),
+    ("apache-2.0", """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy of the License at
+      http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS,
+      WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License.""",
+     ["apache license", "version 2 0"]),
     ("unlicense", "This is free and unencumbered software released into the public domain", ["unencumbered software", "public domain"]),
 ]
 
-#: Rare words of a file that are looked up for a template.
-RARE_WORDS = 6
+#: Rare words of a file that are looked up for a template, where it has as many.
+RARE_WORDS = 8
 #: Rare words of a template that must agree on where it begins.
 AGREEING = 2
-#: Share of a template's words that must stand at their positions.
+#: Words by which beginnings may differ.
+DRIFT = 8
+#: Other words inside a mandatory phrase.
+PHRASE_GAP = 2
+#: Share of a template's words that must stand there in order.
 LEAST_MATCH = 0.75
 
 _TO_WORDS = bytes(b if b >= 0x80 or 48 <= b <= 57 or 97 <= b <= 122 else b + 32 if 65 <= b <= 90 else 32 for b in range(256))
@@ -119,29 +144,78 @@ class Scanner:
                 score = max(score, matched)
         return len(words), len(starts), min(starts, default=None), max(starts, default=None), ",".join(sorted(base)), ",".join(sorted(labels)), score
 
+    def rarest(self, present: frozenset[bytes], possible: set[int]) -> list[bytes]:
+        """The file's licence words by falling IDF, as far as a possible template still asks for words."""
+        asked, out = dict.fromkeys(possible, RARE_WORDS), []
+        for word in sorted(present, key=lambda w: (-self.idf.get(w, 0.0), w)):
+            of = {t for t, _ in self.postings.get(word, ()) if asked.get(t)}
+            if of:
+                out.append(word)
+                for t in of:
+                    asked[t] -= 1
+        return out
+
+    def stretches(self, words: list[bytes], present: frozenset[bytes], possible: set[int]) -> Iterator[tuple[int, int, int]]:
+        """Templates and stretches of the file in which enough rare words agree on a beginning."""
+        votes: dict[int, list[tuple[int, bytes]]] = defaultdict(list)
+        for word in self.rarest(present, possible):
+            places = _positions(words, word)
+            for t, position in self.postings[word]:
+                if t in possible:
+                    votes[t] += [(p - position, word) for p in places]
+        for t, given in votes.items():
+            given.sort()
+            size, next_start, last = len(self.templates[t].words), None, 0
+            within: Counter[bytes] = Counter()
+            first = 0
+            for start, _ in given:
+                if next_start is not None and start < next_start:
+                    continue
+                while last < len(given) and given[last][0] <= start + 2 * DRIFT:
+                    within[given[last][1]] += 1
+                    last += 1
+                while given[first][0] < start:
+                    within[given[first][1]] -= 1
+                    first += 1
+                if sum(n > 0 for n in within.values()) >= AGREEING:
+                    yield t, max(0, start - DRIFT), max(0, start + 3 * DRIFT + size)
+                next_start = start + DRIFT  # windows overlap by half, so that one holds all beginnings of a match
+
     def found(self, words: list[bytes], present: frozenset[bytes], possible: set[int]) -> list[tuple[str, float]]:
         """Labels, and shares of words that match, of those ``possible`` templates (all words of their phrases are there)."""
-        votes: Counter[tuple[int, int]] = Counter()
-        for t in possible:
-            rare = sorted(present.intersection(self.templates[t].words), key=lambda w: (-self.idf.get(w, 0.0), w))[:RARE_WORDS]
-            for word in rare:
-                places = _positions(words, word)
-                for position in [position for of, position in self.postings[word] if of == t]:
-                    votes.update((t, p - position) for p in places)
         best: dict[int, float] = {}
-        for (t, start), n in votes.items():
-            if n < AGREEING:
-                continue
-            template = self.templates[t]
-            size = len(template.words)
-            matched = sum(words[start + k] == w for k, w in enumerate(template.words) if 0 <= start + k < len(words)) / size
-            if matched >= LEAST_MATCH and matched > best.get(t, 0.0):
-                stretch = words[max(0, start) : max(0, start + size)]
-                if all(self.places(stretch, phrase) for phrase in template.phrases):
-                    best[t] = matched
+        for t, begin, end in self.stretches(words, present, possible):
+            template, stretch = self.templates[t], words[begin:end]
+            matched = aligned(template.words, stretch) / len(template.words)
+            if matched >= LEAST_MATCH and matched > best.get(t, 0.0) and all(stands(phrase, stretch) for phrase in template.phrases):
+                best[t] = matched
         return [(self.templates[t].label, share) for t, share in best.items()]
 
 
+def aligned(template: list[bytes], stretch: list[bytes]) -> int:
+    """How many words of ``template`` stand in ``stretch`` in order, at most (a longest common subsequence, a bit a word)."""
+    at: dict[bytes, int] = defaultdict(int)
+    for k, word in enumerate(template):
+        at[word] |= 1 << k
+    whole = (1 << len(template)) - 1
+    open_ = whole
+    for word in stretch:
+        hit = open_ & at.get(word, 0)
+        open_ = ((open_ + hit) | (open_ - hit)) & whole
+    return len(template) - open_.bit_count()
+
+
+def stands(phrase: list[bytes], stretch: list[bytes]) -> bool:
+    """Whether the words of ``phrase`` stand in order, with no more than ``PHRASE_GAP`` other words in between."""
+    for start in _positions(stretch, phrase[0]):
+        reach = [{start}]
+        for word in phrase[1:]:
+            reach.append({p for before in reach[-1] for p in range(before + 1, before + 2 + PHRASE_GAP) if p < len(stretch) and stretch[p] == word})
+        if any(p - start - len(phrase) + 1 <= PHRASE_GAP for p in reach[-1]):
+            return True
+    return False
+
+
 def document_frequencies(df: DataFrame, *, text: str = "text") -> dict[bytes, float]:
     """IDF of every template word, over all rows.
 

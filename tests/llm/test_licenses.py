@@ -1,5 +1,7 @@
 """Licence scans: base phrases against a plain search, templates on notices and near misses."""
 
+import random
+
 import re
 
 from strandline.llm import licenses
@@ -52,3 +54,47 @@ def test_document_frequencies(spark):
 
 def test_empty_table(spark):
     assert licenses.license_report(spark.createDataFrame([], "doc_id bigint, text string")).count() == 0
+
+
+def brute_force(scanner, words):
+    """Labels of all templates that are aligned with any stretch of the file."""
+    out = set()
+    for template in scanner.templates:
+        size = len(template.words)
+        for start in range(0, max(1, len(words) - size // 2)):
+            stretch = words[start : start + size + licenses.DRIFT]
+            table = [[0] * (len(stretch) + 1) for _ in range(size + 1)]
+            for i, a in enumerate(template.words):
+                for j, b in enumerate(stretch):
+                    table[i + 1][j + 1] = table[i][j] + 1 if a == b else max(table[i][j + 1], table[i + 1][j])
+            assert licenses.aligned(template.words, stretch) == table[-1][-1]
+            if table[-1][-1] / size >= licenses.LEAST_MATCH and all(licenses.stands(p, stretch) for p in template.phrases):
+                out.add(template.label)
+                break
+    return out
+
+
+def test_notices_with_words_put_in_and_left_out():
+    rnd = random.Random(5)
+    scanner = licenses.Scanner({w: 1.0 + len(w) for w in licenses.Scanner({}).vocabulary})
+    found = wanted = 0
+    for label, notice, _ in licenses.TEMPLATES[:12] * 3:
+        words = licenses.words_of(notice)
+        for _ in range(rnd.randint(0, 5)):
+            if rnd.random() < 0.5:
+                words.insert(rnd.randrange(len(words) + 1), b"extra")
+            elif len(words) > 8:
+                del words[rnd.randrange(len(words))]
+        text = [rnd.choice([b"lorem", b"free", b"software", b"under", b"the"]) for _ in range(20)] + words + [b"rest"] * 5
+        want = brute_force(scanner, text)
+        got = set(filter(None, scanner.scan(b" ".join(text).decode())[5].split(",")))
+        found, wanted = found + len(got & want), wanted + len(want)
+        assert got - want <= set(licenses.BASE.values())
+    assert wanted > 20 and found >= 0.9 * wanted
+
+
+def test_whole_licences_and_ties():
+    scanner = licenses.Scanner({})  # all words have one IDF
+    for label, notice, _ in licenses.TEMPLATES:
+        labels, score = scanner.scan("before it\n" + notice.replace(" ", "\n", 3) + "\nafter it")[5:]
+        assert label in labels.split(",") and score == 1.0
