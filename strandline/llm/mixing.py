@@ -10,9 +10,10 @@ A permutation orders a source's documents by a block (of about ``BLOCK_ROWS`` do
 and inside it by a finer hash.  Running sums go over blocks first and then inside the one block that holds the cut, so
 that no task ever holds a source.  What is left to decide a row is one cut for each source.
 
-All of it is Spark SQL expressions; the bisection is a fold over the array of source shares.  Rows: a null source is a
-source of its own; null and empty texts have zero tokens, and a source without any token is taken once; ties in the hash go by key,
-and rows with equal keys are taken or left together; an empty table gives no rows; extra columns stay (`mix`).
+All of it is Spark SQL expressions; the bisection is a fold over an array with a cell for each number of tokens that
+sources have.  Rows: a null source is a source of its own; null and empty texts have zero tokens, and a source without
+any token is taken once; very long texts are counted without making their words; ties in the hash go by key, and rows
+with equal keys are taken or left together; an empty table gives no rows; extra columns stay (`mix`).
 """
 
 from __future__ import annotations
@@ -41,16 +42,21 @@ def tokens_of(text: Column) -> Column:
     return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(r"[^\x20\x09-\x0D]++"))
 
 
-def _weights(shares: Column, exponent: Column) -> Column:
-    """Normalised weights of an array of shares."""
-    return let(
-        F.transform(shares, lambda s: F.when(s > 0, F.pow(s, exponent)).otherwise(F.lit(0.0))),
-        lambda raised: let(F.aggregate(raised, F.lit(0.0), lambda a, x: a + x), lambda total: F.transform(raised, lambda x: F.coalesce(F.try_divide(x, total), F.lit(0.0)))),
-    )
+def _raised(cells: Column, exponent: Column) -> Column:
+    """Cells (share, m) with the share to the power of an exponent."""
+    return F.transform(cells, lambda c: F.struct(F.when(c["share"] > 0, F.pow(c["share"], exponent)).otherwise(F.lit(0.0)).alias("share"), c["m"].alias("m")))
 
 
-def _entropy(weights: Column) -> Column:
-    return -F.aggregate(weights, F.lit(0.0), lambda a, w: a + F.when(w > 0, w * F.ln(w)).otherwise(F.lit(0.0)))
+def _total(cells: Column) -> Column:
+    return F.aggregate(cells, F.lit(0.0), lambda a, c: a + c["share"] * c["m"])
+
+
+def _entropy(cells: Column) -> Column:
+    """Of the normalised cells."""
+    return let(
+        _total(cells),
+        lambda total: -F.aggregate(cells, F.lit(0.0), lambda a, c: a + F.when(c["share"] > 0, c["m"] * (c["share"] / total) * F.ln(c["share"] / total)).otherwise(F.lit(0.0))),
+    )
 
 
 def _bisect(holds, rounds: int = BISECTIONS) -> Column:
@@ -71,28 +77,33 @@ def source_weights(
 ) -> DataFrame:
     """``sources`` (source, tokens, rows) with exponent and weight (6 decimals), and quota in tokens.
 
-    The budget is ``budget_share`` of all tokens.  One row holds the shares of all sources (a few bytes each).
+    The budget is ``budget_share`` of all tokens.  Sources with equal numbers of tokens have equal weights: the exponent is
+    sought over one cell for each number that occurs, with how many sources have it.
     """
-    one = sources.agg(F.sort_array(F.collect_list(F.struct("source", "tokens", "rows"))).alias("each"), F.coalesce(F.sum("tokens"), F.lit(0)).alias("total"))
-    one = one.select(
-        "each", "total", F.floor(F.lit(float(budget_share)) * F.col("total")).cast("bigint").alias("budget"),
-        F.transform("each", lambda s: F.coalesce(F.try_divide(s["tokens"].cast("double"), F.col("total").cast("double")), F.lit(0.0))).alias("shares"),
-    )
-    shares = F.col("shares")
-    most = F.ln(F.greatest(F.size(F.filter(shares, lambda s: s > 0)), F.lit(1)).cast("double"))
-    one = one.withColumn("own", _entropy(shares)).withColumn("target", F.col("own") + F.lit(float(entropy_share)) * F.greatest(most - F.col("own"), F.lit(0.0)))
+    cells = sources.groupBy("tokens").agg(F.count(F.lit(1)).alias("m"))
+    one = cells.agg(F.sort_array(F.collect_list(F.struct("tokens", "m"))).alias("each"), F.coalesce(F.sum(F.col("tokens") * F.col("m")), F.lit(0)).alias("total"))
+    share = lambda tokens: F.coalesce(F.try_divide(tokens.cast("double"), F.col("total").cast("double")), F.lit(0.0))
+    one = one.select("total", F.floor(F.lit(float(budget_share)) * F.col("total")).cast("bigint").alias("budget"), F.transform("each", lambda c: F.struct(share(c["tokens"]).alias("share"), c["m"].alias("m"))).alias("cells"))
+    cells = F.col("cells")
+    some = F.aggregate(cells, F.lit(0).cast("bigint"), lambda a, c: a + F.when(c["share"] > 0, c["m"]).otherwise(F.lit(0)))
+    one = one.withColumn("own", _entropy(cells)).withColumn("target", F.col("own") + F.lit(float(entropy_share)) * F.greatest(F.ln(F.greatest(some, F.lit(1)).cast("double")) - F.col("own"), F.lit(0.0)))
 
     def repeats(exponent: Column) -> Column:
-        each = F.zip_with(_weights(shares, exponent), shares, lambda w, s: F.when(s > 0, w * F.col("budget") / (s * F.col("total"))).otherwise(F.lit(0.0)))
-        return F.coalesce(F.array_max(each), F.lit(0.0))
+        def most(raised: Column, norm: Column) -> Column:
+            times = lambda r, c: F.when(c["share"] > 0, r["share"] / norm * F.col("budget") / (c["share"] * F.col("total"))).otherwise(F.lit(0.0))
+            return F.coalesce(F.array_max(F.zip_with(raised, cells, times)), F.lit(0.0))
+
+        return let(_raised(cells, exponent), lambda raised: let(_total(raised), lambda norm: most(raised, norm)))
 
-    reaches = _bisect(lambda a: _entropy(_weights(shares, a)) >= F.col("target") - 1e-9)
+    reaches = _bisect(lambda a: _entropy(_raised(cells, a)) >= F.col("target") - 1e-9)
     # the repeats of the most repeated source fall as the exponent grows, so their limit bounds it from below
     limited = 1.0 - _bisect(lambda b: repeats(1.0 - b) <= F.lit(float(most_repeats)))
     one = one.withColumn("exponent", F.round(F.greatest(reaches, limited), 6))
-    one = one.withColumn("weights", F.transform(_weights(shares, F.col("exponent")), lambda w: F.round(w, 6)))
-    each = one.select("budget", "exponent", F.explode(F.arrays_zip("each", "weights")).alias("x"))
-    return each.select("x.each.*", "exponent", F.col("x.weights").alias("weight"), F.floor(F.col("x.weights") * F.col("budget")).cast("bigint").alias("quota"))
+    found = one.select("total", "budget", "exponent", _total(_raised(cells, F.col("exponent"))).alias("norm")).first()  # four numbers
+    raised = F.when(F.col("tokens") > 0, F.pow(F.col("tokens").cast("double") / F.lit(float(found["total"] or 1)), F.lit(found["exponent"]))).otherwise(F.lit(0.0))
+    weight = F.round(F.coalesce(F.try_divide(raised, F.lit(found["norm"])), F.lit(0.0)), 6)
+    weighted = sources.select("source", "tokens", "rows", F.lit(found["exponent"]).alias("exponent"), weight.alias("weight"))
+    return weighted.withColumn("quota", F.floor(F.col("weight") * F.lit(found["budget"])).cast("bigint"))
 
 
 def _permuted(rows: DataFrame, key: str) -> DataFrame:
@@ -117,7 +128,7 @@ def source_cuts(rows: DataFrame, *, budget_share: float = 1.0, entropy_share: fl
     """
     parts = rows.groupBy("source", F.pmod(F.xxhash64("key"), F.lit(SALTS)).alias("salt")).agg(F.sum("n").alias("tokens"), F.count(F.lit(1)).alias("rows"))
     sources = parts.groupBy("source").agg(F.sum("tokens").alias("tokens"), F.sum("rows").alias("rows"))
-    sources = source_weights(sources, budget_share=budget_share, entropy_share=entropy_share, most_repeats=most_repeats)
+    sources = source_weights(stored(sources), budget_share=budget_share, entropy_share=entropy_share, most_repeats=most_repeats)
     passes = F.when(F.col("tokens") > 0, F.floor(F.try_divide(F.col("quota"), F.col("tokens")))).otherwise(F.lit(1)).cast("bigint")
     sources = sources.withColumn("epoch", passes).withColumn("left", F.greatest(F.col("quota") - F.col("epoch") * F.col("tokens"), F.lit(0)))
     sources = stored(sources.coalesce(1))
