@@ -6,7 +6,8 @@ cost, and a row that one rule rejects is not shown to the next.  The order chang
 document is kept when no rule rejects it.
 
 All of it is Spark SQL expressions.  Rows: a null text counts as empty; an empty text has zero words and fails the
-base rules; repeated rows are judged each; extra columns, also of the names used here, stay as they are (`quality_filter`)
+base rules; a very long text is judged whole, and not by its length; rules of equal gain are asked in the order of their
+costs, then as given (ties); an empty table gives no rows; repeated rows are judged each; extra columns, also of the names used here, stay as they are (`quality_filter`)
 or are not looked at (`quality_report`).
 """
 
@@ -24,6 +25,11 @@ from strandline.llm._tables import WORD_BREAKS, let, stored
 WORD_BREAK_RUN = r"[\x20\x09-\x0D]+"
 SYMBOLS = r"[#*$%&|<>]"
 WINDOW = 8
+#: Words in a run of `distinct_words`.
+RUN = 1000
+#: Times that the sample is shown to a rule, at most, until that takes some times as long as showing it to none.
+MOST_SHOWN = 16
+CLEAR = 2
 #: Rows, on average, of the sample on which rules are measured.
 SAMPLE_ROWS = 1000
 
@@ -67,6 +73,12 @@ def duplicate_lines(text: Column) -> Column:
     return let(written_lines(text), lambda lines: F.size(lines) - F.size(F.array_distinct(lines)))
 
 
+def distinct_words(words: Column) -> Column:
+    """The number of distinct words in each run of ``RUN`` words, added up: a share of the words that does not fall with length."""
+    starts = F.when(F.size(words) > 0, F.sequence(F.lit(1), F.size(words), F.lit(RUN))).otherwise(F.array().cast("array<int>"))
+    return F.aggregate(starts, F.lit(0), lambda n, at: n + F.size(F.array_distinct(F.slice(words, at, F.lit(RUN)))))
+
+
 @dataclass(frozen=True)
 class Rule:
     """``rejects(text, words)``: a boolean column that is never null."""
@@ -89,7 +101,7 @@ METHOD_RULES = [
     Rule("shouting", lambda text, words: 5 * F.regexp_count(text, F.lit("[A-Z]")) > 2 * _word_chars(words)),
     Rule("word_length", lambda text, words: let(_word_chars(words), lambda n: (n < 2 * F.size(words)) | (n > 14 * F.size(words)))),
     Rule("duplicate_lines", lambda text, words: let(written_lines(text), lambda x: 10 * (F.size(x) - F.size(F.array_distinct(x))) > 5 * F.size(x))),
-    Rule("few_distinct_words", lambda text, words: 20 * F.size(F.array_distinct(words)) < F.size(words)),
+    Rule("few_distinct_words", lambda text, words: 20 * distinct_words(words) < F.size(words)),
 ]
 
 
@@ -105,31 +117,53 @@ class Measured:
 
 
 def measure_rules(df: DataFrame, rules: list[Rule], *, text: str = "text", sample_rows: int = SAMPLE_ROWS) -> list[Measured]:
-    """Cost and selectivity of each rule on a sample of about ``sample_rows`` rows, the best first.
+    """Cost and selectivity of each rule on a sample of about ``sample_rows`` rows, in the order of the cascade.
 
-    An empty sample measures nothing and leaves the rules in their order.
+    A rule's cost is measured over the sample as often as it takes to stand out from a job without a rule.  Rules are then
+    chosen one after the other by the rejections, among sampled rows that no rule before rejects, for their cost; ``rejected``
+    is that share.  An empty sample measures nothing and leaves the rules in their order.
     """
     total = df.count()
     if not total:
         return [Measured(rule, 0.0, 0.0) for rule in rules]
     few = df.select(F.coalesce(df[text], F.lit("")).alias("text"))
     few = few.sample(fraction=min(1.0, sample_rows / total), seed=11) if total > sample_rows else few
-    few = stored(few.repartition(4)).select("text", words_of(F.col("text")).alias("words"))
+    # one task, so that its time is the rules' time; with the words made before
+    few = stored(few.repartition(1).select("text", words_of(F.col("text")).alias("words")))
+    text_, words = F.col("text"), F.col("words")
 
-    def run(rejects: Column) -> tuple[float, int, int]:
+    def run(rejects: Column, times: int) -> float:
+        shown = few.select("text", "words", F.explode(F.sequence(F.lit(1), F.lit(times))))
         began = time.perf_counter()
-        row = few.agg(F.count(F.lit(1)).alias("n"), F.count_if(rejects).alias("k")).first()
-        return time.perf_counter() - began, row["n"], row["k"]
-
-    def cheapest(rejects: Column) -> tuple[float, int, int]:
-        return min(run(rejects) for _ in range(2))
-
-    idle, n, _ = cheapest(F.size("words") < 0)
-    measured = []
-    for rule in rules:
-        took, n, k = cheapest(rule.rejects(F.col("text"), F.col("words")))
-        measured.append(Measured(rule, max(took - idle, 1e-4) / max(n, 1), k / max(n, 1)))
-    return sorted(measured, key=lambda m: -m.gain)
+        shown.agg(F.count_if(rejects)).first()
+        return time.perf_counter() - began
+
+    idle: dict[int, float] = {}
+
+    def cost(rule: Rule) -> float:
+        times = 1
+        while True:
+            if times not in idle:
+                idle[times] = min(run(F.size(words) < 0, times) for _ in range(2 if times == 1 else 1))
+            more = min(run(rule.rejects(text_, words), times) for _ in range(2 if times == 1 else 1)) - idle[times]
+            if more >= CLEAR * idle[1] or times >= MOST_SHOWN:
+                return max(more, 1e-4) / times
+            times *= 4
+
+    # how many sampled rows which rules reject: at most two to the power of the rules
+    verdicts = few.select(*[rule.rejects(text_, words).alias(f"r{k}") for k, rule in enumerate(rules)])
+    seen = [tuple(r) for r in verdicts.groupBy(*verdicts.columns).count().collect()]
+    n = sum(r[-1] for r in seen)
+    costs = [cost(rule) / max(n, 1) for rule in rules] if n else [0.0] * len(rules)
+    left, alive, measured = list(range(len(rules))), seen, []
+    while left:
+        size = sum(r[-1] for r in alive)
+        shares = {k: sum(r[-1] for r in alive if r[k]) / size if size else 0.0 for k in left}
+        best = max(left, key=lambda k: (shares[k] / max(costs[k], 1e-9), -costs[k], -k))
+        measured.append(Measured(rules[best], costs[best], shares[best]))
+        left.remove(best)
+        alive = [r for r in alive if not r[best]]
+    return measured
 
 
 def cascade(text: Column, words: Column, rules: list[Rule]) -> Column:

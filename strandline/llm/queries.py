@@ -85,7 +85,7 @@ WITH d AS (
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT (base_failed OR 4 * n_symbols > n_words OR 5 * len(regexp_extract_all(t, '[A-Z]')) > 2 * word_chars
             OR word_chars < 2 * n_words OR word_chars > 14 * n_words OR 10 * n_dup_lines > 5 * len(lines)
-            OR 20 * len(list_distinct(w)) < n_words) AS kept
+            OR 20 * coalesce(list_sum(list_transform(range(1, len(w) + 1, 1000), lambda i: len(list_distinct(w[i:i+999])))), 0) < n_words) AS kept
 FROM judged
 """
 
