@@ -6,12 +6,13 @@ language; a text gets the language of the centroid with the largest cosine.  A t
 below the limit of its language (half of the least cosine that the language's training texts have with their nearest
 centroid) is rejected as too far from all languages.
 
-The model is fitted on a bounded sample of labelled rows: about ``PER_LANGUAGE`` for each language, and never more than
-twice that times the number of languages.  Every row is classified, by its text alone.
+The model is fitted on a bounded sample of labelled rows: about ``PER_LANGUAGE`` for each language, and about ``SAMPLE_ROWS``
+in all where there are many languages.  Every row is classified, by its text alone.
 
 Rows: a null text, or one without a letter, is ``und`` with score 0 and rejected.  Rows with a null or blank language
-teach nothing; with no labelled row at all every text is ``und``.  Repeated rows get equal results.  Extra columns stay
-(`reject_unknown`) or are not looked at (`predict`).
+teach nothing; with no labelled row at all every text is ``und``.  A very long text is hashed in stretches.  Of equal cosines
+the first centroid wins, in the order of languages (ties).  Repeated rows get equal results; an empty table gives no
+rows.  Extra columns, also of the names used here, stay (`reject_unknown`) or are not looked at (`predict`).
 """
 
 from __future__ import annotations
@@ -32,6 +33,8 @@ UNKNOWN = "und"
 BUCKETS = 4096
 #: Labelled texts that are used of each language, on average.
 PER_LANGUAGE = 300
+#: Labelled texts that are used in all, on average (at most 16 kB each on the driver).
+SAMPLE_ROWS = 20_000
 #: Centroids for each language, at most.
 CENTROIDS = 4
 ROUNDS = 12
@@ -132,14 +135,15 @@ def held_out(key: Column) -> Column:
 def fit(df: DataFrame, *, key: str = "doc_id", text: str = "text", lang: str = "lang", per_language: int = PER_LANGUAGE) -> Model:
     """A model from a sample of the rows of ``df`` that are not held out and have a language.
 
-    Rows are chosen by a hash of the key, at a rate for each language that expects ``per_language`` rows.  Only the
-    n-gram counts of the chosen rows come to the driver (at most 32 kB each).
+    Rows are chosen by a hash of the key, at a rate for each language that expects ``per_language`` rows (fewer where
+    that is more than ``SAMPLE_ROWS`` in all).  Only the n-gram counts of the chosen rows come to the driver.
     """
     ship_package(df.sparkSession)
     labelled = df.select(df[key].alias("key"), df[text].alias("text"), df[lang].alias("lang")).where((F.trim("lang") != "") & ~held_out(F.col("key")))
     sizes = {r["lang"]: r["count"] for r in labelled.groupBy("lang").count().collect()}  # a row for each language
     if not sizes:
         return fit_vectors(np.zeros((0, BUCKETS), np.int64), [])
+    per_language = min(per_language, max(1, SAMPLE_ROWS // len(sizes)))
     rate = F.lit(0.0)
     for language, n in sizes.items():
         rate = F.when(F.col("lang") == language, F.lit(min(1.0, per_language / n))).otherwise(rate)
@@ -152,7 +156,7 @@ def fit(df: DataFrame, *, key: str = "doc_id", text: str = "text", lang: str = "
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(rows, pa.binary())], ["key", "lang", "counts"])
 
     kind = df.schema[key].dataType.simpleString()
-    few = chosen.mapInArrow(run, f"key {kind}, lang string, counts binary").limit(2 * per_language * len(sizes)).collect()
+    few = chosen.mapInArrow(run, f"key {kind}, lang string, counts binary").collect()
     few.sort(key=lambda r: (r["lang"], r["key"], bytes(r["counts"])))
     raw = np.array([np.frombuffer(r["counts"], np.int32) for r in few]).reshape(len(few), BUCKETS)
     return fit_vectors(raw, [r["lang"] for r in few])

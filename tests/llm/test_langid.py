@@ -1,5 +1,6 @@
 """Language identification: held-out accuracy, rejection, independence of other columns."""
 
+import math
 import random
 import zlib
 
@@ -40,6 +41,38 @@ def test_held_out_accuracy(labelled, model):
     assert all(0 <= r["score"] <= 1 for r in rows)
 
 
+def plain_counts(text):
+    """Hashed n-grams of one to three characters, one after the other."""
+    points = [ord(c) if c.isalpha() else 32 for c in f" {text.lower()} "]
+    mask, total = 2**64 - 1, [0] * langid.BUCKETS
+    two_of = lambda a, b: ((a * 0xC2B2AE3D27D4EB4F) ^ (b * 0x165667B19E3779F9)) & mask
+    for k, p in enumerate(points):
+        grams = [p * 0x9E3779B97F4A7C15 & mask]
+        if k >= 1:
+            grams.append(two_of(points[k - 1], p))
+        if k >= 2:
+            grams.append(((points[k - 2] * 0x85EBCA77C2B2AE63) ^ (two_of(points[k - 1], p) * 0x27D4EB2F165667C5)) & mask)
+        for g in grams:
+            total[g >> 52] += 1
+    return total
+
+
+def test_predictions_against_loops(labelled, model):
+    texts = {r["doc_id"]: r["text"] for r in labelled.collect()}
+    for r in langid.predict(labelled, model).collect():
+        x = [math.log1p(n) * float(i) for n, i in zip(plain_counts(texts[r["doc_id"]]), model.idf)]
+        length = math.sqrt(sum(v * v for v in x))
+        cosines = [sum(a * float(b) for a, b in zip(x, c)) / length for c in model.centroids]
+        best = max(range(len(cosines)), key=lambda k: cosines[k])
+        assert abs(r["score"] - cosines[best]) < 1e-4
+        assert r["lang_pred"] == model.languages[best] or sorted(cosines)[-2] > cosines[best] - 1e-5
+
+
+def test_ties_go_to_the_first_language():
+    raw = np.array([plain_counts("ka ro mi"), plain_counts("ka ro mi")])
+    assert langid.fit_vectors(raw, ["yy", "xx"]).classify("ka ro")[0] == "xx"
+
+
 def test_learns_nothing_from_held_out_rows(spark, labelled):
     relabelled = labelled.withColumn("lang", F.when(langid.held_out(F.col("doc_id")), "zz").otherwise(F.col("lang")))
     assert "zz" not in langid.fit(relabelled).languages
