@@ -4,7 +4,8 @@ Lines of a message that begin with ``>`` are quoted, one level for each mark.  P
 without blank lines between them; they are re-flowed (lower case, white space collapsed, so that other line breaks
 change nothing) and hashed, and so are single lines of ``LEAST_WORDS`` words or more inside them, for quotes that leave
 something out.  A quoted passage belongs to the message of the same conversation that said it itself first, if that
-stands before the quoting one; a hash that agrees is confirmed on the text.  A message replies to the latest of the
+stands before the quoting one; a hash that agrees is confirmed by a SHA-256 of the whole passage, so that texts are not
+shuffled.  A message replies to the latest of the
 messages that its outermost linked quotes belong to, by whole passages where there are such; replies of replies form
 threads, each named by its first message.  Quoted lines, and the line before a quote that only says who wrote it, are
 left out of the body.
@@ -105,10 +106,11 @@ def parsed(df: DataFrame, *, conv: str = "conv_id", turn: str = "turn", role: st
 
 def reply_links(messages: DataFrame) -> DataFrame:
     """conv, turn, parent of every message that quotes an earlier one; one row for a (conv, turn)."""
-    found = messages.select("conv", "turn", F.explode(passages(F.col("lines"))).alias("p")).select("conv", "turn", "p.*", F.xxhash64("p.norm").alias("hash"))
+    found = messages.select("conv", "turn", F.explode(passages(F.col("lines"))).alias("p"))
+    found = stored(found.select("conv", "turn", "p.level", "p.whole", F.xxhash64("p.norm").alias("hash"), F.unhex(F.sha2("p.norm", 256)).alias("digest")))
     quoted = found.where("level > 0").distinct()
-    said = found.where("level = 0").groupBy("conv", "hash", "norm").agg(F.min("turn").alias("origin"))
-    linked = quoted.join(said, ["conv", "hash", "norm"]).where("origin < turn")
+    said = found.where("level = 0").groupBy("conv", "hash", "digest").agg(F.min("turn").alias("origin"))
+    linked = quoted.join(said, ["conv", "hash", "digest"]).where("origin < turn")
     return linked.groupBy("conv", "turn").agg(F.max(F.struct((-F.col("level")).alias("nearness"), "whole", "origin"))["origin"].alias("parent"))
 
 
