@@ -2,10 +2,12 @@
 
 import random
 
+import numpy as np
 import pytest
 
 import corpus_pipeline
 from strandline.llm import near_copies
+from strandline.llm.components import min_components
 
 
 def shingles(text):
@@ -43,12 +45,35 @@ def some_rows():
     return [(k, " ".join(x)) for k, x in enumerate(rows)] + [(900, None), (901, ""), (902, "ONE two"), (903, "one  Two")]
 
 
-def test_components_against_all_pairs(spark):
+@pytest.mark.parametrize("memory", [near_copies.SET_MEMORY, 1500])
+def test_components_against_all_pairs(spark, memory):
     rows = some_rows()
     want = grouped(rows)
     assert 10 < len(set(want.values())) < len(rows) - 10
     df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)
-    assert {r["doc_id"]: r["component_id"] for r in near_copies.near_copies(df).collect()} == want
+    assert {r["doc_id"]: r["component_id"] for r in near_copies.near_copies(df, memory=memory).collect()} == want
+
+
+def test_blocks_that_pass_each_other(spark):
+    """Sets that all share one key, in a chain whose ends are unlike: blocks of few sets, in parts, give the same components."""
+    rnd = random.Random(5)
+    rows = [(0, np.arange(40))]
+    for k in range(1, 30):  # each has two of the one before replaced, now and then most
+        last = rows[rnd.randrange(max(0, k - 3), k)][1].copy()
+        last[rnd.sample(range(40), 30 if k % 9 == 0 else 2)] = [rnd.randrange(1000, 10**6) for _ in range(30 if k % 9 == 0 else 2)]
+        rows.append((k, last))
+    sets = {k: np.unique(v.astype(np.uint64)) for k, v in rows}
+    want = near_copies.exact_links(np.array(list(sets), np.int64), list(sets.values()))
+    roots = dict(zip(*map(list, want)))
+    want = {k: roots.get(k, k) for k in sets}
+    assert 3 < len(set(want.values())) < 20
+    members = spark.createDataFrame([(k, len(v), [7]) for k, v in sets.items()], "name bigint, size bigint, keys array<bigint>")
+    bodies = spark.createDataFrame([(k, v.tobytes()) for k, v in sets.items()], "name bigint, shingles binary")
+    for memory in (10**6, 600, 100):
+        links = near_copies._crowded_links(members, bodies, memory)
+        found = {r["node"]: r["component"] for r in min_components(links).collect()}
+        assert {k: found.get(k, k) for k in sets} == want
+        assert links.count() < 60 * len(sets)
 
 
 def test_stage_drops_near_copies(spark):
