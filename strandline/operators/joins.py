@@ -74,10 +74,14 @@ def annotate_intervals(df: DataFrame, track: DataFrame, name: str, *, most: int
 
 
 def annotate_genes(df: DataFrame, genes: DataFrame) -> DataFrame:
-    """The four gene columns of a computed annotation table, by chromosome, start and end (for a variant: its position)."""
+    """The four gene columns of a computed annotation table, by chromosome, start and end (of a variant: of its reference allele).
+
+    Of several rows for one place the smallest counts, so that no variant is multiplied.
+    """
     columns = ["annovar_function", "gene", "exonic_classification", "annovar_transcripts"]
-    small = genes.select("chrom", F.col("start").alias("pos"), *columns).where(genes["start"] == genes["end"])
-    return df.drop(*columns).join(small, ["chrom", "pos"], "left")
+    least = genes.groupBy("chrom", F.col("start").alias("pos"), F.col("end").alias("_end")).agg(F.min(F.struct(*columns)).alias("_gene"))
+    ends = df.drop(*columns).withColumn("_end", F.col("pos") + F.greatest(F.length("ref"), F.lit(1)) - 1)
+    return ends.join(least, ["chrom", "pos", "_end"], "left").select(*[c for c in ends.columns if c != "_end"], "_gene.*")
 
 
 def merge_base_qualities(df: DataFrame, ref: DataFrame, alt: DataFrame, positions: DataFrame, *, how: str = "left") -> DataFrame:

@@ -166,6 +166,15 @@ def test_uncovered_and_multiallelic_candidates(spark):
 # --- joins ------------------------------------------------------------------------------------------------------
 
 
+def test_genes_by_start_and_end(spark):
+    df = spark.createDataFrame([("p", "1", 5, "A", "old"), ("p", "1", 5, "ACG", "old"), ("p", "1", 9, "A", "old"), ("p", "2", 5, None, "old")], "pid string, chrom string, pos bigint, ref string, gene string")
+    genes = [("1", 5, 5, "exonic", "one"), ("1", 5, 7, "exonic", "long"), ("1", 5, 5, "intronic", "two"), ("2", 5, 5, "exonic", "three")]
+    table = spark.createDataFrame([(*g, ".", "T") for g in genes], "chrom string, start bigint, end bigint, annovar_function string, gene string, exonic_classification string, annovar_transcripts string")
+    found = {(r["chrom"], r["pos"], r["ref"]): r["gene"] for r in joins.annotate_genes(df, table).collect()}
+    assert found == {("1", 5, "A"): "one", ("1", 5, "ACG"): "long", ("1", 9, "A"): None, ("2", 5, None): "three"}
+    assert joins.annotate_genes(df, table).count() == 4
+
+
 def test_interval_join_equals_a_plain_one(spark):
     rnd = random.Random(4)
     track = [(rnd.choice("12"), s := rnd.randrange(5000), s + rnd.choice([0, 1, 3, 900, 2500]), f"n{k}") for k in range(60)]
