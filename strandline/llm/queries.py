@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from strandline.llm import bpe, langid, licenses, mixing, pseudo_likelihood, quality, quotations, simhash, token_files, vectors
+from strandline.llm import bpe, langid, licenses, merkle, mixing, pseudo_likelihood, quality, quotations, runs, simhash, token_files, vectors
 from strandline.llm._tables import stored, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -61,6 +62,23 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(documents, path, public_tokenizers.PATTERN, space_led=True, keep=["doc_id"], with_ids=False)
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of every text, after repetition was put into one document in ten."""
+    planted = runs.planted_runs(table(spark, sf_dir, "documents"))
+    return runs.run_digests(runs.periodic_runs(planted))
+
+
+def tampered_manifest(documents: DataFrame) -> DataFrame:
+    """The manifest of documents, checked against a copy in which A-Z of one text in five are lower-cased."""
+    lowered = F.translate(documents["text"], "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    altered = F.crc32(documents["doc_id"].cast("string").cast("binary")) % 5 == 0
+    return merkle.verified_manifest(documents, cells=["doc_id", "source", "lang", "n_chars", "text"], copies={"text": lowered}, altered=altered)
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tampered_manifest(table(spark, sf_dir, "documents"))
+
+
 OP1_SQL = r"""
 WITH d AS (
   SELECT doc_id, coalesce(text, '') AS t,
@@ -213,5 +231,7 @@ QUERIES: dict[str, Query] = {
     "op8_token_counts": op8_token_counts,
     "op9_exact_top_k": op9_exact_top_k,
     "op10_byte_bpe": op10_byte_bpe,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_merkle_manifest": op12_merkle_manifest,
 }
 ORACLES: dict[str, str] = {"op1_quality_rules": OP1_SQL, "op3_quotations": OP3_SQL, "op7_mixing": OP7_SQL, "op9_exact_top_k": OP9_SQL}
