@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from strandline.storage import shared_dir, ship_package, stored
 
-__all__ = ["WORD_BREAKS", "free_name", "let", "salted_join", "shared_dir", "ship_package", "stored", "table"]
+__all__ = ["WORD_BREAKS", "dealt_join", "free_name", "let", "salted_join", "shared_dir", "ship_package", "stored", "table"]
 
 #: Bytes at \x20 and \x09-\x0D separate words; everything else belongs to a word.
 WORD_BREAKS = " \t\n\x0b\x0c\r"
@@ -46,3 +46,19 @@ def salted_join(rows: DataFrame, named: DataFrame, name: str, key: str) -> DataF
     parts = F.when(F.col("n") == 1, F.array(salt("first"))).otherwise(F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint")))
     each = named.withColumn("_salt", F.explode(parts)).drop("first", "n")
     return rows.withColumn("_salt", salt(key)).join(each, [name, "_salt"]).drop("_salt")
+
+
+#: Names with the most rows that are joined by a broadcast, and the rows from which a name is one of them.
+HOT_NAMES = 1_000
+HOT_ROWS = 1_000
+
+
+def dealt_join(rows: DataFrame, named: DataFrame, on: list[str]) -> DataFrame:
+    """``rows`` with what ``named`` (one row for each value of ``on``; n: how many rows it has) says of them.
+
+    A name that many rows share would send them all to one task.  So the ``HOT_NAMES`` names with the most rows are broadcast, and
+    their rows stay where they are; each of the others has less than one in ``HOT_NAMES`` of all rows, or few.
+    """
+    hot = F.broadcast(named.where(F.col("n") > HOT_ROWS).orderBy(F.desc("n"), *on).limit(HOT_NAMES))
+    others = rows.join(hot.select(*on), on, "left_anti").join(named.drop("n"), on)
+    return rows.join(hot.drop("n"), on).unionByName(others)

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandline.llm import bpe, langid, licenses, merkle, mixing, pseudo_likelihood, quality, quotations, runs, simhash, token_files, vectors
+from strandline.llm import bpe, langid, licenses, merkle, mixing, ngram_join, pseudo_likelihood, quality, quotations, runs, simhash, token_files, vectors
 from strandline.llm._tables import stored, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -79,6 +79,10 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tampered_manifest(table(spark, sf_dir, "documents"))
 
 
+def op13_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.similar_documents(table(spark, sf_dir, "documents"))
+
+
 OP1_SQL = r"""
 WITH d AS (
   SELECT doc_id, coalesce(text, '') AS t,
@@ -233,5 +237,6 @@ QUERIES: dict[str, Query] = {
     "op10_byte_bpe": op10_byte_bpe,
     "op11_periodic_runs": op11_periodic_runs,
     "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_ngram_join": op13_ngram_join,
 }
 ORACLES: dict[str, str] = {"op1_quality_rules": OP1_SQL, "op3_quotations": OP3_SQL, "op7_mixing": OP7_SQL, "op9_exact_top_k": OP9_SQL}
