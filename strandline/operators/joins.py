@@ -1,18 +1,18 @@
 """Joins of variants with other positions, catalogues and tracks.
 
-Equi-joins leave the choice of a broadcast to Spark, which knows the sizes.  The interval join cuts the genome in bins:
-an interval goes to every bin it touches, a position to its own, and an equi-join on (chrom, bin) is followed by the
-exact test, so that no pair outside of a bin is ever made.
+Equi-joins leave the choice of a broadcast to Spark, which knows the sizes.  Joins with intervals and spans are in `intervals`.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strandline.functions.fields import right_trim_alleles
+from strandline.operators.intervals import Track, annotate_tracks, without_overlap
+
 KEY = ["pid", "chrom", "pos"]
 VARIANT = ["chrom", "pos", "ref", "alt"]
-BIN = 1000
 
 
 def restrict_to_candidates(pileup: DataFrame, tumour: DataFrame) -> DataFrame:
@@ -21,7 +21,13 @@ def restrict_to_candidates(pileup: DataFrame, tumour: DataFrame) -> DataFrame:
 
 
 def subtract_variants(a: DataFrame, b: DataFrame, *, on: list[str] | None = None) -> DataFrame:
-    return a.join(b.select(*(on or KEY)).distinct(), on or KEY, "left_anti")
+    """Rows of ``a`` whose reference allele shares no base with one of ``b`` in the same patient.
+
+    ``on``: compare these columns instead, for equality.
+    """
+    if on is None:
+        return without_overlap(a, b, on=["pid", "chrom"])
+    return a.join(b.select(*on).distinct(), on, "left_anti")
 
 
 def semi_merge_filtered(df: DataFrame, kept: DataFrame, *, on: list[str] | None = None) -> DataFrame:
@@ -38,17 +44,30 @@ def union_variants(frames: list[DataFrame]) -> DataFrame:
     return first
 
 
-def annotate_known(df: DataFrame, database: DataFrame, name: str) -> DataFrame:
+def annotate_known(df: DataFrame, database: DataFrame, name: str, *, normalise: bool = True) -> DataFrame:
     """``df`` with an array column ``name`` of (match, id) of the catalogue's entries at the position; empty if none.
 
-    ``exact`` where the alleles agree, else ``position``.  Entries are gathered by position first (their number does not
-    depend on the cohort), so that a position that many patients have is joined with one row.
+    ``exact`` where the alleles agree, else ``position``.  Alleles agree in their minimal form: of each alternative (both sides may
+    name several, and the catalogue may pad them) with the reference, without the end that both share; ``normalise=False``
+    compares them as they are written.  Entries are gathered by position first (their number does not depend on the
+    cohort), so that a position that many patients have is joined with one row.
     """
-    here = database.groupBy("chrom", "pos").agg(F.array_sort(F.collect_list(F.struct("ref", "alt", "id"))).alias("_hits"))
-    joined = df.join(here, ["chrom", "pos"], "left")
-    hit = lambda h: F.struct(F.when((F.upper(h["ref"]) == F.upper(F.col("ref"))) & (F.upper(h["alt"]) == F.upper(F.col("alt"))), "exact").otherwise("position").alias("match"), h["id"].alias("id"))
+    forms = minimal_forms(F.col("ref"), F.col("alt")) if normalise else F.array(F.concat_ws(">", F.upper("ref"), F.upper("alt")))
+    here = database.select("chrom", "pos", F.struct("ref", "alt", "id", forms.alias("forms")).alias("hit")).groupBy("chrom", "pos").agg(F.array_sort(F.collect_list("hit")).alias("_hits"))
+    joined = df.join(here, ["chrom", "pos"], "left").withColumn("_forms", forms)
+    hit = lambda h: F.struct(F.when(F.arrays_overlap(h["forms"], F.col("_forms")), "exact").otherwise("position").alias("match"), h["id"].alias("id"))
     found = F.transform(F.coalesce("_hits", F.array().cast(here.schema["_hits"].dataType)), hit)
-    return joined.withColumn(name, found).drop("_hits")
+    return joined.withColumn(name, found).drop("_hits", "_forms")
+
+
+def minimal_forms(ref: Column, alts: Column) -> Column:
+    """Each alternative of a comma-separated list as ``REF>ALT`` in upper case, both without the longest end that they share."""
+
+    def form(alt: Column) -> Column:
+        cut = right_trim_alleles(F.upper(ref), F.array(alt))
+        return F.concat(cut["ref"], F.lit(">"), F.get(cut["alts"], 0))
+
+    return F.transform(F.split(F.upper(alts), ","), form)
 
 
 def rendered(hits) -> object:
@@ -57,20 +76,12 @@ def rendered(hits) -> object:
     return F.when(F.size(hits) > 0, F.array_join(cells, "&")).otherwise(".")
 
 
-def annotate_intervals(df: DataFrame, track: DataFrame, name: str, *, most: int | None = None, bin_size: int = BIN) -> DataFrame:
+def annotate_intervals(df: DataFrame, track: DataFrame, name: str, *, most: int | None = None) -> DataFrame:
     """``df`` with column ``name``: names of the track's intervals that hold the position, sorted, joined by ``&``; ``.`` if none.
 
-    Intervals are half-open from zero (start0 < pos <= end0), as in BED files.  ``most``: only the first so many names.
-    Positions are looked up once each, however many patients have them.
+    ``most``: only the first so many names.  Several tracks are one join with `intervals.annotate_tracks`.
     """
-    spots = df.select("chrom", "pos").distinct().withColumn("bin", F.floor(F.col("pos") / bin_size))
-    bins = F.sequence(F.floor((F.col("start0") + 1) / bin_size), F.floor(F.col("end0") / bin_size))
-    pieces = track.where("end0 > start0").select("chrom", "start0", "end0", "name", F.explode(bins).alias("bin"))
-    hits = spots.join(pieces, ["chrom", "bin"]).where("pos > start0 AND pos <= end0")
-    names = F.array_sort(F.collect_list("name"))
-    cells = hits.groupBy("chrom", "pos").agg(F.array_join(F.slice(names, 1, most) if most else names, "&").alias("_cell"))
-    joined = df.join(cells, ["chrom", "pos"], "left")
-    return joined.withColumn(name, F.coalesce("_cell", F.lit("."))).drop("_cell")
+    return annotate_tracks(df, {name: Track(track, most=most)})
 
 
 def annotate_genes(df: DataFrame, genes: DataFrame) -> DataFrame:

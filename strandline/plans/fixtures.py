@@ -73,6 +73,20 @@ SELECT pid, chrom, pos, ref, alt, trf, trr, tvf, tvr, pileup_idx,
 FROM ({exploded}) e
 """
 
+#: One row for each control read (numbered from 1) of each variant; positions without control reads have none.
+CONTROL_READ = """
+SELECT pid, chrom, pos, ref, alt, i, CASE WHEN (i * 7 + pos) % 10 < 6 THEN ref WHEN (i * 7 + pos) % 10 < 9 THEN alt ELSE 'N' END AS base, (i + pos) % 2 = 1 AS is_reverse,
+       (i * 11 + pos) % 42 AS bq, CASE WHEN (i * 5 + pos) % 7 = 0 THEN '+2AC' WHEN (i * 5 + pos) % 7 = 1 THEN '-2GT' WHEN (i * 5 + pos) % 7 = 2 THEN '+12ACGTACGTACGT' ELSE '' END AS token
+FROM ({reads}) c
+"""
+
+#: Calls of insertions, deletions and substitutions, some with several alternatives.
+INDEL_CALL = """
+SELECT pid, chrom, pos, CASE WHEN pk % 5 = 1 THEN ref || 'GTA' ELSE ref END AS ref,
+       CASE pk % 5 WHEN 0 THEN ref || 'AC' WHEN 1 THEN ref || 'A' WHEN 2 THEN ref || 'ACGTACGTACGT' WHEN 3 THEN ref || 'ac,' || ref || 'G' ELSE CASE WHEN sk % 2 = 0 THEN alt || ',N' ELSE alt END END AS alt, tvf, tvr, qual
+FROM ({snv}) s
+"""
+
 TRACK = f"""
 SELECT {CHROM.format("p_partkey")} AS chrom, p_partkey * 700 AS start0, p_partkey * 700 + p_size * 20 AS end0, p_brand AS name FROM {{part}}
 """
@@ -111,8 +125,23 @@ def reads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _sql(spark, READS, exploded=exploded)
 
 
-def track(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _sql(spark, TRACK, part=_table(spark, sf_dir, "part"))
+def pileup(spark: SparkSession, sf_dir: str, *, indels: bool = False) -> DataFrame:
+    """A control pileup row for each variant that has control reads; ``indels``: some reads have insertions or deletions."""
+    reads = snv(spark, sf_dir).where("crf + crr > 0").selectExpr("pid", "chrom", "pos", "ref", "alt", "transform(sequence(1L, crf + crr), i -> struct(i)) AS reads")
+    base = "IF((x.i * 7 + pos) % 10 < 6, '.', IF((x.i * 7 + pos) % 10 < 9, alt, 'N'))"
+    token = "CASE (x.i * 5 + pos) % 7 WHEN 0 THEN '+2AC' WHEN 1 THEN '-2GT' WHEN 2 THEN '+12ACGTACGTACGT' ELSE '' END" if indels else "''"
+    read = f"concat(IF(x.i % 5 = 0, '^+', ''), IF((x.i + pos) % 2 = 1, replace(lower(concat({base}, {token})), '.', ','), concat({base}, {token})), IF(x.i % 7 = 0, '$', ''))"
+    bases = f"array_join(transform(reads, x -> {read}), '') AS bases"
+    return reads.selectExpr("pid", "chrom", "pos", "ref", bases, "array_join(transform(reads, x -> char((x.i * 11 + pos) % 42 + 33)), '') AS quals")
+
+
+def indel_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _sql(spark, INDEL_CALL, snv=snv(spark, sf_dir))
+
+
+def track(spark: SparkSession, sf_dir: str, *more: str) -> DataFrame:
+    """``more``: columns of the underlying table to keep."""
+    return _sql(spark, TRACK.replace(" FROM {part}", "".join(f", {c}" for c in more) + " FROM {part}"), part=_table(spark, sf_dir, "part"))
 
 
 def known(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -124,5 +153,6 @@ WITH_SNV = f"WITH snv AS ({SNV.format(lineitem='lineitem')})"
 WITH_ANNOTATED = f"{WITH_SNV}, ann AS ({ANNOTATED.format(snv='SELECT * FROM snv')})"
 WITH_STRANDS = f"{WITH_ANNOTATED}, strands AS ({STRANDS.format(annotated='SELECT * FROM ann').replace('array(', 'list_value(')})"
 WITH_READS = f"{WITH_SNV}, reads AS ({READS.format(exploded='SELECT *, unnest(generate_series(0, trf + trr)) AS pileup_idx FROM snv')})"
+WITH_CONTROL = f"{WITH_SNV}, control AS ({CONTROL_READ.format(reads='SELECT *, unnest(generate_series(1, crf + crr)) AS i FROM snv WHERE crf + crr > 0')}), calls AS ({INDEL_CALL.format(snv='SELECT * FROM snv')})"
 TRACK_SQL = TRACK.format(part="part")
 KNOWN_SQL = KNOWN.format(orders="orders")

@@ -5,13 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strandline.operators import base_quality, bias, confidence, control, filters, joins, qc, reads
+from strandline.operators import base_quality, bias, confidence, control, filters, intervals, joins, qc, reads
 
 
 def pipeline_call(raw: DataFrame, pileup: DataFrame, **limits) -> DataFrame:
     """Raw calls and control pileups to candidates with their control comparison."""
     kept = filters.raw_snv_filter(raw, **limits)
-    counts = control.control_counts(control.explode_pileup(joins.restrict_to_candidates(pileup, kept)))
+    counts = control.control_counts(joins.restrict_to_candidates(pileup, kept))
     return control.compare_control(kept, counts)
 
 
@@ -33,16 +33,15 @@ def pipeline_annotate(
         candidates = candidates.withColumn(name, joins.rendered(F.col(name)))
     if genes is not None:
         candidates = joins.annotate_genes(candidates, genes)
-    for name, track in (tracks or {}).items():
-        candidates = joins.annotate_intervals(candidates, track, name)
+    candidates = intervals.annotate_tracks(candidates, {name: intervals.Track(track) for name, track in (tracks or {}).items()})
     corrected = cut(reads.overlap_corrected_counts(candidates, read_rows))
     return bias.two_round_bias_filter(corrected, options, cut=cut)
 
 
-def pipeline_deep_annotate(df: DataFrame, tracks: dict[str, DataFrame], *, most: int = 5) -> DataFrame:
-    for name, track in tracks.items():
-        df = joins.annotate_intervals(df, track, name, most=most)
-    return df
+def pipeline_deep_annotate(df: DataFrame, tracks: dict[str, DataFrame | intervals.Track], *, most: int = 5) -> DataFrame:
+    """All tracks (intervals, or `intervals.Track` with options of their own) in one join."""
+    own = {name: track if isinstance(track, intervals.Track) else intervals.Track(track, most=most) for name, track in tracks.items()}
+    return intervals.annotate_tracks(df, own)
 
 
 def pipeline_filter(scored: DataFrame, *, criteria: list[tuple[str, str, str]] | None = None, min_conf: int = 8) -> tuple[DataFrame, DataFrame]:

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandline.functions import fields
-from strandline.operators import base_quality, bias, confidence, control, filters, joins, qc, reads, windows
+from strandline.operators import base_quality, bias, confidence, control, filters, intervals, joins, qc, reads, windows
 from strandline.plans import fixtures, pipelines
 from strandline.sources import sinks, variants
 from strandline.storage import shared_dir, stored
@@ -65,30 +65,74 @@ def classify_control(spark, sf_dir):
     return rows.groupBy("pid", "class", "mutation").agg(F.count(F.lit(1)).alias("n"))
 
 
-PILEUP_READS = "SELECT pid, chrom, pos, ref, alt, CASE WHEN is_reverse THEN lower(base) ELSE base END AS base, bq FROM reads"
-
-
-def _control_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    r = fixtures.reads(spark, sf_dir)
-    return r.select("pid", "chrom", "pos", "ref", "alt", F.when(F.col("is_reverse"), F.lower("base")).otherwise(F.col("base")).alias("base"), "bq")
+CONTROL = fixtures.WITH_CONTROL
 
 
 @query(
-    f"""{READS} SELECT pid, chrom, pos, count(*) AS dp, {", ".join(f"count(*) FILTER (base = '{b}' AND bq >= {least}) AS {name}_{k}" for name, least in (("hq", 13), ("nq", 0)) for k, b in enumerate("ACGTNacgtn"))}
-        FROM ({PILEUP_READS}) GROUP BY ALL"""
+    f"""{CONTROL} SELECT pid, chrom, pos, count(*) AS dp, {", ".join(f"count(*) FILTER (token = '' AND CASE WHEN is_reverse THEN lower(base) ELSE base END = '{b}' AND bq >= {least}) AS {name}_{k}" for name, least in (("hq", 13), ("nq", 0)) for k, b in enumerate("ACGTNacgtn"))},
+        count(*) FILTER (token <> '' AND bq >= 13) AS hq_indels, count(*) FILTER (token <> '') AS nq_indels FROM control GROUP BY ALL"""
 )
 def control_counts(spark, sf_dir):
-    counts = control.control_counts(_control_reads(spark, sf_dir))
-    return counts.select("pid", "chrom", "pos", "dp", *[F.get(name, k).alias(f"{name}_{k}") for name in ("hq", "nq") for k in range(10)])
+    counts = control.control_counts(fixtures.pileup(spark, sf_dir, indels=True))
+    ten = [F.get(name, k).alias(f"{name}_{k}") for name in ("hq", "nq") for k in range(10)]
+    return counts.select("pid", "chrom", "pos", "dp", *ten, *[F.size(c).cast("bigint").alias(c) for c in ("hq_indels", "nq_indels")])
+
+
+def _compared_sql(calls: str, token: str) -> str:
+    """Control reads beside the calls, by the formulas that reads are made by, not from pileup strings."""
+    return f"""{CONTROL}, a AS (
+      SELECT *, split_part(alt, ',', 1) AS f, length(split_part(alt, ',', 1)) - length(ref) AS more FROM {calls}
+    ), due AS (
+      SELECT *, CASE WHEN more > 0 THEN '+' || more || upper(substr(f, 2, more)) WHEN more < 0 THEN '-' || -more || upper(substr(ref, 2, -more)) END AS want FROM a
+    ), told AS (
+      SELECT d.pid, d.chrom, d.pos, bq, is_reverse, {token} = '' AND base = substr(d.ref, 1, 1) AS is_ref, CASE WHEN want IS NULL THEN {token} = '' AND base = f ELSE {token} = want END AS is_alt
+      FROM control c JOIN due d USING (pid, chrom, pos)
+    ), c AS (
+      SELECT pid, chrom, pos, count(*) FILTER (bq >= 13 AND is_ref AND NOT is_reverse) AS rf, count(*) FILTER (bq >= 13 AND is_ref AND is_reverse) AS rr,
+             count(*) FILTER (bq >= 13 AND is_alt AND NOT is_reverse) AS vf, count(*) FILTER (bq >= 13 AND is_alt AND is_reverse) AS vr, count(*) FILTER (bq >= 13) AS hq,
+             count(*) FILTER (is_ref AND NOT is_reverse) AS rfa, count(*) FILTER (is_ref AND is_reverse) AS rra, count(*) FILTER (is_alt AND NOT is_reverse) AS vfa, count(*) FILTER (is_alt AND is_reverse) AS vra, count(*) AS dp
+      FROM told GROUP BY ALL
+    ), n AS (
+      SELECT due.*, dp IS NOT NULL AS covered, {", ".join(f"coalesce({x}, 0) AS {x}" for x in "dp rf rr vf vr rfa rra vfa vra".split())}, coalesce(hq - rf - rr - vf - vr, 0) AS other, coalesce(dp - rfa - rra - vfa - vra, 0) AS othera, coalesce(hq, 0) AS hq
+      FROM due LEFT JOIN c USING (pid, chrom, pos)
+    )
+    SELECT pid, chrom, pos, dp, rf || ',' || rr || ',' || vf || ',' || vr || ',' || other AS dp5, rfa || ',' || rra || ',' || vfa || ',' || vra || ',' || othera AS dp5_all, vfa + vra AS tsr,
+           round(CASE WHEN hq > 0 THEN (vf + vr)::DOUBLE / hq ELSE 0.0 END, 2) AS vaf_control,
+           CASE WHEN NOT covered THEN 'not_covered'
+             WHEN alt LIKE '%,%' AND want IS NULL THEN 'multi_' || CASE WHEN vf + vr > 0 THEN 'germline' WHEN other > 1 THEN 'unclear' ELSE 'somatic' END
+             WHEN vf + vr > (rf + rr) // 30 THEN 'germline' WHEN other > 1 THEN 'unclear'
+             WHEN (qual < 20 AND vfa + vra > 3) OR (qual < 3 AND vfa + vra > 1 AND (tvf = 1 OR tvr = 1)) OR (tvf = 0 AND vra > 1) OR (tvr = 0 AND vfa > 1) THEN 'LQVCIG'
+             ELSE 'somatic' END AS annotation_control
+    FROM n"""
+
+
+def _compared(calls: DataFrame, counts: DataFrame) -> DataFrame:
+    out = control.compare_control(calls, counts)
+    five = [F.array_join(F.col(c).cast("array<string>"), ",").alias(c) for c in ("dp5", "dp5_all")]
+    return out.select("pid", "chrom", "pos", "dp", *five, "tsr", "vaf_control", "annotation_control")
+
+
+@query(_compared_sql("snv", "''"))
+def compare_control(spark, sf_dir):
+    return _compared(fixtures.snv(spark, sf_dir), control.control_counts(fixtures.pileup(spark, sf_dir)))
+
+
+@query(_compared_sql("calls", "token"))
+def compare_control_indels(spark, sf_dir):
+    """Insertions, deletions and substitutions of one or several alternatives, among reads with insertions and deletions."""
+    return _compared(fixtures.indel_calls(spark, sf_dir), control.control_counts(fixtures.pileup(spark, sf_dir, indels=True)))
 
 
-COMPARED = (
+READ_ROWS = "SELECT pid, chrom, pos, ref, alt, CASE WHEN is_reverse THEN lower(base) ELSE base END AS base, bq FROM reads"
+
+
+@query(
     f"""{READS}, c AS (
       SELECT pid, chrom, pos, any_value(ref) AS r, any_value(alt) AS a,
              count(*) FILTER (bq >= 13 AND base = ref) AS rf, count(*) FILTER (bq >= 13 AND base = lower(ref)) AS rr,
              count(*) FILTER (bq >= 13 AND base = alt) AS vf, count(*) FILTER (bq >= 13 AND base = lower(alt)) AS vr, count(*) FILTER (bq >= 13) AS hq,
              count(*) FILTER (base = alt) AS vfa, count(*) FILTER (base = lower(alt)) AS vra, count(*) AS dp
-      FROM ({PILEUP_READS}) WHERE pos % 3 <> 0 GROUP BY ALL
+      FROM ({READ_ROWS}) GROUP BY ALL
     )
     SELECT snv.pid, snv.chrom, snv.pos, coalesce(dp, 0) AS dp, coalesce(rf, 0) || ',' || coalesce(rr, 0) || ',' || coalesce(vf, 0) || ',' || coalesce(vr, 0) || ',' || coalesce(hq - rf - rr - vf - vr, 0) AS dp5,
            coalesce(vfa + vra, 0) AS tsr, round(CASE WHEN hq > 0 THEN (vf + vr)::DOUBLE / hq ELSE 0.0 END, 2) AS vaf_control,
@@ -97,22 +141,11 @@ COMPARED = (
              ELSE 'somatic' END AS annotation_control
     FROM snv LEFT JOIN c USING (pid, chrom, pos)"""
 )
-
-
-@query(COMPARED)
-def compare_control(spark, sf_dir):
-    return _compared(spark, sf_dir, _control_reads(spark, sf_dir).where("pos % 3 <> 0"))
-
-
-@query(COMPARED.replace(" WHERE pos % 3 <> 0", ""))
 def compare_control_all(spark, sf_dir):
-    """With every control read."""
-    return _compared(spark, sf_dir, _control_reads(spark, sf_dir))
-
-
-def _compared(spark: SparkSession, sf_dir: str, control_reads: DataFrame) -> DataFrame:
-    out = control.compare_control(fixtures.snv(spark, sf_dir), control.control_counts(control_reads))
-    return out.select("pid", "chrom", "pos", "dp", F.array_join(F.col("dp5").cast("array<string>"), ",").alias("dp5"), "tsr", "vaf_control", "annotation_control")
+    """With control reads that come as a row each."""
+    r = fixtures.reads(spark, sf_dir)
+    rows = r.select("pid", "chrom", "pos", F.when(F.col("is_reverse"), F.lower("base")).otherwise(F.col("base")).alias("base"), "bq")
+    return _compared(fixtures.snv(spark, sf_dir), control.read_counts(rows)).drop("dp5_all")
 
 
 @query(
@@ -459,6 +492,44 @@ def annotate_known(spark, sf_dir):
     return out.select("pid", "chrom", "pos", joins.rendered(F.col("known")).alias("known"))
 
 
+#: A catalogue whose entries are padded by bases that alleles share, some with a second alternative.
+PADDED = """SELECT chrom, pos, ref || 'CAG' AS ref, CASE WHEN length(id) % 2 = 0 THEN alt || 'CAG' ELSE 'TTCAG,' || alt || 'CAG' END AS alt, id FROM {known}"""
+
+
+@query(
+    f"""{SNV}, known AS ({fixtures.KNOWN_SQL}), calls AS (SELECT pid, chrom, pos, ref, CASE WHEN sk % 2 = 0 THEN alt || ',N' ELSE 'N,' || alt END AS alt, alt AS own FROM snv), hits AS (
+      SELECT pid, c.chrom, c.pos, string_agg('MATCH=' || CASE WHEN c.ref = k.ref AND (c.own = k.alt OR (length(id) % 2 = 1 AND c.own = 'TT')) THEN 'exact' ELSE 'position' END || ';ID=' || id, '&' ORDER BY k.ref, k.alt, id) AS cell
+      FROM calls c JOIN known k ON c.chrom = k.chrom AND c.pos = k.pos GROUP BY ALL)
+    SELECT pid, chrom, pos, coalesce(cell, '.') AS known FROM snv LEFT JOIN hits USING (pid, chrom, pos)"""
+)
+def annotate_known_alleles(spark, sf_dir):
+    """Calls of several alternatives against padded entries: alleles agree in their minimal form."""
+    calls = fixtures.snv(spark, sf_dir).withColumn("alt", F.when(F.col("sk") % 2 == 0, F.concat("alt", F.lit(",N"))).otherwise(F.concat(F.lit("N,"), "alt")))
+    padded = spark.sql(PADDED.format(known="{known}"), known=fixtures.known(spark, sf_dir))
+    return joins.annotate_known(calls, padded, "known").select("pid", "chrom", "pos", joins.rendered(F.col("known")).alias("known"))
+
+
+#: Tracks by report level: presence, values, name and values, place and all; with intervals from a few bases to whole chromosomes.
+WIDE = """SELECT chrom, CASE WHEN p_size % 10 = 0 THEN 0 ELSE start0 END AS start0, CASE WHEN p_size % 10 = 0 THEN 240000000 WHEN p_size % 10 = 1 THEN start0 + 10 WHEN p_size % 10 = 2 THEN start0 + 3000000 ELSE end0 END AS end0,
+          name, p_size AS score, CAST(p_size % 7 AS STRING) AS kind FROM {track}"""
+LEVEL_CELLS = {"seen": "'1'", "values": "score || ';' || kind", "named": "name || ';' || score", "placed": "(start0 + 1) || '-' || end0 || ';' || name || ';' || kind"}
+
+
+@query(
+    f"""{SNV}, track AS ({fixtures.TRACK_SQL.replace(" FROM part", ", p_size FROM part")}), wide AS ({WIDE.format(track="track")}), hits AS (
+      SELECT s.chrom, pos, {", ".join(f"array_to_string(list_sort(list({cell})){most}, '&') AS {name}" for (name, cell), most in zip(LEVEL_CELLS.items(), ("[1:1]", "[1:4]", "[1:2]", "[1:3]")))}
+      FROM (SELECT DISTINCT chrom, pos FROM snv) s JOIN wide t ON s.chrom = t.chrom AND pos > start0 AND pos <= end0 GROUP BY ALL)
+    SELECT pid, chrom, pos, {", ".join(f"coalesce({name}, '.') AS {name}" for name in LEVEL_CELLS)} FROM snv LEFT JOIN hits USING (chrom, pos)"""
+)
+def annotate_tracks(spark, sf_dir):
+    """Four report levels over intervals of 10 bases to whole chromosomes, in one join."""
+    track = fixtures.track(spark, sf_dir, "p_size")
+    wide = spark.sql(WIDE.format(track="{track}"), track=track)
+    of = intervals.Track
+    tracks = {"seen": of(wide, level=0), "values": of(wide, ("score", "kind"), level=1, most=4), "named": of(wide, ("score",), most=2), "placed": of(wide, ("kind",), level=3, most=3)}
+    return intervals.annotate_tracks(fixtures.snv(spark, sf_dir), tracks).select("pid", "chrom", "pos", *tracks)
+
+
 GENES = """SELECT chrom, pos AS start, pos AS "end", min(annovar_function) AS annovar_function, min(gene) AS gene, min(exonic_classification) AS exonic_classification, 'T' || min(sk) AS annovar_transcripts
            FROM ann WHERE pk % 3 <> 0 GROUP BY chrom, pos"""
 
@@ -485,6 +556,33 @@ def subtract_variants(spark, sf_dir):
     return joins.subtract_variants(snv, snv.where("ok % 2 = 0")).select("pid", "chrom", "pos")
 
 
+#: Reference alleles of 1 to 300 bases.
+LONG_REF = "SELECT pid, chrom, pos, {repeat}('A', CAST(1 + sk % {longest} AS INT)) AS ref, alt, ok FROM {snv}"
+
+
+@query(
+    f"""{SNV}, a AS ({LONG_REF.format(repeat="repeat", longest=300, snv="snv")}), b AS ({LONG_REF.format(repeat="repeat", longest=40, snv="snv")} WHERE ok % 3 = 0)
+    SELECT pid, chrom, pos, length(ref)::BIGINT AS n FROM a WHERE NOT EXISTS (SELECT 1 FROM b WHERE b.pid = a.pid AND b.chrom = a.chrom AND b.pos < a.pos + length(a.ref) AND a.pos < b.pos + length(b.ref))"""
+)
+def subtract_overlapping(spark, sf_dir):
+    """Variants of up to 300 bases whose reference allele meets none of the rows of up to 40."""
+    snv = fixtures.snv(spark, sf_dir)
+    a, b = (spark.sql(LONG_REF.format(repeat="repeat", longest=n, snv="{snv}"), snv=snv) for n in (300, 40))
+    return joins.subtract_variants(a, b.where("ok % 3 = 0")).select("pid", "chrom", "pos", F.length("ref").cast("bigint").alias("n"))
+
+
+@query(
+    f"""{SNV}, a AS ({LONG_REF.format(repeat="repeat", longest=300, snv="snv")}), b AS ({LONG_REF.format(repeat="repeat", longest=40, snv="snv")})
+    SELECT a.pid, a.chrom, a.pos AS first, a.pos + length(a.ref) - 1 AS last, b.pos AS first_b, b.pos + length(b.ref) - 1 AS last_b
+    FROM a JOIN b ON b.pid = a.pid AND b.chrom = a.chrom AND b.pos < a.pos + length(a.ref) AND a.pos < b.pos + length(b.ref)"""
+)
+def overlapping_spans(spark, sf_dir):
+    """Pairs of reference alleles that share a base, once each."""
+    snv = fixtures.snv(spark, sf_dir)
+    a, b = (intervals.with_span(spark.sql(LONG_REF.format(repeat="repeat", longest=n, snv="{snv}"), snv=snv)) for n in (300, 40))
+    return intervals.overlapping_spans(a, b, on=["pid", "chrom"])
+
+
 @query(f"{SNV} SELECT pid, chrom, pos, qual FROM snv WHERE ok % 4 = 1")
 def semi_merge_filtered(spark, sf_dir):
     snv = fixtures.snv(spark, sf_dir)
@@ -1020,14 +1118,11 @@ def write_by_class(spark, sf_dir):
 # --- composed jobs --------------------------------------------------------------------------------------------------
 
 
-@query()
+@query(_compared_sql(f"(SELECT *, qty % 25 AS qual FROM (SELECT * EXCLUDE (qual), qty % 25 AS q FROM ({ANN} SELECT * FROM ann)) WHERE {RAW_KEPT})", "''"))
 def pipeline_call(spark, sf_dir):
-    pileup = fixtures.reads(spark, sf_dir).groupBy("pid", "chrom", "pos", "ref").agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pileup_idx", F.when(F.col("is_reverse"), F.lower("base")).otherwise(F.col("base")).alias("b")))), lambda x: x["b"]), "").alias("bases"),
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pileup_idx", F.char(F.col("bq") + 33).alias("q")))), lambda x: x["q"]), "").alias("quals"),
-    )
-    out = pipelines.pipeline_call(_raw(spark, sf_dir).drop("annotation_control", "tsr"), pileup)
-    return out.select("pid", "chrom", "pos", "ref", "alt", "dp", F.array_join(F.col("dp5").cast("array<string>"), ",").alias("dp5"), "tsr", "vaf_control", "annotation_control")
+    return pipelines.pipeline_call(_raw(spark, sf_dir).drop("annotation_control", "tsr"), fixtures.pileup(spark, sf_dir)).select(
+        "pid", "chrom", "pos", "dp", *[F.array_join(F.col(c).cast("array<string>"), ",").alias(c) for c in ("dp5", "dp5_all")], "tsr", "vaf_control", "annotation_control"
+    )
 
 
 @query()

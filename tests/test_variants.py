@@ -158,7 +158,7 @@ def test_control_classes(spark, counts, tumour, qual, want):
 def test_uncovered_and_multiallelic_candidates(spark):
     tumour = spark.createDataFrame([("p", "1", 5, "A", "G,T", 3, 3, 50.0), ("p", "1", 6, "A", "G", 3, 3, 50.0)], "pid string, chrom string, pos int, ref string, alt string, tvf int, tvr int, qual double")
     bases = spark.createDataFrame([("p", "1", 5, b, 30) for b in "AAAaG"], "pid string, chrom string, pos int, base string, bq int")
-    got = {r["pos"]: r for r in control.compare_control(tumour, control.control_counts(bases)).collect()}
+    got = {r["pos"]: r for r in control.compare_control(tumour, control.read_counts(bases)).collect()}
     assert got[5]["annotation_control"] == "multi_germline" and got[5]["dp5"] == [3, 1, 1, 0, 0] and got[5]["vaf_control"] == 0.2
     assert got[6]["annotation_control"] == "not_covered" and got[6]["dp5"] == [0] * 5
 
