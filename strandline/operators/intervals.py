@@ -25,8 +25,8 @@ LEVELS = (10, 13, 16, 19, 22, 25, 28, 31)
 class Track:
     """Intervals (chrom, start0, end0, name and others) and what a hit reports.
 
-    ``level``: 0 that there is one (``1``), 1 the values of ``columns``, 2 the name and these values, 3 the place and all of that; values
-    are joined by ``;``.  ``most``: only the first so many hits.
+    ``level``: 0 that there is one (``1``), 1 ``column=value`` of ``columns``, 2 the name and these, 3 the place and all of that, joined
+    by ``;``.  ``most``: only the first so many hits.
     """
 
     rows: DataFrame
@@ -38,7 +38,7 @@ class Track:
         """What one interval reports."""
         if self.level == 0:
             return F.lit("1")
-        parts = [F.coalesce(F.col(c).cast("string"), F.lit(".")) for c in self.columns]
+        parts = [F.concat(F.lit(f"{c}="), F.coalesce(F.col(c).cast("string"), F.lit("."))) for c in self.columns]
         if self.level >= 2 or not parts:
             parts = [F.col("name"), *parts]
         if self.level >= 3:

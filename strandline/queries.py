@@ -512,7 +512,7 @@ def annotate_known_alleles(spark, sf_dir):
 #: Tracks by report level: presence, values, name and values, place and all; with intervals from a few bases to whole chromosomes.
 WIDE = """SELECT chrom, CASE WHEN p_size % 10 = 0 THEN 0 ELSE start0 END AS start0, CASE WHEN p_size % 10 = 0 THEN 240000000 WHEN p_size % 10 = 1 THEN start0 + 10 WHEN p_size % 10 = 2 THEN start0 + 3000000 ELSE end0 END AS end0,
           name, p_size AS score, CAST(p_size % 7 AS STRING) AS kind FROM {track}"""
-LEVEL_CELLS = {"seen": "'1'", "values": "score || ';' || kind", "named": "name || ';' || score", "placed": "(start0 + 1) || '-' || end0 || ';' || name || ';' || kind"}
+LEVEL_CELLS = {"seen": "'1'", "values": "'score=' || score || ';kind=' || kind", "named": "name || ';score=' || score", "placed": "(start0 + 1) || '-' || end0 || ';' || name || ';kind=' || kind"}
 
 
 @query(
@@ -1021,6 +1021,28 @@ def read_variants(spark, sf_dir):
     return variants.read_variants(spark, path, names=names, pid=F.element_at(F.split("value", "\t"), -1)).select("pid", "chrom", "pos", "ref", "alt", "qual", "info", "annotation_control")
 
 
+@query(
+    f"""{ANN} SELECT pid, chrom, pos, ref, alt, CASE WHEN pid < 'P4' THEN qual::DOUBLE END AS qual, CASE WHEN pid >= 'P4' THEN gene END AS gene, trf || ':' || trr AS sample, CASE WHEN pid < 'P4' THEN qty::VARCHAR ELSE ok::VARCHAR END AS my_note FROM ann"""
+)
+def read_variants_own_headers(spark, sf_dir):
+    """Files with a header each: columns in another order, some only in some files, a sample column named as the patient."""
+    path = _scratch(spark, "variants")
+    ann = fixtures.annotated(spark, sf_dir).withColumn("cells", F.concat_ws(":", "trf", "trr"))
+    first, second = ["chrom", "pos", "ref", "alt", "qual", "FORMAT", "cells", "qty"], ["ok", "chrom", "pos", "alt", "gene", "ref", "FORMAT", "cells"]
+    named = {"chrom": "#CHROM", "qty": "my note", "ok": "My note"}
+    for part, (columns, where) in enumerate(((first, "pid < 'P4'"), (second, "pid >= 'P4'"))):
+        columns = ["chrom", *[c for c in columns if c != "chrom"]]
+        rows = ann.where(where).withColumn("FORMAT", F.lit("RF:RR"))
+        body = rows.select("pid", F.lit(1).alias("turn"), F.concat_ws("\t", *columns).alias("value"))
+        cells = [F.col("pid") if c == "cells" else F.lit(named.get(c, c if c == "FORMAT" else c.upper())) for c in columns]
+        head = rows.select("pid").distinct().select("pid", F.lit(0).alias("turn"), F.concat_ws("\t", *cells).alias("value"))
+        lines = head.union(body).repartition("pid").sortWithinPartitions("pid", "turn")
+        lines.select("pid", "value").write.partitionBy("pid").text(f"{path}/{part}")
+    of_file = F.regexp_extract("file", "pid=([^/]*)", 1)
+    read = variants.read_variants(spark, [f"{path}/{part}/pid=P{k}" for k in range(8) for part in (int(k >= 4),)], pid=of_file)
+    return read.select("pid", "chrom", "pos", "ref", "alt", "qual", "gene", "sample", "my_note")
+
+
 @query(fixtures.TRACK_SQL.replace("AS end0", "AS end0", 1))
 def read_intervals(spark, sf_dir):
     path = _scratch(spark, "track")
@@ -1071,6 +1093,35 @@ def write_standard_variants(spark, sf_dir):
     return sinks.standard_variants(rows, free={"repeat_masker": "REPEAT"}, keys=["DP", "SOMATIC", "DP_ctrl", "REPEAT"])
 
 
+#: A configuration: keys that are defined, one of them for a column, one that no row uses.
+META = {
+    "INFO": {
+        "DP": {"number": "1", "type": "Integer", "description": "Depth"}, "SOMATIC": {"number": "0", "type": "Flag", "description": "Somatic"}, "DP_ctrl": {"number": "1", "type": "Integer", "description": "Depth of the control"},
+        "repeat_masker": {"number": "1", "type": "String", "description": "Repeat", "new_info_id": "REPEAT"}, "UNUSED": {"number": "1", "type": "String", "description": "None"}, "__DP4": {"number": "4", "type": "Integer", "description": "Left out"},
+    },
+    "FILTER": {"q10": {"description": "Low"}, "RE": {"description": "Repeat"}, "PASS": {"description": "All passed"}},
+    "FORMAT": {"GT": {"number": "1", "type": "String", "description": "Genotype"}, "DP": {"number": "1", "type": "Integer", "description": "Depth"}},
+}
+DEFINED = [(kind, line) for kind, key, _, line in sinks.configured_keys(META) if key not in ("UNUSED", "PASS", "SOMATIC", "q10", "RE")]
+STANDARD_HEAD = f"""SELECT DISTINCT pid, unnest(['##fileformat=VCFv4.2', '##contig=<ID=1,length=249250621>', '#CHROM' || chr(9) || array_to_string(['POS', 'ID', 'REF', 'ALT', 'QUAL', 'FILTER', 'INFO', 'FORMAT', pid], chr(9)), {", ".join(f"'{line}'" for _, line in DEFINED)}]) AS line FROM ann
+  UNION ALL SELECT DISTINCT pid, '##INFO=<ID=SOMATIC,Number=0,Type=Flag,Description="Somatic">' FROM ann WHERE pk % 2 = 0
+  UNION ALL SELECT DISTINCT pid, '##FILTER=<ID=' || filter || ',Description="' || CASE filter WHEN 'q10' THEN 'Low' ELSE 'Repeat' END || '">' FROM ann WHERE filter <> '.'"""
+
+
+@query(
+    f"""{ANN} {STANDARD_HEAD}
+    UNION ALL SELECT pid, array_to_string([chrom, pos::VARCHAR, '.', ref, alt, qual::VARCHAR, filter, array_to_string(list_sort(list_filter(['DP=' || (trf + trr + tvf + tvr), CASE WHEN pk % 2 = 0 THEN 'SOMATIC' END, 'DP_ctrl=' || (crf + crr), 'REPEAT=' || repeat_masker], lambda x: x IS NOT NULL)), ';'), 'GT:DP', '0/1:' || (tvf + tvr)], chr(9)) FROM ann"""
+)
+def write_standard_files(spark, sf_dir):
+    """Whole files, written by patient and read again."""
+    info = F.concat(F.lit("DP="), F.col("trf") + F.col("trr") + F.col("tvf") + F.col("tvr"), F.when(F.col("pk") % 2 == 0, ";SOMATIC").otherwise(""), F.lit(";DP4=1,1,1,1"))
+    control = F.concat(F.lit("DP="), F.col("crf") + F.col("crr"), F.lit(";VAF=0.1"))
+    cells = {"info": info, "info_control": control, "id": F.lit("."), "format": F.lit("GT:DP"), "sample": F.concat(F.lit("0/1:"), F.col("tvf") + F.col("tvr"))}
+    path = _scratch(spark, "standard")
+    sinks.write_standard_files(fixtures.annotated(spark, sf_dir).withColumns(cells), path, META, copied=("##contig=<ID=1,length=249250621>",))
+    return spark.read.text(path).select("pid", F.col("value").alias("line"))
+
+
 @query(
     f"""{ANN} SELECT DISTINCT kind, key FROM (SELECT unnest([{{'kind': 'INFO', 'key': 'DP'}}, {{'kind': 'INFO', 'key': CASE WHEN pk % 2 = 0 THEN 'SOMATIC' ELSE 'DP' END}}, {{'kind': 'INFO', 'key': 'VAF_ctrl'}},
         {{'kind': 'FORMAT', 'key': 'GT'}}, {{'kind': 'FORMAT', 'key': 'DP'}}, {{'kind': 'FILTER', 'key': CASE WHEN filter = '.' THEN 'RE' ELSE filter END}}], recursive := true) FROM ann)"""
