@@ -12,7 +12,7 @@ that no task ever holds a source.  What is left to decide a row is one cut for e
 
 All of it is Spark SQL expressions; the bisection is a fold over an array with a cell for each number of tokens that
 sources have.  Rows: a null source is a source of its own; null and empty texts have zero tokens, and a source without
-any token is taken once; very long texts are counted without making their words; ties in the hash go by key, and rows
+any token is taken once; a source's quota comes from its whole weight, however small; very long texts are counted without making their words; ties in the hash go by key, and rows
 with equal keys are taken or left together; an empty table gives no rows; extra columns stay (`mix`).
 """
 
@@ -29,8 +29,14 @@ ENTROPY_SHARE = 0.5
 #: Times that a source may be repeated on average.
 MOST_REPEATS = 4.0
 BISECTIONS = 40
-#: Documents in a block of a permutation, on average.
+#: Documents in a block of a permutation, on average, and blocks in a group of them.
 BLOCK_ROWS = 4096
+GROUP_BLOCKS = 4096
+#: Sources with fewer tokens are told apart by the number; larger ones have so many cells for each e-fold of it.
+FINE = 1 << 16
+CELLS_A_FOLD = 10_000
+#: Relative error of a weight that is taken for rounding.
+ROUNDING = 1e-12
 #: Sources up to which the cuts are broadcast (under 100 bytes each).
 BROADCAST_SOURCES = 10_000
 #: Parts that sums for one source are first made in.
@@ -75,13 +81,16 @@ def _bisect(holds, rounds: int = BISECTIONS) -> Column:
 def source_weights(
     sources: DataFrame, *, budget_share: float = 1.0, entropy_share: float = ENTROPY_SHARE, most_repeats: float = MOST_REPEATS
 ) -> DataFrame:
-    """``sources`` (source, tokens, rows) with exponent and weight (6 decimals), and quota in tokens.
+    """``sources`` (source, tokens, rows) with exponent and weight (shown to 6 decimals), and quota in tokens (of the whole weight).
 
-    The budget is ``budget_share`` of all tokens.  Sources with equal numbers of tokens have equal weights: the exponent is
-    sought over one cell for each number that occurs, with how many sources have it.
+    The budget is ``budget_share`` of all tokens.  Sources with about equal numbers of tokens have about equal weights: the exponent
+    is sought over one cell for each of some 10^5 sizes, whatever the number of sources, with the mean of its sources and how many there are.
     """
-    cells = sources.groupBy("tokens").agg(F.count(F.lit(1)).alias("m"))
-    one = cells.agg(F.sort_array(F.collect_list(F.struct("tokens", "m"))).alias("each"), F.coalesce(F.sum(F.col("tokens") * F.col("m")), F.lit(0)).alias("total"))
+    sizes = F.floor(F.log(F.greatest(F.col("tokens"), F.lit(1)).cast("double")) * CELLS_A_FOLD).cast("int")
+    cell = F.when(F.col("tokens") < FINE, F.col("tokens")).otherwise(FINE + sizes)  # small numbers have cells of their own
+    cells = sources.groupBy(cell.alias("cell")).agg(F.sum("tokens").alias("part"), F.count(F.lit(1)).alias("m"))
+    mean = F.struct((F.col("part") / F.col("m")).alias("tokens"), "m")
+    one = cells.agg(F.sort_array(F.collect_list(mean)).alias("each"), F.coalesce(F.sum("part"), F.lit(0)).alias("total"))
     share = lambda tokens: F.coalesce(F.try_divide(tokens.cast("double"), F.col("total").cast("double")), F.lit(0.0))
     one = one.select("total", F.floor(F.lit(float(budget_share)) * F.col("total")).cast("bigint").alias("budget"), F.transform("each", lambda c: F.struct(share(c["tokens"]).alias("share"), c["m"].alias("m"))).alias("cells"))
     cells = F.col("cells")
@@ -101,9 +110,10 @@ def source_weights(
     one = one.withColumn("exponent", F.round(F.greatest(reaches, limited), 6))
     found = one.select("total", "budget", "exponent", _total(_raised(cells, F.col("exponent"))).alias("norm")).first()  # four numbers
     raised = F.when(F.col("tokens") > 0, F.pow(F.col("tokens").cast("double") / F.lit(float(found["total"] or 1)), F.lit(found["exponent"]))).otherwise(F.lit(0.0))
-    weight = F.round(F.coalesce(F.try_divide(raised, F.lit(found["norm"])), F.lit(0.0)), 6)
-    weighted = sources.select("source", "tokens", "rows", F.lit(found["exponent"]).alias("exponent"), weight.alias("weight"))
-    return weighted.withColumn("quota", F.floor(F.col("weight") * F.lit(found["budget"])).cast("bigint"))
+    weight = F.coalesce(F.try_divide(raised, F.lit(found["norm"])), F.lit(0.0))
+    # a share that is a whole number of tokens but for the last bits is that number
+    quota = F.floor(weight * F.lit(found["budget"]) * (1 + ROUNDING)).cast("bigint")
+    return sources.select("source", "tokens", "rows", F.lit(found["exponent"]).alias("exponent"), F.round(weight, 6).alias("weight"), quota.alias("quota"))
 
 
 def _permuted(rows: DataFrame, key: str) -> DataFrame:
@@ -120,6 +130,13 @@ def _with_sources(rows: DataFrame, sources: DataFrame, n_sources: int) -> DataFr
     return rows.join(small, F.col("source").eqNullSafe(F.col("same_source"))).drop("same_source")
 
 
+def _cut(sums: DataFrame, part: str) -> DataFrame:
+    """source, cut_``part`` (where the running sum of tokens passes the room) and the room that is left in it."""
+    until = F.sum("tokens").over(Window.partitionBy("source").orderBy(part))
+    found = sums.withColumn("until", until).where("until > room AND until - tokens <= room")
+    return found.select("source", F.col(part).alias(f"cut_{part}"), (F.col("room") - F.col("until") + F.col("tokens")).alias("room"))
+
+
 def source_cuts(rows: DataFrame, *, budget_share: float = 1.0, entropy_share: float = ENTROPY_SHARE, most_repeats: float = MOST_REPEATS) -> DataFrame:
     """A row for each source: exponent, weight, whole permutations (passes) and the cut of one more.
 
@@ -131,19 +148,21 @@ def source_cuts(rows: DataFrame, *, budget_share: float = 1.0, entropy_share: fl
     sources = source_weights(stored(sources), budget_share=budget_share, entropy_share=entropy_share, most_repeats=most_repeats)
     passes = F.when(F.col("tokens") > 0, F.floor(F.try_divide(F.col("quota"), F.col("tokens")))).otherwise(F.lit(1)).cast("bigint")
     sources = sources.withColumn("epoch", passes).withColumn("left", F.greatest(F.col("quota") - F.col("epoch") * F.col("tokens"), F.lit(0)))
-    sources = stored(sources.coalesce(1))
+    sources = stored(sources)
     n_sources = sources.count()
     dealt = _permuted(_with_sources(rows, sources.select("source", "rows", "epoch", "left"), n_sources), "key")
-    blocks = dealt.groupBy("source", "block", "left").agg(F.sum("n").alias("tokens"))
-    until = F.sum("tokens").over(Window.partitionBy("source").orderBy("block"))
-    cut = blocks.withColumn("until", until).where("until > left AND until - tokens <= left")
-    cut = stored(cut.select("source", F.col("block").alias("cut_block"), (F.col("left") - F.col("until") + F.col("tokens")).alias("room")))
+    blocks = dealt.groupBy("source", "block", F.col("left").alias("room")).agg(F.sum("n").alias("tokens"))
+    blocks = stored(blocks.withColumn("group", F.floor(F.col("block") / GROUP_BLOCKS)))
+    # first among groups of blocks, then among the blocks of one group: no window is longer than a source's groups
+    groups = _cut(blocks.groupBy("source", "group", "room").agg(F.sum("tokens").alias("tokens")), "group")
+    among = _with_sources(blocks.drop("room"), groups, n_sources).where("group = cut_group")
+    cut = stored(_cut(among.select("source", "block", "room", "tokens"), "block"))
     inside = _with_sources(dealt.select("key", "source", "n", "block", "order"), cut, n_sources).where("block = cut_block")
     so_far = F.sum("n").over(Window.partitionBy("source").orderBy("order", "key"))
     ends = inside.withColumn("so_far", so_far).where("so_far <= room").groupBy("source").agg(F.max(F.struct("order", "key")).alias("cut"))
     cuts = sources.join(cut.select(F.col("source").alias("s1"), "cut_block"), F.col("source").eqNullSafe(F.col("s1")), "left").drop("s1")
     cuts = cuts.join(ends.withColumnRenamed("source", "s2"), F.col("source").eqNullSafe(F.col("s2")), "left").drop("s2")
-    return stored(cuts.select("source", "exponent", "weight", "rows", F.col("epoch").alias("passes"), "cut_block", "cut").coalesce(1))
+    return stored(cuts.select("source", "exponent", "weight", "rows", F.col("epoch").alias("passes"), "cut_block", "cut"))
 
 
 def taken(rows: DataFrame, cuts: DataFrame) -> DataFrame:

@@ -195,11 +195,11 @@ WITH RECURSIVE d AS (
   FROM bis, target t WHERE i = 40
 ), weighted AS (
   SELECT unnest(names) AS source, unnest(tok) AS tokens, unnest(cnts) AS cnt, exponent, total,
-         unnest(list_transform(sh, lambda x: round(CASE WHEN x > 0 THEN pow(x, exponent) ELSE 0 END
-           / list_sum(list_transform(list_filter(sh, lambda y: y > 0), lambda y: pow(y, exponent))), 6))) AS weight
+         unnest(list_transform(sh, lambda x: CASE WHEN x > 0 THEN pow(x, exponent) ELSE 0 END
+           / list_sum(list_transform(list_filter(sh, lambda y: y > 0), lambda y: pow(y, exponent))))) AS whole
   FROM found
 ), quotas AS (
-  SELECT *, CASE WHEN tokens > 0 THEN floor(weight * total)::BIGINT // tokens ELSE 1 END AS passes, floor(weight * total)::BIGINT AS quota FROM weighted
+  SELECT * EXCLUDE (whole), round(whole, 6) AS weight, CASE WHEN tokens > 0 THEN floor(whole * total * (1 + 1e-12::DOUBLE))::BIGINT // tokens ELSE 1 END AS passes, floor(whole * total * (1 + 1e-12::DOUBLE))::BIGINT AS quota FROM weighted
 ), placed AS (
   SELECT d.*, tokens, exponent, weight, passes, greatest(quota - passes * tokens, 0) AS room, e AS epoch, md5(e || ':' || doc_id) AS m,
          greatest((cnt + 4095) // 4096, 1) AS blocks
