@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandline.functions.fields import BASES, CLASSES, TEN_BASES, binom_cdf_half, folded_flanks, mutation_class
-from strandline.operators.confidence import Options, confidence_score, high_confidence_somatic
+from strandline.operators.confidence import PARTS, Options, finished, fixed_parts, high_confidence_somatic
+from strandline.storage import stored
 
 CELL = ["mutation", "before", "after"]
 
@@ -115,19 +116,24 @@ def flag_bias(df: DataFrame, pcr: DataFrame, seq: DataFrame, *, max_opp_weak: in
     return joined.withColumns(flags).drop("_pcr", "_seq")
 
 
-def two_round_bias_filter(df: DataFrame, options: Options | None = None, *, cut=lambda frame: frame, **thresholds) -> DataFrame:
+def two_round_bias_filter(df: DataFrame, options: Options | None = None, *, cut=stored, **thresholds) -> DataFrame:
     """Score, find biases among high-confidence somatic calls, flag, score with the flags; twice.
 
-    ``cut`` is applied between rounds, e.g. to write and re-read the rows so that lineage stays short.
+    What the rules for regions, tumour and control say does not change between rounds: it is worked out once, and ``cut`` (by
+    default, written and read again) keeps it, so that each round only adds its bias terms.  ``cut`` is applied to the
+    matrices as well, which are 96 cells a patient and kind.
     """
     o = options or Options()
-    counted = strand_counts(df.drop("seq_bias", "seqing_bias", "seq_bias_1", "seqing_bias_1"))
-    current = cut(confidence_score(counted.withColumns({c: F.lit(".") for c in ("seq_bias", "seqing_bias", "seq_bias_1", "seqing_bias_1")}), replace(o, round=0)))
+    flags = ["seq_bias", "seqing_bias", "seq_bias_1", "seqing_bias_1"]
+    counted = strand_counts(df.drop(*flags)).withColumns({c: F.lit(".") for c in flags})
+    parts = cut(fixed_parts(counted, o))
+    current = finished(parts, replace(o, round=0))
     for number in (1, 2):
         somatic = high_confidence_somatic(current, no_control=o.no_control)
-        pcr, seq = (bias_matrix(m, **thresholds) for m in strand_error_matrices(somatic, "pcr", "seq").values())
+        pcr, seq = (cut(bias_matrix(m, **thresholds)) for m in strand_error_matrices(somatic, "pcr", "seq").values())
         if number == 2:
             current = current.withColumns({"seq_bias_1": F.col("seq_bias"), "seqing_bias_1": F.col("seqing_bias")})
         flagged = flag_bias(current.drop("seq_bias", "seqing_bias"), pcr, seq)
-        current = cut(confidence_score(flagged.drop("confidence"), replace(o, round=number)))
-    return current
+        # the score of a round starts anew
+        current = finished(flagged.withColumn("_start", F.lit(10)), replace(o, round=number))
+    return current.drop(*PARTS)

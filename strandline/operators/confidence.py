@@ -6,7 +6,7 @@ A rule is a predicate with a penalty, a reason and a tag; the score is 10 less a
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from functools import reduce
 from operator import add
 
@@ -234,35 +234,62 @@ def reclassified(o: Options) -> Column:
     return F.concat(state, F.when(precious, "_precious").otherwise(""))
 
 
-def confidence_score(df: DataFrame, options: Options | None = None, *, profile: str = "current") -> DataFrame:
-    """``df`` with confidence (bigint), penalties, reclassification, filter and id updated or added.
+PARTS = ["_start", "_taken", "_said", "_tags"]
 
-    ``profile``: ``current``, ``legacy`` or ``legacy_no_control``.  A confidence above 10 that rows bring along is where
-    the score starts.
-    """
+
+def _sums(rules: list[Rule]) -> tuple[Column, list[Column], list[Column]]:
+    """Penalties, reasons and tags (in their order, null where they don't apply) of rules."""
+    taken = reduce(add, [F.when(r.when, r.penalty).otherwise(0) for r in rules], F.lit(0))
+    said = [F.when(r.when, r.reason if isinstance(r.reason, Column) else F.lit(r.reason)).otherwise("") for r in rules if isinstance(r.reason, Column) or r.reason]
+    tags = [F.when(reduce(lambda a, b: a | b, [r.when for r in rules if r.tag == t]), F.lit(t)) for t in TAG_ORDER if any(r.tag == t for r in rules)]
+    return taken, said, tags
+
+
+def fixed_parts(df: DataFrame, options: Options | None = None, *, profile: str = "current") -> DataFrame:
+    """``df`` with what all rules but those of bias say (``PARTS``), reclassification and id; `finished` makes scores of it, once or in several rounds."""
     o = options or Options()
-    rules = rules_for(o, profile)
+    rules = rules_for(replace(o, round=0), profile)
     start = F.lit(10)
     if "confidence" in df.columns:
         start = F.when(F.col("confidence") > 10, F.col("confidence")).otherwise(start)
-    taken = reduce(add, [F.when(r.when, r.penalty).otherwise(0) for r in rules])
-    score = F.greatest(F.least(start - taken, F.lit(10)), F.lit(1)).cast("bigint")
-    said = [F.when(r.when, r.reason if isinstance(r.reason, Column) else F.lit(r.reason)).otherwise("") for r in rules if isinstance(r.reason, Column) or r.reason]
+    taken, said, tags = _sums(rules)
     if o.no_control and profile == "current":
         said = [F.when(c, F.lit(f"{n}(NoControl)")).otherwise("") for n, c in no_control_evidence().items() if n != "kgenomes"] + said
-    reasons = F.concat(*said)
-    tags = F.array_compact(F.array(*[F.when(reduce(lambda a, b: a | b, [r.when for r in rules if r.tag == t]), F.lit(t)) for t in TAG_ORDER if any(r.tag == t for r in rules)]))
-    scored = df.withColumns({"confidence": score, "penalties": F.when(reasons == "", ".").otherwise(reasons), "reclassification": reclassified(o if profile == "current" else Options(no_control=profile == "legacy_no_control"))})
-    before = F.coalesce("filter", F.lit(".")) if "filter" in df.columns else F.lit(".")
-    own = F.when(before.startswith("."), F.array().cast("array<string>")).otherwise(F.split(before, ";"))
     dbsnp_id = info_get(F.substring_index("dbsnp", "&", 1), "ID")
     kept_id = F.col("id") if "id" in df.columns else F.lit(".")
-    return scored.withColumns(
+    return df.withColumns(
         {
-            "filter": F.when(F.col("confidence") > 7, "PASS").otherwise(F.array_join(F.array_distinct(F.concat(own, tags)), ";")),
+            "_start": start, "_taken": taken, "_said": F.array(*said), "_tags": F.array_compact(F.array(*tags)),
+            "reclassification": reclassified(o if profile == "current" else Options(no_control=profile == "legacy_no_control")),
             "id": F.when(F.col("dbsnp").contains("MATCH=exact") & dbsnp_id.isNotNull(), dbsnp_id).otherwise(kept_id),
         }
-    )
+    )
+
+
+def finished(parts: DataFrame, options: Options | None = None) -> DataFrame:
+    """Rows of `fixed_parts` with confidence (bigint), penalties and filter, the round's bias flags added in."""
+    o = options or Options()
+    taken, said, tags = _sums(bias_rules(o))
+    score = F.greatest(F.least(F.col("_start") - F.col("_taken") - taken, F.lit(10)), F.lit(1)).cast("bigint")
+    # evidence without a control comes first, then bias, then all others
+    n_first = len(no_control_evidence()) - 1 if o.no_control else 0
+    reasons = F.concat(F.array_join(F.slice("_said", 1, n_first), ""), *said, F.array_join(F.slice("_said", n_first + 1, 1 << 20), ""))
+    before = F.coalesce("filter", F.lit(".")) if "filter" in parts.columns else F.lit(".")
+    own = F.when(before.startswith("."), F.array().cast("array<string>")).otherwise(F.split(before, ";"))
+    scored = parts.withColumns({"confidence": score, "penalties": F.when(reasons == "", ".").otherwise(reasons)})
+    all_tags = F.concat(own, F.col("_tags"), F.array_compact(F.array(*tags)) if tags else F.array().cast("array<string>"))
+    return scored.withColumn("filter", F.when(F.col("confidence") > 7, "PASS").otherwise(F.array_join(F.array_distinct(all_tags), ";")))
+
+
+def confidence_score(df: DataFrame, options: Options | None = None, *, profile: str = "current") -> DataFrame:
+    """``df`` with confidence (bigint), penalties, reclassification, filter and id updated or added.
+
+    ``profile``: ``current``, ``legacy`` or ``legacy_no_control``.  A confidence above 10 that rows bring along is where
+    the score starts.
+    """
+    o = options or Options()
+    current = profile == "current"
+    return finished(fixed_parts(df, o, profile=profile), o if current else replace(o, round=0, no_control=False)).drop(*PARTS)
 
 
 def high_confidence_somatic(df: DataFrame, *, no_control: bool = False) -> DataFrame:
@@ -287,4 +314,4 @@ def genotype_status(df: DataFrame, *, mode: str = "ported") -> DataFrame:
     return df.withColumns({"status": status, "control_genotype": genotype})
 
 
-__all__ = ["Options", "Rule", "confidence_score", "genotype_status", "has_flag", "high_confidence_somatic", "reclassified", "rules_for"]
+__all__ = ["Options", "Rule", "confidence_score", "finished", "fixed_parts", "genotype_status", "has_flag", "high_confidence_somatic", "reclassified", "rules_for"]

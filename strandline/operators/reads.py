@@ -1,7 +1,7 @@
 """Read-level corrections of variant counts: mate overlaps, positional duplicates, mismatches, stray bases.
 
-Everything is keyed by the variant's position.  The rows are dealt by that key once; the mate window, the duplicate
-window and the final sums all find what they need in place.
+Everything is keyed by the variant's position.  Only reads at sites that are corrected are dealt by that key, once; the mate
+window, the duplicate window and the final sums all find what they need in place.
 """
 
 from __future__ import annotations
@@ -40,6 +40,21 @@ def correctable(*, no_control: bool = False) -> Column:
     return F.coalesce(somatic & (F.length("alt") == 1), F.lit(False))
 
 
+#: Sites up to which they are broadcast (under 100 bytes each), so that only their reads are dealt out.
+BROADCAST_SITES = 500_000
+
+
+def _at_sites(reads: DataFrame, sites: DataFrame) -> DataFrame:
+    """Reads at ``sites``, dealt by position.
+
+    Few sites go to the reads, and what is left of these is dealt; with more, both sides meet by position, where Spark sends reads
+    through a Bloom filter of the sites first.
+    """
+    if sites.limit(BROADCAST_SITES + 1).count() <= BROADCAST_SITES:
+        return reads.join(F.broadcast(sites), KEY).repartition(*KEY)
+    return reads.join(sites.hint("merge"), KEY)
+
+
 def overlap_corrected_counts(
     variants: DataFrame, reads: DataFrame, *, min_mapq: int = 30, min_baseq: int = 13, max_mismatches: int | None = None, no_control: bool = False
 ) -> DataFrame:
@@ -50,7 +65,8 @@ def overlap_corrected_counts(
     pair_ref, pair_alt, mis_ref, mis_alt, stray (bases of neither allele taken off), plus, minus.
     """
     sites = variants.where(correctable(no_control=no_control)).select(*KEY, F.upper("ref").alias("_ref"), F.upper("alt").alias("_alt"))
-    rows = reads.where((F.col("mq") >= min_mapq) & (F.col("bq") >= min_baseq)).repartition(*KEY).join(sites, KEY)
+    good = reads.where((F.col("mq") >= min_mapq) & (F.col("bq") >= min_baseq))
+    rows = _at_sites(good, sites)
     base = F.upper("base")
     mismatched = F.coalesce(F.col("nm") > max_mismatches, F.lit(False)) if max_mismatches is not None else F.lit(False)
     rows = rows.withColumns({"mismatched": mismatched, "allele": F.when(base == F.col("_ref"), "ref").when(base == F.col("_alt"), "alt").otherwise("other")})

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strandline.operators import base_quality, bias, confidence, control, filters, intervals, joins, qc, reads
+from strandline.storage import stored
 
 
 def pipeline_call(raw: DataFrame, pileup: DataFrame, **limits) -> DataFrame:
@@ -17,7 +18,7 @@ def pipeline_call(raw: DataFrame, pileup: DataFrame, **limits) -> DataFrame:
 
 def pipeline_annotate(
     candidates: DataFrame, read_rows: DataFrame, *, known: dict[str, DataFrame] | None = None, tracks: dict[str, DataFrame] | None = None,
-    genes: DataFrame | None = None, options: confidence.Options | None = None, cut=lambda frame: frame,
+    genes: DataFrame | None = None, options: confidence.Options | None = None, cut=stored,
 ) -> DataFrame:
     """Known sites, genes, tracks, corrected counts, and two rounds of scoring with bias flags.
 
