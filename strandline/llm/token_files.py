@@ -9,12 +9,12 @@ that span blocks are stitched together without reading tokens again.
 
 `write_token_files` makes such files from texts, each task one of its own in the shared folder, and says which key each
 document in a file has.  A task that is run again writes a file of a new name; the manifest, which Spark commits, names
-only those of tasks that ended well, so that what a lost executor left behind is never counted.
+only those of tasks that ended well, and only these files are scanned, so that what a lost executor left behind is neither read nor counted.
 
 Rows: a null or empty text is a document without tokens and counts 0; a document of any length may span any number of
 blocks; repeated rows are documents each; null and repeated keys are carried along (ties: nothing is ordered by key);
 tokens behind a file's last separator are a last document that is not closed; an empty file or table gives no rows; a file
-whose size is no multiple of the width is an error; extra columns, also of the names used here, are not looked at.
+whose size is no multiple of the width is an error, and so is an id that the width can't hold; extra columns, also of the names used here, are not looked at.
 """
 
 from __future__ import annotations
@@ -46,6 +46,15 @@ def opened(uri: str) -> tuple[pa.fs.FileSystem, str]:
     return pa.fs.FileSystem.from_uri(uri)
 
 
+def closed_line(ids: np.ndarray, counts: np.ndarray, end: int, dtype: np.dtype) -> np.ndarray:
+    """Ids of documents of ``counts`` ids each, one after the other, each closed by ``end``."""
+    if len(ids) and int(ids.max()) > np.iinfo(dtype).max:
+        raise ValueError(f"id {int(ids.max())} needs more than {dtype.itemsize} bytes")
+    line = np.full(len(ids) + len(counts), end, dtype)
+    line[np.arange(len(ids)) + np.repeat(np.arange(len(counts)), counts)] = ids
+    return line
+
+
 def write_token_files(
     df: DataFrame, folder: str, path: str, pattern: str, *, end: int, space_led: bool = False, key: str = "doc_id", text: str = "text", width: int = 2
 ) -> DataFrame:
@@ -56,6 +65,8 @@ def write_token_files(
     kind = df.schema[key].dataType.simpleString()
     vocabulary = read_vocabulary(df, path)
     dtype = WIDTHS[width]
+    if not 0 <= end <= np.iinfo(dtype).max:
+        raise ValueError(f"id {end} needs more than {width} bytes")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = worker_coder(vocabulary, pattern, space_led)
@@ -66,8 +77,7 @@ def write_token_files(
             for begin, stop in slices(batch.column(1)):
                 ids, edges = coder.encode_all(batch.column(1).slice(begin, stop - begin))
                 n = stop - begin
-                line = np.full(len(ids) + n, end, dtype)
-                line[np.arange(len(ids)) + np.repeat(np.arange(n), np.diff(edges))] = ids
+                line = closed_line(ids, np.diff(edges), end, dtype)
                 out = out or store.open_output_stream(f"{place}/{name}")
                 out.write(line.tobytes())
                 numbers = pa.array(np.arange(number, number + n))
@@ -80,14 +90,18 @@ def write_token_files(
     return df.select(df[key].alias("key"), df[text].alias("text")).mapInArrow(run, f"file string, number bigint, key {kind}")
 
 
-def scanned_files(spark: SparkSession, path: str, *, end: int, width: int = 2, block_tokens: int = BLOCK_TOKENS, task_bytes: int = TASK_BYTES) -> DataFrame:
+def scanned_files(
+    spark: SparkSession, path: str, *, end: int, width: int = 2, block_tokens: int = BLOCK_TOKENS, task_bytes: int = TASK_BYTES, named: DataFrame | None = None
+) -> DataFrame:
     """file, block, n (tokens) and ends (places of separators inside the block) of the flat files at ``path``.
 
-    Spark lists the files and their sizes; tasks read byte ranges.
+    Spark lists the files and their sizes; tasks read byte ranges.  ``named``: only files whose names its column file has.
     """
     ship_package(spark)
     dtype, size = WIDTHS[width], block_tokens * width
     files = spark.read.format("binaryFile").load(path).select("path", "length")  # does not read contents
+    if named is not None:
+        files = files.join(named.select("file").distinct(), F.element_at(F.split("path", "/"), -1) == F.col("file"), "left_semi")
     total = files.agg(F.sum("length").alias("n")).first()["n"] or 0
     starts = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("length") - 1, F.lit(size).cast("bigint")))
     ranges = files.where("length > 0").select("path", "length", starts.alias("start"))
@@ -134,6 +148,6 @@ def count_documents(df: DataFrame, path: str, pattern: str, *, end: int, space_l
     manifest = stored(write_token_files(df, folder, path, pattern, end=end, space_led=space_led, key=key, text=text, width=width))
     if manifest.isEmpty():
         return manifest.select(F.col("key").alias(key), F.lit(0).cast("bigint").alias("n_tokens"))
-    lengths = document_lengths(scanned_files(spark, folder, end=end, width=width, block_tokens=block_tokens))
+    lengths = document_lengths(scanned_files(spark, folder, end=end, width=width, block_tokens=block_tokens, named=manifest))
     lengths = lengths.select(F.element_at(F.split("file", "/"), -1).alias("file"), "number", "n_tokens")
     return manifest.join(lengths, ["file", "number"]).select(F.col("key").alias(key), "n_tokens")

@@ -60,3 +60,25 @@ def test_documents_against_the_library(spark, library, block):
 def test_no_rows(spark):
     df = spark.createDataFrame([], "doc_id bigint, text string")
     assert token_files.count_documents(df, PATH, public_tokenizers.PATTERN, end=END).count() == 0
+
+
+def test_what_a_lost_task_left_is_not_read(spark, tmp_path):
+    """A file of odd size that the manifest doesn't name stays where it is, unread."""
+    np.array([5, 5, 9, 9], "<u2").tofile(tmp_path / "good.bin")
+    (tmp_path / "orphan.bin").write_bytes(b"abc")
+    named = spark.createDataFrame([("good.bin",)], "file string")
+    rows = token_files.document_lengths(token_files.scanned_files(spark, str(tmp_path), end=9, named=named)).collect()
+    assert sorted((r["file"].split("/")[-1], r["number"], r["n_tokens"]) for r in rows) == [("good.bin", 0, 2), ("good.bin", 1, 0)]
+    with pytest.raises(Exception, match="no multiple of 2"):
+        token_files.scanned_files(spark, str(tmp_path), end=9).collect()
+
+
+def test_ids_beyond_the_width(spark):
+    counts = np.array([2, 0, 1])
+    assert token_files.closed_line(np.array([65_535, 7, 8]), counts, 9, token_files.WIDTHS[2]).tolist() == [65_535, 7, 9, 9, 8, 9]
+    with pytest.raises(ValueError, match="65536 needs more than 2 bytes"):
+        token_files.closed_line(np.array([65_536, 7, 8]), counts, 9, token_files.WIDTHS[2])
+    assert token_files.closed_line(np.array([65_536, 7, 8]), counts, 9, token_files.WIDTHS[4])[0] == 65_536
+    df = spark.createDataFrame([(1, "x")], "doc_id bigint, text string")
+    with pytest.raises(ValueError, match="70000 needs more than 2 bytes"):
+        token_files.count_documents(df, PATH, public_tokenizers.PATTERN, end=70_000)
