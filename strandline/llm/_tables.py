@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from strandline.storage import shared_dir, ship_package, stored
 
-__all__ = ["WORD_BREAKS", "dealt_join", "free_name", "let", "salted_join", "shared_dir", "ship_package", "stored", "table"]
+__all__ = ["WORD_BREAKS", "dealt_join", "free_name", "let", "shared_dir", "ship_package", "stored", "table"]
 
 #: Bytes at \x20 and \x09-\x0D separate words; everything else belongs to a word.
 WORD_BREAKS = " \t\n\x0b\x0c\r"
@@ -32,22 +32,6 @@ def let(value, body):
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
-#: Parts in which the rows of one name are dealt.
-SALTS = 16
-
-
-def salted_join(rows: DataFrame, named: DataFrame, name: str, key: str) -> DataFrame:
-    """``rows`` with what ``named`` (one row a name: its number of rows n, its least key first) says of their names.
-
-    A name that many rows share would send them all to one task: rows are dealt by a hash of their keys as well, and a name with
-    several rows is sent to every part.
-    """
-    salt = lambda of: F.pmod(F.xxhash64(of, F.lit("salt")), F.lit(SALTS))
-    parts = F.when(F.col("n") == 1, F.array(salt("first"))).otherwise(F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint")))
-    each = named.withColumn("_salt", F.explode(parts)).drop("first", "n")
-    return rows.withColumn("_salt", salt(key)).join(each, [name, "_salt"]).drop("_salt")
-
-
 #: Names with the most rows that are joined by a broadcast, and the rows from which a name is one of them.
 HOT_NAMES = 1_000
 HOT_ROWS = 1_000

@@ -10,20 +10,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strandline.llm._tables import salted_join, stored
+from strandline.llm._tables import dealt_join, stored
 
 
 def _large_star(links: DataFrame) -> DataFrame:
     both = links.select(F.col("a").alias("u"), F.col("b").alias("v")).union(links.select("b", "a"))
-    least = both.groupBy("u").agg(F.min("v").alias("first"), F.count(F.lit(1)).alias("n"), F.least(F.min("v"), F.first("u")).alias("m"))
+    least = both.groupBy("u").agg(F.count(F.lit(1)).alias("n"), F.least(F.min("v"), F.first("u")).alias("m"))
     # a hub's neighbours are many rows of one key
-    return salted_join(both, least, "u", "v").where("v > u").select(F.col("v").alias("a"), F.col("m").alias("b")).distinct()
+    return dealt_join(both, least, ["u"]).where("v > u").select(F.col("v").alias("a"), F.col("m").alias("b")).distinct()
 
 
 def _small_star(links: DataFrame) -> DataFrame:
     down = links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-    least = down.groupBy("u").agg(F.min("v").alias("m"), F.min("v").alias("first"), F.count(F.lit(1)).alias("n"))
-    moved = salted_join(down, least, "u", "v").where("v <> m").select(F.col("v").alias("a"), F.col("m").alias("b"))
+    least = down.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n"))
+    moved = dealt_join(down, least, ["u"]).where("v <> m").select(F.col("v").alias("a"), F.col("m").alias("b"))
     return moved.union(least.select(F.col("u").alias("a"), F.col("m").alias("b"))).where("a <> b").distinct()
 
 

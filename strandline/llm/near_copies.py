@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strandline.llm import simhash
-from strandline.llm._tables import salted_join, ship_package, stored
+from strandline.llm._tables import dealt_join, ship_package, stored
 from strandline.llm.components import min_components
 
 SEED = 42
@@ -239,8 +239,8 @@ def _crowded_links(members: DataFrame, sets: DataFrame, memory: int) -> DataFram
     whole = F.struct("place", "total", "leader")
     places = spots.groupBy("place").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("total"), F.min("name").alias("leader"), F.bit_xor(F.xxhash64("name")).alias("same"))
     # near copies share many keys: places that have the same members are searched once
-    places = places.where("n > 1").groupBy("n", "leader", "same").agg(F.min(whole).alias("whole")).select("whole.*")
-    spots = stored(spots.join(places, "place"))
+    places = places.where("n > 1").groupBy("n", "leader", "same").agg(F.min(whole).alias("whole")).select("whole.*", "n")
+    spots = stored(dealt_join(spots, places, ["place"]))
     small = spots.where(F.col("total") <= memory).join(sets, "name").select("place", "name", "shingles")
     links = stored(_searched(small.repartition("place").sortWithinPartitions("place", "name")))
     over = spots.where(F.col("total") > memory)
@@ -282,8 +282,8 @@ def _grouped(docs: DataFrame, memory: int) -> tuple[DataFrame, DataFrame]:
     ends = linked.join(prints.select(F.col("print").alias("a"), F.col("b").alias("name_a")), "a").join(prints.select(F.col("print").alias("b"), F.col("b").alias("name_b")), "b")
     covered = stored(distinct.join(prints, "print").select(F.col("name").alias("a"), "b").union(ends.select("name_a", "name_b")))
     places = distinct.select("name", F.explode("keys").alias("place"))
-    least = places.groupBy("place").agg(F.min("name").alias("b"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    banded = places.join(least, "place").select(F.col("name").alias("a"), "b")
+    least = places.groupBy("place").agg(F.min("name").alias("b"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    banded = dealt_join(places, least, ["place"]).select(F.col("name").alias("a"), "b")
     near = min_components(covered.union(banded).where("a <> b").distinct()).withColumnRenamed("node", "name")
     near = stored(near.join(distinct.select("name", "first", "size"), "name"))
     crowds = stored(near.groupBy("component").agg(F.sum("size").alias("total")).where(F.col("total") > memory))
@@ -309,9 +309,9 @@ def near_copies(df: DataFrame, *, key: str = "doc_id", text: str = "text", memor
     made, groups = _grouped(docs, memory)
     names = made.groupBy("name").agg(F.min("key").alias("first"), F.count(F.lit(1)).alias("n")).join(groups, "name", "left")
     names = stored(names.withColumn("component", F.coalesce("component", "name")))
-    least = names.groupBy("component").agg(F.min("first").alias("component_id"))
-    named = names.join(least, "component").select("name", "first", "n", "component_id")
-    return salted_join(made, named, "name", "key").select(F.col("key").alias(key), "component_id")
+    least = names.groupBy("component").agg(F.min("first").alias("component_id"), F.count(F.lit(1)).alias("rows"))
+    named = stored(dealt_join(names, least.withColumnRenamed("rows", "n"), ["component"]).select("name", "n", "component_id"))
+    return dealt_join(made, named, ["name"]).select(F.col("key").alias(key), "component_id")
 
 
 def drop_near_copies(df: DataFrame, *, key: str = "doc_id", text: str = "text", memory: int = SET_MEMORY) -> DataFrame:

@@ -13,9 +13,10 @@ two halves that differ in one bit meet at the anchor next to either.  Only finge
 At an anchor a search takes one fingerprint after the other from those not yet reached, so that a dense group costs
 little more than one pass, and gives one link per fingerprint, never all pairs.  An anchor with more than
 ``ANCHOR_MEMORY`` fingerprints is not searched in one task: its fingerprints go on to a second round, where they are
-dealt by a quarter of the *other* half (of at most three differing bits, one quarter of four is free of them), and
-those that are still crowded to a third, dealt by five of their eight bytes; there no place can hold more than 2^24
-distinct fingerprints (134 MB), as only three bytes are left to differ in.
+dealt by a quarter of the *other* half (of at most three differing bits, one quarter of four is free of them), those that
+are still crowded to a third, dealt by five of their eight bytes, and what is crowded there to a last one, dealt by
+a quarter of the other three bytes as well.  Then only 18 bits are left to differ in: no place can hold more than 2^18
+distinct fingerprints (2 MB).
 
 Rows: a null, empty or wordless text has fingerprint zero and links like any other; a very long text is hashed in parts;
 equal texts, and repeated rows, share a fingerprint and are collapsed before anything is compared; ties (bits set in
@@ -35,7 +36,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strandline.llm._tables import free_name, salted_join, ship_package, stored
+from strandline.llm._tables import dealt_join, free_name, ship_package, stored
 from strandline.llm.components import min_components
 
 SEED = 42
@@ -213,15 +214,34 @@ def _quarters(crowded: DataFrame) -> DataFrame:
     return crowded.select(F.explode(F.array(*keys)).alias("place"), F.col("a").alias("print"))
 
 
+#: Every choice of five of eight bytes: three differing bits leave five bytes alone.
+_FIVE = list(combinations(range(8), 5))
+
+
+def _mask(bits: list[int]) -> int:
+    return int(np.uint64(sum(1 << b for b in bits)).view(np.int64))
+
+
 def _five_bytes(crowded: DataFrame) -> DataFrame:
-    """Deal fingerprints by every choice of five of their eight bytes: three differing bits leave five bytes alone."""
+    """Deal fingerprints by every choice of five of their eight bytes; the choice's number is in the place's last six bits."""
     keys = []
-    for n, chosen in enumerate(combinations(range(8), 5)):
-        mask = int(np.uint64(sum(0xFF << (8 * k) for k in chosen)).view(np.int64))
-        keys.append(F.xxhash64(F.lit(n), F.col("a").bitwiseAND(F.lit(mask).cast("bigint"))))
+    for n, chosen in enumerate(_FIVE):
+        kept = F.col("a").bitwiseAND(F.lit(_mask([8 * k + j for k in chosen for j in range(8)])).cast("bigint"))
+        keys.append(F.xxhash64(F.lit(n), kept).bitwiseAND(F.lit(-64).cast("bigint")).bitwiseOR(F.lit(n).cast("bigint")))
     return crowded.select("a").distinct().select(F.explode(F.array(*keys)).alias("place"), F.col("a").alias("print"))
 
 
+def _six_bits(crowded: DataFrame) -> DataFrame:
+    """Deal places of `_five_bytes` on by each quarter of the 24 bits that they don't tell."""
+    masks = []
+    for chosen in _FIVE:
+        rest = [8 * k + j for k in range(8) if k not in chosen for j in range(8)]
+        masks.append(F.array(*[F.lit(_mask(rest[6 * q : 6 * q + 6])).cast("bigint") for q in range(4)]))
+    own = F.get(F.array(*masks), F.col("place").bitwiseAND(F.lit(63).cast("bigint")).cast("int"))
+    keys = F.transform(own, lambda mask, q: F.xxhash64("place", q, F.col("a").bitwiseAND(mask)))
+    return crowded.select("place", "a").select(F.explode(keys).alias("place"), F.col("a").alias("print"))
+
+
 def fingerprint_links(prints: DataFrame, *, memory: float = ANCHOR_MEMORY) -> DataFrame:
     """Links a, b (a member and a smaller fingerprint of its component) between distinct fingerprints; no pair is lost.
 
@@ -237,7 +257,11 @@ def fingerprint_links(prints: DataFrame, *, memory: float = ANCHOR_MEMORY) -> Da
     links = links.unionByName(second.where("place IS NULL"))
     again = second.where("place IS NOT NULL")
     if not again.isEmpty():
-        links = links.unionByName(stored(_searched(_five_bytes(again), math.inf)))
+        third = stored(_searched(_five_bytes(again), memory))
+        links = links.unionByName(third.where("place IS NULL"))
+        last = third.where("place IS NOT NULL")
+        if not last.isEmpty():
+            links = links.unionByName(stored(_searched(_six_bits(last), math.inf)))  # bounded by the bits that are left
     return links.select("a", "b").distinct()
 
 
@@ -251,10 +275,10 @@ def near_duplicates(df: DataFrame, *, key: str = "doc_id", text: str = "text", m
     prints = stored(made.groupBy("fingerprint").agg(F.min(key).alias("first"), F.count(F.lit(1)).alias("n")))
     links = fingerprint_links(prints, memory=memory)
     members = min_components(links).join(prints, F.col("node") == F.col("fingerprint")).select("fingerprint", "component", "first")
-    names = members.groupBy("component").agg(F.min("first").alias("least"))
-    renamed = members.join(names, "component").select("fingerprint", "least")
-    named = prints.join(renamed, "fingerprint", "left").select("fingerprint", "first", "n", F.coalesce("least", "first").alias("component_id"))
-    return salted_join(made, named, "fingerprint", key).select(key, F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
+    names = members.groupBy("component").agg(F.min("first").alias("least"), F.count(F.lit(1)).alias("n"))
+    renamed = dealt_join(members, names, ["component"]).select("fingerprint", "least")
+    named = stored(prints.join(renamed, "fingerprint", "left").select("fingerprint", "n", F.coalesce("least", "first").alias("component_id")))
+    return dealt_join(made, named, ["fingerprint"]).select(key, F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 #: Ids of dropped documents up to which they are broadcast (8 bytes each) so that texts need no shuffle.

@@ -68,7 +68,7 @@ def test_documents(spark):
     assert sorted(r["doc_id"] for r in kept.collect()) == sorted(k * 3 + 1 for k in least.values())
 
 
-@pytest.mark.parametrize("memory", [50_000, 12, 3])
+@pytest.mark.parametrize("memory", [50_000, 12, 3, 1])
 def test_crowded_anchors_lose_no_link(spark, memory):
     rnd = random.Random(memory)
     prints = set()
@@ -89,6 +89,26 @@ def test_crowded_anchors_lose_no_link(spark, memory):
     assert len(set(pairs.values())) == len(pairs)
 
 
+def test_the_last_round_holds_few_and_loses_no_pair(spark):
+    """Prints that share five bytes: two that differ in three bits share a place again, and a place's prints differ in 18 bits at most."""
+    rnd = random.Random(6)
+    base = rnd.getrandbits(64)
+    prints = sorted({base ^ (rnd.getrandbits(24) & sum(1 << b for b in rnd.sample(range(24), 3))) << 16 for _ in range(150)})
+    dealt = simhash._five_bytes(spark.createDataFrame([(signed(x),) for x in prints], "a bigint"))
+    crowded = dealt.join(dealt.groupBy("place").count().where("count > 20").select("place"), "place", "left_semi").withColumnRenamed("print", "a")
+    places = {}
+    for r in simhash._six_bits(crowded).collect():
+        places.setdefault(r["place"], set()).add(r["print"])
+    met = {(x, y) for held in places.values() for x in held for y in held if x < y}
+    close = {(x, y) for x in map(signed, prints) for y in map(signed, prints) if x < y and ((x ^ y) & (1 << 64) - 1).bit_count() <= 3}
+    assert close <= met and close
+    for held in places.values():
+        differ = 0
+        for x in held:
+            differ |= x ^ next(iter(held))
+        assert (differ & (1 << 64) - 1).bit_count() <= 18
+
+
 def test_halves_that_differ_in_a_bit_share_an_anchor():
     rnd = random.Random(1)
     for _ in range(200):
