@@ -266,10 +266,10 @@ def fixed_parts(df: DataFrame, options: Options | None = None, *, profile: str =
     )
 
 
-def finished(parts: DataFrame, options: Options | None = None) -> DataFrame:
-    """Rows of `fixed_parts` with confidence (bigint), penalties and filter, the round's bias flags added in."""
+def finished(parts: DataFrame, options: Options | None = None, *, tags: str | None = None) -> DataFrame:
+    """Rows of `fixed_parts` with confidence (bigint), penalties and filter, the round's bias flags added in; ``tags``: a column for all tags of the rules that apply."""
     o = options or Options()
-    taken, said, tags = _sums(bias_rules(o))
+    taken, said, own_tags = _sums(bias_rules(o))
     score = F.greatest(F.least(F.col("_start") - F.col("_taken") - taken, F.lit(10)), F.lit(1)).cast("bigint")
     # evidence without a control comes first, then bias, then all others
     n_first = len(no_control_evidence()) - 1 if o.no_control else 0
@@ -277,19 +277,23 @@ def finished(parts: DataFrame, options: Options | None = None) -> DataFrame:
     before = F.coalesce("filter", F.lit(".")) if "filter" in parts.columns else F.lit(".")
     own = F.when(before.startswith("."), F.array().cast("array<string>")).otherwise(F.split(before, ";"))
     scored = parts.withColumns({"confidence": score, "penalties": F.when(reasons == "", ".").otherwise(reasons)})
-    all_tags = F.concat(own, F.col("_tags"), F.array_compact(F.array(*tags)) if tags else F.array().cast("array<string>"))
+    raised = F.concat("_tags", F.array_compact(F.array(*own_tags)) if own_tags else F.array().cast("array<string>"))
+    all_tags = F.concat(own, raised)
+    scored = scored.withColumn(tags, raised) if tags else scored
     return scored.withColumn("filter", F.when(F.col("confidence") > 7, "PASS").otherwise(F.array_join(F.array_distinct(all_tags), ";")))
 
 
-def confidence_score(df: DataFrame, options: Options | None = None, *, profile: str = "current") -> DataFrame:
+def confidence_score(df: DataFrame, options: Options | None = None, *, profile: str = "current", tags: str | None = None) -> DataFrame:
     """``df`` with confidence (bigint), penalties, reclassification, filter and id updated or added.
 
+    ``tags``: a column more, with the tags of all rules that apply, whatever the filter cell said before.
+
     ``profile``: ``current``, ``legacy`` or ``legacy_no_control``.  A confidence above 10 that rows bring along is where
     the score starts.
     """
     o = options or Options()
     current = profile == "current"
-    return finished(fixed_parts(df, o, profile=profile), o if current else replace(o, round=0, no_control=False)).drop(*PARTS)
+    return finished(fixed_parts(df, o, profile=profile), o if current else replace(o, round=0, no_control=False), tags=tags).drop(*PARTS)
 
 
 def high_confidence_somatic(df: DataFrame, *, no_control: bool = False) -> DataFrame:

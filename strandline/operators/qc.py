@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strandline.functions.fields import BASES, CLASSES, folded_flanks, mutation_class, vaf, vaf2
-from strandline.storage import ship_package
+from strandline.functions.fields import BASES, CLASSES, folded_flanks, let, mutation_class, vaf, vaf2
 
 CHROMS = [*map(str, range(1, 23)), "X", "Y"]
 
@@ -144,38 +142,54 @@ def purity_by_chromosome(df: DataFrame) -> DataFrame:
     return joined.withColumn("purity", F.try_divide("gamma_tumour", "gamma_control"))
 
 
-#: One-sided 1 % points of the t distribution by degrees of freedom from 1; 800 beyond 23.  The second is as the method has it.
-T_POINTS = [31.82, 6 - 965, 4.541, 3.747, 3.365, 3.143, 2.998, 2.896, 2.821, 2.764, 2.718, 2.681, 2.650, 2.624, 2.602, 2.583, 2.567, 2.552, 2.539, 2.528, 2.518, 2.508, 2.500]
+#: One-sided 1 % points of the t distribution by degrees of freedom from 1; 800 beyond 23.  The second is as the method has it (quirk Q8).
+T_POINTS = [31.82, -959, 4.541, 3.747, 3.365, 3.143, 2.998, 2.896, 2.821, 2.764, 2.718, 2.681, 2.650, 2.624, 2.602, 2.583, 2.567, 2.552, 2.539, 2.528, 2.518, 2.508, 2.500]
 
 
-def _critical(n: int) -> float:
-    t = T_POINTS[n - 3] if 1 <= n - 2 <= len(T_POINTS) else 800.0
-    return (n - 1.0) / n**0.5 * (t * t / (n - 2.0 + t * t)) ** 0.5
+def _critical(n: Column) -> Column:
+    """What the largest of ``n`` deviations, in standard deviations, must exceed."""
+    t = F.coalesce(F.get(F.array(*[F.lit(float(x)) for x in T_POINTS]), n - 3), F.lit(800.0))
+    return (n - 1) / F.sqrt(n.cast("double")) * F.sqrt(t * t / (n - 2 + t * t))
 
 
-def _esd(rows: pd.DataFrame) -> pd.DataFrame:
-    left = dict(zip(rows["chrom"], rows["purity"]))
-    outliers = []
-    while True:
-        values = list(left.values())
-        centre = sum(values) / len(values) if values else 0.0
-        spread = sum((v - centre) ** 2 for v in values)
-        sd = (spread / (len(values) - 1)) ** 0.5 if len(values) > 1 and spread else 1.0
-        if len(values) < 3:
-            break
-        # of equal distances the last chromosome goes
-        worst = max(left, key=lambda c: (abs(left[c] - centre), CHROMS.index(c)))
-        if abs(left[worst] - centre) / sd <= _critical(len(values)):
-            break
-        outliers.append(worst)
-        del left[worst]
-    return pd.DataFrame({"pid": [rows["pid"].iloc[0]], "purity": [round(centre, 6)], "n_outliers": [len(outliers)], "outliers": [",".join(sorted(outliers, key=CHROMS.index))]})
+def _mean(rows: Column) -> Column:
+    return F.aggregate(rows, F.lit(0.0), lambda a, x: a + x["purity"]) / F.size(rows)
+
+
+def _without_worst(state: Column) -> Column:
+    """One step: the chromosome that is farthest from the mean goes (of equal ones the last), if it is far enough; else all is done."""
+    rows = state["rows"]
+
+    def step(mean: Column) -> Column:
+        spread = F.sqrt(F.aggregate(rows, F.lit(0.0), lambda a, x: a + (x["purity"] - mean) * (x["purity"] - mean)) / (F.size(rows) - 1))
+        sd = F.when(spread == 0, F.lit(1.0)).otherwise(spread)
+        worst = F.array_max(F.transform(rows, lambda x: F.struct(F.abs(x["purity"] - mean).alias("off"), x["rank"].alias("rank"), x["chrom"].alias("chrom"))))
+
+        def judged(w: Column) -> Column:
+            goes = (w["off"] / sd) > _critical(F.size(rows))
+            left = F.filter(rows, lambda x: x["rank"] != w["rank"])
+            return F.when(goes, F.struct(left.alias("rows"), F.array_append(state["gone"], F.struct(w["rank"].alias("rank"), w["chrom"].alias("chrom"))).alias("gone"), F.lit(False).alias("done"))).otherwise(
+                F.struct(rows.alias("rows"), state["gone"].alias("gone"), F.lit(True).alias("done"))
+            )
+
+        return let(worst, judged)
+
+    ended = F.struct(rows.alias("rows"), state["gone"].alias("gone"), F.lit(True).alias("done"))
+    return F.when(state["done"] | (F.size(rows) < 3), ended).otherwise(let(_mean(rows), step))
 
 
 def purity_esd(by_chromosome: DataFrame) -> DataFrame:
-    """A patient's purity: the mean over chromosomes after dropping outliers one by one.  24 rows in a group."""
-    ship_package(by_chromosome.sparkSession)
-    return by_chromosome.groupBy("pid").applyInPandas(_esd, "pid string, purity double, n_outliers bigint, outliers string")
+    """A patient's purity: the mean over chromosomes after dropping outliers one by one.
+
+    A patient's rows, at most one a chromosome, are one array, and a fold over as many steps takes outliers out of it.
+    """
+    rank = F.array_position(F.array(*[F.lit(c) for c in CHROMS]), F.col("chrom"))
+    rows = by_chromosome.groupBy("pid").agg(F.array_sort(F.collect_list(F.struct(rank.alias("rank"), "chrom", F.col("purity").cast("double").alias("purity")))).alias("rows"))
+    begin = F.struct("rows", F.array().cast("array<struct<rank:bigint,chrom:string>>").alias("gone"), F.lit(False).alias("done"))
+    end = rows.withColumn("end", F.aggregate(F.sequence(F.lit(1), F.size("rows")), begin, lambda state, _: _without_worst(state)))
+    purity = F.when(F.size("end.rows") > 0, F.round(_mean(F.col("end.rows")), 6)).otherwise(F.lit(0.0))
+    names = F.array_join(F.transform(F.array_sort("end.gone"), lambda x: x["chrom"]), ",")
+    return end.select("pid", purity.alias("purity"), F.size("end.gone").cast("bigint").alias("n_outliers"), names.alias("outliers"))
 
 
 def qc_row(df: DataFrame) -> DataFrame:

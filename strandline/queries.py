@@ -21,6 +21,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 SNV, ANN, STRANDS, READS = fixtures.WITH_SNV, fixtures.WITH_ANNOTATED, fixtures.WITH_STRANDS, fixtures.WITH_READS
+READS_CTE = READS.removeprefix(f"{SNV}, ")
 
 
 def query(sql: str | None = None) -> Callable[[Query], Query]:
@@ -304,7 +305,11 @@ def condition_vector(spark, sf_dir):
 
 
 def _scored_sql(*, cutoff: int = 150, punish: bool = True, round_number: int = 0) -> str:
-    """Score, class and tags by hand: one CASE for each rule of the current set."""
+    return f"{ANN}, {_score_ctes('ann', '', cutoff=cutoff, punish=punish, round_number=round_number)}"
+
+
+def _score_ctes(source: str, n: str, *, cutoff: int | str = 150, punish: bool = True, round_number: int = 0) -> str:
+    """Score, class and tags by hand: one CASE for each rule of the current set.  Tables f, r and scored, with ``n`` behind their names."""
     known, precious = "(k1 OR (kd AND NOT kp))", "kp"
     rules = [
         ("repeat_masker LIKE '%Simple_repeat%' OR repeat_masker LIKE '%Low\\_%' ESCAPE '\\' OR repeat_masker LIKE '%Satellite%'", 2, "RE", "'Simple_repeat(-2)'"),
@@ -323,8 +328,8 @@ def _scored_sql(*, cutoff: int = 150, punish: bool = True, round_number: int = 0
         ("tvf = 1 AND tvr = 1", 3, "1PS", "'Only_one_ALT_per_strand(-3)'"),
         ("tvf + tvr < 5 AND vt < 0.05", 3, "FRQ", "'ALT<6_and_MAF<=0.1(-3)'"),
         ("round(vc, 2) > 0 AND annotation_control = 'somatic' AND round(vt, 2) / round(vc, 2) < 5", 3, "VAF", "'Alternative_allel_freq_not_5_times_bigger_in_tum_than_in_control(-3)'"),
-        (f"depth_c > {cutoff} AND depth_c <= {2 * cutoff}", 2, "DPHIGH", f"'Controlcoverage>{cutoff}(-2)'"),
-        (f"depth_c > {2 * cutoff}", 4, "DPHIGH", f"'Controlcoverage>2*{cutoff}(-4)'"),
+        (f"depth_c > {cutoff} AND depth_c <= 2 * {cutoff}", 2, "DPHIGH", f"'Controlcoverage>{cutoff}(-2)'"),
+        (f"depth_c > 2 * {cutoff}", 4, "DPHIGH", f"'Controlcoverage>2*{cutoff}(-4)'"),
         ("depth_c <= 5", 3, "DPLOWC", "'Controlcoverage<=5(-3)'"),
         ("som AND tvf + tvr < 2", 3, "TAR", "'Somatic_ALT<2(-3)'"),
         (f"som AND vc > 0 AND {punish}", 2, "ALTC", None),
@@ -345,25 +350,26 @@ def _scored_sql(*, cutoff: int = 150, punish: bool = True, round_number: int = 0
     order = "RE BL DP SB TAC dbSNP DB HSDEPTH MAP SBAF FRQ TAR UNCLEAR DPHIGH DPLOWC 1PS ALTC ALTCFR FRC YALT VAF BI".split()
     tags = ", ".join(f"CASE WHEN {' OR '.join(f'({w})' for w, _, t, _ in rules if t == tag)} THEN '{tag}' END" for tag in order if any(t == tag for _, _, t, _ in rules))
     regions = " || ".join(f"CASE WHEN {w} THEN {r} ELSE '' END" for w, _, _, r in rules[:14])
-    return f"""{ANN}, f AS (
+    return f"""f{n} AS (
       SELECT *, {T_VAF} AS vt, {C_VAF} AS vc, trf + trr + tvf + tvr AS depth_t, crf + crr + cvf + cvr AS depth_c,
         repeat_masker LIKE '%Simple_repeat%' OR repeat_masker LIKE '%Low\\_%' ESCAPE '\\' OR repeat_masker LIKE '%Satellite%' AS rep,
         CASE WHEN mapability = '.' THEN NULL ELSE list_min(list_transform(string_split(mapability, '&'), lambda x: x::DOUBLE)) END AS m,
         kgenomes LIKE '%MATCH=exact%' AS k1, dbsnp LIKE '%MATCH=exact%' AS kd, dbsnp LIKE '%MATCH=exact%' AND (dbsnp LIKE '%;CLN;%' OR dbsnp LIKE '%;PM;%') AS kp,
         annotation_control LIKE '%somatic%' AS som, CASE WHEN crf + crr + cvf + cvr > 0 THEN tsr::DOUBLE / (crf + crr + cvf + cvr) > 1 / 30.0::DOUBLE ELSE false END AS lowq
-      FROM ann
-    ), r AS (
+      FROM {source}
+    ), r{n} AS (
       SELECT *, greatest(least(10 - ({taken}), 10), 1)::BIGINT AS score, {regions} AS region_reasons, list_filter([{tags}], lambda x: x IS NOT NULL) AS tags,
         CASE WHEN som THEN CASE WHEN {known} AND depth_c < 10 THEN 'lowCov_SNP_support_germline' WHEN {known} THEN 'SNP_support_germline' WHEN vc > 0 OR lowq THEN 'LQVSIG' ELSE annotation_control END
              WHEN annotation_control = 'germline' THEN 'germline' || CASE WHEN {known} THEN '_SNP_support' ELSE '' END || CASE WHEN depth_c <= 10 THEN '_lowCov' ELSE '' END
              WHEN annotation_control = 'LQVSIG' THEN CASE WHEN {known} THEN 'SNP_support_germline' ELSE 'LQVSIG' END
              WHEN annotation_control = 'unclear' THEN CASE WHEN {known} THEN 'SNP_support_germline' WHEN tsr > 1 THEN 'LQVSIG' ELSE 'unclear' END
              ELSE annotation_control END || CASE WHEN {precious} THEN '_precious' ELSE '' END AS reclassification
-      FROM f
-    ), scored AS (
+      FROM f{n}
+    ), scored{n} AS (
       SELECT * EXCLUDE (filter), score AS confidence,
-        CASE WHEN score > 7 THEN 'PASS' ELSE array_to_string(list_concat(CASE WHEN filter LIKE '.%' THEN [] ELSE [filter] END, list_filter(tags, lambda x: filter LIKE '.%' OR x <> filter)), ';') END AS filter
-      FROM r
+        CASE WHEN score > 7 THEN 'PASS' WHEN filter LIKE '.%' THEN array_to_string(tags, ';')
+             ELSE array_to_string(list_concat(string_split(filter, ';'), list_filter(tags, lambda x: NOT list_contains(string_split(filter, ';'), x))), ';') END AS filter
+      FROM r{n}
     )"""
 
 
@@ -610,11 +616,11 @@ def attach_clinical(spark, sf_dir):
 # --- reads ----------------------------------------------------------------------------------------------------------
 
 
-@query(
-    f"""{READS}, calls AS (
-      SELECT *, CASE WHEN pk % 11 = 0 THEN alt || ',' || ref ELSE alt END AS alts, CASE (ok + ln) % 8 WHEN 0 THEN 'germline' WHEN 1 THEN 'unclear' WHEN 2 THEN 'LQVSIG' WHEN 3 THEN 'multi_somatic' ELSE 'somatic' END AS class FROM snv
-    ), due AS (SELECT pid, chrom, pos FROM calls WHERE class LIKE '%somatic%' AND length(alts) = 1), gated AS (
-      SELECT *, nm > 3 AS mis, CASE WHEN base = ref THEN 'ref' WHEN base = alt THEN 'alt' ELSE 'other' END AS allele, is_proper_pair AND NOT nm > 3 AS paired FROM reads SEMI JOIN due USING (pid, chrom, pos) WHERE mq >= 30 AND bq >= 13
+def _overlap_ctes(mis: str) -> str:
+    """Tables gated to sums, from reads and due: what is taken off each count, and ten strand counts of the pairs that are left."""
+    strand = lambda side: ", ".join(f"count(*) FILTER (paired AND {side} AND CASE WHEN is_reverse THEN lower(base) ELSE base END = '{b}')" for b in "ACGTNacgtn")
+    return f"""gated AS (
+      SELECT *, {mis} AS mis, CASE WHEN base = ref THEN 'ref' WHEN base = alt THEN 'alt' ELSE 'other' END AS allele, is_proper_pair AND NOT {mis} AS paired FROM reads SEMI JOIN due USING (pid, chrom, pos) WHERE mq >= 30 AND bq >= 13
     ), mates AS (
       SELECT *, row_number() OVER w AS nth, first_value(base) OVER w AS base1, first_value(bq) OVER w AS bq1 FROM gated WINDOW w AS (PARTITION BY pid, chrom, pos, paired, qname ORDER BY pileup_idx)
     ), beaten AS (
@@ -629,11 +635,17 @@ def attach_clinical(spark, sf_dir):
         count(*) FILTER ((mis OR over OR dup) AND allele = 'alt' AND NOT is_reverse) AS af, count(*) FILTER ((mis OR over OR dup) AND allele = 'alt' AND is_reverse) AS ar,
         count(*) FILTER (dup AND allele = 'ref') AS dup_ref, count(*) FILTER (dup AND allele = 'alt') AS dup_alt, count(*) FILTER (over AND allele = 'ref') AS pair_ref, count(*) FILTER (over AND allele = 'alt') AS pair_alt,
         count(*) FILTER (NOT mis AND allele = 'alt') AS seen, count(*) FILTER (NOT mis AND allele = 'other' AND NOT is_reverse) AS sf, count(*) FILTER (NOT mis AND allele = 'other' AND is_reverse) AS sr,
-        count(*) FILTER (paired AND is_read1 <> is_reverse AND NOT is_reverse AND base = 'A') AS plus_a
+        [{strand("is_read1 <> is_reverse")}] AS plus, [{strand("is_read1 = is_reverse")}] AS minus
       FROM dups GROUP BY ALL
-    ), less AS (
+    )"""
+
+
+@query(
+    f"""{READS}, calls AS (
+      SELECT *, CASE WHEN pk % 11 = 0 THEN alt || ',' || ref ELSE alt END AS alts, CASE (ok + ln) % 8 WHEN 0 THEN 'germline' WHEN 1 THEN 'unclear' WHEN 2 THEN 'LQVSIG' WHEN 3 THEN 'multi_somatic' ELSE 'somatic' END AS class FROM snv
+    ), due AS (SELECT pid, chrom, pos FROM calls WHERE class LIKE '%somatic%' AND length(alts) = 1), {_overlap_ctes("nm > 3")}, less AS (
       SELECT pid, chrom, pos, alts, class, d.pid IS NOT NULL AND tvf + tvr > coalesce(seen, 0) AS short, coalesce(sf, 0) AS sf, coalesce(sr, 0) AS sr, greatest(trf - coalesce(rf, 0), 0) AS trf, greatest(trr - coalesce(rr, 0), 0) AS trr,
-        greatest(tvf - coalesce(af, 0), 0) AS tvf, greatest(tvr - coalesce(ar, 0), 0) AS tvr, coalesce(dup_ref, 0) AS dup_ref, coalesce(dup_alt, 0) AS dup_alt, coalesce(pair_ref, 0) AS pair_ref, coalesce(pair_alt, 0) AS pair_alt, CASE WHEN d.pid IS NOT NULL THEN coalesce(plus_a, 0) END AS plus_a
+        greatest(tvf - coalesce(af, 0), 0) AS tvf, greatest(tvr - coalesce(ar, 0), 0) AS tvr, coalesce(dup_ref, 0) AS dup_ref, coalesce(dup_alt, 0) AS dup_alt, coalesce(pair_ref, 0) AS pair_ref, coalesce(pair_alt, 0) AS pair_alt, CASE WHEN d.pid IS NOT NULL THEN coalesce(plus[1], 0) END AS plus_a
       FROM calls LEFT JOIN sums USING (pid, chrom, pos) LEFT JOIN due d USING (pid, chrom, pos)
     )
     SELECT pid, chrom, pos, alts AS alt, class AS annotation_control, trf, trr, CASE WHEN short AND tvf >= sf THEN tvf - sf ELSE tvf END AS tvf, CASE WHEN short AND tvr >= sr THEN tvr - sr ELSE tvr END AS tvr,
@@ -717,7 +729,34 @@ def flag_bias(spark, sf_dir):
     return bias.flag_bias(counted.drop("seq_bias", "seqing_bias"), pcr, seq).select("pid", "chrom", "pos", "seq_bias", "seqing_bias")
 
 
-@query()
+def _two_round_ctes(source: str, **options) -> str:
+    """Tables scored0, scored1 and scored2 of ``source`` (strand counts of stranded are there): score, matrices of the high-confidence somatic calls, flags; twice."""
+    flags = "seq_bias, seqing_bias, seq_bias_1, seqing_bias_1"
+    steps = [f"base0 AS (SELECT * EXCLUDE ({flags}), '.' AS seq_bias, '.' AS seqing_bias, '.' AS seq_bias_1, '.' AS seqing_bias_1 FROM {source})", _score_ctes("base0", "0", **options)]
+    cell = """CASE WHEN p + m > 20 AND greatest(p, m)::DOUBLE / (p + m) > 0.53
+        AND (SELECT sum(exp(lgamma(p + m + 1) - lgamma(i + 1) - lgamma(p + m - i + 1) - (p + m) * ln(2))) FROM unnest(generate_series(0, least(p, m))) AS r(i)) < 0.01
+        THEN CASE WHEN greatest(p, m)::DOUBLE / (p + m) > 0.63 THEN 2 ELSE 1 END * CASE WHEN p >= m THEN 1 ELSE -1 END ELSE 0 END"""
+    for k in (1, 2):
+        for kind in ("pcr", "seq"):
+            steps.append(
+                f"""sums_{kind}{k} AS (SELECT pid, mutation, before, after, sum({kind}_plus)::BIGINT AS p, sum({kind}_minus)::BIGINT AS m FROM scored{k - 1} WHERE confidence > 7 AND {SOMATIC} AND {kind}_plus IS NOT NULL GROUP BY ALL),
+                bias_{kind}{k} AS (SELECT pid, mutation, before, after, {cell} AS bias FROM sums_{kind}{k})"""
+            )
+        flag = lambda name, kind: f"CASE WHEN {kind}_plus IS NULL THEN '.' ELSE {_flag_sql(name, f'coalesce(b_{kind}.bias, 0)', kind)} END"
+        before = "'.' AS seq_bias_1, '.' AS seqing_bias_1" if k == 1 else "b.seq_bias AS seq_bias_1, b.seqing_bias AS seqing_bias_1"
+        steps.append(
+            f"""base{k} AS (SELECT b.* EXCLUDE ({flags}, filter), z.filter, {before}, {flag("PCR", "pcr")} AS seq_bias, {flag("SEQ", "seq")} AS seqing_bias
+            FROM base{k - 1} b JOIN (SELECT pid, chrom, pos, filter FROM scored{k - 1}) z USING (pid, chrom, pos)
+            LEFT JOIN bias_pcr{k} b_pcr USING (pid, mutation, before, after) LEFT JOIN bias_seq{k} b_seq USING (pid, mutation, before, after))"""
+        )
+        steps.append(_score_ctes(f"base{k}", str(k), round_number=k, **options))
+    return ", ".join(steps)
+
+
+@query(
+    f"""{STRANDS}, {COUNTED}, {_two_round_ctes("stranded", cutoff=500, punish=False)}
+    SELECT pid, chrom, pos, confidence, filter, reclassification, seq_bias, seqing_bias, seq_bias_1, seqing_bias_1 FROM scored2"""
+)
 def two_round_bias_filter(spark, sf_dir):
     out = bias.two_round_bias_filter(fixtures.strands(spark, sf_dir), confidence.Options(cutoff=500, punish_control=False), cut=stored)
     return out.select("pid", "chrom", "pos", "confidence", "filter", "reclassification", "seq_bias", "seqing_bias", "seq_bias_1", "seqing_bias_1")
@@ -833,7 +872,22 @@ def purity_by_chromosome(spark, sf_dir):
     return out.select("pid", "chrom", *[F.round(c, 6).alias(c) for c in ("gamma_tumour", "gamma_control", "purity")])
 
 
-@query()
+@query(
+    f"""{PURITY.replace("WITH snv", "WITH RECURSIVE snv", 1)}, p24 AS (
+      SELECT pid, chrom, CASE chrom WHEN 'X' THEN 23 WHEN 'Y' THEN 24 ELSE chrom::INT END AS k, coalesce(CASE WHEN gc <> 0 THEN gt / gc END, 0.0) AS v FROM g
+    ), steps AS (
+      SELECT pid, list({{'k': k, 'chrom': chrom, 'v': v}} ORDER BY k) AS held, []::VARCHAR[] AS gone, 0 AS step FROM p24 GROUP BY pid
+      UNION ALL
+      SELECT pid, list_filter(held, lambda x: x.k <> worst.k), list_append(gone, worst.chrom), step + 1 FROM (
+        SELECT *, list_reduce(list_transform(held, lambda x: {{'d': abs(x.v - mean), 'k': x.k, 'chrom': x.chrom}}), lambda a, b: CASE WHEN b.d > a.d OR (b.d = a.d AND b.k > a.k) THEN b ELSE a END) AS worst
+        FROM (SELECT *, coalesce(nullif(sqrt(list_sum(list_transform(held, lambda x: (x.v - mean) * (x.v - mean))) / (len(held) - 1)), 0), 1) AS sd,
+                     coalesce([{", ".join(map(str, qc.T_POINTS))}][len(held) - 2], 800) AS t
+              FROM (SELECT *, list_avg(list_transform(held, lambda x: x.v)) AS mean, len(held) AS n FROM steps WHERE len(held) >= 3))
+      ) WHERE worst.d / sd > (n - 1) / sqrt(n) * sqrt(t * t / (n - 2 + t * t))
+    ), ended AS (SELECT pid, arg_max(held, step) AS held, arg_max(gone, step) AS gone FROM steps GROUP BY pid)
+    SELECT pid, round(list_avg(list_transform(held, lambda x: x.v)), 6) AS purity, len(gone)::BIGINT AS n_outliers,
+           array_to_string(list_transform(list_sort(list_transform(gone, lambda c: CASE c WHEN 'X' THEN 23 WHEN 'Y' THEN 24 ELSE c::INT END)), lambda k: CASE k WHEN 23 THEN 'X' WHEN 24 THEN 'Y' ELSE k::VARCHAR END), ',') AS outliers FROM ended"""
+)
 def purity_esd(spark, sf_dir):
     return qc.purity_esd(qc.purity_by_chromosome(_score(spark, sf_dir)).withColumn("purity", F.coalesce("purity", F.lit(0.0))))
 
@@ -1133,10 +1187,18 @@ def used_metadata_keys(spark, sf_dir):
     return sinks.used_metadata_keys(rows)
 
 
-@query()
+@query(
+    f"""{SCORED}, g AS (SELECT *, round(vc, 2) AS v, CASE WHEN annotation_control LIKE '%germline%' AND reclassification <> 'lowCov_SNP_support_germline' THEN 'GERMLINE'
+           WHEN reclassification = 'lowCov_SNP_support_germline' OR som THEN 'UNCLEAR' ELSE 'SOMATIC' END AS status FROM scored)
+    SELECT pid, array_to_string([chrom, pos::VARCHAR, CASE WHEN kd THEN regexp_extract(dbsnp, 'ID=([^;]*)', 1) || '_' || pos ELSE '.' END, ref, alt, '.', CASE WHEN confidence > 7 THEN 'PASS' ELSE array_to_string(tags, ';') END,
+      status || ';VT;AF;MQ' || CASE WHEN kd THEN ';DB' ELSE '' END || CASE WHEN k1 THEN ';1000G' ELSE '' END, 'GT:DP:DP4',
+      CASE WHEN status = 'GERMLINE' THEN CASE WHEN v >= 0.75 THEN '1/1' ELSE '0/1' END WHEN status = 'UNCLEAR' THEN CASE WHEN v >= 0.75 THEN '1/1' WHEN v >= 0.3 THEN '0/1' ELSE '0/0' END ELSE '0/0' END
+        || ':' || depth_c || ':' || crf || ',' || crr || ',' || cvf || ',' || cvr,
+      CASE WHEN vt >= 0.75 THEN '1/1' ELSE '0/1' END || ':' || depth_t || ':' || trf || ',' || trr || ',' || tvf || ',' || tvr], chr(9)) AS line FROM g"""
+)
 def write_pancan_variants(spark, sf_dir):
     """The lines that the sink writes."""
-    return sinks.pancan_variants(_score(spark, sf_dir))
+    return sinks.pancan_variants(confidence.confidence_score(fixtures.annotated(spark, sf_dir), tags="tags"))
 
 
 @query(
@@ -1176,7 +1238,27 @@ def pipeline_call(spark, sf_dir):
     )
 
 
-@query()
+@query(
+    f"""{ANN}, {READS_CTE}, track AS ({fixtures.TRACK_SQL}), known AS ({fixtures.KNOWN_SQL}), cutoffs AS (
+      SELECT pid, (5 * quantile_disc(least(d, 50000), 0.5))::BIGINT AS depth_cutoff FROM (SELECT pid, crf + crr + cvf + cvr AS d FROM ann) WHERE d > 0 GROUP BY pid
+    ), dups AS (
+      SELECT s.chrom, pos, array_to_string(list_sort(list(name)), '&') AS segdup FROM (SELECT DISTINCT chrom, pos FROM snv) s JOIN track t ON s.chrom = t.chrom AND pos > start0 AND pos <= end0 GROUP BY ALL
+    ), sites AS (
+      SELECT pid, s.chrom, s.pos, string_agg('MATCH=' || CASE WHEN s.ref = k.ref AND s.alt = k.alt THEN 'exact' ELSE 'position' END || ';ID=' || id, '&' ORDER BY k.ref, k.alt, id) AS extra_sites
+      FROM snv s JOIN known k ON s.chrom = k.chrom AND s.pos = k.pos GROUP BY ALL
+    ), calls AS (
+      SELECT ann.* EXCLUDE (gene, segdup), depth_cutoff, coalesce(dups.segdup, '.') AS segdup, coalesce(extra_sites, '.') AS extra_sites
+      FROM ann LEFT JOIN cutoffs USING (pid) LEFT JOIN dups USING (chrom, pos) LEFT JOIN sites USING (pid, chrom, pos)
+    ), due AS (SELECT pid, chrom, pos FROM calls WHERE annotation_control LIKE '%somatic%' AND length(alt) = 1), {_overlap_ctes("false").replace("dups AS (", "twins AS (").replace("FROM dups GROUP", "FROM twins GROUP")}, less AS (
+      SELECT c.* EXCLUDE (trf, trr, tvf, tvr), d.pid IS NOT NULL AS is_due, d.pid IS NOT NULL AND tvf + tvr > coalesce(seen, 0) AS short, coalesce(sf, 0) AS sf, coalesce(sr, 0) AS sr, greatest(trf - coalesce(rf, 0), 0) AS trf, greatest(trr - coalesce(rr, 0), 0) AS trr,
+        greatest(tvf - coalesce(af, 0), 0) AS f1, greatest(tvr - coalesce(ar, 0), 0) AS r1, plus, minus
+      FROM calls c LEFT JOIN sums USING (pid, chrom, pos) LEFT JOIN due d USING (pid, chrom, pos)
+    ), strands AS (
+      SELECT * EXCLUDE (is_due, short, sf, sr, f1, r1, plus, minus), CASE WHEN short AND f1 >= sf THEN f1 - sf ELSE f1 END AS tvf, CASE WHEN short AND r1 >= sr THEN r1 - sr ELSE r1 END AS tvr,
+        CASE WHEN is_due THEN coalesce(plus, [0, 0, 0, 0, 0, 0, 0, 0, 0, 0]) END AS plus, CASE WHEN is_due THEN coalesce(minus, [0, 0, 0, 0, 0, 0, 0, 0, 0, 0]) END AS minus FROM less
+    ), {COUNTED}, {_two_round_ctes("stranded", cutoff="depth_cutoff")}
+    SELECT pid, chrom, pos, trf, trr, tvf, tvr, extra_sites, segdup, confidence, reclassification, filter FROM scored2"""
+)
 def pipeline_annotate(spark, sf_dir):
     rows = fixtures.annotated(spark, sf_dir).drop("gene", "segdup")
     tracks = {"segdup": fixtures.track(spark, sf_dir)}
@@ -1210,7 +1292,11 @@ def pipeline_filter(spark, sf_dir):
     return pipelines.pipeline_filter(_score(spark, sf_dir), criteria=[("gnomad_exomes", "AF", "0.001+")], min_conf=5)[1]
 
 
-@query()
+@query(
+    f"""{SCORED}, {READS_CTE}, q AS (SELECT pid, chrom, pos, median(bq) FILTER (base = alt) AS alt_median FROM reads GROUP BY ALL)
+    SELECT pid, chrom, pos, ref, alt, round({T_VAF}, 2) AS maf FROM scored LEFT JOIN q USING (pid, chrom, pos)
+    WHERE confidence >= 5 AND {SOMATIC} AND annovar_function NOT LIKE '%ncRNA%' AND {CODING} AND NOT coalesce(alt_median >= 20, false)"""
+)
 def pipeline_filter_rerun(spark, sf_dir):
     """Functional variants that the median base-quality filter lost."""
     lists = reads.base_quality_lists(fixtures.snv(spark, sf_dir), fixtures.reads(spark, sf_dir)).select("pid", "chrom", "pos", "bq_alt")

@@ -119,9 +119,12 @@ def write_standard_files(df: DataFrame, path: str, meta: dict, **options) -> Non
 
 
 def pancan_variants(df: DataFrame) -> DataFrame:
-    """pid and line: the consortium row of each scored variant (of `confidence_score`), with both genotypes."""
+    """pid and line: the consortium row of each scored variant (of `confidence_score`), with both genotypes.
+
+    Tags are those of the rules that apply: of the column ``tags``, or where there is none, those in the filter cell.
+    """
     status = genotype_status(df)
-    own = F.filter(F.split("filter", ";"), lambda x: x.isin(TAG_ORDER))
+    own = F.col("tags") if "tags" in df.columns else F.filter(F.split("filter", ";"), lambda x: x.isin(TAG_ORDER))
     shown = F.when(F.col("filter") == "PASS", "PASS").otherwise(F.array_join(own, ";"))
     in_dbsnp = F.col("dbsnp").contains("MATCH=exact")
     names = F.array_compact(
