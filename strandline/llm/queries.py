@@ -224,6 +224,47 @@ WINDOW w AS (PARTITION BY q.r ORDER BY list_inner_product(q.x, c.x) DESC, c.vec_
 QUALIFY row_number() OVER w <= 5
 """
 
+#: Trees are grown level by level, each row's siblings looked up at every level; CRC-32 by its bits.
+OP12_SQL = r"""
+WITH RECURSIVE leaves AS (
+  SELECT doc_id, source, hits, sha256(cells) AS leaf, CASE WHEN hits THEN sha256(lowered) ELSE sha256(cells) END AS start FROM (
+    SELECT doc_id, source, coalesce(crc % 5 = 0, false) AS hits, head || coalesce(strlen(text) || ':' || text, '-') AS cells,
+           head || coalesce(strlen(text) || ':' || translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '-') AS lowered
+    FROM (SELECT *, coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-') || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') AS head,
+            xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ord(c)::BIGINT)),
+              lambda a, c: list_reduce(list_prepend(xor(a, c), range(8)), lambda x, k: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)), 4294967295) AS crc
+          FROM documents)
+  )
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, row_number() OVER () AS r FROM leaves
+), low AS (
+  SELECT source, 0 AS level, i, leaf AS node, count(*) OVER (PARTITION BY source) AS n FROM placed
+  UNION ALL
+  SELECT source, level + 1, i // 16, sha256(string_agg(node, '' ORDER BY i)), (n + 15) // 16 FROM low WHERE n > 1 GROUP BY source, level, i // 16, n
+), subroots AS (
+  SELECT source, node AS subroot, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS i, count(*) OVER () AS n FROM low WHERE n = 1
+), high AS (
+  SELECT 0 AS level, i, subroot AS node, n FROM subroots
+  UNION ALL
+  SELECT level + 1, i // 16, sha256(string_agg(node, '' ORDER BY i)), (n + 15) // 16 FROM high WHERE n > 1 GROUP BY level, i // 16, n
+), steps AS (
+  SELECT r, b.level, coalesce(string_agg(b.node, '' ORDER BY b.i) FILTER (b.i < i_own), '') AS l, coalesce(string_agg(b.node, '' ORDER BY b.i) FILTER (b.i > i_own), '') AS g
+  FROM (SELECT r, source, level, p.i // (16 ** level)::BIGINT AS i_own FROM placed p, unnest(range(0, 9)) AS x(level)) o
+  JOIN low b ON b.source IS NOT DISTINCT FROM o.source AND b.level = o.level AND b.n > 1 AND b.i // 16 = i_own // 16 GROUP BY ALL
+), tops AS (
+  SELECT source, 100 + b.level AS level, coalesce(string_agg(b.node, '' ORDER BY b.i) FILTER (b.i < i_own), '') AS l, coalesce(string_agg(b.node, '' ORDER BY b.i) FILTER (b.i > i_own), '') AS g
+  FROM (SELECT source, level, s.i // (16 ** level)::BIGINT AS i_own FROM subroots s, unnest(range(0, 9)) AS x(level)) o JOIN high b ON b.level = o.level AND b.n > 1 AND b.i // 16 = i_own // 16 GROUP BY ALL
+), paths AS (
+  SELECT p.r, list({'l': l, 'g': g} ORDER BY s.level) FILTER (l IS NOT NULL) AS path FROM placed p
+  LEFT JOIN (SELECT r, level, l, g FROM steps UNION ALL SELECT r, level, l, g FROM placed JOIN tops ON placed.source IS NOT DISTINCT FROM tops.source) s ON s.r = p.r GROUP BY p.r
+), done AS (
+  SELECT doc_id, leaf, subroot, (SELECT node FROM high WHERE n = 1) AS root, sha256(coalesce(array_to_string(list_transform(path, lambda x: x.l || x.g), ''), '')) AS proof_sha256,
+         list_reduce(list_prepend({'l': '', 'g': '', 'node': start}, list_transform(coalesce(path, []), lambda x: {'l': x.l, 'g': x.g, 'node': ''})), lambda a, x: {'l': '', 'g': '', 'node': sha256(x.l || a.node || x.g)}).node AS folded_root
+  FROM placed p JOIN paths USING (r) JOIN subroots s ON s.source IS NOT DISTINCT FROM p.source
+)
+SELECT *, folded_root = root AS verified FROM done
+"""
+
 QUERIES: dict[str, Query] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_pseudo_likelihood": op2_pseudo_likelihood,
@@ -239,4 +280,4 @@ QUERIES: dict[str, Query] = {
     "op12_merkle_manifest": op12_merkle_manifest,
     "op13_ngram_join": op13_ngram_join,
 }
-ORACLES: dict[str, str] = {"op1_quality_rules": OP1_SQL, "op3_quotations": OP3_SQL, "op7_mixing": OP7_SQL, "op9_exact_top_k": OP9_SQL}
+ORACLES: dict[str, str] = {"op1_quality_rules": OP1_SQL, "op3_quotations": OP3_SQL, "op7_mixing": OP7_SQL, "op9_exact_top_k": OP9_SQL, "op12_merkle_manifest": OP12_SQL}
