@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 from pyspark.sql.types import DoubleType
 
-from strandline.functions.fields import folded_flanks, mutation_class, vaf
+from strandline.functions.fields import folded_flanks, let, mutation_class, vaf
 from strandline.storage import ship_package
 
 KEY = ["pid", "chrom", "pos"]
@@ -210,5 +210,72 @@ def bq_artifact_triplets(df: DataFrame, *, low: int = 30, least: int = 0, min_n:
     return out.withColumn("signal", F.when(F.col("z") > 4, "red").when(F.col("z") > 2, "orange")).select("pid", *TRIPLET, "n", "share", "auc", "z", "robust_z", "signal")
 
 
+def histogram(values: Column) -> Column:
+    """Counts of the base qualities 0 to 55 in a list, as an array of 56; others are not counted."""
+    return F.transform(F.sequence(F.lit(0), F.lit(HIGHEST)), lambda q: F.size(F.filter(F.coalesce(values, F.array().cast("array<bigint>")), lambda x: x == q)).cast("bigint"))
+
+
+def cumulated(counts: Column) -> Column:
+    """Running sums of an array."""
+    empty = F.array().cast("array<bigint>")
+    return F.aggregate(counts, empty, lambda sums, n: F.array_append(sums, F.coalesce(F.try_element_at(sums, F.lit(-1)), F.lit(0).cast("bigint")) + n))
+
+
+def bq_curves(df: DataFrame) -> DataFrame:
+    """``df`` with each variant's own histograms (hist_ref, hist_alt: 56 counts) and curves (curve_ref, curve_alt: shares at or below each quality; null without bases).
+
+    All is made from what a row holds: nothing is exploded, nothing shuffled.
+    """
+    out = df.withColumns({f"hist_{a}": histogram(F.col(f"bq_{a}")) for a in ("ref", "alt")})
+
+    def curve(name: str) -> Column:
+        return let(cumulated(F.col(name)), lambda sums: F.when(F.element_at(sums, -1) > 0, F.transform(sums, lambda n: F.round(n / F.element_at(sums, -1), 6))))
+
+    return out.withColumns({f"curve_{a}": curve(f"hist_{a}") for a in ("ref", "alt")})
+
+
+#: Upper and lower ends of the ranges of base quality whose shares are looked at, and the fewest variants of a triplet.
+UPPER, LOWER, FEWEST = (30, 25, 20), (0, 5, 13), (0, 5, 10)
+
+
+def bq_artifact_grid(df: DataFrame) -> DataFrame:
+    """By triplet: n, its share of the class, the share of bases in each of nine ranges of quality for both alleles, and how far the variant's share at or below 30 stands out.
+
+    One scan makes a histogram for each triplet and allele (56 counts at most, cumulated once); all nine shares are read from it: auc_30_0_ref,
+    auc_30_0_alt and so on, of all bases, to 3 decimals, 0 and none being null.  For triplets of at least 0, 5 and 10 variants: z, robust_z
+    (by median and 1.4826 times the median deviation) and signal (``orange`` above 2, ``red`` above 4) among those of the patient.
+    """
+    rows = with_triplet(df)
+    n = rows.groupBy("pid", *TRIPLET).agg(F.count(F.lit(1)).alias("n"))
+    counts = long_form(rows, *TRIPLET).where(F.col("bq").between(0, HIGHEST)).groupBy("pid", *TRIPLET, "allele", "bq").agg(F.count(F.lit(1)).alias("k"))
+    cells = counts.groupBy("pid", *TRIPLET).pivot("allele", ["REF", "ALT"]).agg(F.map_from_entries(F.collect_list(F.struct("bq", "k"))))  # 56 entries at most
+    every = F.sequence(F.lit(0).cast("bigint"), F.lit(HIGHEST).cast("bigint"))
+    cells = cells.select("pid", *TRIPLET, *[cumulated(_filled(a, every)).alias(a.lower()) for a in ("REF", "ALT")])
+
+    def share(a: str, low: int, least: int) -> Column:
+        below = F.get(F.col(a), least - 1) if least else F.lit(0)
+        return F.nullif(F.round(F.try_divide((F.get(F.col(a), low) - below).cast("double"), F.element_at(F.col(a), -1).cast("double")), 3), F.lit(0.0)).alias(f"auc_{low}_{least}_{a}")
+
+    grid = n.join(cells, ["pid", *TRIPLET], "left").withColumn("share", F.round(F.col("n") / F.sum("n").over(Window.partitionBy("pid", "mutation")), 3))
+    grid = grid.select("pid", *TRIPLET, "n", "share", *[share(a, low, least) for low in UPPER for least in LOWER for a in ("ref", "alt")])
+    patient = Window.partitionBy("pid")
+    x = {m: F.when(F.col("n") >= m, F.col("auc_30_0_alt")) for m in FEWEST}
+    grid = grid.withColumns({f"_x{m}": c for m, c in x.items()})
+    grid = grid.withColumns({f"_{name}{m}": of for m in FEWEST for name, of in (("mean", F.avg(f"_x{m}").over(patient)), ("sd", F.stddev_samp(f"_x{m}").over(patient)), ("med", _median_over(f"_x{m}", patient)))})
+    grid = grid.withColumns({f"_off{m}": F.abs(F.col(f"_x{m}") - F.col(f"_med{m}")) for m in FEWEST})
+    grid = grid.withColumns({f"_mad{m}": _median_over(f"_off{m}", patient) for m in FEWEST})
+    for m in FEWEST:
+        z = F.round(F.try_divide(F.col(f"_x{m}") - F.col(f"_mean{m}"), F.col(f"_sd{m}")), 6)
+        robust = F.round(F.try_divide(F.col(f"_x{m}") - F.col(f"_med{m}"), 1.4826 * F.col(f"_mad{m}")), 6)
+        grid = grid.withColumns({f"z_{m}": z, f"robust_z_{m}": robust})
+        grid = grid.withColumn(f"signal_{m}", F.when(F.col(f"z_{m}") > 4, "red").when(F.col(f"z_{m}") > 2, "orange"))
+    return grid.drop(*[c for c in grid.columns if c.startswith("_")])
+
+
+def _filled(counts: str, qualities: Column) -> Column:
+    """A map's counts for all qualities, 0 where it has none."""
+    return F.transform(qualities, lambda q: F.coalesce(F.try_element_at(counts, q), F.lit(0).cast("bigint")))
+
+
 def with_maf(df: DataFrame) -> DataFrame:
     return df.withColumn("maf", F.round(vaf(*[F.col(c) for c in ("trf", "trr", "tvf", "tvr")]), 2))

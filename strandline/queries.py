@@ -994,6 +994,38 @@ def bq_artifact_triplets(spark, sf_dir):
     return base_quality.bq_artifact_triplets(_lists(spark, sf_dir), least=5, min_n=5)
 
 
+GRID = [(low, least, a) for low in base_quality.UPPER for least in base_quality.LOWER for a in ("ref", "alt")]
+
+
+@query(
+    f"""{READS}, {TRIPLETS}, n AS (SELECT pid, mutation, before, after, count(*) AS n FROM tri GROUP BY ALL),
+    a AS (SELECT pid, mutation, before, after, {", ".join(f"nullif(round(count(*) FILTER (allele = '{a.upper()}' AND bq BETWEEN {least} AND {low})::DOUBLE / nullif(count(*) FILTER (allele = '{a.upper()}'), 0), 3), 0) AS auc_{low}_{least}_{a}" for low, least, a in GRID)} FROM lt WHERE bq BETWEEN 0 AND 55 GROUP BY ALL),
+    x AS (SELECT n.*, round(n::DOUBLE / sum(n) OVER (PARTITION BY pid, mutation), 3) AS share, a.* EXCLUDE (pid, mutation, before, after), {", ".join(f"CASE WHEN n >= {m} THEN auc_30_0_alt END AS x{m}" for m in base_quality.FEWEST)} FROM n LEFT JOIN a USING (pid, mutation, before, after)),
+    s AS (SELECT *, {", ".join(f"avg(x{m}) OVER w AS mean{m}, stddev_samp(x{m}) OVER w AS sd{m}, median(x{m}) OVER w AS med{m}" for m in base_quality.FEWEST)} FROM x WINDOW w AS (PARTITION BY pid)),
+    d AS (SELECT *, {", ".join(f"median(abs(x{m} - med{m})) OVER (PARTITION BY pid) AS mad{m}" for m in base_quality.FEWEST)} FROM s),
+    z AS (SELECT *, {", ".join(f"CASE WHEN sd{m} <> 0 THEN round((x{m} - mean{m}) / sd{m}, 6) END AS z_{m}, CASE WHEN mad{m} <> 0 THEN round((x{m} - med{m}) / (1.4826 * mad{m}), 6) END AS robust_z_{m}" for m in base_quality.FEWEST)} FROM d)
+    SELECT pid, mutation, before, after, n, share, {", ".join(f"auc_{low}_{least}_{a}" for low, least, a in GRID)}, {", ".join(f"z_{m}, robust_z_{m}, CASE WHEN z_{m} > 4 THEN 'red' WHEN z_{m} > 2 THEN 'orange' END AS signal_{m}" for m in base_quality.FEWEST)} FROM z"""
+)
+def bq_artifact_grid(spark, sf_dir):
+    return base_quality.bq_artifact_grid(_lists(spark, sf_dir))
+
+
+@query(
+    f"""{READS}, {LISTS}, h AS (SELECT pid, chrom, pos, unnest(['ref', 'alt']) AS allele, unnest([coalesce(bq_ref, []), coalesce(bq_alt, [])]) AS q FROM lists),
+    c AS (SELECT *, list_transform(range(0, 56), lambda k: len(list_filter(q, lambda x: x = k))) AS counts, list_transform(range(0, 56), lambda k: len(list_filter(q, lambda x: x <= k))) AS sums FROM h)
+    SELECT pid, chrom, pos, allele, array_to_string(counts, ',') AS counts, CASE WHEN sums[56] > 0 THEN round(sums[21]::DOUBLE / sums[56], 6) END AS below_20, CASE WHEN sums[56] > 0 THEN round(sums[31]::DOUBLE / sums[56], 6) END AS below_30,
+           CASE WHEN sums[56] > 0 THEN round(sums[42]::DOUBLE / sums[56], 6) END AS below_41, CASE WHEN sums[56] > 0 THEN round(list_sum(list_transform(sums, lambda x: round(x::DOUBLE / sums[56], 6))), 3) END AS area FROM c"""
+)
+def bq_curves(spark, sf_dir):
+    """Every variant's histograms and curves: all counts, three points and the area of each curve."""
+    rows = base_quality.bq_curves(_lists(spark, sf_dir))
+    each = F.array(*[F.struct(F.lit(a).alias("allele"), F.col(f"hist_{a}").alias("hist"), F.col(f"curve_{a}").alias("curve")) for a in ("ref", "alt")])
+    rows = rows.select("pid", "chrom", "pos", F.explode(each).alias("x")).select("pid", "chrom", "pos", "x.*")
+    points = [F.get("curve", q).alias(f"below_{q}") for q in (20, 30, 41)]
+    area = F.round(F.aggregate("curve", F.lit(0.0), lambda a, x: a + x), 3).alias("area")
+    return rows.select("pid", "chrom", "pos", "allele", F.array_join(F.col("hist").cast("array<string>"), ",").alias("counts"), *points, area)
+
+
 @query(f"{READS}, {LISTS} SELECT pid, chrom, pos FROM lists WHERE list_aggregate(bq_alt, 'median') >= 21")
 def median_alt_bq_filter(spark, sf_dir):
     return filters.median_alt_bq_filter(_lists(spark, sf_dir), 21).select("pid", "chrom", "pos")

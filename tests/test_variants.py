@@ -423,3 +423,21 @@ def test_catalogue_folding_is_idempotent(spark):
     again = base_quality.with_triplet(df.select(F.left("mutation", F.lit(1)).alias("ref"), F.right("mutation", F.lit(1)).alias("alt"), F.col("before").alias("base_before"), F.col("after").alias("base_after")))
     assert df.select("mutation", "before", "after").exceptAll(again.select("mutation", "before", "after")).count() == 0
     assert df.select("mutation").distinct().count() == 6
+
+
+def test_curves_of_a_variant(spark):
+    df = spark.createDataFrame([(1, [3, 3, 55, 60], []), (2, None, [0])], "k int, bq_ref array<bigint>, bq_alt array<bigint>")
+    out = base_quality.bq_curves(df)
+    assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
+    one, two = out.orderBy("k").collect()
+    assert len(one["hist_ref"]) == len(one["curve_ref"]) == 56 and one["hist_ref"][3] == 2 and sum(one["hist_ref"]) == 3  # 60 is beyond
+    assert one["curve_ref"][2:5] == [0.0, 0.666667, 0.666667] and one["curve_ref"][55] == 1.0 and one["curve_alt"] is None
+    assert two["curve_ref"] is None and set(two["curve_alt"]) == {1.0}
+
+
+def test_shares_of_the_grid_are_of_all_bases(spark):
+    schema = "pid string, chrom string, pos int, ref string, alt string, base_before string, base_after string, bq_ref array<bigint>, bq_alt array<bigint>"
+    rows = [("p", "1", k, "C", "T", "A", "G", [4, 10, 22, 40], [2, 40]) for k in range(3)] + [("p", "1", 9, "G", "A", "C", "T", [], [13, 20, 28, 50])]
+    row = base_quality.bq_artifact_grid(spark.createDataFrame(rows, schema)).first()
+    assert (row["n"], row["share"], row["auc_30_0_ref"], row["auc_30_5_ref"], row["auc_20_13_ref"]) == (4, 1.0, 0.75, 0.5, None)
+    assert (row["auc_30_0_alt"], row["auc_30_5_alt"], row["auc_20_13_alt"], row["z_5"]) == (0.6, 0.3, 0.2, None)
