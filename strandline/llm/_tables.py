@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import ctypes
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandline.storage import shared_dir, ship_package, stored
 
-__all__ = ["WORD_BREAKS", "dealt_join", "free_name", "let", "shared_dir", "ship_package", "stored", "table"]
+__all__ = ["WORD_BREAKS", "dealt_join", "free_name", "give_back", "let", "shared_dir", "ship_package", "stored", "table"]
 
 #: Bytes at \x20 and \x09-\x0D separate words; everything else belongs to a word.
 WORD_BREAKS = " \t\n\x0b\x0c\r"
@@ -46,3 +49,13 @@ def dealt_join(rows: DataFrame, named: DataFrame, on: list[str]) -> DataFrame:
     hot = F.broadcast(named.where(F.col("n") > HOT_ROWS).orderBy(F.desc("n"), *on).limit(HOT_NAMES))
     others = rows.join(hot.select(*on), on, "left_anti").join(named.drop("n"), on)
     return rows.join(hot.drop("n"), on).unionByName(others)
+
+
+_trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+
+
+def give_back() -> None:
+    """Gives memory that a task has freed back to the machine: its worker lives on, beside those of stages to come."""
+    pa.default_memory_pool().release_unused()
+    if _trim:
+        _trim(0)

@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strandline.llm import simhash
-from strandline.llm._tables import dealt_join, ship_package, stored
+from strandline.llm._tables import dealt_join, give_back, ship_package, stored
 from strandline.llm.components import min_components
 
 SEED = 42
@@ -135,7 +135,7 @@ def _signed(df: DataFrame) -> DataFrame:
                 keys.append(band_keys(shingles))
             columns = [pa.array(x, pa.int64()) for x in (names, sizes, prints)]
             yield pa.RecordBatch.from_arrays([batch.column(0), *columns, pa.array(keys, pa.list_(pa.int64()))], ["id", "name", "size", "print", "keys"])
-        pa.default_memory_pool().release_unused()  # the worker lives on
+        give_back()
 
     return df.select("id", "body").mapInArrow(run, f"id {df.schema['id'].dataType.simpleString()}, name bigint, size bigint, print bigint, keys array<bigint>")
 
@@ -147,6 +147,7 @@ def _sets(df: DataFrame) -> DataFrame:
         for batch in batches:
             sets = [shingle_set(x.as_py()) for x in batch.column(0)]
             yield pa.RecordBatch.from_arrays([pa.array([set_name(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], ["name", "shingles"])
+        give_back()
 
     return df.select("body").mapInArrow(run, "name bigint, shingles binary")
 
@@ -170,6 +171,8 @@ def _searched(dealt: DataFrame) -> DataFrame:
                 if name not in held:
                     held[name] = shingles.as_py()
         yield from close()
+        held.clear()
+        give_back()
 
     return dealt.mapInArrow(run, "a bigint, b bigint")
 

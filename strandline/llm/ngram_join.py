@@ -10,12 +10,13 @@ one global order, which is cut in fragments; a document's set becomes one segmen
     sent to the fragments, packed by the thousands; a fragment's task sorts them and keeps those that several sets have.  An
     n-gram whose cell is so full that it could fill a task (`HEAVY`) passes as rows that Spark groups.
 3.  *Partial overlaps.*  For each pair to compare, segments of both are joined by fragment, and what they share is counted in
-    each fragment separately; counts are summed per pair.  The first fragments come before the others: pairs that differ by
-    more in them than linked sets may in all need no further counting.
-4.  *Which pairs.*  Candidates that share an n-gram are compared with two of them, in some rounds; sets that link become one
-    component, and no pair inside of a component is compared again.  When few pairs of different components are left, or
-    a round has linked none, all that are left and can still be similar by size and position are compared.  So a group of
-    many near copies costs pairs in proportion to its size, and no link between different components is lost.
+    each fragment separately; counts are summed per pair.  Before, each fragment's segment is known by 64 bits, each the parity
+    of the n-grams that fall to it: two segments differ in as many n-grams as bits, at least, and pairs whose bits alone differ
+    by more than linked sets may are not made.
+4.  *Which pairs.*  First each candidate is compared with a few others at every n-gram that they share; sets that are connected
+    get one label.  Then all candidates that have different labels and can still be similar, by their sizes, their bits and
+    by what comes after the shared n-gram, are compared.  So a group of many near copies costs pairs in proportion to its size,
+    and no link between sets that are not connected otherwise is lost.
 
 Equal sets are one from the start.  Null, empty and wordless texts have the empty set and are linked with nothing, not even
 with each other; texts of fewer than five words have one n-gram, all their words; very long texts are taken whole; a
@@ -26,7 +27,10 @@ columns, of whatever name, are not looked at.  Sets are told apart by 64-bit has
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import re
+from collections.abc import Callable, Iterable, Iterator
+from functools import reduce
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -52,39 +56,112 @@ FEWEST = 48
 HEAVY = (1 << 17, 4)
 #: N-grams packed at once.
 PACKED = 1 << 19
-#: Bits that tell the fragments of partial counts, and how many of these are counted first.
+#: Bits that tell the fragments of partial counts.
 FRAGMENT_BITS = 3
-FIRST = 2
-#: Pairs for each candidate row that are few enough to be compared at once, and rounds before that is done anyway.
-FEW = 4
-ROUNDS = 8
-#: Distinct words whose hashes a task keeps.
-KEPT_WORDS = 1 << 20
+#: Sets of a place that all others of it are compared with first.
+HEADS = 4
+#: Bytes of text that are hashed at once.
+PIECE = 1 << 19
+#: Sets that a task remembers, so as to pack copies once.
+KEPT_NAMES = 1 << 20
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
-class _Hashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= KEPT_WORDS:
-            self.clear()
-        made = self[word] = xxhash.xxh64_intdigest(word, SEED)
-        return made
+_SPACE = np.zeros(256, bool)
+_SPACE[list(b" \t\n\x0b\x0c\r")] = True
+_LOWER = np.array([*bytes(range(256)).lower()], np.uint64) + np.uint64(1)
+_BREAK = re.compile(rb"[ \t-\r]")
 
 
-def ngrams(text: bytes | None, hashes: dict | None = None) -> np.ndarray:
-    """Sorted distinct hashes of a text's n-grams; A-Z lower-cased, words between ASCII white space."""
-    words = (text or b"").lower().split()
-    hashes = _Hashes() if hashes is None else hashes
-    each = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
-    width = min(SHINGLE, len(each))
-    if not width:
-        return each
-    found = np.full(len(each) - width + 1, width, np.uint64)
+def _weights(n: int) -> np.ndarray:
+    """A fixed random odd number for each place in a word (the steps and products of a well-known generator of 64 bits)."""
+    x = np.arange(1, n + 1, dtype=np.uint64) * _MIX + np.uint64(SEED)
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        x = (x ^ (x >> np.uint64(shift))) * np.uint64(factor)
+    return (x ^ (x >> np.uint64(31))) | np.uint64(1)
+
+
+_WEIGHTS = _weights(256)
+
+
+def _word_hashes(text: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """A hash of each word (A-Z lower-cased, between ASCII white space): its bytes, weighted by their places; and where words begin."""
+    raw = np.frombuffer(text, np.uint8)
+    space = np.concatenate([[True], _SPACE[raw], [True]])
+    edges = np.flatnonzero(space[1:] != space[:-1])
+    begins, lengths = edges[::2], edges[1::2] - edges[::2]
+    if not len(begins):
+        return np.zeros(0, np.uint64), begins
+    first = np.cumsum(lengths) - lengths
+    place = np.arange(lengths.sum()) - np.repeat(first, lengths)
+    longest = int(lengths.max())
+    weights = _WEIGHTS if longest <= len(_WEIGHTS) else _weights(longest)
+    found = np.add.reduceat(_LOWER[raw[~space[1:-1]]] * weights[place], first)
+    return (found ^ (found >> np.uint64(32))) * _MIX, begins
+
+
+def _mixed(words: np.ndarray, width: int) -> np.ndarray:
+    found = np.full(len(words) - width + 1, width, np.uint64)
     for k in range(width):
-        found = (found ^ each[k : k + len(found)]) * _MIX
+        found = (found ^ words[k : k + len(found)]) * _MIX
         found ^= found >> np.uint64(29)
-    return np.unique(found)
+    return found
+
+
+def _distinct_sorted(values: np.ndarray) -> np.ndarray:
+    values = np.sort(values)
+    return values[np.concatenate([[True], values[1:] != values[:-1]])] if len(values) else values
+
+
+def _long_words(text: bytes) -> np.ndarray:
+    """The words of a long text, in pieces."""
+    found, start = [], 0
+    while start < len(text):
+        cut = _BREAK.search(text, start + PIECE)
+        end = cut.start() if cut else len(text)
+        found.append(_word_hashes(text[start:end])[0])
+        start = end
+    return np.concatenate(found)
+
+
+def ngram_sets(texts: Iterable[bytes | None]) -> Iterator[np.ndarray]:
+    """Sorted distinct hashes of each text's n-grams; texts are taken together up to ``PIECE`` bytes, longer ones in pieces."""
+
+    def sets(held: list[bytes]) -> Iterator[np.ndarray]:
+        if len(held) == 1 and len(held[0]) > PIECE:
+            words = _long_words(held[0])
+            bounds = np.array([0, len(words)])
+        else:
+            words, begins = _word_hashes(b"\n".join(held))
+            bounds = np.searchsorted(begins, np.cumsum([0, *[len(x) + 1 for x in held]]))
+        grams = _mixed(words, SHINGLE) if len(words) >= SHINGLE else words
+        for start, end in zip(bounds[:-1], bounds[1:]):
+            if end - start >= SHINGLE:
+                yield _distinct_sorted(grams[start : end - SHINGLE + 1])
+            else:
+                yield _mixed(words[start:end], int(end - start)) if end > start else words[:0]
+
+    held, size = [], 0
+    for text in texts:
+        text = text or b""
+        if held and size + len(text) > PIECE:
+            yield from sets(held)
+            held, size = [], 0
+        held.append(text)
+        size += len(text)
+    if held:
+        yield from sets(held)
+
+
+def ngrams(text: bytes | None) -> np.ndarray:
+    return next(ngram_sets([text]))
+
+
+def _texts(column: pa.Array) -> Iterator[bytes | None]:
+    for x in column:
+        whole = x.as_buffer()
+        yield whole.to_pybytes() if whole is not None else None
 
 
 def set_name(grams: np.ndarray) -> int:
@@ -95,6 +172,15 @@ def cell_of(grams: np.ndarray) -> np.ndarray:
     return (grams & np.uint64(CELLS - 1)).astype(np.int64)
 
 
+WORDS = [f"bits_{k}" for k in range(1 << FRAGMENT_BITS)]
+
+
+def parities(grams: np.ndarray) -> np.ndarray:
+    """64 parities for each fragment's segment of a set, as int64."""
+    place = ((grams >> np.uint64(64 - FRAGMENT_BITS)) << np.uint64(6)) | ((grams >> np.uint64(24)) & np.uint64(63))
+    return np.packbits(np.bincount(place.astype(np.int64), minlength=64 * len(WORDS)) & 1, bitorder="little").view("<i8")
+
+
 def least_shared(size: int) -> int:
     """N-grams of a set that a set linked with it has at least."""
     return -(-SHARE * size // 100)
@@ -102,7 +188,9 @@ def least_shared(size: int) -> int:
 
 def leading(grams: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The n-grams that may be the first ones shared with a linked set, and how many come after each in the order."""
-    order = np.lexsort((grams, counts[cell_of(grams)]))[: len(grams) - least_shared(len(grams)) + 1]
+    n, full = len(grams) - least_shared(len(grams)) + 1, counts[cell_of(grams)]
+    near = np.flatnonzero(full <= np.partition(full, n - 1)[n - 1])
+    order = near[np.argsort(full[near], kind="stable")][:n]  # n-grams are sorted already
     return grams[order], len(grams) - 1 - np.arange(len(order))
 
 
@@ -113,19 +201,18 @@ def _small(counts: np.ndarray) -> bytes:
 
 
 def _signed(docs: DataFrame) -> DataFrame:
-    """From key, mark and body: id, name and size of the set for each row; and rows of chunk and counts for each task."""
+    """From key, mark and body: id, name, size and parities of the set for each row; and rows of chunk and counts for each task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, counts = _Hashes(), np.zeros(CELLS, np.int64)
-        kind = None
+        counts = np.zeros(CELLS, np.int64)
+        kind, columns = None, ["id", "name", "size", *WORDS, "chunk", "counts"]
         for batch in batches:
-            names, sizes, waiting, held = [], [], [], 0
+            names, sizes, bits, waiting, held = [], [], [], [], 0
             kind = batch.column(0).type
-            for x in batch.column(1):
-                whole = x.as_buffer()
-                grams = ngrams(whole.to_pybytes() if whole is not None else None, hashes)
+            for grams in ngram_sets(_texts(batch.column(1))):
                 names.append(set_name(grams))
                 sizes.append(len(grams))
+                bits.append(parities(grams))
                 waiting.append(cell_of(grams))
                 held += len(grams)
                 if held > PACKED:
@@ -133,17 +220,18 @@ def _signed(docs: DataFrame) -> DataFrame:
                     waiting, held = [], 0
             if held:
                 counts += np.bincount(np.concatenate(waiting), minlength=CELLS)
-            n = len(names)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(names, pa.int64()), pa.array(sizes, pa.int64()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())], ["id", "name", "size", "chunk", "counts"])
+            n, words = len(names), np.array(bits, np.int64).reshape(-1, len(WORDS))
+            own = [pa.array(names, pa.int64()), pa.array(sizes, pa.int64()), *[pa.array(np.ascontiguousarray(words[:, k])) for k in range(len(WORDS))]]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *own, pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())], columns)
         if kind is not None:
             chunks = [k for k in range(CELLS // CHUNK) if counts[k * CHUNK : (k + 1) * CHUNK].any()]
             packed = [_small(counts[k * CHUNK : (k + 1) * CHUNK]) for k in chunks]
             n = len(chunks)
-            yield pa.RecordBatch.from_arrays([pa.nulls(n, kind), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.array(chunks, pa.int32()), pa.array(packed, pa.binary())], ["id", "name", "size", "chunk", "counts"])
+            yield pa.RecordBatch.from_arrays([pa.nulls(n, kind), *[pa.nulls(n, pa.int64())] * (2 + len(WORDS)), pa.array(chunks, pa.int32()), pa.array(packed, pa.binary())], columns)
         pa.default_memory_pool().release_unused()  # the worker lives on
 
     rows = docs.select(F.struct("key", "mark").alias("id"), "body")
-    return rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, name bigint, size bigint, chunk int, counts binary")
+    return rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, name bigint, size bigint, {', '.join(f'{w} bigint' for w in WORDS)}, chunk int, counts binary")
 
 
 def _order(chunks: DataFrame) -> np.ndarray:
@@ -185,7 +273,7 @@ def _packed(docs: DataFrame, counts: np.ndarray, fragments: int) -> DataFrame:
             yield number, token.tobytes(), numbers.astype(np.uint32).tobytes(), rest[own].tobytes(), name[here].tobytes(), size[here].tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, turn = _Hashes(), 0
+        turn = 0
         grams, rests, names, sizes, held, seen = [], [], [], [], 0, set()
 
         def made() -> pa.RecordBatch:
@@ -193,9 +281,7 @@ def _packed(docs: DataFrame, counts: np.ndarray, fragments: int) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int64()), *[pa.array(c, pa.binary()) for c in columns[1:]]], ["fragment", "tokens", "owners", "rests", "names", "sizes"])
 
         for batch in batches:
-            for x in batch.column(0):
-                whole = x.as_buffer()
-                found = ngrams(whole.to_pybytes() if whole is not None else None, hashes)
+            for found in ngram_sets(_texts(batch.column(0))):
                 if not len(found) or (name := set_name(found)) in seen:
                     continue
                 seen.add(name)
@@ -209,7 +295,7 @@ def _packed(docs: DataFrame, counts: np.ndarray, fragments: int) -> DataFrame:
                     yield made()
                     turn += 1
                     grams, rests, names, sizes, held = [], [], [], [], 0
-                    if len(seen) > KEPT_WORDS:
+                    if len(seen) > KEPT_NAMES:
                         seen.clear()
         if held:
             yield made()
@@ -221,8 +307,25 @@ def _packed(docs: DataFrame, counts: np.ndarray, fragments: int) -> DataFrame:
 SPOTS = "place bigint, name bigint, size bigint, rest bigint"
 
 
+def meets(token: np.ndarray, size: np.ndarray, rest: np.ndarray) -> np.ndarray:
+    """Which rows may be similar to another of the same n-gram, by their sizes and what comes after it; of two rows alone, exactly."""
+    able = np.flatnonzero(100 * (1 + rest) >= SHARE * size)  # else no set can share enough from here on
+    order = able[np.lexsort((size[able], token[able]))]
+    found = np.zeros(len(token), bool)
+    if len(order) < 2:
+        return found
+    token, size, rest = token[order], size[order], rest[order]
+    same = token[1:] == token[:-1]
+    near = same & (100 * size[:-1] >= SHARE * size[1:])
+    close = near & ((100 + SHARE) * (1 + np.minimum(rest[1:], rest[:-1])) >= SHARE * (size[1:] + size[:-1]))
+    alone = same & ~np.concatenate([[False], same[:-1]]) & ~np.concatenate([same[1:], [False]])
+    linked = np.where(alone, close, near)
+    found[order[np.concatenate([linked, [False]]) | np.concatenate([[False], linked])]] = True
+    return found
+
+
 def _spots(packed: DataFrame, fragments: int) -> DataFrame:
-    """place (an n-gram), name, size and rest of all leading n-grams that several sets have (of full cells: of all)."""
+    """place (an n-gram), name, size and rest of leading n-grams that several sets have which may be similar (of full cells: of all)."""
 
     def table(place: np.ndarray, name: np.ndarray, size: np.ndarray, rest: np.ndarray) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(np.asarray(c, np.int64)) for c in (place, name, size, rest)], ["place", "name", "size", "rest"])
@@ -240,9 +343,9 @@ def _spots(packed: DataFrame, fragments: int) -> DataFrame:
         token, owner, rest = token[order], owner[order], rest[order]
         once = np.concatenate([[True], (token[1:] != token[:-1]) | (owner[1:] != owner[:-1])])
         token, owner, rest = token[once], owner[once], rest[once]
-        alike = token[1:] == token[:-1]
-        kept = np.concatenate([alike, [False]]) | np.concatenate([[False], alike])
-        yield table((fragment << 32) | token[kept].astype(np.int64), names[owner[kept]], sizes[first][owner[kept]], rest[kept])
+        size, rest = sizes[first][owner].astype(np.int64), rest.astype(np.int64)
+        kept = np.flatnonzero(meets(token, size, rest))
+        yield table((fragment << 32) | token[kept].astype(np.int64), names[owner[kept]], size[kept], rest[kept])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts: list[tuple] = []
@@ -271,12 +374,9 @@ def _segments(docs: DataFrame) -> DataFrame:
     shift = np.uint64(64 - FRAGMENT_BITS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = _Hashes()
         for batch in batches:
             names, numbers, segments = [], [], []
-            for x in batch.column(0):
-                whole = x.as_buffer()
-                grams = ngrams(whole.to_pybytes() if whole is not None else None, hashes)
+            for grams in ngram_sets(_texts(batch.column(0))):
                 edges = np.flatnonzero(np.diff((grams >> shift).astype(np.int64), prepend=-1, append=-1))
                 for start, end in zip(edges[:-1], edges[1:]):
                     numbers.append(int(grams[start] >> shift))
@@ -289,33 +389,40 @@ def _segments(docs: DataFrame) -> DataFrame:
 
 
 def _overlaps(pairs: DataFrame, segments: DataFrame) -> DataFrame:
-    """a, b, shared and apart (n-grams of the counted fragments in both, in one) of pairs a, b; none where no fragment has both."""
-    of_b = pairs.join(segments.withColumnsRenamed({"name": "b", "grams": "grams_b"}), "b")
+    """a, b and shared of pairs a, b: what they share in each fragment, summed; none where no fragment has both."""
+    of_b = pairs.select("a", "b").join(segments.withColumnsRenamed({"name": "b", "grams": "grams_b"}), "b")
     both = of_b.join(segments.withColumnsRenamed({"name": "a", "grams": "grams_a"}), ["a", "fragment"])
-    shared = F.size(F.array_intersect("grams_a", "grams_b")).cast("bigint")
-    counted = both.select("a", "b", "fragment", shared.alias("shared"), (F.size("grams_a") + F.size("grams_b")).cast("bigint").alias("total"))
-    # a segment stands twice where a text does; its counts are one
-    each = counted.repartition("a", "b").groupBy("a", "b", "fragment").agg(F.max("shared").alias("shared"), F.max("total").alias("total"))
-    return each.groupBy("a", "b").agg(F.sum("shared").alias("shared"), (F.sum("total") - 2 * F.sum("shared")).alias("apart"))
+    counted = both.select("a", "b", "fragment", F.size(F.array_intersect("grams_a", "grams_b")).cast("bigint").alias("shared"))
+    # a segment stands twice where a text does; its count is one
+    each = counted.repartition("a", "b").groupBy("a", "b", "fragment").agg(F.max("shared").alias("shared"))
+    return each.groupBy("a", "b").agg(F.sum("shared").alias("shared"))
 
 
-def _linked(pairs: DataFrame, segments: DataFrame) -> DataFrame:
-    """Those of ``pairs`` (a, b, sizes) that are similar enough, as a, b."""
+def _linked(pairs: DataFrame, segments_of: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Those of ``pairs`` (a, b, sizes) that are similar enough, as a, b; ``segments_of``: segments of the sets of some names."""
     pairs = stored(pairs)
-    first = stored(_overlaps(pairs.select("a", "b"), segments.where(F.col("fragment") < FIRST)))
-    sizes = F.col("size_a") + F.col("size_b")
+    sums = _overlaps(pairs, stored(segments_of(_names(pairs))))
+    return pairs.join(sums, ["a", "b"]).where(100 * F.col("shared") >= SHARE * (F.col("size_a") + F.col("size_b") - F.col("shared"))).select("a", "b")
+
+
+def _names(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.explode(F.array("a", "b")).alias("name")).distinct()
+
+
+def _possible(one: str, other: str) -> Column:
+    """Whether two sets that meet at an n-gram can be similar, and this can be the first one that they share: by sizes, bits and by what comes after it.
+
+    Columns are those of ``_SET`` with these beginnings.
+    """
+    size_a, size_b = F.col(f"{one}size"), F.col(f"{other}size")
+    rest = F.least(F.col(f"{one}rest"), F.col(f"{other}rest"))
+    apart = reduce(add, [F.bit_count(F.col(f"{one}{w}").bitwiseXOR(F.col(f"{other}{w}"))) for w in WORDS])
     # linked sets share SHARE / (100 + SHARE) of their sizes, and differ in the rest
-    far = first.join(pairs, ["a", "b"]).where((100 + SHARE) * F.col("apart") > (100 - SHARE) * sizes)
-    left = pairs.join(far.select("a", "b"), ["a", "b"], "left_anti")
-    rest = _overlaps(left.select("a", "b"), segments.where(F.col("fragment") >= FIRST))
-    sums = first.union(rest).groupBy("a", "b").agg(F.sum("shared").alias("shared"))
-    return left.join(sums, ["a", "b"]).where(100 * F.col("shared") >= SHARE * (sizes - F.col("shared"))).select("a", "b")
+    return (100 * F.least(size_a, size_b) >= SHARE * F.greatest(size_a, size_b)) & ((100 + SHARE) * (1 + rest) >= SHARE * (size_a + size_b)) & ((100 + SHARE) * apart <= (100 - SHARE) * (size_a + size_b))
 
 
-def _possible(size_a: Column, rest_a: Column, size_b: Column, rest_b: Column) -> Column:
-    """Whether two sets whose first shared n-gram is the one that they meet at can be similar: by their sizes, and by what comes after it."""
-    least, most = F.least(size_a, size_b), F.greatest(size_a, size_b)
-    return (100 * least >= SHARE * most) & ((100 + SHARE) * (1 + F.least(rest_a, rest_b)) >= SHARE * (size_a + size_b))
+#: What is known of a set at a place.
+_SET = ["name", "label", "size", "rest", *WORDS]
 
 
 def _size_class(size: Column) -> Column:
@@ -323,64 +430,51 @@ def _size_class(size: Column) -> Column:
     return F.floor(F.log(size.cast("double")) / float(np.log(100 / SHARE))).cast("int")
 
 
-def _few_pairs(open_spots: DataFrame, turn: int) -> DataFrame:
-    """Candidates of each place and size class with two of them (of the same and the next smaller class) that are of other components."""
-    rows = open_spots.withColumn("class", _size_class(F.col("size")))
-    one = F.struct(F.xxhash64("component", F.lit(turn)).alias("h"), "component", "name", "size", "rest")
-    heads = rows.groupBy("place", "class").agg(F.min(one).alias("low"), F.max(one).alias("high"), F.count(F.lit(1)).alias("n"))
-    heads = stored(heads)
-    found = []
-    for shift in (0, 1):
-        met = dealt_join(rows, heads.withColumn("class", F.col("class") + shift), ["place", "class"])
-        for head in ("low", "high"):
-            other = met.where((F.col(f"{head}.component") != F.col("component")) & _possible(F.col("size"), F.col("rest"), F.col(f"{head}.size"), F.col(f"{head}.rest")))
-            found.append(other.select(F.col(f"{head}.name").alias("a"), F.col("name").alias("b"), F.col(f"{head}.size").alias("size_a"), F.col("size").alias("size_b")))
-    pairs = found[0]
-    for more in found[1:]:
-        pairs = pairs.union(more)
-    return _distinct(pairs)
-
-
-def _all_pairs(open_spots: DataFrame, tops: DataFrame) -> DataFrame:
-    """All pairs of candidates of a place that are of different components and can still be similar.
-
-    One of a pair is not of the place's largest component (``tops``), so that a large group is met by few.
+def _open(spots: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """``spots`` with label, class of size, and top (the label that most of the place have), of places with several labels."""
+    rows = spots.withColumn("label", F.col("name"))
+    if labels is not None:
+        rows = spots.join(labels, "name", "left").withColumn("label", F.coalesce("label", "name"))
+    each = rows.groupBy("place", "label").agg(F.count(F.lit(1)).alias("n"))
+    tops = each.groupBy("place").agg(F.max(F.struct("n", "label"))["label"].alias("top"), F.count(F.lit(1)).alias("several")).where("several > 1").drop("several")
+    return stored(rows.withColumn("class", _size_class(F.col("size"))).join(tops, "place"))
+
+
+def _few_pairs(rows: DataFrame) -> DataFrame:
+    """Rows of `_open` with ``HEADS`` others of their place, of other labels, and of the same or the next smaller class.
+
+    Heads are the first by as many hashes of labels and names, so that places with about the same members have about the same heads.
     """
-    rows = open_spots.join(tops.select("place", "top"), "place")
-    few = rows.where("component <> top").withColumnsRenamed({c: f"{c}_1" for c in ("name", "size", "rest", "component")}).drop("top")
-    met = few.join(rows, "place").where("component_1 <> component AND (component = top OR name_1 < name)")
-    met = met.where(_possible(F.col("size_1"), F.col("rest_1"), F.col("size"), F.col("rest")))
-    return _distinct(met.select(F.col("name").alias("a"), F.col("name_1").alias("b"), F.col("size").alias("size_a"), F.col("size_1").alias("size_b")))
+    hashes = [F.struct(F.xxhash64("label", F.lit(k)).alias("h"), F.xxhash64("name").alias("g"), *_SET) for k in range(HEADS)]
+    heads = rows.groupBy("place", "class").agg(F.array_distinct(F.transform(F.array(*[F.min(x) for x in hashes]), lambda x: x.dropFields("h", "g"))).alias("heads"))
+    heads = heads.withColumn("class", F.explode(F.array(F.col("class"), F.col("class") + 1))).withColumn("head", F.explode("heads"))
+    met = rows.join(heads.select("place", "class", "head"), ["place", "class"]).where((F.col("head.label") != F.col("label")) & _possible("", "head."))
+    return _distinct(met.select(F.col("head.name").alias("a"), F.col("name").alias("b"), F.col("head.size").alias("size_a"), F.col("size").alias("size_b")))
+
+
+def _all_pairs(rows: DataFrame) -> DataFrame:
+    """All pairs of rows of `_open` that meet at a place, have different labels and can still be similar.
+
+    One of a pair does not have the label that most of the place have, so that a large group is met by few.
+    """
+    few = rows.where("label <> top").select("place", *[F.col(c).alias(f"one_{c}") for c in _SET], F.explode(F.array(F.col("class") - 1, F.col("class"), F.col("class") + 1)).alias("class"))
+    met = few.join(rows, ["place", "class"]).where(F.expr("one_label <> label AND (label = top OR one_name < name)") & _possible("one_", ""))
+    return _distinct(met.select(F.col("name").alias("a"), F.col("one_name").alias("b"), F.col("size").alias("size_a"), F.col("one_size").alias("size_b")))
 
 
 def _distinct(pairs: DataFrame) -> DataFrame:
+    """Each pair once; the larger name, by its hash, is b."""
+    swap = F.xxhash64("a") > F.xxhash64("b")
+    either = lambda x, y: F.when(swap, F.col(y)).otherwise(F.col(x)).alias(x)
+    pairs = pairs.select(either("a", "b"), either("b", "a"), either("size_a", "size_b"), either("size_b", "size_a"))
     return pairs.groupBy("a", "b").agg(F.first("size_a").alias("size_a"), F.first("size_b").alias("size_b"))
 
 
-def _components(spots: DataFrame, segments: DataFrame) -> DataFrame | None:
-    """name and component of sets that are linked with others, from candidates by place; None if none are."""
-    links, components, linked = None, None, -1
-    for turn in range(ROUNDS + 1):
-        rows = spots.withColumn("component", F.col("name"))
-        if components is not None:
-            rows = spots.join(components, "name", "left").withColumn("component", F.coalesce("component", "name"))
-        each = rows.groupBy("place", "component").agg(F.count(F.lit(1)).alias("n"))
-        tops = each.groupBy("place").agg(F.max(F.struct("n", "component"))["component"].alias("top"), F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("inside"), F.count(F.lit(1)).alias("several"))
-        tops = stored(tops.where("several > 1"))  # nothing is left to compare elsewhere
-        pairs = F.sum((F.col("n").cast("double") * F.col("n") - F.col("inside")) / 2)
-        left = tops.agg(F.coalesce(pairs, F.lit(0.0)).alias("pairs"), F.coalesce(F.sum("n"), F.lit(0)).alias("rows")).first()
-        if not left["rows"]:
-            break
-        open_spots = rows.join(tops.select("place"), "place", "left_semi")
-        last = left["pairs"] <= FEW * left["rows"] or linked == 0 or turn == ROUNDS
-        found = stored(_linked(_all_pairs(open_spots, tops) if last else _few_pairs(stored(open_spots), turn), segments))
-        linked = found.count()
-        if linked:
-            links = found if links is None else links.union(found)
-            components = stored(min_components(links).withColumnRenamed("node", "name"))
-        if last:
-            break
-    return components
+def _links(spots: DataFrame, segments_of: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Links a, b that connect what is similar, from candidates by place: of each with few others, then of all that are still apart."""
+    first = stored(_linked(_few_pairs(_open(spots, None)), segments_of))
+    labels = stored(min_components(first).select(F.col("node").alias("name"), F.col("component").alias("label")))
+    return first.union(stored(_linked(_all_pairs(_open(spots, labels)), segments_of)))
 
 
 def similar_documents(df: DataFrame, *, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -389,21 +483,22 @@ def similar_documents(df: DataFrame, *, key: str = "doc_id", text: str = "text")
     docs = df.select(df[key].alias("key"), simhash.mark_of(df, key, text).alias("mark"), df[text].cast("string").alias("body"))
     made = stored(_signed(docs))
     counts = _order(made.where("chunk IS NOT NULL"))
-    made = made.where("chunk IS NULL").select("id.*", "name", "size")
+    made = made.where("chunk IS NULL").select("id.*", "name", "size", *WORDS)
     some = made.where("size > 0")
-    names = stored(some.groupBy("name").agg(F.min("key").alias("first"), F.count(F.lit(1)).alias("n"), F.min("mark").alias("mark"), F.first("size").alias("size")))
+    names = stored(some.groupBy("name").agg(F.min("key").alias("first"), F.count(F.lit(1)).alias("n"), F.min("mark").alias("mark"), *[F.first(c).alias(c) for c in ("size", *WORDS)]))
     n_leading = names.agg(F.sum(F.col("size") - F.ceil(F.col("size") * SHARE / 100) + 1)).first()[0] or 0
     fragments = max(FEWEST, -(-int(n_leading) // FRAGMENT))
-    spots = stored(_spots(_packed(docs, counts, fragments), fragments))
-    wanted = spots.select("name").distinct().join(names, "name").select("mark").distinct()
-    segments = stored(_segments(docs.join(simhash.small(wanted), "mark", "left_semi")))
-    components = _components(spots, segments)
-    if components is None:
-        named = names.withColumn("component_id", F.col("first"))
-    else:
-        placed = stored(names.join(components, "name", "left").withColumn("component", F.coalesce("component", "name")))
-        least = placed.groupBy("component").agg(F.min("first").alias("component_id"), F.count(F.lit(1)).alias("n"))
-        named = stored(dealt_join(placed, least, ["component"]).select("name", "n", "component_id"))
+    spots = _spots(_packed(docs, counts, fragments), fragments)
+    spots = stored(spots.join(names.select("name", *WORDS), "name"))
+
+    def segments_of(wanted: DataFrame) -> DataFrame:
+        marks = stored(wanted.join(names, "name").select("mark").distinct())
+        return _segments(docs.join(simhash.small(marks), "mark", "left_semi"))
+
+    components = min_components(_links(spots, segments_of)).withColumnRenamed("node", "name")
+    placed = stored(names.select("name", "first", "n").join(components, "name", "left").withColumn("component", F.coalesce("component", "name")))
+    least = placed.groupBy("component").agg(F.min("first").alias("component_id"), F.count(F.lit(1)).alias("rows"))
+    named = stored(dealt_join(placed, least.withColumnRenamed("rows", "n"), ["component"]).select("name", F.col("n"), "component_id"))
     linked = dealt_join(some, named.select("name", "n", "component_id"), ["name"])
     empty = made.where("size = 0").withColumn("component_id", F.col("key"))
     both = linked.select("key", "size", "component_id").union(empty.select("key", "size", "component_id"))

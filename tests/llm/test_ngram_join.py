@@ -77,8 +77,8 @@ def documents(seed: int) -> list[tuple]:
 
 @pytest.fixture
 def tight(monkeypatch):
-    """Small figures, so that every way is taken: full cells, many fragments, several rounds."""
-    for name, value in {"FRAGMENT": 50, "HEAVY": (5, 0), "PACKED": 300, "FEW": 0.01}.items():
+    """Small figures, so that every way is taken: full cells, many fragments."""
+    for name, value in {"FRAGMENT": 50, "HEAVY": (5, 0), "PACKED": 300}.items():
         monkeypatch.setattr(ngram_join, name, value)
 
 
@@ -102,6 +102,36 @@ def test_linked_sets_share_a_leading_ngram():
             assert len(np.intersect1d(ngram_join.leading(one, counts)[0], ngram_join.leading(other, counts)[0]))
 
 
+def test_bits_bound_how_far_sets_differ():
+    rng = np.random.default_rng(2)
+    for _ in range(300):
+        one = np.unique(rng.integers(0, 2**64, int(rng.integers(0, 400)), np.uint64))
+        other = np.unique(np.concatenate([one[rng.random(len(one)) < 0.9], rng.integers(0, 2**64, int(rng.integers(0, 60)), np.uint64)]))
+        apart = len(np.setxor1d(one, other))
+        bits = int(np.bitwise_count((ngram_join.parities(one) ^ ngram_join.parities(other)).view(np.uint64)).sum())
+        assert bits <= apart and (apart > 40 or bits >= apart * 0.6)
+
+
+def test_sizes_that_can_be_similar_are_in_neighbouring_classes():
+    sizes = np.arange(1, 2_000_000, dtype=np.float64)
+    of = lambda x: np.floor(np.log(x) / np.log(100 / ngram_join.SHARE))
+    assert (of(np.floor(sizes * 100 / ngram_join.SHARE)) - of(sizes)).max() <= 1
+
+
+def test_only_what_cannot_be_similar_is_left_out():
+    rng = np.random.default_rng(4)
+    for _ in range(200):
+        n = int(rng.integers(1, 12))
+        token, size = rng.integers(0, 3, n), rng.integers(1, 60, n)
+        rest = np.minimum(rng.integers(0, 60, n), size - 1)
+        kept = ngram_join.meets(token, size, rest)
+        for i in range(n):
+            for j in range(i):
+                least, most = sorted((size[i], size[j]))
+                if token[i] == token[j] and 5 * least >= 4 * most and 180 * (1 + min(rest[i], rest[j])) >= 80 * (least + most):
+                    assert kept[i] and kept[j]
+
+
 @pytest.mark.parametrize("seed", [1, 2])
 def test_against_all_pairs(spark, seed):
     rows = documents(seed)
