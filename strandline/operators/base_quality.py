@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -78,41 +79,53 @@ def triplet_bq_distribution(df: DataFrame, *, fold: bool = True) -> DataFrame:
     return out.withColumn("band", F.when(F.col("auc30") > 50, "high").when(F.col("auc30") > 40, "medium").when(F.col("auc30") > 30, "low").otherwise("none"))
 
 
-def _log_beta(a: float, b: float) -> float:
-    return math.lgamma(a) + math.lgamma(b) - math.lgamma(a + b)
+#: Terms of the continued fraction, at most.
+TERMS = 500
 
 
-def incomplete_beta(a: float, b: float, x: float) -> float:
-    """Regularised incomplete beta function by Simpson's rule on the substitution x = sin(u)^2.
+def incomplete_beta(a: np.ndarray, b: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """Regularised incomplete beta function of whole arrays, by its continued fraction.
 
-    With a, b >= 0.5 the integrand 2 sin^(2a-1) cos^(2b-1) is bounded.
+    The fraction converges fast below the mean; above it the other tail is taken.
     """
-    if x <= 0 or x >= 1:
-        return float(x >= 1)
-    if x > (a + 1) / (a + b + 2):
-        return 1 - incomplete_beta(b, a, 1 - x)
-    top, steps = math.asin(math.sqrt(x)), 4000
-    log_norm = math.log(2) - _log_beta(a, b)
-
-    def f(u: float) -> float:
-        s, c = math.sin(u), math.cos(u)
-        if s <= 0:
-            return math.exp(log_norm) if 2 * a == 1 else 0.0
-        return math.exp(log_norm + (2 * a - 1) * math.log(s) + (2 * b - 1) * math.log(c))
-
-    h = top / steps
-    return min(1.0, h / 3 * (f(0) + f(top) + 4 * sum(f(h * k) for k in range(1, steps, 2)) + 2 * sum(f(h * k) for k in range(2, steps, 2))))
+    a, b, x = np.broadcast_arrays(*(np.asarray(v, np.float64) for v in (a, b, x)))
+    other = x > (a + 1) / (a + b + 2)
+    p, q, y = np.where(other, b, a), np.where(other, a, b), np.where(other, 1 - x, x)
+    inside = (y > 0) & (y < 1)
+    y = np.where(inside, y, 0.5)
+    gamma = np.vectorize(math.lgamma, otypes=[np.float64])
+    front = np.exp(gamma(p + q) - gamma(p) - gamma(q) + p * np.log(y) + q * np.log1p(-y)) / p
+    tiny = 1e-300
+    off = lambda v: np.where(np.abs(v) < tiny, tiny, v)
+    c = np.ones_like(y)
+    d = 1 / off(1 - (p + q) * y / (p + 1))
+    value = d.copy()
+    for m in range(1, TERMS):
+        for term in (m * (q - m) * y / ((p + 2 * m - 1) * (p + 2 * m)), -(p + m) * (p + q + m) * y / ((p + 2 * m) * (p + 2 * m + 1))):
+            d = 1 / off(1 + term * d)
+            c = off(1 + term / c)
+            value = value * d * c
+        if (np.abs(d * c - 1) < 1e-14).all():
+            break
+    found = np.where(inside, np.minimum(front * value, 1.0), np.where(other, 1 - x >= 1, x >= 1).astype(np.float64))
+    return np.where(other, 1 - found, found)
+
+
+def two_sided(t: np.ndarray, df: np.ndarray) -> np.ndarray:
+    """P(|T| >= |t|) of whole arrays; 1 where there is no statistic."""
+    t, df = np.asarray(t, np.float64), np.asarray(df, np.float64)
+    known = np.isfinite(t) & (df > 0)
+    t, df = np.where(known, t, 0.0), np.where(known, df, 1.0)
+    return np.where(known, incomplete_beta(df / 2, 0.5, df / (df + t * t)), 1.0)
 
 
 def t_two_sided(t: float | None, df: float | None) -> float:
-    """P(|T| >= |t|); 1 where there is no statistic."""
-    if t is None or df is None or t != t or df != df or df <= 0:
-        return 1.0
-    return incomplete_beta(df / 2, 0.5, df / (df + t * t))
+    """`two_sided` of one statistic."""
+    return float(two_sided(np.array([math.nan if t is None else t]), np.array([math.nan if df is None else df]))[0])
 
 
 def triplet_bq_shift(df: DataFrame, *, min_bq: int = 0) -> DataFrame:
-    """By triplet: figures of both alleles' base qualities, ratio and difference of means, and the t statistic of their shift.
+    """By triplet: figures of both alleles' base qualities, ratio and difference of means and of medians, and the t statistic of their shift.
 
     Welch's test; one-sample if one side has a single base.  Reverse-complement triplets are merged.
     """
@@ -142,12 +155,13 @@ def triplet_bq_shift(df: DataFrame, *, min_bq: int = 0) -> DataFrame:
         .when((c("n_ref") == 1) & (c("n_alt") > 1), (c("n_alt") - 1).cast("double"))
     )
     out = sums.withColumns({"ratio": F.round(F.try_divide("mean_alt", "mean_ref"), 6), "difference": F.round(difference, 6), "t": F.round(t, 6), "freedom": F.round(freedom, 6)})
+    out = out.withColumns({"ratio_medians": F.round(F.try_divide("median_alt", "median_ref"), 6), "difference_medians": F.col("median_alt") - F.col("median_ref")})
     return out.withColumns({k: F.round(k, 6) for k in ("mean_ref", "mean_alt")}).drop("var_ref", "var_alt")
 
 
 @F.pandas_udf(DoubleType())
 def t_p_value(t: pd.Series, freedom: pd.Series) -> pd.Series:
-    return pd.Series([t_two_sided(a, b) for a, b in zip(t, freedom)], dtype="float64")
+    return pd.Series(two_sided(t.to_numpy(np.float64, na_value=np.nan), freedom.to_numpy(np.float64, na_value=np.nan)))
 
 
 def shift_p_values(shift: DataFrame) -> DataFrame:

@@ -940,22 +940,31 @@ def triplet_bq_distribution(spark, sf_dir):
     return base_quality.triplet_bq_distribution(_lists(spark, sf_dir))
 
 
-@query(
-    f"""{READS}, {TRIPLETS}, s AS (SELECT pid, mutation, before, after,
+def _shift_sql(least: int) -> str:
+    return f"""{READS}, {TRIPLETS}, s AS (SELECT pid, mutation, before, after,
         count(*) FILTER (allele = 'REF') AS n_ref, avg(bq) FILTER (allele = 'REF') AS m1, median(bq) FILTER (allele = 'REF')::DOUBLE AS median_ref, min(bq) FILTER (allele = 'REF') AS min_ref, max(bq) FILTER (allele = 'REF') AS max_ref, var_samp(bq) FILTER (allele = 'REF') AS v1,
         count(*) FILTER (allele = 'ALT') AS n_alt, avg(bq) FILTER (allele = 'ALT') AS m2, median(bq) FILTER (allele = 'ALT')::DOUBLE AS median_alt, min(bq) FILTER (allele = 'ALT') AS min_alt, max(bq) FILTER (allele = 'ALT') AS max_alt, var_samp(bq) FILTER (allele = 'ALT') AS v2
-      FROM lt WHERE bq >= 5 GROUP BY ALL)
-    SELECT pid, mutation, before, after, n_ref, round(m1, 6) AS mean_ref, median_ref, min_ref, max_ref, n_alt, round(m2, 6) AS mean_alt, median_alt, min_alt, max_alt,
-      round(m2 / m1, 6) AS ratio, round(m2 - m1, 6) AS difference,
+      FROM lt WHERE bq >= {least} GROUP BY ALL), shift AS (SELECT pid, mutation, before, after, n_ref, round(m1, 6) AS mean_ref, median_ref, min_ref, max_ref, n_alt, round(m2, 6) AS mean_alt, median_alt, min_alt, max_alt,
+      round(m2 / m1, 6) AS ratio, round(m2 - m1, 6) AS difference, CASE WHEN median_ref <> 0 THEN round(median_alt / median_ref, 6) END AS ratio_medians, median_alt - median_ref AS difference_medians,
       round(CASE WHEN n_ref > 1 AND n_alt > 1 THEN (m2 - m1) / sqrt(v1 / n_ref + v2 / n_alt) WHEN n_alt = 1 AND n_ref > 1 THEN (m2 - m1) / sqrt(v1 / n_ref) WHEN n_ref = 1 AND n_alt > 1 THEN (m2 - m1) / sqrt(v2 / n_alt) END, 6) AS t,
       round(CASE WHEN n_ref > 1 AND n_alt > 1 THEN pow(v1 / n_ref + v2 / n_alt, 2) / (pow(v1 / n_ref, 2) / (n_ref - 1) + pow(v2 / n_alt, 2) / (n_alt - 1)) WHEN n_alt = 1 AND n_ref > 1 THEN n_ref - 1.0 WHEN n_ref = 1 AND n_alt > 1 THEN n_alt - 1.0 END, 6) AS freedom
-    FROM s"""
-)
+    FROM s)"""
+
+
+@query(f"{_shift_sql(5)} SELECT * FROM shift")
 def triplet_bq_shift(spark, sf_dir):
     return base_quality.triplet_bq_shift(_lists(spark, sf_dir), min_bq=5)
 
 
-@query()
+@query(
+    f"""{_shift_sql(0)}, place AS (
+      SELECT *, atan(abs(t) / sqrt(freedom)) AS top FROM shift
+    ), tested AS (  -- Simpson's rule on the density around 0, cos(u) to the power of freedom - 1
+      SELECT * EXCLUDE (top), CASE WHEN t IS NULL OR freedom IS NULL OR freedom <= 0 THEN 1.0::DOUBLE ELSE greatest(0.0, 1 - 2 * exp(lgamma(freedom / 2 + 0.5) - lgamma(freedom / 2) - lgamma(0.5)) * top / 12000
+        * list_sum(list_transform(range(0, 4001), lambda k: CASE WHEN k IN (0, 4000) THEN 1 WHEN k % 2 = 1 THEN 4 ELSE 2 END * exp((freedom - 1) * ln(cos(top * k / 4000)))))) END AS exact FROM place
+    ), ranked AS (SELECT *, row_number() OVER (PARTITION BY pid ORDER BY exact, mutation, before, after) AS k, count(*) OVER (PARTITION BY pid) AS m FROM tested)
+    SELECT * EXCLUDE (exact, k, m), round(exact, 6) AS p, round(least(min(exact * m / k) OVER (PARTITION BY pid ORDER BY k ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING), 1.0), 6) AS p_adjusted FROM ranked"""
+)
 def triplet_bq_shift_p(spark, sf_dir):
     return base_quality.shift_p_values(base_quality.triplet_bq_shift(_lists(spark, sf_dir)))
 

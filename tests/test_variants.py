@@ -4,6 +4,7 @@ import itertools
 import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -361,6 +362,15 @@ def test_t_distribution():
     assert math.isclose(base_quality.t_two_sided(3.0, 2.5), 0.0745, abs_tol=2e-3) and base_quality.t_two_sided(None, None) == 1.0
 
 
+def test_incomplete_beta_of_arrays():
+    x = np.linspace(0, 1, 21)
+    assert np.allclose(base_quality.incomplete_beta(2, 3, x), 6 * x**2 - 8 * x**3 + 3 * x**4, atol=1e-12)
+    assert np.allclose(base_quality.incomplete_beta(1, 1, x), x, atol=1e-12) and np.allclose(base_quality.incomplete_beta(0.5, 0.5, x), 2 / np.pi * np.arcsin(np.sqrt(x)), atol=1e-12)
+    # many degrees of freedom: the normal distribution
+    assert np.allclose(base_quality.two_sided(np.array([0.5, 1.96, 5.0]), np.full(3, 1e7)), [math.erfc(z / math.sqrt(2)) for z in (0.5, 1.96, 5.0)], rtol=1e-5)
+    assert base_quality.two_sided(np.array([np.nan, 0.0, np.inf]), np.array([3.0, 3.0, 3.0])).tolist() == [1.0, 1.0, 1.0]
+
+
 def test_adjusted_p_values(spark):
     values = [0.01, 0.02, 0.03, 0.5]
     ts = spark.createDataFrame([("p", "CA", "A", b, t, 30.0) for b, t in zip("ACGT", (2.7, 2.4, 2.2, 0.1))], "pid string, mutation string, before string, after string, t double, freedom double")
