@@ -193,6 +193,11 @@ def purity_esd(by_chromosome: DataFrame) -> DataFrame:
 
 
 def qc_row(df: DataFrame) -> DataFrame:
-    """One row a patient: snvnum, snvindbSNP, ratios and the THA score, of rows that are the somatic selection."""
-    base = snv_dbsnp_ratio(df).select("pid", F.col("n_snv").alias("snvnum"), F.col("n_dbsnp").alias("snvindbSNP"), F.col("ratio").alias("snvInDbsnpRatio"))
-    return base.join(synonymous_ratio(df).select("pid", F.col("ratio").alias("synonymousRatio")), "pid").join(tha_score(df).select("pid", F.col("tha_score").alias("thaScore")), "pid")
+    """One row a patient: snvnum, snvindbSNP, ratios and the THA score, of rows that are the somatic selection, in one grouping."""
+    exonic = F.col("annovar_function") == "exonic"
+    sums = df.groupBy("pid").agg(
+        F.count(F.lit(1)).alias("snvnum"), F.count_if(F.col("dbsnp").contains("MATCH=exact")).alias("snvindbSNP"), F.count_if(exonic).alias("_exonic"),
+        F.count_if(exonic & (F.col("exonic_classification") == "synonymous SNV")).alias("_synonymous"), F.count_if(F.col("pv4_tail") < 0.05).alias("_low"), F.count("pv4_tail").alias("_tails"),
+    )
+    ratio = lambda a, b, name: F.round(F.try_divide(F.col(a).cast("double"), F.col(b)), 6).alias(name)
+    return sums.select("pid", "snvnum", "snvindbSNP", ratio("snvindbSNP", "snvnum", "snvInDbsnpRatio"), ratio("_synonymous", "_exonic", "synonymousRatio"), ratio("_low", "_tails", "thaScore"))

@@ -198,6 +198,29 @@ def field_functions(spark, sf_dir):
     )
 
 
+CELL = "CASE WHEN pk % 2 = 0 THEN kgenomes || '&' || dbsnp ELSE dbsnp || '&' || kgenomes END"
+
+
+@query(
+    f"""{ANN}, c AS (SELECT *, {CELL} AS cell, {T_VAF} AS share FROM ann) SELECT pid, chrom, pos, trf || '/' || trr || '/' || tvf || '/' || tvr || '/' AS counts, trf + trr + tvf + tvr AS depth,
+        coalesce(string_split(list_filter(string_split(cell, '&'), lambda x: contains(x, 'MATCH=exact;'))[1], ';')[-1], '.') AS exact_value,
+        translate(base_after || ref || alt || base_before, 'ACGT', 'TGCA') AS other_strand, CASE WHEN share >= 0.75 THEN '1/1' WHEN share >= 0.3 THEN '0/1' ELSE '0/0' END AS genotype,
+        CASE WHEN share >= 0.75 THEN '1/1' WHEN share >= 0.3 OR qual > 100 THEN '0/1' ELSE '0/0' END AS genotype_of_good FROM c"""
+)
+def more_field_functions(spark, sf_dir):
+    """Counts out of INFO (what is no number is empty), exact values of cells with several hits, the other strand, genotypes."""
+    ann = fixtures.annotated(spark, sf_dir)
+    c = F.col
+    rows = ann.withColumns({"cell": F.expr(CELL), "info": F.concat(F.lit("INDEL;DP4="), F.concat_ws(",", "trf", "trr", "tvf", "tvr"), F.lit(",x;DP=1"))})
+    counts, share = fields.parse_counts(c("info"), "DP4"), fields.vaf(c("trf"), c("trr"), c("tvf"), c("tvr"))
+    other = fields.reverse_complement_triplet(c("base_before"), c("ref"), c("alt"), c("base_after"))
+    return rows.select(
+        "pid", "chrom", "pos", F.array_join(counts.cast("array<string>"), "/", "").alias("counts"), F.aggregate(counts, F.lit(0).cast("bigint"), lambda a, x: a + F.coalesce(x, F.lit(0))).alias("depth"),
+        fields.exact_match_value(c("cell")).alias("exact_value"), F.concat(other["before"], other["ref"], other["alt"], other["after"]).alias("other_strand"),
+        fields.genotype_from_vaf(share).alias("genotype"), fields.genotype_from_vaf(share, c("qual") > 100).alias("genotype_of_good"),
+    )
+
+
 @query(
     f"""{SNV}, g AS (SELECT DISTINCT least(cvf + cvr, crf + crr) AS k, crf + crr AS n FROM snv),
     terms AS (SELECT k, n, i, exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) - n * ln(2)) AS t FROM g, unnest(generate_series(0, k)) AS r(i))
@@ -242,6 +265,18 @@ def raw_snv_filter(spark, sf_dir):
     return filters.raw_snv_filter(_raw(spark, sf_dir)).select("pid", "chrom", "pos", "ref", "alt")
 
 
+@query(
+    f"""{ANN}, i AS (SELECT *, string_split(sequence_context, ',')[1] || ref AS l, ref || string_split(sequence_context, ',')[2] AS r, qty * 3 AS q FROM ann)
+    SELECT pid, chrom, pos, ref, alt FROM i WHERE NOT ((tvf = 0 AND tvr = 1) OR (tvf = 1 AND tvr = 0) OR (trf = 0)::INT + (trr = 0)::INT + (tvf = 0)::INT + (tvr = 0)::INT >= 3 OR trf + trr + tvf + tvr < 4
+      OR q < 30 OR (q < 70 AND (tvf = 0 OR tvr = 0) AND tvf + tvr <= 3)
+      OR (tvr < 2 AND regexp_matches(l, 'GG..GG|GGC') AND tvr <> 1 AND tvf <> 2) OR (tvf < 2 AND regexp_matches(r, 'CC..CC|GCC') AND tvf <> 1 AND tvr <> 2))"""
+)
+def raw_snv_filter_indels(spark, sf_dir):
+    """The rules for insertions and deletions, whose flanks reach over the reference allele."""
+    rows = fixtures.annotated(spark, sf_dir).withColumns({"qual": F.col("qty") * 3, "info": F.lit("INDEL;DP=3")})
+    return filters.raw_snv_filter(rows, indel=F.col("info").startswith("INDEL")).select("pid", "chrom", "pos", "ref", "alt")
+
+
 @query(
     f"""{ANN}, t AS (SELECT *, CASE WHEN pk % 5 = 0 THEN 'INDEL;DP=3' ELSE 'DP=3' END AS info FROM ann)
     SELECT CASE WHEN info LIKE 'INDEL%' THEN 'indel' ELSE 'snv' END AS kind, pid, count(*) AS n FROM t GROUP BY ALL"""
@@ -1160,6 +1195,15 @@ def read_chrom_lengths(spark, sf_dir):
     return variants.read_chrom_lengths(spark, path)
 
 
+@query("SELECT 'P' || (c_custkey % 8) AS pid, 'D' || (c_custkey % 8) AS decoded, CASE WHEN c_custkey % 8 IN (0, 3) THEN 'f' ELSE 'm' END AS gender, min(c_custkey)::VARCHAR AS age, count(*)::VARCHAR AS subgroup FROM customer GROUP BY ALL")
+def read_clinical(spark, sf_dir):
+    """Written with a header line and read again."""
+    path = _scratch(spark, "clinical")
+    rows = _table(spark, sf_dir, "customer").selectExpr("concat('P', c_custkey % 8) AS pid", "concat('D', c_custkey % 8) AS decoded", "IF(c_custkey % 8 IN (0, 3), 'f', 'm') AS gender", "c_custkey")
+    rows.groupBy("pid", "decoded", "gender").agg(F.min("c_custkey").alias("age"), F.count(F.lit(1)).alias("subgroup")).write.csv(path, sep="\t", header=True)
+    return variants.read_clinical(spark, path)
+
+
 UNION = f"{SNV} SELECT pid, chrom, pos, CASE WHEN chrom NOT IN ('2', 'Y') THEN qual END AS qual FROM snv"
 
 
