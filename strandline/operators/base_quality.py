@@ -68,9 +68,23 @@ def with_triplet(df: DataFrame, *, fold: bool = True) -> DataFrame:
     return df.withColumns({"mutation": mutation_class(F.col("ref"), F.col("alt")), "before": before, "after": after})
 
 
+def long_form_of_reads(variants: DataFrame, reads: DataFrame, *, fold: bool = True) -> DataFrame:
+    """The rows of `long_form` with triplets, straight from reads (pid, chrom, pos, base, bq) at variants: no list is gathered first."""
+    sites = with_triplet(variants, fold=fold).select(*KEY, *TRIPLET, F.upper("ref").alias("_ref"), F.upper("alt").alias("_alt"))
+    base = F.upper("base")
+    allele = F.when(base == F.col("_ref"), "REF").when(base == F.col("_alt"), "ALT")
+    met = reads.select(*KEY, "base", F.col("bq").cast("bigint").alias("bq")).join(sites, KEY).withColumn("allele", allele)
+    return met.where("allele IS NOT NULL").select(*KEY, *TRIPLET, "allele", "bq")
+
+
 def triplet_bq_distribution(df: DataFrame, *, fold: bool = True) -> DataFrame:
+    """`quality_shares` of the lists of each row."""
+    return quality_shares(long_form(with_triplet(df, fold=fold), *TRIPLET))
+
+
+def quality_shares(rows: DataFrame) -> DataFrame:
     """Histogram of base qualities by triplet and allele: n, its share, the share at or below, and the share at or below 30 with a band."""
-    counts = long_form(with_triplet(df, fold=fold), *TRIPLET).groupBy("pid", *TRIPLET, "allele", "bq").agg(F.count(F.lit(1)).alias("n"))
+    counts = rows.groupBy("pid", *TRIPLET, "allele", "bq").agg(F.count(F.lit(1)).alias("n"))
     cell = Window.partitionBy("pid", *TRIPLET, "allele")
     total = F.sum("n").over(cell)
     until = F.sum("n").over(cell.orderBy("bq").rowsBetween(Window.unboundedPreceding, Window.currentRow))

@@ -972,6 +972,12 @@ def bq_distribution(spark, sf_dir):
     SELECT *, CASE WHEN auc30 > 50 THEN 'high' WHEN auc30 > 40 THEN 'medium' WHEN auc30 > 30 THEN 'low' ELSE 'none' END AS band FROM a"""
 )
 def triplet_bq_distribution(spark, sf_dir):
+    return base_quality.quality_shares(base_quality.long_form_of_reads(fixtures.snv(spark, sf_dir), fixtures.reads(spark, sf_dir)))
+
+
+@query(ORACLES["triplet_bq_distribution"])
+def triplet_bq_distribution_of_lists(spark, sf_dir):
+    """From lists of qualities, as files have them."""
     return base_quality.triplet_bq_distribution(_lists(spark, sf_dir))
 
 
