@@ -266,6 +266,12 @@ def bq_curves(df: DataFrame) -> DataFrame:
 UPPER, LOWER, FEWEST = (30, 25, 20), (0, 5, 13), (0, 5, 10)
 
 
+def _thousandths(part: Column, whole: Column) -> Column:
+    """part / whole to 3 decimals, halves up, told with integers; null for a whole of 0."""
+    doubled = 2000 * part + whole
+    return F.when(whole > 0, (doubled - doubled % (2 * whole)) / (2 * whole) / 1000.0)
+
+
 def bq_artifact_grid(df: DataFrame) -> DataFrame:
     """By triplet: n, its share of the class, the share of bases in each of nine ranges of quality for both alleles, and how far the variant's share at or below 30 stands out.
 
@@ -282,9 +288,9 @@ def bq_artifact_grid(df: DataFrame) -> DataFrame:
 
     def share(a: str, low: int, least: int) -> Column:
         below = F.get(F.col(a), least - 1) if least else F.lit(0)
-        return F.nullif(F.round(F.try_divide((F.get(F.col(a), low) - below).cast("double"), F.element_at(F.col(a), -1).cast("double")), 3), F.lit(0.0)).alias(f"auc_{low}_{least}_{a}")
+        return F.nullif(_thousandths(F.get(F.col(a), low) - below, F.element_at(F.col(a), -1)), F.lit(0.0)).alias(f"auc_{low}_{least}_{a}")
 
-    grid = n.join(cells, ["pid", *TRIPLET], "left").withColumn("share", F.round(F.col("n") / F.sum("n").over(Window.partitionBy("pid", "mutation")), 3))
+    grid = n.join(cells, ["pid", *TRIPLET], "left").withColumn("share", _thousandths(F.col("n"), F.sum("n").over(Window.partitionBy("pid", "mutation"))))
     grid = grid.select("pid", *TRIPLET, "n", "share", *[share(a, low, least) for low in UPPER for least in LOWER for a in ("ref", "alt")])
     patient = Window.partitionBy("pid")
     x = {m: F.when(F.col("n") >= m, F.col("auc_30_0_alt")) for m in FEWEST}

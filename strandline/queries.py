@@ -1049,8 +1049,8 @@ GRID = [(low, least, a) for low in base_quality.UPPER for least in base_quality.
 
 @query(
     f"""{READS}, {TRIPLETS}, n AS (SELECT pid, mutation, before, after, count(*) AS n FROM tri GROUP BY ALL),
-    a AS (SELECT pid, mutation, before, after, {", ".join(f"nullif(round(count(*) FILTER (allele = '{a.upper()}' AND bq BETWEEN {least} AND {low})::DOUBLE / nullif(count(*) FILTER (allele = '{a.upper()}'), 0), 3), 0) AS auc_{low}_{least}_{a}" for low, least, a in GRID)} FROM lt WHERE bq BETWEEN 0 AND 55 GROUP BY ALL),
-    x AS (SELECT n.*, round(n::DOUBLE / sum(n) OVER (PARTITION BY pid, mutation), 3) AS share, a.* EXCLUDE (pid, mutation, before, after), {", ".join(f"CASE WHEN n >= {m} THEN auc_30_0_alt END AS x{m}" for m in base_quality.FEWEST)} FROM n LEFT JOIN a USING (pid, mutation, before, after)),
+    a AS (SELECT pid, mutation, before, after, {", ".join(f"nullif(((2000 * count(*) FILTER (allele = '{a.upper()}' AND bq BETWEEN {least} AND {low}) + count(*) FILTER (allele = '{a.upper()}')) // nullif(2 * count(*) FILTER (allele = '{a.upper()}'), 0))::DOUBLE / 1000, 0) AS auc_{low}_{least}_{a}" for low, least, a in GRID)} FROM lt WHERE bq BETWEEN 0 AND 55 GROUP BY ALL),
+    x AS (SELECT n.*, ((2000 * n + (sum(n) OVER (PARTITION BY pid, mutation))::BIGINT) // (2 * (sum(n) OVER (PARTITION BY pid, mutation))::BIGINT))::DOUBLE / 1000 AS share, a.* EXCLUDE (pid, mutation, before, after), {", ".join(f"CASE WHEN n >= {m} THEN auc_30_0_alt END AS x{m}" for m in base_quality.FEWEST)} FROM n LEFT JOIN a USING (pid, mutation, before, after)),
     s AS (SELECT *, {", ".join(f"avg(x{m}) OVER w AS mean{m}, stddev_samp(x{m}) OVER w AS sd{m}, median(x{m}) OVER w AS med{m}" for m in base_quality.FEWEST)} FROM x WINDOW w AS (PARTITION BY pid)),
     d AS (SELECT *, {", ".join(f"median(abs(x{m} - med{m})) OVER (PARTITION BY pid) AS mad{m}" for m in base_quality.FEWEST)} FROM s),
     z AS (SELECT *, {", ".join(f"CASE WHEN sd{m} <> 0 THEN round((x{m} - mean{m}) / sd{m}, 6) END AS z_{m}, CASE WHEN mad{m} <> 0 THEN round((x{m} - med{m}) / (1.4826 * mad{m}), 6) END AS robust_z_{m}" for m in base_quality.FEWEST)} FROM d)
