@@ -10,7 +10,7 @@ one global order, which is cut in fragments; a document's set becomes one segmen
     sent to the fragments, packed by the thousands; a fragment's task sorts them and keeps those that several sets have.  An
     n-gram whose cell is so full that it could fill a task (`HEAVY`) passes as rows that Spark groups.
 3.  *Partial overlaps.*  For each pair to compare, segments of both are joined by fragment, and what they share is counted in
-    each fragment separately; counts are summed per pair.  Before, each fragment's segment is known by 64 bits, each the parity
+    each fragment separately; counts are summed per pair.  Before, each fragment's segment is known by 128 bits, each the parity
     of the n-grams that fall to it: two segments differ in as many n-grams as bits, at least, and pairs whose bits alone differ
     by more than linked sets may are not made.
 4.  *Which pairs.*  First each candidate is compared with a few others at every n-gram that they share; sets that are connected
@@ -56,8 +56,9 @@ FEWEST = 48
 HEAVY = (1 << 17, 4)
 #: N-grams packed at once.
 PACKED = 1 << 19
-#: Bits that tell the fragments of partial counts.
-FRAGMENT_BITS = 3
+#: Bits that tell the fragments of partial counts, and bits that tell the parities of one.
+FRAGMENT_BITS = 2
+PARITY_BITS = 7
 #: Sets of a place that all others of it are compared with first.
 HEADS = 4
 #: Bytes of text that are hashed at once.
@@ -172,12 +173,12 @@ def cell_of(grams: np.ndarray) -> np.ndarray:
     return (grams & np.uint64(CELLS - 1)).astype(np.int64)
 
 
-WORDS = [f"bits_{k}" for k in range(1 << FRAGMENT_BITS)]
+WORDS = [f"bits_{k}" for k in range(1 << (FRAGMENT_BITS + PARITY_BITS - 6))]
 
 
 def parities(grams: np.ndarray) -> np.ndarray:
-    """64 parities for each fragment's segment of a set, as int64."""
-    place = ((grams >> np.uint64(64 - FRAGMENT_BITS)) << np.uint64(6)) | ((grams >> np.uint64(24)) & np.uint64(63))
+    """The parities of each fragment's segment of a set, as int64."""
+    place = ((grams >> np.uint64(64 - FRAGMENT_BITS)) << np.uint64(PARITY_BITS)) | ((grams >> np.uint64(24)) & np.uint64((1 << PARITY_BITS) - 1))
     return np.packbits(np.bincount(place.astype(np.int64), minlength=64 * len(WORDS)) & 1, bitorder="little").view("<i8")
 
 
@@ -410,19 +411,23 @@ def _names(pairs: DataFrame) -> DataFrame:
 
 
 def _possible(one: str, other: str) -> Column:
-    """Whether two sets that meet at an n-gram can be similar, and this can be the first one that they share: by sizes, bits and by what comes after it.
+    """Whether two sets that meet at an n-gram can be similar, and this can be the first one that they share: by sizes and by what comes after it.
 
-    Columns are those of ``_SET`` with these beginnings.
+    Names of columns have these beginnings.
     """
     size_a, size_b = F.col(f"{one}size"), F.col(f"{other}size")
     rest = F.least(F.col(f"{one}rest"), F.col(f"{other}rest"))
+    return (100 * F.least(size_a, size_b) >= SHARE * F.greatest(size_a, size_b)) & ((100 + SHARE) * (1 + rest) >= SHARE * (size_a + size_b))
+
+
+def _near(one: str, other: str, sizes: Column) -> Column:
+    """Whether parities differ by no more than linked sets may: these share SHARE / (100 + SHARE) of their sizes, and differ in the rest."""
     apart = reduce(add, [F.bit_count(F.col(f"{one}{w}").bitwiseXOR(F.col(f"{other}{w}"))) for w in WORDS])
-    # linked sets share SHARE / (100 + SHARE) of their sizes, and differ in the rest
-    return (100 * F.least(size_a, size_b) >= SHARE * F.greatest(size_a, size_b)) & ((100 + SHARE) * (1 + rest) >= SHARE * (size_a + size_b)) & ((100 + SHARE) * apart <= (100 - SHARE) * (size_a + size_b))
+    return (100 + SHARE) * apart <= (100 - SHARE) * sizes
 
 
 #: What is known of a set at a place.
-_SET = ["name", "label", "size", "rest", *WORDS]
+_SET = ["name", "label", "size", "rest"]
 
 
 def _size_class(size: Column) -> Column:
@@ -440,7 +445,7 @@ def _open(spots: DataFrame, labels: DataFrame | None) -> DataFrame:
     return stored(rows.withColumn("class", _size_class(F.col("size"))).join(tops, "place"))
 
 
-def _few_pairs(rows: DataFrame) -> DataFrame:
+def _few_pairs(rows: DataFrame, bits: DataFrame) -> DataFrame:
     """Rows of `_open` with ``HEADS`` others of their place, of other labels, and of the same or the next smaller class.
 
     Heads are the first by as many hashes of labels and names, so that places with about the same members have about the same heads.
@@ -449,16 +454,20 @@ def _few_pairs(rows: DataFrame) -> DataFrame:
     heads = rows.groupBy("place", "class").agg(F.array_distinct(F.transform(F.array(*[F.min(x) for x in hashes]), lambda x: x.dropFields("h", "g"))).alias("heads"))
     heads = heads.withColumn("class", F.explode(F.array(F.col("class"), F.col("class") + 1))).withColumn("head", F.explode("heads"))
     met = rows.join(heads.select("place", "class", "head"), ["place", "class"]).where((F.col("head.label") != F.col("label")) & _possible("", "head."))
-    return _distinct(met.select(F.col("head.name").alias("a"), F.col("name").alias("b"), F.col("head.size").alias("size_a"), F.col("size").alias("size_b")))
+    pairs = _distinct(met.select(F.col("head.name").alias("a"), F.col("name").alias("b"), F.col("head.size").alias("size_a"), F.col("size").alias("size_b")))
+    for end in ("a", "b"):
+        pairs = pairs.join(bits.select(F.col("name").alias(end), *[F.col(w).alias(f"{end}_{w}") for w in WORDS]), end)
+    return pairs.where(_near("a_", "b_", F.col("size_a") + F.col("size_b"))).select("a", "b", "size_a", "size_b")
 
 
-def _all_pairs(rows: DataFrame) -> DataFrame:
+def _all_pairs(rows: DataFrame, bits: DataFrame) -> DataFrame:
     """All pairs of rows of `_open` that meet at a place, have different labels and can still be similar.
 
     One of a pair does not have the label that most of the place have, so that a large group is met by few.
     """
-    few = rows.where("label <> top").select("place", *[F.col(c).alias(f"one_{c}") for c in _SET], F.explode(F.array(F.col("class") - 1, F.col("class"), F.col("class") + 1)).alias("class"))
-    met = few.join(rows, ["place", "class"]).where(F.expr("one_label <> label AND (label = top OR one_name < name)") & _possible("one_", ""))
+    rows = stored(rows.join(bits, "name"))
+    few = rows.where("label <> top").select("place", *[F.col(c).alias(f"one_{c}") for c in (*_SET, *WORDS)], F.explode(F.array(F.col("class") - 1, F.col("class"), F.col("class") + 1)).alias("class"))
+    met = few.join(rows, ["place", "class"]).where(F.expr("one_label <> label AND (label = top OR one_name < name)") & _possible("one_", "") & _near("one_", "", F.col("one_size") + F.col("size")))
     return _distinct(met.select(F.col("name").alias("a"), F.col("one_name").alias("b"), F.col("size").alias("size_a"), F.col("one_size").alias("size_b")))
 
 
@@ -470,11 +479,11 @@ def _distinct(pairs: DataFrame) -> DataFrame:
     return pairs.groupBy("a", "b").agg(F.first("size_a").alias("size_a"), F.first("size_b").alias("size_b"))
 
 
-def _links(spots: DataFrame, segments_of: Callable[[DataFrame], DataFrame]) -> DataFrame:
+def _links(spots: DataFrame, bits: DataFrame, segments_of: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """Links a, b that connect what is similar, from candidates by place: of each with few others, then of all that are still apart."""
-    first = stored(_linked(_few_pairs(_open(spots, None)), segments_of))
+    first = stored(_linked(_few_pairs(_open(spots, None), bits), segments_of))
     labels = stored(min_components(first).select(F.col("node").alias("name"), F.col("component").alias("label")))
-    return first.union(stored(_linked(_all_pairs(_open(spots, labels)), segments_of)))
+    return first.union(stored(_linked(_all_pairs(_open(spots, labels), bits), segments_of)))
 
 
 def similar_documents(df: DataFrame, *, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -488,14 +497,13 @@ def similar_documents(df: DataFrame, *, key: str = "doc_id", text: str = "text")
     names = stored(some.groupBy("name").agg(F.min("key").alias("first"), F.count(F.lit(1)).alias("n"), F.min("mark").alias("mark"), *[F.first(c).alias(c) for c in ("size", *WORDS)]))
     n_leading = names.agg(F.sum(F.col("size") - F.ceil(F.col("size") * SHARE / 100) + 1)).first()[0] or 0
     fragments = max(FEWEST, -(-int(n_leading) // FRAGMENT))
-    spots = _spots(_packed(docs, counts, fragments), fragments)
-    spots = stored(spots.join(names.select("name", *WORDS), "name"))
+    spots = stored(_spots(_packed(docs, counts, fragments), fragments))
 
     def segments_of(wanted: DataFrame) -> DataFrame:
         marks = stored(wanted.join(names, "name").select("mark").distinct())
         return _segments(docs.join(simhash.small(marks), "mark", "left_semi"))
 
-    components = min_components(_links(spots, segments_of)).withColumnRenamed("node", "name")
+    components = min_components(_links(spots, names.select("name", *WORDS), segments_of)).withColumnRenamed("node", "name")
     placed = stored(names.select("name", "first", "n").join(components, "name", "left").withColumn("component", F.coalesce("component", "name")))
     least = placed.groupBy("component").agg(F.min("first").alias("component_id"), F.count(F.lit(1)).alias("rows"))
     named = stored(dealt_join(placed, least.withColumnRenamed("rows", "n"), ["component"]).select("name", F.col("n"), "component_id"))
