@@ -29,14 +29,14 @@ import regex
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 
-from strandline.llm._tables import ship_package
+from strandline.llm._tables import give_back, ship_package
 
 #: Compatible and incompatible pairs that an encoder of single pieces remembers.
 PAIR_MEMORY = 100_000
 #: Bits of the slots that tell most pairs of tokens that stand for no third one.
 PAIR_BITS = 21
 #: Bytes of text that a task encodes at once (or one text).
-SLICE_BYTES = 4_000_000
+SLICE_BYTES = 2_000_000
 #: Pieces whose prefix tables are filled side by side, and their longest; longer ones are encoded one by one.
 PIECES_BESIDE = 1 << 15
 LONGEST_BESIDE = 48
@@ -485,7 +485,7 @@ def encode_documents(df: DataFrame, path: str, pattern: str, *, space_led: bool
                     columns.append(pa.ListArray.from_arrays(pa.array(edges.astype(np.int32)), pa.array(ids)))
                 columns += [pa.array(f(ids, edges), pa.string()) for f in (coder.digests, coder.decoded_digests)]
                 yield pa.RecordBatch.from_arrays(columns, names)
-            pa.default_memory_pool().release_unused()  # the worker lives on
+            give_back()
 
     out = narrow.mapInArrow(run, schema)
     return out.withColumnsRenamed(dict(zip(inner, keep)))
