@@ -185,3 +185,25 @@ def test_a_whole_standard_file(spark, tmp_path):
     assert sorted(body[0][7].split(";")) == sorted(WANTED.split(";"))
     with pytest.raises(ValueError, match="no column"):
         sinks.standard_file(df.drop("gene"), golden_meta())
+
+
+def test_short_spans_of_one_long_bin_are_not_compared(spark):
+    spans = spark.range(300).selectExpr("'p' AS pid", "'1' AS chrom", "id * 5000 AS first", "id * 5000 + 3 AS last")
+    one = spark.createDataFrame([("p", "1", 100, 10**6)], "pid string, chrom string, first bigint, last bigint")
+    left, right = intervals._met(spans, spans, longer=0), intervals._met(spans, spans, longer=1)
+    assert left.count() == right.count() == 300 + sum(x * 5000 >> 10 != x * 5000 + 3 >> 10 for x in range(300))
+    met = left.join(right.withColumnsRenamed({c: f"{c}_b" for c in ("first", "last", "low")}), ["pid", "chrom", "bits", "longer", "bin"])
+    assert met.count() < 320
+    assert intervals.overlapping_spans(spans, one, on=["pid", "chrom"]).count() == intervals.overlapping_spans(one, spans, on=["pid", "chrom"]).count() == 200
+
+
+def test_hits_that_no_track_reports_are_not_made(spark):
+    whole = spark.range(3000).selectExpr("'1' AS chrom", "id % 3 AS start0", "240000000 - id AS end0", "concat('n', id) AS name")
+    far = spark.createDataFrame([("1", 10, 2**60, "endless"), ("1", -5, 2, "early")], "chrom string, start0 bigint, end0 bigint, name string")
+    spots = spark.range(2000).selectExpr("'1' AS chrom", "1 + id * 100000 AS pos")
+    track = intervals.Track(whole, most=2)
+    pieces = intervals._first_of_crowds(intervals._pieces(whole.selectExpr("chrom", "start0", "end0", "0 AS track", "name AS cell")), [2])
+    assert pieces.where("bits >= 16").groupBy("bits", "bin").count().agg({"count": "max"}).first()[0] == 2
+    got = intervals.annotate_tracks(spots, {"t": track, "f": intervals.Track(far), "seen": intervals.Track(whole, level=0)})
+    assert {(r["t"], r["f"], r["seen"]) for r in got.where("pos > 3").collect()} == {("n0&n1", "endless", "1")}
+    assert got.where("pos = 1").first()["f"] == "early" and got.count() == 2000
