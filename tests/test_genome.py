@@ -207,3 +207,12 @@ def test_hits_that_no_track_reports_are_not_made(spark):
     got = intervals.annotate_tracks(spots, {"t": track, "f": intervals.Track(far), "seen": intervals.Track(whole, level=0)})
     assert {(r["t"], r["f"], r["seen"]) for r in got.where("pos > 3").collect()} == {("n0&n1", "endless", "1")}
     assert got.where("pos = 1").first()["f"] == "early" and got.count() == 2000
+
+
+def test_no_read_is_paired_with_its_quality_as_a_row(spark):
+    pileup = spark.createDataFrame([("p", "1", 5, "A", "+1A.,+2acG$^++N", "I!.II")], PILEUP)
+    counts = control.control_counts(pileup)
+    assert "arrays_zip" not in counts._jdf.queryExecution().optimizedPlan().toString()
+    row = counts.first()
+    assert (row["nq"], row["hq_indels"], row["nq_indels"]) == ([1, 0, 1, 0, 1, 0, 0, 0, 0, 0], [], ["+2ac"])
+    assert (row["dp"], row["hq_reads"], row["hq"]) == (5, 4, [1, 0, 1, 0, 1, 0, 0, 0, 0, 0])
