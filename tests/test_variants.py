@@ -3,6 +3,7 @@
 import itertools
 import math
 import random
+import statistics
 
 import numpy as np
 import pytest
@@ -451,3 +452,27 @@ def test_shares_of_the_grid_are_of_all_bases(spark):
     row = base_quality.bq_artifact_grid(spark.createDataFrame(rows, schema)).first()
     assert (row["n"], row["share"], row["auc_30_0_ref"], row["auc_30_5_ref"], row["auc_20_13_ref"]) == (4, 1.0, 0.75, 0.5, None)
     assert (row["auc_30_0_alt"], row["auc_30_5_alt"], row["auc_20_13_alt"], row["z_5"]) == (0.6, 0.3, 0.2, None)
+
+
+def test_lists_of_rows_equal_lists_of_reads_and_shuffle_nothing(spark):
+    read = "array<struct<base:string,bq:bigint,is_reverse:boolean,query_pos:bigint,read_len:int>>"
+    rows = [("p", "1", 1, "A", "c", [("a", 30, True, 10, 101), ("C", 20, False, 5, 101), ("c", 10, True, 7, 101), ("N", 1, False, 1, 101)]), ("p", "1", 2, "A", "A", [("A", 7, False, 3, 101)]), ("p", "1", 3, "A", "G", [("T", 7, False, 3, 101)])]
+    variants_ = spark.createDataFrame(rows, f"pid string, chrom string, pos bigint, ref string, alt string, reads {read}")
+    got = reads.base_quality_lists_of_rows(variants_)
+    want = reads.base_quality_lists(variants_.drop("reads"), variants_.selectExpr("pid", "chrom", "pos", "posexplode(reads) AS (pileup_idx, x)").select("pid", "chrom", "pos", "pileup_idx", "x.*"))
+    columns = ["pid", "chrom", "pos", "bq_alt", "rp_alt", "bq_ref", "rp_ref", "vaf"]
+    assert sorted(map(tuple, got.select(columns).collect())) == sorted(map(tuple, want.select(columns).collect()))
+    for made in (got, base_quality.bq_row_stats(got), base_quality.bq_curves(got)):
+        assert "Exchange" not in made._jdf.queryExecution().executedPlan().toString()
+
+
+def test_shift_is_made_from_counts(spark):
+    df = spark.range(40).selectExpr("'p' AS pid", "'1' AS chrom", "id AS pos", "'C' AS ref", "'A' AS alt", "'A' AS base_before", "'G' AS base_after", "array(30L, id % 7) AS bq_ref", "array(id % 5) AS bq_alt")
+    shift = base_quality.triplet_bq_shift(df)
+    plan = shift._jdf.queryExecution().optimizedPlan().toString()
+    assert "percentile(" in plan and ", k#" in plan  # of counts, not of rows
+    row = shift.first()
+    ref, alt = [30] * 40 + [i % 7 for i in range(40)], [i % 5 for i in range(40)]
+    assert (row["n_ref"], row["n_alt"], row["median_ref"], row["median_alt"]) == (80, 40, statistics.median(ref), statistics.median(alt))
+    welch = statistics.variance(ref) / 80 + statistics.variance(alt) / 40
+    assert row["t"] == pytest.approx((statistics.mean(alt) - statistics.mean(ref)) / welch**0.5, abs=1e-6)
