@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 
 from strandline.functions import fields
 from strandline.operators import base_quality, bias, confidence, control, filters, joins, qc, reads, windows
+from strandline.plans import fixtures
 from strandline.sources import sinks, variants
+from strandline.storage import stored
 
 
 def column(spark, expression, **values):
@@ -476,3 +478,30 @@ def test_shift_is_made_from_counts(spark):
     assert (row["n_ref"], row["n_alt"], row["median_ref"], row["median_alt"]) == (80, 40, statistics.median(ref), statistics.median(alt))
     welch = statistics.variance(ref) / 80 + statistics.variance(alt) / 40
     assert row["t"] == pytest.approx((statistics.mean(alt) - statistics.mean(ref)) / welch**0.5, abs=1e-6)
+
+
+def test_rounds_carry_asked_columns_and_read_rows_once_each(spark):
+    name = "spark.sql.codegen.hugeMethodLimit"
+    rows = fixtures.strands(spark, "/root/testdata/sf0.001")
+    columns, options, widths, settings = ["pid", "chrom", "pos", "confidence", "penalties", "filter", "seq_bias", "seqing_bias_1"], confidence.Options(cutoff=500), [], []
+
+    def cut(df):
+        widths.append(set(df.columns))
+        settings.append(spark.conf.get(name))
+        return stored(df)
+
+    before = spark.conf.get(name)
+    some = bias.two_round_bias_filter(rows, options, cut=cut, keep=columns)
+    assert spark.conf.get(name) == before and set(settings) == {"8000"}
+    assert some.columns == columns and "sequence_context" not in widths[0] and "repeat_masker" not in widths[0]
+    # the rows once, and for each round its sums and its cells
+    assert len(widths) == 5 and all("pos" not in w for w in widths[1:])
+    whole = bias.two_round_bias_filter(rows, options)
+    assert set(rows.columns) <= set(whole.columns) and sorted(map(repr, whole.select(*columns).collect())) == sorted(map(repr, some.collect()))
+
+
+def test_strand_counts_of_alleles_that_are_no_single_base(spark):
+    rows = [(alt, "C", "A", "G", list(range(10)), list(range(10, 20))) for alt in ("T", "t", "A,T", "", None)]
+    df = spark.createDataFrame(rows, "alt string, ref string, base_before string, base_after string, plus array<bigint>, minus array<bigint>")
+    found = [tuple(r) for r in bias.strand_counts(df).select("pcr_plus", "pcr_minus", "seq_plus", "seq_minus").collect()]
+    assert found == [(3 + 8, 13 + 18, 3 + 13, 8 + 18)] * 2 + [(None,) * 4] * 3
