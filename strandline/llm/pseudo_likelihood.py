@@ -108,16 +108,22 @@ class Network:
         cuts = np.cumsum([math.prod(s) for s in shapes])[:-1]
         return Network(side, [x.astype(np.float32).reshape(s) for x, s in zip(np.split(flat, cuts), shapes)])
 
-    def calm(self) -> bool:
-        """Whether no logit of a class can be large."""
-        _, cls, cls_bias, _, _ = self.arrays
-        return bool(np.abs(cls).sum(axis=0).max() + np.abs(cls_bias).max() < 60)
+    def joined(self) -> tuple[np.ndarray, np.ndarray, bool, bool]:
+        """cls and word with their biases as a last row and column, to be met by the one at the end of `hidden`; for both, whether no logit can be large."""
+        _, cls, cls_bias, word, word_bias = self.arrays
+        full, words = np.concatenate([cls, cls_bias[None]]), np.concatenate([word, word_bias[:, None]], axis=1)
+        most = (np.abs(full).sum(axis=0).max(initial=0), np.abs(words).sum(axis=1).max(initial=0))
+        return full, words, bool(most[0] < 60), bool(most[1] < 60)
 
     def hidden(self, context: np.ndarray) -> np.ndarray:
-        hidden = self.arrays[0][context[0]]
+        """Positions by WIDTH, and a one behind."""
+        embed = self.arrays[0]
+        hidden = embed.take(context[0], axis=0)  # faster than by brackets
         for ids in context[1:]:
-            hidden += self.arrays[0][ids]
-        return np.tanh(hidden, out=hidden)
+            hidden += embed.take(ids, axis=0)
+        found = np.ones((len(hidden), WIDTH + 1), np.float32)
+        found[:, :WIDTH] = np.tanh(hidden, out=hidden)
+        return found
 
     def neighbours(self, line: np.ndarray, at: np.ndarray) -> np.ndarray:
         """Rows of embed for the neighbours of positions: 2 * WINDOW by positions."""
@@ -140,8 +146,8 @@ class Network:
 
     def score(self, line: np.ndarray, at: np.ndarray) -> np.ndarray:
         """Log-probability of the word (in the tail: of its class) at each position ``at`` given its neighbours."""
-        _, cls, cls_bias, word, word_bias = self.arrays
-        found, breadth, calm = np.empty(len(at), np.float32), BREADTH * self.side, self.calm()
+        full, words, calm, calm_words = self.joined()
+        found, breadth = np.empty(len(at), np.float32), BREADTH * self.side
         for start in range(0, len(at), STRETCH):
             p = at[start : start + STRETCH]
             target = line[p].astype(np.int64)
@@ -149,10 +155,12 @@ class Network:
             hidden = self.hidden(self.neighbours(line, p))
             own = np.empty(len(p), np.float32)
             for b in range(0, len(p), BLOCK):
-                own[b : b + BLOCK] = _log_softmax(hidden[b : b + BLOCK] @ cls, cls_bias, classes[b : b + BLOCK], calm)
+                own[b : b + BLOCK] = _log_softmax(hidden[b : b + BLOCK] @ full, classes[b : b + BLOCK], calm)
             for c, rows in self.runs(classes):
-                of = slice(c * breadth, (c + 1) * breadth)
-                own[rows] += _log_softmax(hidden[rows] @ word[of].T, word_bias[of], target[rows] - 1 - c * breadth)
+                mine = words[c * breadth : (c + 1) * breadth].T
+                for b in range(0, len(rows), BLOCK):
+                    some = rows[b : b + BLOCK]
+                    own[some] += _log_softmax(hidden.take(some, axis=0) @ mine, target[some] - 1 - c * breadth, calm_words)
             found[start : start + STRETCH] = own
         return found
 
@@ -168,28 +176,32 @@ class Network:
         breadth, target, context = BREADTH * self.side, line[p].astype(np.int64), self.neighbours(line, p)
         classes = self.classes(target)
         hidden = self.hidden(context)
-        back, of_cls, of_bias, calm = np.empty_like(hidden), np.zeros_like(cls), np.zeros_like(cls_bias), self.calm()
+        full, words, calm, calm_words = self.joined()
+        back, of_cls = np.empty((len(p), WIDTH), np.float32), np.zeros_like(full)
         for b in range(0, len(p), BLOCK):
             some = hidden[b : b + BLOCK]
-            error = _softmax(some @ cls, cls_bias, calm)
-            error[np.arange(len(some)), classes[b : b + BLOCK]] -= 1
-            back[b : b + BLOCK] = error @ cls.T
-            of_cls += some.T @ error
-            of_bias += error.sum(axis=0)
+            error, scale = _errors(some @ full, classes[b : b + BLOCK], calm)
+            back[b : b + BLOCK] = (error @ cls.T) * scale
+            of_cls += (error.T @ (some * scale)).T
+        gradient = np.zeros_like(words)
         for c, rows in self.runs(classes):
             of = slice(c * breadth, (c + 1) * breadth)
-            inner = _softmax(hidden[rows] @ word[of].T, word_bias[of])
-            inner[np.arange(len(rows)), target[rows] - 1 - c * breadth] -= 1
-            back[rows] += inner @ word[of]
-            _move(word[of], inner.T @ hidden[rows], seen[3][of])
-            _move(word_bias[of], inner.sum(axis=0), seen[4][of])
-        _move(cls, of_cls, seen[1])
-        _move(cls_bias, of_bias, seen[2])
-        back *= 1 - hidden * hidden
+            mine = words[of]
+            for b in range(0, len(rows), BLOCK):
+                which = rows[b : b + BLOCK]
+                some = hidden.take(which, axis=0)
+                error, scale = _errors(some @ mine.T, target[which] - 1 - c * breadth, calm_words)
+                back[which] = back.take(which, axis=0) + (error @ word[of]) * scale
+                gradient[of] += error.T @ (some * scale)
+        _move(word, gradient[:, :WIDTH], seen[3])
+        _move(word_bias, gradient[:, WIDTH], seen[4])
+        _move(cls, of_cls[:WIDTH], seen[1])
+        _move(cls_bias, of_cls[WIDTH], seen[2])
+        back *= 1 - np.square(hidden[:, :WIDTH])
         ids = context.ravel()
         order, starts, rows = _runs(ids)
-        moved, acc = embed[rows], seen[0][rows]
-        _move(moved, np.add.reduceat(back[order % len(p)], starts), acc)
+        moved, acc = embed.take(rows, axis=0), seen[0][rows]
+        _move(moved, np.add.reduceat(back.take(order % len(p), axis=0), starts), acc)
         embed[rows], seen[0][rows] = moved, acc
 
 
@@ -201,22 +213,21 @@ def _runs(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return order, starts, values[starts]
 
 
-def _softmax(logits: np.ndarray, bias: np.ndarray, calm: bool = False) -> np.ndarray:
-    """``calm``: no logit is large."""
-    logits += bias
+def _errors(logits: np.ndarray, own: np.ndarray, calm: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """Probabilities, less one at ``own``, in place; each row is still to be multiplied with the second result.  ``calm``: no logit is large."""
     if not calm:
         logits -= logits.max(axis=1, keepdims=True)
     np.exp(logits, out=logits)
-    logits /= logits.sum(axis=1, keepdims=True)
-    return logits
+    sums = logits @ np.ones(logits.shape[1], np.float32)
+    logits[np.arange(len(own)), own] -= sums
+    return logits, (1 / sums)[:, None]
 
 
-def _log_softmax(logits: np.ndarray, bias: np.ndarray, at: np.ndarray, calm: bool = False) -> np.ndarray:
-    logits += bias
+def _log_softmax(logits: np.ndarray, at: np.ndarray, calm: bool = False) -> np.ndarray:
     if not calm:
         logits -= logits.max(axis=1, keepdims=True)
     own = logits[np.arange(len(at)), at]
-    return own - np.log(np.exp(logits, out=logits).sum(axis=1))
+    return own - np.log(np.exp(logits, out=logits) @ np.ones(logits.shape[1], np.float32))
 
 
 def _move(weights: np.ndarray, gradient: np.ndarray, seen: np.ndarray) -> None:

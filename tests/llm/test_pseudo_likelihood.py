@@ -191,3 +191,16 @@ def test_spellings_of_a_class_sum_to_one():
     assert np.allclose(scale(spelling.triples).reshape(32, -1).sum(axis=0), 1, atol=1e-4)
     others = [k for k in range(0x110000) if k % 5 == 3 and not 97 <= k <= 122]
     assert abs(scale(spelling.points[others]).sum() - 1) < 1e-3
+
+
+@pytest.mark.parametrize("size, calm", [(1.0, True), (200.0, False)])
+def test_large_weights_are_told_and_scored(size, calm):
+    net = some_network(3)
+    net.arrays[1] *= size
+    net.arrays[3] *= size
+    assert net.joined()[2:] == (calm, calm)
+    line, at, _ = line_of([[1, 5, 18, 2, 2, 30, 7]])
+    assert np.allclose(net.score(line, at), plain_scores(net, [1, 5, 18, 2, 2, 30, 7]), rtol=1e-4, atol=1e-3)
+    before = net.flat()
+    net.train(line, at)
+    assert np.isfinite(net.flat()).all() and (net.flat() != before).any()
