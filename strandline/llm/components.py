@@ -2,7 +2,8 @@
 
 Each round sends every node's neighbours to the smallest node it knows (large star: those larger than the node; small
 star: those not larger).  The links stay connected as they were and end as stars around each component's smallest node.
-Rounds are written to the shared folder, so that lineage stays short.
+In all links a > b.  Each star's minima and links are written to the shared folder, so that lineage stays short and plans stay
+small: the driver holds some copies of a plan, and plans anew behind each of its stages.
 """
 
 from __future__ import annotations
@@ -15,16 +16,16 @@ from strandline.llm._tables import dealt_join, stored
 
 def _large_star(links: DataFrame) -> DataFrame:
     both = links.select(F.col("a").alias("u"), F.col("b").alias("v")).union(links.select("b", "a"))
-    least = both.groupBy("u").agg(F.count(F.lit(1)).alias("n"), F.least(F.min("v"), F.first("u")).alias("m"))
+    least = both.groupBy("u").agg(F.min("v").alias("v"), F.count_if(F.col("v") > F.col("u")).alias("n")).where("n > 0")
+    least = stored(least.select(F.col("u").alias("b"), "n", F.least("u", "v").alias("m")))
     # a hub's neighbours are many rows of one key
-    return dealt_join(both, least, ["u"]).where("v > u").select(F.col("v").alias("a"), F.col("m").alias("b")).distinct()
+    return stored(dealt_join(links, least, ["b"]).select("a", F.col("m").alias("b")).distinct())
 
 
 def _small_star(links: DataFrame) -> DataFrame:
-    down = links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-    least = down.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n"))
-    moved = dealt_join(down, least, ["u"]).where("v <> m").select(F.col("v").alias("a"), F.col("m").alias("b"))
-    return moved.union(least.select(F.col("u").alias("a"), F.col("m").alias("b"))).where("a <> b").distinct()
+    least = stored(links.groupBy("a").agg(F.min("b").alias("m"), F.count(F.lit(1)).alias("n")))
+    moved = dealt_join(links, least.where("n > 1"), ["a"]).where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    return stored(moved.union(least.select("a", F.col("m").alias("b"))).distinct())
 
 
 def min_components(links: DataFrame) -> DataFrame:
@@ -39,5 +40,5 @@ def min_components(links: DataFrame) -> DataFrame:
         if figures == before:
             raise RuntimeError("the contraction of links stands still")
         before = figures
-        links = stored(_small_star(_large_star(links)))
+        links = _small_star(_large_star(links))
     return links.select(F.col("a").alias("node"), F.col("b").alias("component")).union(links.select("b", "b").distinct())
