@@ -20,6 +20,7 @@ import base64
 import hashlib
 import re
 from collections.abc import Iterator
+from weakref import WeakKeyDictionary
 
 import ahocorasick
 import numpy as np
@@ -197,8 +198,9 @@ class EncodedText:
 class PieceTables:
     """An encoder's tables as arrays: prefix tables of many pieces are filled side by side, one prefix after the other.
 
-    ``nodes`` is the tree of the vocabulary's bytes (a row of 256 for each inner node), ``ends`` the token that ends at a
-    node, ``splits`` every pair of tokens that stand for a third one when written together.
+    ``arcs`` is the tree of the vocabulary's bytes (four words of 64 bits for each inner node: the bytes that lead on from
+    it), ``firsts`` where the children of each word begin among ``children``, ``ends`` the token that ends at a node,
+    ``splits`` every pair of tokens that stand for a third one when written together.
     """
 
     def __init__(self, encoder: PrefixEncoder):
@@ -232,15 +234,28 @@ class PieceTables:
             for k in range(1, len(raw)):
                 inner.setdefault(raw[:k], len(inner))
         self.inner = len(inner)
-        self.nodes = np.zeros((self.inner, 256), np.int32)
         leaves = {raw: self.inner + k for k, raw in enumerate(raw for raw in encoder.ranks if raw not in inner)}
         self.ends = np.full(self.inner + len(leaves), -1, np.int32)
         self.whole = self.ends.copy()
+        keys, children = np.zeros(len(self.ends) - 1, np.int64), np.zeros(len(self.ends) - 1, np.int32)
         for raw, node in (*inner.items(), *leaves.items()):
             if raw:
-                self.nodes[inner[raw[:-1]], raw[-1]] = node
+                keys[node - 1], children[node - 1] = inner[raw[:-1]] << 8 | raw[-1], node
             self.whole[node] = encoder.ranks.get(raw, -1)
             self.ends[node] = encoder.lasting.get(raw, -1)
+        order = np.argsort(keys)
+        self.children, words = children[order], keys[order] >> 6
+        self.arcs = np.zeros(4 * self.inner, np.uint64)
+        np.bitwise_or.at(self.arcs, words, np.uint64(1) << (keys[order] & 63).astype(np.uint64))
+        self.firsts = np.searchsorted(words, np.arange(4 * self.inner)).astype(np.int32)
+
+    def led_on(self, node: np.ndarray, letters: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which of the inner nodes have a child for their letter (a byte), and these children."""
+        word, bit = 4 * node + (letters >> 6), (letters & 63).astype(np.uint64)
+        arcs = self.arcs[word]
+        there = np.flatnonzero(arcs >> bit & np.uint64(1))
+        below = (np.uint64(1) << bit[there]) - np.uint64(1)
+        return there, self.children[self.firsts[word[there]] + np.bitwise_count(arcs[there] & below)]
 
     def compatible(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """`PrefixEncoder.compatible` of many pairs."""
@@ -296,9 +311,8 @@ class PieceTables:
                 if len(at) and at[-1] >= reaching[end]:
                     near = at < reaching[end]
                     at, node = at[near], node[near]
-                node = self.nodes[node, letters[end - 1, at]]
-                there = np.flatnonzero(node)
-                at, node = at[there], node[there]
+                there, node = self.led_on(node, letters[end - 1, at])
+                at = at[there]
                 if not len(at):
                     break
                 token = self.ends[node]
@@ -440,17 +454,20 @@ def slices(texts: pa.Array) -> Iterator[tuple[int, int]]:
         yield begin, len(sizes)
 
 
-_coders: dict[tuple, TextCoder] = {}
+#: The coders of this Python worker, by vocabulary.  Spark takes a broadcast from a worker whose next task doesn't use it, and its
+#: coders go with it: workers live on, and would hold the tables beside what stages to come need.
+_coders: WeakKeyDictionary[Broadcast, dict[tuple, TextCoder]] = WeakKeyDictionary()
 
 
 def worker_coder(vocabulary: Broadcast, pattern: str, space_led: bool = False) -> TextCoder:
-    """This Python worker's coder, made once."""
-    data = vocabulary.value
-    key = (hashlib.sha256(data).hexdigest(), pattern, space_led)
-    if key not in _coders:
-        _coders.clear()
-        _coders[key] = TextCoder(parse_ranks(data), pattern, space_led)
-    return _coders[key]
+    """This Python worker's coder, made once for each broadcast."""
+    made = _coders.setdefault(vocabulary, {})
+    key = (pattern, space_led)
+    if key not in made:
+        made.clear()
+        made[key] = TextCoder(parse_ranks(vocabulary.value), pattern, space_led)
+        give_back()
+    return made[key]
 
 
 def read_vocabulary(df: DataFrame, path: str) -> Broadcast:

@@ -26,7 +26,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strandline.llm._tables import ship_package
+from strandline.llm._tables import give_back, ship_package
 
 UNKNOWN = "und"
 #: Hash buckets of n-grams.
@@ -176,7 +176,7 @@ def classifier(df: DataFrame, model: Model, text: str = "text") -> Column:
             names, scores, rejected = zip(*found) if found else ((), (), ())
             columns = [pa.array(names, pa.string()), pa.array(scores, pa.float64()), pa.array(rejected, pa.bool_())]
             yield pa.StructArray.from_arrays(columns, fields=list(kind))
-        pa.default_memory_pool().release_unused()  # the worker lives on
+        give_back()
 
     run.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
     return F.arrow_udf(run, "lang_pred string, score double, rejected boolean")(df[text])

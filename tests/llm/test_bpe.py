@@ -2,7 +2,9 @@
 
 import hashlib
 import random
+import weakref
 
+import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
@@ -65,6 +67,38 @@ def test_every_token_is_its_own_encoding(coder, ranks):
         assert coder.encoder.walk(coder.encoder.extend(raw, [-1])) == [rank]
 
 
+def test_tables_are_small_beside_what_else_a_worker_holds(coder):
+    held = sum(x.nbytes for x in vars(coder.tables).values() if isinstance(x, np.ndarray))
+    assert held < 10_000_000  # 67 MB more with a row of 256 for each inner node
+
+
+def test_the_tree_leads_to_every_token_and_nowhere_else(coder, ranks):
+    tables, rnd = coder.tables, random.Random(6)
+    beginnings = {raw[:k] for raw in ranks for k in range(1, len(raw) + 1)}
+    chosen = rnd.sample(sorted(beginnings), 300) + [bytes([k]) for k in range(256)]
+    for raw in chosen:
+        node = np.zeros(1, np.int32)
+        for k, letter in enumerate(raw, 1):
+            there, node = tables.led_on(node, np.array([letter], np.uint8))
+            assert there.tolist() == [0]
+            assert tables.whole[node[0]] == ranks.get(raw[:k], -1)
+        on = np.arange(256, dtype=np.uint8)
+        led = tables.led_on(np.full(256, node[0]), on)[0].tolist() if node[0] < tables.inner else []
+        assert led == [k for k in range(256) if raw + bytes([k]) in beginnings]
+
+
+def test_a_worker_keeps_a_coder_as_long_as_its_broadcast():
+    class Sent:  # as Spark's broadcast in a worker
+        value = b"".join(b"%s %d\n" % (bpe.base64.b64encode(bytes([k])), k) for k in range(256))
+
+    sent = Sent()
+    coder = weakref.ref(bpe.worker_coder(sent, public_tokenizers.PATTERN))
+    assert bpe.worker_coder(sent, public_tokenizers.PATTERN) is coder()
+    assert coder().encode("ab") == [97, 98]
+    del sent
+    assert coder() is None
+
+
 def test_appends_and_edits(coder, library):
     rnd = random.Random(5)
     for _ in range(150):
