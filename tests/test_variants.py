@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from strandline.functions import fields
 from strandline.operators import base_quality, bias, confidence, control, filters, joins, qc, reads, windows
-from strandline.plans import fixtures
+from strandline.plans import fixtures, pipelines
 from strandline.sources import sinks, variants
 from strandline.storage import stored
 
@@ -505,3 +505,24 @@ def test_strand_counts_of_alleles_that_are_no_single_base(spark):
     df = spark.createDataFrame(rows, "alt string, ref string, base_before string, base_after string, plus array<bigint>, minus array<bigint>")
     found = [tuple(r) for r in bias.strand_counts(df).select("pcr_plus", "pcr_minus", "seq_plus", "seq_minus").collect()]
     assert found == [(3 + 8, 13 + 18, 3 + 13, 8 + 18)] * 2 + [(None,) * 4] * 3
+
+
+def test_rerun_reads_its_rows_once_and_only_makes_lists_of_functional_ones(spark):
+    rows = [("p", "1", pos, "A", "C", 1, 1, 1, 1, conf, "somatic", None, "exonic", effect, "0", bq) for pos, conf, effect, bq in (
+        (1, 9, "nonsynonymous SNV", [10, 30, None]), (2, 9, "stopgain SNV", [9, 19]), (2, 9, "stopgain SNV", [30]), (3, 9, "stopgain SNV", []), (4, 9, "synonymous SNV", [1]), (5, 3, "stopgain SNV", [1]), (6, 9, "stopgain SNV", [12, 13])
+    )]
+    schema = "pid string, chrom string, pos bigint, ref string, alt string, trf bigint, trr bigint, tvf bigint, tvr bigint, confidence bigint, annotation_control string, reclassification string, annovar_function string, exonic_classification string, dbsnp string, bq_alt array<bigint>"
+    made, cuts = spark.createDataFrame(rows, schema).withColumns({"kgenomes": F.lit("."), "pv4_tail": F.lit(1.0)}), []
+
+    def cut(df):
+        cuts.append(stored(df))
+        return cuts[-1]
+
+    columns = ["pid", "pos", "maf", "class"]
+    lost = pipelines.pipeline_filter_rerun(made, threshold=20, min_conf=5, cut=cut, keep=columns)[1]
+    # the second row of position 2 is kept, and so none of its span is lost
+    assert lost.columns == columns and sorted(r["pos"] for r in lost.collect()) == [3, 6]
+    plan = lost._jdf.queryExecution().optimizedPlan().toString()
+    assert len(cuts) == 1 and "LocalRelation" not in plan and "LogicalRDD" not in plan and plan.count("Relation [") > 1
+    whole = pipelines.pipeline_filter_rerun(made, threshold=20, min_conf=5)[1]
+    assert sorted(map(repr, whole.select(*columns).collect())) == sorted(map(repr, lost.collect())) and "bq_alt" in whole.columns
