@@ -526,3 +526,11 @@ def test_rerun_reads_its_rows_once_and_only_makes_lists_of_functional_ones(spark
     assert len(cuts) == 1 and "LocalRelation" not in plan and "LogicalRDD" not in plan and plan.count("Relation [") > 1
     whole = pipelines.pipeline_filter_rerun(made, threshold=20, min_conf=5)[1]
     assert sorted(map(repr, whole.select(*columns).collect())) == sorted(map(repr, lost.collect())) and "bq_alt" in whole.columns
+
+
+def test_quantile_makes_positions_once_a_row(spark):
+    lists = reads.base_quality_lists_of_rows(fixtures.with_reads(fixtures.snv(spark, "/root/testdata/sf0.001")))
+    plan = base_quality.read_position_quantile(lists, 0.7).where("quantile IS NOT NULL")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("arrays_zip(") == 1 and plan.count("sort_array(") == 1
+    df = spark.createDataFrame([(1, [3, None, 1]), (2, []), (3, None), (4, [5])], "k int, rp_alt array<bigint>").selectExpr("'p' AS pid", "'1' AS chrom", "k AS pos", "rp_alt")
+    assert [tuple(r)[2:] for r in base_quality.read_position_quantile(df, 0.7).orderBy("pos").collect()] == [(1, 2), (2, None), (3, None), (4, 5)]
