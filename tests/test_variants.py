@@ -534,3 +534,12 @@ def test_quantile_makes_positions_once_a_row(spark):
     assert plan.count("arrays_zip(") == 1 and plan.count("sort_array(") == 1
     df = spark.createDataFrame([(1, [3, None, 1]), (2, []), (3, None), (4, [5])], "k int, rp_alt array<bigint>").selectExpr("'p' AS pid", "'1' AS chrom", "k AS pos", "rp_alt")
     assert [tuple(r)[2:] for r in base_quality.read_position_quantile(df, 0.7).orderBy("pos").collect()] == [(1, 2), (2, None), (3, None), (4, 5)]
+
+
+def test_median_filter_makes_lists_once_a_row(spark):
+    lists = reads.base_quality_lists_of_rows(fixtures.with_reads(fixtures.snv(spark, "/root/testdata/sf0.001")))
+    plan = filters.median_alt_bq_filter(lists, 21).select("pid", "pos")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("arrays_zip(") == 1 and plan.count("sort_array(") == 1
+    df = spark.createDataFrame([(1, [3, None, 1]), (2, []), (3, None), (4, [5, 2])], "k int, bq_alt array<bigint>")
+    kept = filters.median_alt_bq_filter(df, 2.5)
+    assert kept.columns == df.columns and [r["k"] for r in kept.collect()] == [4]
