@@ -9,6 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from strandline import queries
 from strandline.functions import fields
 from strandline.operators import base_quality, bias, confidence, control, filters, joins, qc, reads, windows
 from strandline.plans import fixtures, pipelines
@@ -543,3 +544,31 @@ def test_median_filter_makes_lists_once_a_row(spark):
     df = spark.createDataFrame([(1, [3, None, 1]), (2, []), (3, None), (4, [5, 2])], "k int, bq_alt array<bigint>")
     kept = filters.median_alt_bq_filter(df, 2.5)
     assert kept.columns == df.columns and [r["k"] for r in kept.collect()] == [4]
+
+
+def test_correction_of_rows_equals_that_of_reads_and_shuffles_nothing(spark):
+    rng = random.Random(5)
+    some = lambda *values: rng.choice([*values, None] if rng.random() < 0.1 else values)
+    rows = []
+    for pos in range(60):
+        call = ("p", "1", pos, "A", rng.choice(["G", "g", "G,T", "A"]), 9, 9, 9, 9, rng.choice(["somatic", "multi_somatic", "germline", None]), 9, "somatic")
+        many = [
+            (k, some("a", "b", "c", "d", "e"), some("A", "a", "G", "g", "T", "N"), some(12, 13, 20, 30), some(29, 30, 60), some(True, False), some(True, False), some(True, True, True, False), some(0, 1, 5), 10, 100, some(1, 2), some(1, 2, 3), 0, some(1, 2), 0)
+            for k in range(rng.choice([0, 1, 3, 12, 25]))
+        ]
+        rows.append((*call, many))
+    item = READ.split(", ", 3)[3]
+    held = spark.createDataFrame(rows, f"{CALL}, reads array<struct<{', '.join(x.replace(' ', ':') for x in item.split(', '))}>>")
+    one = held.selectExpr("pid", "chrom", "pos", "explode(reads) AS x").select("pid", "chrom", "pos", "x.*")
+    for limits in ({}, {"max_mismatches": 3}, {"no_control": True, "min_mapq": 0}):
+        want = reads.overlap_corrected_counts(held.drop("reads"), one, **limits)
+        got = reads.overlap_corrected_counts_of_rows(held, **limits)
+        assert sorted(got.columns) == sorted(want.columns)
+        assert sorted(map(repr, got.select(want.columns).collect())) == sorted(map(repr, want.collect()))
+        assert "Exchange" not in got._jdf.queryExecution().executedPlan().toString()
+    assert reads.overlap_corrected_counts_of_rows(held.withColumn("reads", F.lit(None).cast(held.schema["reads"].dataType))).where("pos = 0 OR tvf <> 9").count() == 1
+
+
+def test_query_of_corrected_counts_only_deals_its_base_table(spark):
+    plan = queries.QUERIES["overlap_corrected_counts"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Sort" not in plan and "Join" not in plan
