@@ -572,3 +572,28 @@ def test_correction_of_rows_equals_that_of_reads_and_shuffles_nothing(spark):
 def test_query_of_corrected_counts_only_deals_its_base_table(spark):
     plan = queries.QUERIES["overlap_corrected_counts"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1 and "Sort" not in plan and "Join" not in plan
+
+
+def test_annotation_deals_no_row_that_holds_reads(spark):
+    small, plans = "/root/testdata/sf0.001", []
+
+    def cut(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return stored(df)
+
+    rows = fixtures.annotated(spark, small).drop("gene", "segdup")
+    held = fixtures.with_reads(fixtures.annotated(spark, small, dealt=True).drop("gene", "segdup"), mates=True)
+    with_tables = dict(known={"extra_sites": fixtures.known(spark, small)}, tracks={"segdup": fixtures.track(spark, small)})
+    columns = ["pid", "chrom", "pos", "trf", "tvr", "extra_sites", "segdup", "confidence", "filter"]
+    some = pipelines.pipeline_annotate(rows, held=held, cut=cut, keep=columns, **with_tables)
+    lines = plans[0].splitlines()
+    made = next(k for k, line in enumerate(lines) if "arrays_zip" in line)
+    indent = lambda line: len(line) - len(line.lstrip(" :+-*"))
+    above, limit = [], indent(lines[made])
+    for line in lines[made::-1]:
+        if indent(line) < limit:
+            above, limit = [*above, line], indent(line)
+    assert any("ShuffledHashJoin" in line for line in above) and not any("Exchange" in line or "SortMergeJoin" in line for line in above)
+    whole = pipelines.pipeline_annotate(rows, fixtures.reads(spark, small), **with_tables)
+    assert some.columns == columns and sorted(map(repr, whole.select(*columns).collect())) == sorted(map(repr, some.collect()))
+    assert some.where("extra_sites <> '.'").count() and some.where("segdup <> '.'").count() and not some.where("extra_sites IS NULL OR segdup IS NULL").count()
