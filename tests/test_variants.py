@@ -597,3 +597,13 @@ def test_annotation_deals_no_row_that_holds_reads(spark):
     whole = pipelines.pipeline_annotate(rows, fixtures.reads(spark, small), **with_tables)
     assert some.columns == columns and sorted(map(repr, whole.select(*columns).collect())) == sorted(map(repr, some.collect()))
     assert some.where("extra_sites <> '.'").count() and some.where("segdup <> '.'").count() and not some.where("extra_sites IS NULL OR segdup IS NULL").count()
+
+
+def test_curves_are_made_a_batch_at_a_time(spark):
+    df = spark.createDataFrame([(1, [0] + [5] * 127, [None, 56, -1]), (2, [1, 1, 1], [55])], "k int, bq_ref array<bigint>, bq_alt array<bigint>")
+    out = base_quality.bq_curves(df)
+    assert "lambda" not in out._jdf.queryExecution().optimizedPlan().toString()
+    one, two = out.orderBy("k").collect()
+    assert one["curve_ref"][:5] == [0.007813] * 5 and one["hist_ref"][0] == 1 and one["area_ref"] == pytest.approx(5 * 0.007813 + 51)  # halves up
+    assert (one["hist_alt"], one["curve_alt"], one["area_alt"]) == ([0] * 56, None, None)
+    assert two["curve_ref"] == [0.0] + [1.0] * 55 and two["area_alt"] == 1.0
