@@ -216,3 +216,9 @@ def test_no_read_is_paired_with_its_quality_as_a_row(spark):
     row = counts.first()
     assert (row["nq"], row["hq_indels"], row["nq_indels"]) == ([1, 0, 1, 0, 1, 0, 0, 0, 0, 0], [], ["+2ac"])
     assert (row["dp"], row["hq_reads"], row["hq"]) == (5, 4, [1, 0, 1, 0, 1, 0, 0, 0, 0, 0])
+
+
+def test_pileup_strings_are_cut_once_a_row(spark):
+    counts = control.control_counts(spark.createDataFrame([("p", "1", 5, "A", ".,+2ACg*N", "I.-I!"), ("p", "1", 6, "A", ".c", "II")], PILEUP))
+    assert counts._jdf.queryExecution().optimizedPlan().toString().count("regexp_extract(") == 1
+    assert [(r["nq_indels"], r["nq"][0]) for r in counts.orderBy("pos").collect()] == [(["+2AC"], 1), ([], 1)]
